@@ -71,3 +71,54 @@ def industry_totals(spark, sf_dir):
         F.countDistinct("ticker").alias("n_companies"),
         F.sum("market_cap").alias("market_cap"))
     return rounded(out, 2)
+
+
+# ---- repair, routing and audit -----------------------------------------------------
+
+def _cleanup(spark, sf_dir):
+    from ..operators.repair import cleanup
+    return cleanup(valued_panel(spark, sf_dir, 1))
+
+
+def route_damaged(spark, sf_dir):
+    from ..operators.repair import damaged_flags
+    return damaged_flags(valued_panel(spark, sf_dir, 1))
+
+
+def shares_fill(spark, sf_dir):
+    from ..operators.repair import damaged_flags, fill_shares
+    p = valued_panel(spark, sf_dir, 1)
+    rest = p.join(damaged_flags(p).select("ticker"), "ticker", "left_anti")
+    return rounded(fill_shares(rest).select("ticker", "fy", bq("shares#"), "shares_filled"))
+
+
+def route_zero_shares(spark, sf_dir):
+    r = _cleanup(spark, sf_dir)
+    return r.damaged.join(r.zero, "ticker", "left_semi").groupBy("ticker").agg(
+        F.count(F.lit(1)).alias("n_rows"))
+
+
+def eps_repair(spark, sf_dir):
+    r = _cleanup(spark, sf_dir)
+    rows = r.clean.unionByName(r.less_data)
+    return rounded(rows.select("ticker", "fy", "eps"))
+
+
+def cleanup_valuation(spark, sf_dir):
+    from ..constants import VALUATION_V1_COLUMNS
+    r = _cleanup(spark, sf_dir)
+    return rounded(r.clean.select("ticker", "fy", bq("shares#"), "eps", *VALUATION_V1_COLUMNS))
+
+
+def route_less(spark, sf_dir):
+    r = _cleanup(spark, sf_dir)
+    return r.less_data.groupBy("ticker").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def audit_merge(spark, sf_dir):
+    return _cleanup(spark, sf_dir).messages
+
+
+def run_stats(spark, sf_dir):
+    from ..operators.repair import run_stats as stats
+    return stats(_cleanup(spark, sf_dir).routes)

@@ -39,3 +39,85 @@ SELECT {broad_industry('industry')} AS broad_industry,
   count(DISTINCT ticker) AS n_companies,
   {r4('sum(market_cap)', 2)} AS market_cap
 FROM v1 GROUP BY 1"""
+
+
+# ---- repair, routing and audit -----------------------------------------------------
+from .sqlparts import div as _div  # noqa: E402
+
+_V1_RATIOS = ", ".join(q(c) for c in VALUATION_V1_COLUMNS)
+_W = "PARTITION BY ticker ORDER BY fy, filed"
+CLEANUP_CTES = BASE + "," + valuation_cte("derived", 1, "v1") + f""",
+flags AS (
+  SELECT ticker, bool_or(net_income IS NULL) AS miss_ni, bool_or(recurrent_profit IS NULL) AS miss_rp
+  FROM v1 GROUP BY ticker
+),
+dmg AS (
+  SELECT ticker, miss_ni, miss_rp,
+    CASE WHEN miss_ni AND miss_rp THEN 'Relocated to table "damaged_data" due to missing recurrent_profit and net_income.'
+         WHEN miss_ni THEN 'Relocated to table "damaged_data" due to missing net_income.'
+         ELSE 'Relocated to table "damaged_data" due to missing recurrent_profit.' END AS message
+  FROM flags WHERE miss_ni OR miss_rp
+),
+rest AS (SELECT * FROM v1 WHERE ticker NOT IN (SELECT ticker FROM dmg)),
+filled AS (
+  SELECT * REPLACE (coalesce(
+      last_value("shares#" IGNORE NULLS) OVER ({_W} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+      first_value("shares#" IGNORE NULLS) OVER ({_W} ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)) AS "shares#"),
+    "shares#" IS NULL AS shares_filled
+  FROM rest
+),
+fill_msgs AS (
+  SELECT ticker, string_agg(printf('year %s shares# is filled into %s', CAST(fy AS VARCHAR), CAST("shares#" AS VARCHAR)), ' , ' ORDER BY fy, filed) AS shares_msg
+  FROM filled WHERE shares_filled GROUP BY ticker
+),
+zero AS (SELECT ticker FROM filled GROUP BY ticker HAVING bool_or("shares#" = 0)),
+rest2 AS (SELECT * EXCLUDE (shares_filled) FROM filled WHERE ticker NOT IN (SELECT ticker FROM zero)),
+rep AS (
+  SELECT * EXCLUDE ({_V1_RATIOS}) REPLACE (
+      CASE WHEN "shares#" IS NOT NULL AND eps IS NULL THEN {_div('net_income', '"shares#"')} ELSE eps END AS eps),
+    ("shares#" IS NOT NULL AND eps IS NULL) AS eps_repaired
+  FROM rest2
+),
+eps_msgs AS (
+  SELECT ticker, string_agg(printf('year %s eps is recovered from nan into %.2f, ', CAST(fy AS VARCHAR), eps), '. ' ORDER BY fy, filed) AS eps_msg
+  FROM rep WHERE eps_repaired GROUP BY ticker
+),
+{valuation_cte("rep", 1, "rv")},
+less AS (
+  SELECT ticker FROM rv GROUP BY ticker
+  HAVING bool_or(cost IS NULL OR "expense_general/admin" IS NULL OR currasset IS NULL OR curr_liabilities IS NULL)
+),
+clean AS (SELECT * FROM rv WHERE ticker NOT IN (SELECT ticker FROM less)),
+less_data AS (SELECT * FROM rv WHERE ticker IN (SELECT ticker FROM less)),
+damaged AS (
+  SELECT ticker, fy, fp, net_income, recurrent_profit FROM v1 WHERE ticker IN (SELECT ticker FROM dmg)
+  UNION ALL
+  SELECT ticker, fy, fp, net_income, recurrent_profit FROM rest2 WHERE FALSE
+  UNION ALL
+  SELECT ticker, fy, fp, net_income, recurrent_profit FROM filled WHERE ticker IN (SELECT ticker FROM zero)
+),
+routes AS (
+  SELECT ticker, fy, fp, 'clean' AS route FROM clean
+  UNION ALL SELECT ticker, fy, fp, 'damaged' FROM damaged
+  UNION ALL SELECT ticker, fy, fp, 'less_data' FROM less_data
+)"""
+
+SQL["route_damaged"] = CLEANUP_CTES + "\nSELECT ticker, miss_ni, miss_rp, message FROM dmg"
+SQL["shares_fill"] = CLEANUP_CTES + f'\nSELECT ticker, fy, {r4(q("shares#"))} AS "shares#", shares_filled FROM filled'
+SQL["route_zero_shares"] = CLEANUP_CTES + """
+SELECT ticker, count(*) AS n_rows FROM filled WHERE ticker IN (SELECT ticker FROM zero) GROUP BY ticker"""
+SQL["eps_repair"] = CLEANUP_CTES + f"\nSELECT ticker, fy, {r4('eps')} AS eps FROM rv"
+SQL["cleanup_valuation"] = CLEANUP_CTES + f"""
+SELECT ticker, fy, {r4(q('shares#'))} AS "shares#", {r4('eps')} AS eps,
+  {_round_list(VALUATION_V1_COLUMNS)}
+FROM clean"""
+SQL["route_less"] = CLEANUP_CTES + "\nSELECT ticker, count(*) AS n_rows FROM less_data GROUP BY ticker"
+SQL["audit_merge"] = CLEANUP_CTES + """
+SELECT ticker, coalesce(m1, m3, CASE WHEN shares_msg IS NOT NULL OR eps_msg IS NOT NULL
+                               THEN concat_ws('. ', shares_msg, eps_msg) END) AS update_after_cleanup
+FROM (SELECT ticker, message AS m1 FROM dmg) a
+FULL JOIN (SELECT ticker, 'Deleted due to missing shares#.' AS m3 FROM zero) b USING (ticker)
+FULL JOIN fill_msgs USING (ticker)
+FULL JOIN eps_msgs USING (ticker)"""
+SQL["run_stats"] = CLEANUP_CTES + """
+SELECT route, count(*) AS n_rows, count(DISTINCT ticker) AS n_companies FROM routes GROUP BY route"""

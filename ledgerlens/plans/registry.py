@@ -13,6 +13,14 @@ QUERIES = {
     "valuation_v1": checks.valuation_v1_check,          # R1-R18, R21-R31, X12
     "valuation_v2": checks.valuation_v2_check,          # R16, R19-R21
     "industry_totals": checks.industry_totals,          # A1, X1, A7
+    "route_damaged": checks.route_damaged,              # Q1, J9, J10
+    "shares_fill": checks.shares_fill,                  # Q2, W2
+    "route_zero_shares": checks.route_zero_shares,      # Q3, U1
+    "eps_repair": checks.eps_repair,                    # Q4
+    "cleanup_valuation": checks.cleanup_valuation,      # Q5
+    "route_less": checks.route_less,                    # Q6
+    "audit_merge": checks.audit_merge,                  # Q7, J11
+    "run_stats": checks.run_stats,                      # A14, U1
 }
 
 ORACLE = dict(SQL)
