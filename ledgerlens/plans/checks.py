@@ -122,3 +122,116 @@ def audit_merge(spark, sf_dir):
 def run_stats(spark, sf_dir):
     from ..operators.repair import run_stats as stats
     return stats(_cleanup(spark, sf_dir).routes)
+
+
+# ---- features and statistics ----------------------------------------------------------
+
+def features(spark, sf_dir):
+    from ..operators.features import analysis_features
+    return analysis_features(_cleanup(spark, sf_dir).clean)
+
+
+def trimmed(spark, sf_dir):
+    from ..operators.stats import trim
+    return trim(features(spark, sf_dir))
+
+
+def ratio_score_check(spark, sf_dir):
+    return features(spark, sf_dir).select("ticker", "fy", "broad_industry", "ratio_score")
+
+
+def per_share_log(spark, sf_dir):
+    from ..operators.features import correlation_factors
+    return rounded(features(spark, sf_dir).select("ticker", "fy", *[bq(c) for c in correlation_factors()]))
+
+
+def small_fold_check(spark, sf_dir):
+    from ..constants import SMALL_SHARE_CAP, SMALL_SHARE_COUNT
+    from ..operators.stats import industry_totals as totals, small_fold
+    t = totals(features(spark, sf_dir)).cache()
+    a = small_fold(t, "n_rows", SMALL_SHARE_COUNT).select("label", F.lit("n_rows").alias("metric"),
+                                                         F.col("n_rows").cast("double").alias("value"))
+    b = small_fold(t, "market_cap", SMALL_SHARE_CAP).select("label", F.lit("market_cap").alias("metric"),
+                                                            F.col("market_cap").alias("value"))
+    return rounded(a.unionByName(b), 2)
+
+
+def quantile_trim(spark, sf_dir):
+    return rounded(trimmed(spark, sf_dir).select("ticker", "fy", "theoretical_price", "stock_price"))
+
+
+def industry_year_means(spark, sf_dir):
+    from ..operators.stats import industry_year_means as f
+    return rounded(f(trimmed(spark, sf_dir)))
+
+
+def corr_overall(spark, sf_dir):
+    from ..operators.features import correlation_factors
+    from ..operators.stats import corr_overall as f
+    return rounded(f(trimmed(spark, sf_dir), correlation_factors()))
+
+
+def corr_by_group(spark, sf_dir):
+    from ..operators.features import correlation_factors
+    from ..operators.stats import corr_by_group as f
+    return rounded(f(trimmed(spark, sf_dir), correlation_factors()))
+
+
+def r2_overall(spark, sf_dir):
+    from ..operators.stats import r2_overall as f
+    return rounded(f(trimmed(spark, sf_dir)))
+
+
+def r2_by_year(spark, sf_dir):
+    from ..operators.stats import r2_by_year as f
+    return rounded(f(trimmed(spark, sf_dir)))
+
+
+def trend_line(spark, sf_dir):
+    from ..operators.stats import trend_line as f
+    return rounded(f(trimmed(spark, sf_dir)))
+
+
+def bin_pivot(spark, sf_dir):
+    from ..operators.stats import bin_pivot as f
+    return rounded(f(trimmed(spark, sf_dir)))
+
+
+def inf_missing_profile(spark, sf_dir):
+    from ..operators.features import analysis_numeric_columns
+    from ..operators.stats import missing_profile
+    f = features(spark, sf_dir)
+    cols = analysis_numeric_columns()
+    return rounded(missing_profile(f, cols))
+
+
+def missing_ratio(spark, sf_dir):
+    from ..operators.features import analysis_numeric_columns
+    from ..operators.stats import missing_ratio as mr
+    f = features(spark, sf_dir)
+    cols = analysis_numeric_columns()
+    return rounded(mr(f, cols))
+
+
+def median_impute(spark, sf_dir):
+    from ..operators.features import correlation_factors
+    from ..operators.stats import impute_medians
+    f = features(spark, sf_dir)
+    cols = correlation_factors() + ["theoretical_price", "stock_price"]
+    return rounded(impute_medians(f, cols).select("ticker", "fy", *[bq(c) for c in cols]))
+
+
+def factor_long(spark, sf_dir):
+    from ..operators.features import correlation_factors, size_scale
+    from ..operators.stats import factor_long as f
+    return rounded(f(size_scale(features(spark, sf_dir)), correlation_factors()))
+
+
+def top_k_cap(spark, sf_dir):
+    from ..operators.stats import top_k_cap as f
+    return rounded(f(features(spark, sf_dir)), 2)
+
+
+def residual(spark, sf_dir):
+    from ..operators.features import with_residual
+    return rounded(with_residual(trimmed(spark, sf_dir)).select("ticker", "fy", "model_error"))

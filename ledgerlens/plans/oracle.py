@@ -121,3 +121,188 @@ FULL JOIN fill_msgs USING (ticker)
 FULL JOIN eps_msgs USING (ticker)"""
 SQL["run_stats"] = CLEANUP_CTES + """
 SELECT route, count(*) AS n_rows, count(DISTINCT ticker) AS n_companies FROM routes GROUP BY route"""
+
+
+# ---- features and statistics ----------------------------------------------------------
+from ..constants import (CORRELATION_EXTRA, NO_LOG, PER_SHARE_BASE, SCORE_BREAKPOINTS)  # noqa: E402
+from .sqlparts import nn as _nn, score as _score  # noqa: E402
+
+_PS = [f"{c}_per_share" for c in PER_SHARE_BASE]
+_CF = _PS + list(CORRELATION_EXTRA)
+_LOG = [c for c in _CF if c not in NO_LOG]
+_V1_EXCEPT_CAREER = ", ".join(q(c) for c in VALUATION_V1_COLUMNS if c != "career_value")
+
+
+def _safe_corr(x, y):
+    xm = f"(CASE WHEN ({x}) IS NOT NULL AND ({y}) IS NOT NULL THEN ({x}) END)"
+    ym = f"(CASE WHEN ({x}) IS NOT NULL AND ({y}) IS NOT NULL THEN ({y}) END)"
+    return (f"(CASE WHEN count({xm}) < 2 OR min({xm}) = max({xm}) OR min({ym}) = max({ym}) THEN NULL "
+            f"WHEN stddev_pop({xm}) * stddev_pop({ym}) = 0 THEN NULL "
+            f"ELSE covar_pop({xm}, {ym}) / (stddev_pop({xm}) * stddev_pop({ym})) END)")
+
+
+def _log1p_clean(x):
+    return (f"ln(1 + (CASE WHEN ({x}) IS NULL OR isnan({x}) OR ({x}) = 'inf'::DOUBLE OR ({x}) < 0 "
+            f"THEN 0.0 ELSE ({x}) END))")
+
+
+_SCORE_SUM = " + ".join(_score(q(r), b) for r, b in SCORE_BREAKPOINTS.items())
+_PS_SELECT = ",\n    ".join(
+    f"{_div(q(c), 'CASE WHEN \"shares#\" <> 0 THEN \"shares#\" END')} AS {q(c + '_per_share')}"
+    for c in PER_SHARE_BASE)
+_LOG_REPLACE = ",\n    ".join(f"{_log1p_clean(q(c))} AS {q(c)}" for c in _LOG)
+
+FEATURE_CTES = CLEANUP_CTES + f""",
+clean_src AS (SELECT * EXCLUDE ({_V1_EXCEPT_CAREER}) FROM clean),
+{valuation_cte("clean_src", 2, "fv")},
+feat_s AS (
+  SELECT *, {_SCORE_SUM} AS ratio_score, {broad_industry('industry')} AS broad_industry FROM fv
+),
+feat_p AS (
+  SELECT *,
+    {_PS_SELECT}
+  FROM feat_s
+),
+feat AS (
+  SELECT * REPLACE (
+    {_LOG_REPLACE})
+  FROM feat_p
+),
+bounds AS (
+  SELECT quantile_cont(theoretical_price, 0.01) AS tp_lo, quantile_cont(theoretical_price, 0.99) AS tp_hi,
+         quantile_cont(stock_price, 0.01) AS sp_lo, quantile_cont(stock_price, 0.99) AS sp_hi
+  FROM feat
+),
+trimmed AS (
+  SELECT feat.* FROM feat, bounds
+  WHERE theoretical_price BETWEEN tp_lo AND tp_hi AND stock_price BETWEEN sp_lo AND sp_hi
+)"""
+
+SQL["ratio_score"] = FEATURE_CTES + "\nSELECT ticker, fy, broad_industry, ratio_score FROM feat"
+SQL["per_share_log"] = FEATURE_CTES + f"""
+SELECT ticker, fy, ratio_score,
+  {_round_list([c for c in _CF if c != "ratio_score"])}
+FROM feat"""
+
+SQL["small_fold"] = FEATURE_CTES + """,
+tot AS (SELECT broad_industry, count(*)::DOUBLE AS n_rows, sum(market_cap) AS market_cap FROM feat GROUP BY 1),
+shares AS (SELECT *, n_rows / sum(n_rows) OVER () AS s_n, market_cap / sum(market_cap) OVER () AS s_c FROM tot)
+SELECT CASE WHEN s_n < 0.0035 THEN 'All other industries' ELSE broad_industry END AS label,
+       'n_rows' AS metric, round(sum(n_rows), 2) + 0.0 AS value FROM shares GROUP BY 1
+UNION ALL
+SELECT CASE WHEN s_c < 0.005 THEN 'All other industries' ELSE broad_industry END AS label,
+       'market_cap' AS metric, round(sum(market_cap), 2) + 0.0 AS value FROM shares GROUP BY 1"""
+
+SQL["quantile_trim"] = FEATURE_CTES + f"""
+SELECT ticker, fy, {r4('theoretical_price')} AS theoretical_price, {r4('stock_price')} AS stock_price FROM trimmed"""
+
+_MEANS = list(SCORE_BREAKPOINTS) + ["stock_price"]
+SQL["industry_year_means"] = FEATURE_CTES + f"""
+SELECT broad_industry, fy,
+  {", ".join(f"{r4(_nn(f'avg({q(c)})'))} AS {q(c)}" for c in _MEANS)}
+FROM trimmed GROUP BY broad_industry, fy"""
+
+_UNPIV = ", ".join(q(c) for c in _CF)
+SQL["corr_overall"] = FEATURE_CTES + f""",
+lng AS (SELECT factor, x, stock_price FROM (UNPIVOT (SELECT stock_price, {_UNPIV} FROM trimmed)
+        ON {_UNPIV} INTO NAME factor VALUE x))
+SELECT factor, {r4(_safe_corr('x', 'stock_price'))} AS corr FROM lng GROUP BY factor
+UNION ALL
+SELECT f AS factor, NULL::DOUBLE AS corr FROM (SELECT unnest([{", ".join(repr(c) for c in _CF)}]) AS f)
+WHERE f NOT IN (SELECT factor FROM lng)"""
+
+SQL["corr_by_group"] = FEATURE_CTES + f""",
+grp AS (SELECT broad_industry, count(*) AS n FROM trimmed WHERE broad_industry <> 'Other/Unclassified' GROUP BY 1),
+lng AS (SELECT broad_industry, factor, x, stock_price FROM (UNPIVOT (
+          SELECT broad_industry, stock_price, {_UNPIV} FROM trimmed WHERE broad_industry <> 'Other/Unclassified')
+        ON {_UNPIV} INTO NAME factor VALUE x)),
+c AS (SELECT broad_industry, factor, {_safe_corr('x', 'stock_price')} AS corr FROM lng GROUP BY 1, 2)
+SELECT c.broad_industry, factor, {r4('corr')} AS corr FROM c JOIN grp USING (broad_industry)
+WHERE n >= 5 AND corr IS NOT NULL"""
+
+SQL["r2_overall"] = FEATURE_CTES + f"""
+SELECT count(*) AS n,
+  {r4('1.0 - sum((stock_price - theoretical_price) ^ 2) / (count(*) * var_pop(stock_price))')} AS r2
+FROM trimmed WHERE stock_price IS NOT NULL AND theoretical_price IS NOT NULL"""
+
+_fin = lambda x: f"coalesce(CASE WHEN isinf({x}) OR isnan({x}) THEN NULL ELSE {x} END, 0.0)"
+SQL["r2_by_year"] = FEATURE_CTES + f""",
+g AS (SELECT fy, count(*) AS n, sum(({_fin('stock_price')} - {_fin('theoretical_price')}) ^ 2) AS sse,
+        count(*) * var_pop({_fin('stock_price')}) AS sst FROM trimmed GROUP BY fy)
+SELECT fy, n, {r4('CASE WHEN sst <> 0 THEN 1.0 - sse / sst END')} AS r2 FROM g"""
+
+SQL["trend_line"] = FEATURE_CTES + f""",
+g AS (SELECT regr_count(stock_price, theoretical_price) AS n, regr_slope(stock_price, theoretical_price) AS slope,
+        regr_intercept(stock_price, theoretical_price) AS intercept, regr_r2(stock_price, theoretical_price) AS r2,
+        regr_sxx(stock_price, theoretical_price) AS sxx, regr_syy(stock_price, theoretical_price) AS syy,
+        regr_sxy(stock_price, theoretical_price) AS sxy
+      FROM trimmed WHERE stock_price IS NOT NULL AND theoretical_price IS NOT NULL)
+SELECT n, {r4('slope')} AS slope, {r4('intercept')} AS intercept, {r4('r2')} AS r2,
+  {r4('CASE WHEN sxx <> 0 THEN sqrt((syy - slope * sxy) / (n - 2) / sxx) END')} AS se_slope FROM g"""
+
+SQL["bin_pivot"] = FEATURE_CTES + f""",
+mm AS (SELECT min(asset_value) AS r0, max(asset_value) AS r1, min(career_value) AS c0, max(career_value) AS c1 FROM trimmed),
+b AS (
+  SELECT CASE WHEN r1 = r0 THEN 1 ELSE greatest(1, CAST(ceil((asset_value - r0) / (r1 - r0) * 100) AS INTEGER)) END AS row_bin,
+         CASE WHEN c1 = c0 THEN 1 ELSE greatest(1, CAST(ceil((career_value - c0) / (c1 - c0) * 100) AS INTEGER)) END AS col_bin,
+         stock_price, theoretical_price
+  FROM trimmed, mm WHERE asset_value IS NOT NULL AND career_value IS NOT NULL
+)
+SELECT row_bin, col_bin, count(*) AS n, {r4(_nn('avg(stock_price)'))} AS mean_stock_price,
+  {r4(_nn('avg(theoretical_price)'))} AS mean_theoretical_price
+FROM b GROUP BY 1, 2"""
+
+from ..operators.features import analysis_numeric_columns as _anc  # noqa: E402
+
+_NUMC = _anc()
+
+
+def _pct(expr):
+    return f"(avg(CASE WHEN {expr} THEN 1.0 ELSE 0.0 END) * 100)"
+
+
+_PROFILE_UNION = "\nUNION ALL\n".join(
+    f"SELECT broad_industry, '{c}' AS \"column\", {_pct(f'{q(c)} = \'inf\'::DOUBLE')} AS inf_pct, "
+    f"{_pct(f'{q(c)} = \'-inf\'::DOUBLE')} AS neginf_pct, {_pct(f'({q(c)} IS NULL OR isnan({q(c)}))')} AS nan_pct "
+    f"FROM feat GROUP BY broad_industry" for c in _NUMC)
+SQL["inf_missing_profile"] = FEATURE_CTES + f""",
+prof AS ({_PROFILE_UNION})
+SELECT broad_industry, "column", {r4('inf_pct')} AS inf_pct, {r4('neginf_pct')} AS neginf_pct, {r4('nan_pct')} AS nan_pct
+FROM prof WHERE inf_pct + neginf_pct + nan_pct > 0"""
+
+_MISS_UNION = "\nUNION ALL\n".join(
+    f"SELECT broad_industry, '{c}' AS \"column\", "
+    f"{_pct(f'({q(c)} IS NULL OR isnan({q(c)}) OR isinf({q(c)}))')} AS missing_pct FROM feat GROUP BY broad_industry"
+    for c in _NUMC)
+SQL["missing_ratio"] = FEATURE_CTES + f""",
+mr AS ({_MISS_UNION})
+SELECT broad_industry, "column", {r4('missing_pct')} AS missing_pct FROM mr"""
+
+_IMP = _CF + ["theoretical_price", "stock_price"]
+_finite = lambda x: f"(CASE WHEN isinf({x}) OR isnan({x}) THEN NULL ELSE {x} END)"
+SQL["median_impute"] = FEATURE_CTES + f""",
+med AS (SELECT broad_industry,
+  {", ".join(f"quantile_cont({_finite(q(c))}, 0.5) AS {q('m_' + c)}" for c in _IMP)}
+  FROM feat GROUP BY broad_industry)
+SELECT ticker, fy,
+  {", ".join(f"{r4(f'coalesce({_finite(q(c))}, med.{q(chr(109) + chr(95) + c)})')} AS {q(c)}" for c in _IMP)}
+FROM feat LEFT JOIN med USING (broad_industry)"""
+
+SQL["factor_long"] = FEATURE_CTES + f""",
+lc AS (SELECT *, CASE WHEN 1 + coalesce(market_cap, 0.0) > 0 THEN ln(1 + coalesce(market_cap, 0.0)) END AS lcap FROM feat),
+sz AS (SELECT min(lcap) AS lo, max(lcap) AS hi FROM lc),
+f2 AS (SELECT lc.*, 40.0 * (lcap - lo) / (hi - lo + 1e-9) + 5.0 AS norm_size FROM lc, sz),
+lng AS (SELECT * FROM (UNPIVOT (SELECT ticker, fy, broad_industry, stock_price, norm_size, {_UNPIV} FROM f2)
+        ON {_UNPIV} INTO NAME factor VALUE x))
+SELECT ticker, fy, broad_industry, factor, {r4('x')} AS x, {r4('stock_price')} AS stock_price,
+  {r4('norm_size')} AS norm_size
+FROM lng WHERE x IS NOT NULL AND stock_price IS NOT NULL"""
+
+SQL["top_k_cap"] = FEATURE_CTES + f"""
+SELECT ticker, {r4('mean_market_cap', 2)} AS mean_market_cap FROM (
+  SELECT ticker, avg(market_cap) AS mean_market_cap FROM feat GROUP BY ticker) t
+WHERE mean_market_cap IS NOT NULL
+ORDER BY mean_market_cap DESC, ticker LIMIT 20"""
+
+SQL["residual"] = FEATURE_CTES + f"""
+SELECT ticker, fy, {r4(_nn('stock_price - theoretical_price'))} AS model_error FROM trimmed"""

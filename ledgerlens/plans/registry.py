@@ -21,6 +21,23 @@ QUERIES = {
     "route_less": checks.route_less,                    # Q6
     "audit_merge": checks.audit_merge,                  # Q7, J11
     "run_stats": checks.run_stats,                      # A14, U1
+    "ratio_score": checks.ratio_score_check,            # X1-X3
+    "per_share_log": checks.per_share_log,              # X4, X5, F9
+    "small_fold": checks.small_fold_check,              # A1, A2, W5
+    "quantile_trim": checks.quantile_trim,              # F11, A6
+    "industry_year_means": checks.industry_year_means,  # A3
+    "corr_overall": checks.corr_overall,                # A4, F16
+    "corr_by_group": checks.corr_by_group,              # A5, F12, F13
+    "r2_overall": checks.r2_overall,                    # A8
+    "r2_by_year": checks.r2_by_year,                    # A8, X8
+    "trend_line": checks.trend_line,                    # A9
+    "bin_pivot": checks.bin_pivot,                      # A10
+    "inf_missing_profile": checks.inf_missing_profile,  # A11
+    "missing_ratio": checks.missing_ratio,              # A12
+    "median_impute": checks.median_impute,              # A13
+    "factor_long": checks.factor_long,                  # A15, X6
+    "top_k_cap": checks.top_k_cap,                      # O2
+    "residual": checks.residual,                        # X7
 }
 
 ORACLE = dict(SQL)
