@@ -235,3 +235,93 @@ def top_k_cap(spark, sf_dir):
 def residual(spark, sf_dir):
     from ..operators.features import with_residual
     return rounded(with_residual(trimmed(spark, sf_dir)).select("ticker", "fy", "model_error"))
+
+
+# ---- filings: filters, dedupe, eligibility, concept resolution ------------------------
+
+def _facts_ctx(spark, sf_dir):
+    from ..operators import filters as fl
+    from ..operators.resolve import concept_table
+    s = standin
+    facts = s.raw_facts(spark, sf_dir)
+    annual = fl.annual_facts(facts, start=s.STANDIN_START)
+    latest = fl.keep_latest(annual)
+    elig = fl.eligibility(facts, s.STANDIN_ANCHOR, s.STANDIN_START, s.STANDIN_END, 7)
+    ok = elig.filter("eligible").select("cik")
+    template = latest.filter(F.col("tag") == s.STANDIN_ANCHOR).join(ok, "cik", "left_semi") \
+        .select("cik", "fy", "fp", "filed", "end")
+    values = latest.join(ok, "cik", "left_semi")
+    concepts = concept_table(spark, s.STANDIN_CONCEPTS, s.STANDIN_ADDITIVE)
+    return dict(facts=facts, annual=annual, latest=latest, elig=elig, ok=ok, template=template,
+                values=values, concepts=concepts)
+
+
+def form_filter(spark, sf_dir):
+    from ..operators.filters import annual_form, study_window
+    f = standin.raw_facts(spark, sf_dir)
+    return f.filter(annual_form() & study_window("fy", standin.STANDIN_START)).groupBy("cik", "tag").agg(
+        F.count(F.lit(1)).alias("n"))
+
+
+def duration_filter(spark, sf_dir):
+    return _facts_ctx(spark, sf_dir)["annual"].groupBy("cik", "tag").agg(F.count(F.lit(1)).alias("n"))
+
+
+def namespace_rank(spark, sf_dir):
+    from ..operators.filters import namespace_choice
+    return namespace_choice(standin.raw_facts(spark, sf_dir), standin.STANDIN_ANCHOR)
+
+
+def dedupe_latest(spark, sf_dir):
+    lt = _facts_ctx(spark, sf_dir)["latest"]
+    return rounded(lt.select("cik", "tag", "fy", "fp", F.col("end").cast("string").alias("end"),
+                             F.col("filed").cast("string").alias("filed"), "val"))
+
+
+def eligibility_check(spark, sf_dir):
+    return _facts_ctx(spark, sf_dir)["elig"]
+
+
+def fallback_fill(spark, sf_dir):
+    from ..operators.resolve import resolve_concepts
+    c = _facts_ctx(spark, sf_dir)
+    r = resolve_concepts(c["template"], c["values"], c["concepts"])
+    # nullable integers change dtype in pandas round-trips; -1 marks "additive only"
+    return rounded(r.select("cik", "concept", "fy", "val",
+                            F.coalesce(F.col("src_rank"), F.lit(-1)).alias("src_rank")))
+
+
+def provenance_check(spark, sf_dir):
+    from ..operators.resolve import provenance, resolve_concepts
+    c = _facts_ctx(spark, sf_dir)
+    r = resolve_concepts(c["template"], c["values"], c["concepts"])
+    return provenance(c["values"], r, c["concepts"])
+
+
+def tag_inventory_check(spark, sf_dir):
+    from ..operators.filters import namespace_choice
+    from ..operators.resolve import tag_inventory
+    f = standin.raw_facts(spark, sf_dir)
+    inv = tag_inventory(f, namespace_choice(f, standin.STANDIN_ANCHOR))
+    return inv.select("cik", F.array_join("tags", ",").alias("tags"))
+
+
+def _missing(spark, sf_dir):
+    from ..operators.resolve import missing_required
+    c = _facts_ctx(spark, sf_dir)
+    avail = c["values"].filter(F.col("val").isNotNull()).join(F.broadcast(c["concepts"]), "tag") \
+        .select("cik", "concept").distinct()
+    required = {k: v[0] for k, v in standin.STANDIN_CONCEPTS.items()}
+    return c, missing_required(avail, c["ok"], required)
+
+
+def required_tags(spark, sf_dir):
+    return _missing(spark, sf_dir)[1]
+
+
+def tag_suggest(spark, sf_dir):
+    from ..constants import SUGGEST_IGNORE_WORDS
+    from ..operators.resolve import tag_inventory, tag_suggestions
+    c, miss = _missing(spark, sf_dir)
+    s = tag_suggestions(miss, tag_inventory(c["facts"]), SUGGEST_IGNORE_WORDS)
+    return s.select("cik", "missing_tag", F.array_join("suggestions", ",").alias("suggestions"))

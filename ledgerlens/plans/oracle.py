@@ -306,3 +306,160 @@ ORDER BY mean_market_cap DESC, ticker LIMIT 20"""
 
 SQL["residual"] = FEATURE_CTES + f"""
 SELECT ticker, fy, {r4(_nn('stock_price - theoretical_price'))} AS model_error FROM trimmed"""
+
+
+# ---- filings: filters, dedupe, eligibility, concept resolution ------------------------
+from ..constants import SUGGEST_IGNORE_WORDS  # noqa: E402
+from ..sources.standin import (STANDIN_ADDITIVE, STANDIN_ANCHOR, STANDIN_CONCEPTS,  # noqa: E402
+                               STANDIN_END, STANDIN_START)
+
+
+def _concept_values():
+    rows = []
+    for c, tags in STANDIN_CONCEPTS.items():
+        for i, t in enumerate(tags):
+            rows.append(f"('{c}', '{t}', {i}, 'fill')")
+    for c, t in STANDIN_ADDITIVE.items():
+        rows.append(f"('{c}', '{t}', {len(STANDIN_CONCEPTS.get(c, []))}, 'add')")
+    return ", ".join(rows)
+
+
+FACTS_CTES = f"""WITH
+fl AS (
+  SELECT l_suppkey, CAST(year(o_orderdate) AS INTEGER) AS fy, month(o_orderdate) AS fm, o_orderdate, l_shipdate,
+         o_orderpriority, o_totalprice, l_extendedprice, l_returnflag, l_linestatus, l_quantity, l_discount
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+),
+filing AS (
+  SELECT l_suppkey, fy, fm, CAST(max(o_orderdate) AS DATE) AS "end", CAST(max(l_shipdate) AS DATE) AS filed,
+         min(o_orderpriority) AS prio, sum(o_totalprice / 7.0) AS assets
+  FROM fl GROUP BY 1, 2, 3
+),
+filing2 AS (
+  SELECT *, CASE prio WHEN '1-URGENT' THEN '10-K' WHEN '2-HIGH' THEN '10-K/A' WHEN '3-MEDIUM' THEN '20-F'
+                      WHEN '4-NOT SPECIFIED' THEN '10-Q' ELSE '10-KT' END AS form
+  FROM filing
+),
+per_tag AS (
+  SELECT l_suppkey, fy, fm,
+    (CASE l_returnflag WHEN 'A' THEN 'Accepted' WHEN 'N' THEN 'New' ELSE 'Returned' END)
+      || (CASE WHEN l_linestatus = 'F' THEN 'FulfilledRevenue' ELSE 'OpenLiabilities' END) AS tag,
+    l_linestatus, sum(l_extendedprice / 7.0) AS v, max(CASE WHEN l_quantity = 50 THEN 1 ELSE 0 END) AS hole,
+    max(l_discount) AS maxd
+  FROM fl GROUP BY 1, 2, 3, 4, 5
+),
+facts AS (
+  SELECT 'S' || CAST(p.l_suppkey AS VARCHAR) AS cik, 'us-gaap' AS ns, tag, 'USD' AS unit,
+    CASE WHEN l_linestatus = 'F' THEN CAST(f."end" - (CASE WHEN maxd >= 0.05 THEN 364 ELSE 91 END) AS DATE) END AS start,
+    f."end", CASE WHEN hole = 1 THEN NULL ELSE v END AS val, p.fy, 'FY' AS fp, form, filed
+  FROM per_tag p JOIN filing2 f ON p.l_suppkey = f.l_suppkey AND p.fy = f.fy AND p.fm = f.fm
+  UNION ALL
+  SELECT 'S' || CAST(l_suppkey AS VARCHAR), 'us-gaap', '{STANDIN_ANCHOR}', 'USD', NULL::DATE, "end", assets, fy, 'FY', form, filed
+  FROM filing2
+),
+has_start AS (SELECT cik, ns, tag, unit, bool_or(start IS NOT NULL) AS hs FROM facts GROUP BY ALL),
+annual AS (
+  SELECT f.* FROM facts f JOIN has_start USING (cik, ns, tag, unit)
+  WHERE regexp_full_match(form, '(10-K|20-F)(/A)?') AND fy >= {STANDIN_START}
+    AND (NOT hs OR date_diff('day', start, "end") >= 300)
+),
+latest AS (
+  SELECT * EXCLUDE (rn) FROM (
+    SELECT *, row_number() OVER (PARTITION BY cik, ns, tag, unit, fy, fp ORDER BY "end" DESC, filed DESC, val DESC NULLS LAST) AS rn
+    FROM annual) WHERE rn = 1
+),
+span AS (SELECT cik, min(fy) AS earliest_fy, max(fy) AS latest_fy FROM facts WHERE tag = '{STANDIN_ANCHOR}' GROUP BY cik),
+anc AS (
+  SELECT * FROM (
+    SELECT *, row_number() OVER (PARTITION BY cik, fy, fp ORDER BY "end" DESC, filed DESC, val DESC NULLS LAST) AS rn
+    FROM facts WHERE tag = '{STANDIN_ANCHOR}' AND regexp_full_match(form, '(10-K|20-F)(/A)?') AND fy >= {STANDIN_START})
+  WHERE rn = 1
+),
+cnt AS (SELECT cik, count(*) AS n FROM anc GROUP BY cik),
+elig AS (
+  SELECT cik, earliest_fy, latest_fy, coalesce(n, 0) AS n_annual,
+    coalesce(earliest_fy <= {STANDIN_START} AND latest_fy >= {STANDIN_END} AND coalesce(n, 0) >= 7, false) AS eligible
+  FROM span LEFT JOIN cnt USING (cik)
+),
+ok AS (SELECT cik FROM elig WHERE eligible),
+template AS (SELECT cik, fy, fp, filed, "end" FROM latest WHERE tag = '{STANDIN_ANCHOR}' AND cik IN (SELECT cik FROM ok)),
+vals AS (SELECT * FROM latest WHERE cik IN (SELECT cik FROM ok)),
+concepts(concept, tag, rank, mode) AS (VALUES {_concept_values()}),
+m AS (
+  SELECT v.cik, c.concept, v.fy, v.fp, v.filed, v."end", v.tag, c.rank, c.mode, v.val
+  FROM vals v JOIN concepts c USING (tag) JOIN template t USING (cik, fy, fp, filed, "end")
+  WHERE v.val IS NOT NULL
+),
+fill AS (
+  SELECT cik, concept, fy, fp, filed, "end", arg_min(val, rank) AS fill_val, min(rank) AS src_rank
+  FROM m WHERE mode = 'fill' GROUP BY ALL
+),
+n_t AS (SELECT cik, count(*) AS n_t FROM template GROUP BY cik),
+n_f AS (SELECT cik, concept, count(*) AS n_f FROM fill WHERE concept IN (SELECT concept FROM concepts WHERE mode = 'add') GROUP BY ALL),
+has_add AS (SELECT DISTINCT cik, concept FROM m WHERE mode = 'add'),
+reached AS (
+  SELECT h.cik, h.concept FROM has_add h JOIN n_t USING (cik) LEFT JOIN n_f USING (cik, concept)
+  WHERE coalesce(n_f, 0) < n_t
+),
+add_vals AS (SELECT cik, concept, fy, fp, filed, "end", sum(val) AS add_val FROM m WHERE mode = 'add' GROUP BY ALL),
+added AS (
+  SELECT t.cik, r.concept, t.fy, t.fp, t.filed, t."end",
+    coalesce(fill_val, 0.0) + coalesce(add_val, 0.0) AS val, src_rank, fill_val IS NULL AS by_add
+  FROM template t JOIN reached r USING (cik)
+  LEFT JOIN fill USING (cik, concept, fy, fp, filed, "end")
+  LEFT JOIN add_vals USING (cik, concept, fy, fp, filed, "end")
+),
+plain AS (
+  SELECT f.cik, f.concept, f.fy, f.fp, f.filed, f."end", f.fill_val AS val, f.src_rank, false AS by_add
+  FROM fill f WHERE NOT EXISTS (SELECT 1 FROM reached r WHERE r.cik = f.cik AND r.concept = f.concept)
+),
+resolved AS (SELECT * FROM plain UNION ALL SELECT * FROM added),
+avail AS (SELECT DISTINCT v.cik, c.concept, c.tag, c.rank FROM vals v JOIN concepts c USING (tag) WHERE v.val IS NOT NULL),
+yr AS (
+  SELECT cik, concept, src_rank AS rank, min(fy) AS y0, max(fy) AS y1 FROM resolved
+  WHERE src_rank IS NOT NULL AND NOT by_add GROUP BY ALL
+  UNION ALL
+  SELECT r.cik, r.concept, a.rank, min(r.fy), max(r.fy) FROM resolved r
+  JOIN (SELECT concept, rank FROM concepts WHERE mode = 'add') a USING (concept) WHERE r.by_add GROUP BY ALL
+),
+items AS (
+  SELECT a.cik, a.concept, a.rank, a.tag,
+    CASE WHEN y0 IS NULL THEN a.tag WHEN y0 = y1 THEN '[' || y0 || '] ' || a.tag
+         ELSE '[' || y0 || '-' || y1 || '] ' || a.tag END AS txt
+  FROM avail a LEFT JOIN yr USING (cik, concept, rank)
+),
+prov AS (
+  SELECT cik, concept, CASE WHEN count(*) = 1 THEN min(tag) ELSE string_agg(txt, ' + ' ORDER BY rank) END AS used_tag
+  FROM items GROUP BY ALL
+),
+required(concept, missing_tag) AS (VALUES {", ".join(f"('{c}', '{t[0]}')" for c, t in STANDIN_CONCEPTS.items())}),
+missing AS (
+  SELECT o.cik, r.concept, r.missing_tag FROM ok o, required r
+  WHERE NOT EXISTS (SELECT 1 FROM avail a WHERE a.cik = o.cik AND a.concept = r.concept)
+)"""
+
+SQL["form_filter"] = FACTS_CTES + f"""
+SELECT cik, tag, count(*) AS n FROM facts
+WHERE regexp_full_match(form, '(10-K|20-F)(/A)?') AND fy >= {STANDIN_START} GROUP BY cik, tag"""
+SQL["duration_filter"] = FACTS_CTES + "\nSELECT cik, tag, count(*) AS n FROM annual GROUP BY cik, tag"
+SQL["namespace_rank"] = FACTS_CTES + f"""
+SELECT cik, CASE min(CASE ns WHEN 'us-gaap' THEN 0 ELSE 1 END) WHEN 0 THEN 'us-gaap' ELSE 'ifrs-full' END AS ns
+FROM facts WHERE tag = '{STANDIN_ANCHOR}' AND ns IN ('us-gaap', 'ifrs-full') GROUP BY cik"""
+SQL["dedupe_latest"] = FACTS_CTES + f"""
+SELECT cik, tag, fy, fp, CAST("end" AS VARCHAR) AS "end", CAST(filed AS VARCHAR) AS filed, {r4('val')} AS val FROM latest"""
+SQL["eligibility"] = FACTS_CTES + "\nSELECT * FROM elig"
+SQL["fallback_fill"] = FACTS_CTES + f"\nSELECT cik, concept, fy, {r4('val')} AS val, coalesce(src_rank, -1) AS src_rank FROM resolved"
+SQL["provenance"] = FACTS_CTES + "\nSELECT cik, concept, used_tag FROM prov"
+SQL["tag_inventory"] = FACTS_CTES + """
+SELECT cik, array_to_string(list_sort(list(DISTINCT tag)), ',') AS tags FROM facts WHERE ns = 'us-gaap' GROUP BY cik"""
+SQL["required_tags"] = FACTS_CTES + "\nSELECT cik, concept, missing_tag FROM missing"
+_IGN = ", ".join(f"'{w}'" for w in SUGGEST_IGNORE_WORDS)
+SQL["tag_suggest"] = FACTS_CTES + f""",
+sw AS (SELECT cik, missing_tag, unnest(regexp_extract_all(missing_tag, '([A-Z][a-z]*)', 1)) AS word FROM missing),
+sw2 AS (SELECT * FROM sw WHERE word NOT IN ({_IGN})),
+inv AS (SELECT DISTINCT cik, tag FROM facts),
+hits AS (SELECT DISTINCT s.cik, s.missing_tag, i.tag FROM sw2 s JOIN inv i ON s.cik = i.cik AND contains(i.tag, s.word))
+SELECT m.cik, m.missing_tag,
+  coalesce((SELECT array_to_string(list_sort(list(h.tag)), ',') FROM hits h
+            WHERE h.cik = m.cik AND h.missing_tag = m.missing_tag), '') AS suggestions
+FROM missing m"""

@@ -38,6 +38,16 @@ QUERIES = {
     "factor_long": checks.factor_long,                  # A15, X6
     "top_k_cap": checks.top_k_cap,                      # O2
     "residual": checks.residual,                        # X7
+    "form_filter": checks.form_filter,                  # F1, F2
+    "duration_filter": checks.duration_filter,          # F3
+    "namespace_rank": checks.namespace_rank,            # F4
+    "dedupe_latest": checks.dedupe_latest,              # F5, W1
+    "eligibility": checks.eligibility_check,            # F6
+    "fallback_fill": checks.fallback_fill,              # K1, K2, J1
+    "provenance": checks.provenance_check,              # K3
+    "tag_inventory": checks.tag_inventory_check,        # S10
+    "required_tags": checks.required_tags,              # K10
+    "tag_suggest": checks.tag_suggest,                  # K11
 }
 
 ORACLE = dict(SQL)

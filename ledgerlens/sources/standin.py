@@ -35,7 +35,7 @@ def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_orderkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
         "l_returnflag", "l_linestatus", "l_shipdate")
     od = table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_totalprice", "o_orderdate", "o_orderstatus")
+        "o_orderkey", "o_totalprice", "o_orderdate", "o_orderstatus", "o_orderpriority")
     return li.join(od, li.l_orderkey == od.o_orderkey)
 
 
@@ -183,3 +183,60 @@ def event_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = table(spark, sf_dir, "events")
     return (ev.filter(F.col("event_type") == "error")
             .select(F.col("event_id").alias("anchor_id"), F.col("user_id").alias("key"), "ts"))
+
+
+# Stand-in concept table: (concept -> tags in preference order), additive tag,
+# and a tag no company reports (drives the required-tag and suggestion checks).
+STANDIN_CONCEPTS = {
+    "revenue": ["NewFulfilledRevenue", "ReturnedFulfilledRevenue", "AcceptedFulfilledRevenue"],
+    "liabilities": ["NewOpenLiabilities", "ReturnedOpenLiabilities"],
+    "deferred": ["ReturnedFulfilledRevenueNet"],
+}
+STANDIN_ADDITIVE = {"revenue": "AcceptedOpenLiabilities"}
+STANDIN_ANCHOR = "Assets"
+STANDIN_START, STANDIN_END = 1995, 2001
+
+
+def raw_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Long facts in the filings schema (cik, ns, tag, unit, start, end, val, fy, fp, form, filed).
+
+    A *filing* is one supplier-month of orders: period end = last order date of
+    the month, filed = last ship date, form from the most urgent order priority
+    (10-K, 10-K/A, 20-F pass the annual filter; 10-Q and 10-KT do not). Each
+    filing reports the anchor ``Assets`` (instant) and one value per
+    returnflag/linestatus tag; 'Fulfilled' tags are durations whose start lies
+    364 or 91 days before the end, so the annual-duration filter matters.
+    """
+    col = F.col
+    lines = _lines(spark, sf_dir)
+    lines = lines.withColumns({"fy": F.year("o_orderdate"), "fm": F.month("o_orderdate")})
+    fkey = ["l_suppkey", "fy", "fm"]
+    filing = lines.groupBy(*fkey).agg(
+        F.max("o_orderdate").cast("date").alias("end"),
+        F.max("l_shipdate").cast("date").alias("filed"),
+        F.min("o_orderpriority").alias("prio"),
+        F.sum(col("o_totalprice") / 7.0).alias("assets"))
+    form = (F.when(col("prio") == "1-URGENT", "10-K").when(col("prio") == "2-HIGH", "10-K/A")
+            .when(col("prio") == "3-MEDIUM", "20-F").when(col("prio") == "4-NOT SPECIFIED", "10-Q")
+            .otherwise("10-KT"))
+    filing = filing.withColumn("form", form)
+    tag = F.concat(
+        F.when(col("l_returnflag") == "A", "Accepted").when(col("l_returnflag") == "N", "New").otherwise("Returned"),
+        F.when(col("l_linestatus") == "F", "FulfilledRevenue").otherwise("OpenLiabilities"))
+    per_tag = lines.groupBy(*fkey, tag.alias("tag"), col("l_linestatus")).agg(
+        F.sum(col("l_extendedprice") / 7.0).alias("v"),
+        F.max((col("l_quantity") == 50).cast("int")).alias("hole"),
+        F.max("l_discount").alias("maxd"))
+    tv = per_tag.join(filing, fkey).select(
+        F.concat(F.lit("S"), col("l_suppkey").cast("string")).alias("cik"),
+        F.lit("us-gaap").alias("ns"), "tag", F.lit("USD").alias("unit"),
+        F.when(col("l_linestatus") == "F",
+               F.date_sub(col("end"), F.when(col("maxd") >= 0.05, F.lit(364)).otherwise(F.lit(91)))).alias("start"),
+        "end", F.when(col("hole") == 1, F.lit(None).cast("double")).otherwise(col("v")).alias("val"),
+        col("fy").cast("int").alias("fy"), F.lit("FY").alias("fp"), "form", "filed")
+    anchor = filing.select(
+        F.concat(F.lit("S"), col("l_suppkey").cast("string")).alias("cik"),
+        F.lit("us-gaap").alias("ns"), F.lit(STANDIN_ANCHOR).alias("tag"), F.lit("USD").alias("unit"),
+        F.lit(None).cast("date").alias("start"), "end", col("assets").alias("val"),
+        col("fy").cast("int").alias("fy"), F.lit("FY").alias("fp"), "form", "filed")
+    return tv.unionByName(anchor)
