@@ -325,3 +325,12 @@ def tag_suggest(spark, sf_dir):
     c, miss = _missing(spark, sf_dir)
     s = tag_suggestions(miss, tag_inventory(c["facts"]), SUGGEST_IGNORE_WORDS)
     return s.select("cik", "missing_tag", F.array_join("suggestions", ",").alias("suggestions"))
+
+
+# ---- prices: forward event-window as-of join -----------------------------------------------
+
+def event_window_price(spark, sf_dir):
+    from ..operators.asof import forward_window_mean
+    a = standin.event_anchors(spark, sf_dir)
+    p = standin.event_prices(spark, sf_dir)
+    return rounded(forward_window_mean(a, p, n=5, bucket="day").select("anchor_id", "mean_next", "n_used"))

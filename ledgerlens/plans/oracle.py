@@ -463,3 +463,16 @@ SELECT m.cik, m.missing_tag,
   coalesce((SELECT array_to_string(list_sort(list(h.tag)), ',') FROM hits h
             WHERE h.cik = m.cik AND h.missing_tag = m.missing_tag), '') AS suggestions
 FROM missing m"""
+
+
+# ---- prices: forward event-window as-of join (range-join form as the oracle) ---------------
+SQL["event_window_price"] = f"""
+WITH p AS (
+  SELECT user_id AS k, ts, value AS close, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rk
+  FROM events WHERE event_type = 'view'
+),
+a AS (SELECT event_id AS anchor_id, user_id AS k, ts FROM events WHERE event_type = 'error'),
+nx AS (SELECT a.anchor_id, a.k, min(p.rk) AS r0 FROM a LEFT JOIN p ON p.k = a.k AND p.ts >= a.ts GROUP BY a.anchor_id, a.k)
+SELECT nx.anchor_id, {r4('avg(p.close)')} AS mean_next, count(p.close) AS n_used
+FROM nx LEFT JOIN p ON p.k = nx.k AND p.rk BETWEEN nx.r0 AND nx.r0 + 4
+GROUP BY nx.anchor_id"""

@@ -48,6 +48,7 @@ QUERIES = {
     "tag_inventory": checks.tag_inventory_check,        # S10
     "required_tags": checks.required_tags,              # K10
     "tag_suggest": checks.tag_suggest,                  # K11
+    "event_window_price": checks.event_window_price,    # J7, W3
 }
 
 ORACLE = dict(SQL)
