@@ -74,12 +74,14 @@ def resolve_concepts(template: DataFrame, values: DataFrame, concepts: DataFrame
     return plain.unionByName(added)
 
 
-def provenance(values: DataFrame, resolved: DataFrame, concepts: DataFrame, keys=TEMPLATE_KEYS) -> DataFrame:
+def provenance(values: DataFrame, resolved: DataFrame, concepts: DataFrame, keys=TEMPLATE_KEYS,
+               available: DataFrame | None = None) -> DataFrame:
     """K3: per (cik, concept) text of the available tags in rank order, each
     prefixed with the fiscal-year range it filled ('[2019-2021] Tag'); a single
     available tag is named bare; no tag -> 'none'."""
-    avail = (values.filter(F.col("val").isNotNull()).join(F.broadcast(concepts), "tag")
-             .select("cik", "concept", "tag", "rank").distinct())
+    avail = available if available is not None else (
+        values.filter(F.col("val").isNotNull()).join(F.broadcast(concepts), "tag")
+        .select("cik", "concept", "tag", "rank").distinct())
     fill_years = (resolved.filter(F.col("src_rank").isNotNull() & ~F.coalesce(F.col("_by_add"), F.lit(False)))
                   .groupBy("cik", "concept", F.col("src_rank").alias("rank"))
                   .agg(F.min("fy").alias("y0"), F.max("fy").alias("y1")))

@@ -62,3 +62,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
         d = tempfile.mkdtemp(prefix="ledgerlens-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.sparkContext.setCheckpointDir(d)
     return d
+
+
+def cut(df):
+    """Materialise a stage and cut its lineage (reliable checkpoint in the
+    shared ``spark.checkpoint.dir``): later stages re-read it instead of
+    re-parsing sources, and a lost executor does not replay the whole plan."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
