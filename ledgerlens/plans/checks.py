@@ -334,3 +334,127 @@ def event_window_price(spark, sf_dir):
     a = standin.event_anchors(spark, sf_dir)
     p = standin.event_prices(spark, sf_dir)
     return rounded(forward_window_mean(a, p, n=5, bucket="day").select("anchor_id", "mean_next", "n_used"))
+
+
+# ---- per-industry model search ---------------------------------------------------------------
+# Stand-in split (FIXTURES): the seven order years 1995-2001, train <= 1999, test >= 2000.
+STANDIN_TRAIN_LAST, STANDIN_TEST_FIRST = 1999, 2000
+_SEARCH_CACHE: dict = {}
+
+
+def _search(spark, sf_dir, families):
+    """Fit once per (data dir, family set) in this process; results are small
+    driver-side lists, so reuse across registered keys is cheap."""
+    from . import models as M
+    key = (sf_dir, tuple(families))
+    if key not in _SEARCH_CACHE:
+        f = features(spark, sf_dir)
+        res, best_fam, best, plan, coefs = M.search(f, families, train_last=STANDIN_TRAIN_LAST,
+                                                    test_first=STANDIN_TEST_FIRST)
+        _SEARCH_CACHE[key] = (res, best_fam, best, plan, coefs)
+    return _SEARCH_CACHE[key]
+
+
+def time_split(spark, sf_dir):
+    from ..constants import OTHER_GROUP
+    f = features(spark, sf_dir).filter(F.col("broad_industry") != OTHER_GROUP)
+    return f.groupBy("broad_industry").agg(
+        F.sum((F.col("fy") <= STANDIN_TRAIN_LAST).cast("int")).cast("long").alias("n_train"),
+        F.sum((F.col("fy") >= STANDIN_TEST_FIRST).cast("int")).cast("long").alias("n_test"),
+        F.countDistinct("ticker").alias("n_companies"))
+
+
+def scaled_train(spark, sf_dir):
+    """M3 inputs: train mean / population std of each median-imputed candidate factor."""
+    from ..constants import OTHER_GROUP
+    from ..operators.features import correlation_factors
+    from ..operators.stats import impute_medians
+    cand = [c for c in correlation_factors()]
+    f = features(spark, sf_dir).filter(F.col("broad_industry") != OTHER_GROUP)
+    imp = impute_medians(f, cand).filter(F.col("fy") <= STANDIN_TRAIN_LAST)
+    g = imp.groupBy("broad_industry").agg(*[x for i, c in enumerate(cand) for x in (
+        F.avg(bq(c)).alias(f"m{i}"), F.stddev_pop(bq(c)).alias(f"s{i}"))])
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(f"m{i}").alias("mean"),
+                                         F.col(f"s{i}").alias("std")) for i, c in enumerate(cand)]))
+    return rounded(g.select("broad_industry", pairs.alias("p")).select("broad_industry", "p.*"))
+
+
+def _family_rows(spark, sf_dir, fam):
+    from . import models as M
+    res = _search(spark, sf_dir, (fam,))[0]
+    return rounded(M.results_frame(spark, res))
+
+
+def ols_prefix_r2(spark, sf_dir):
+    return _family_rows(spark, sf_dir, "Linear Regression")
+
+
+def ridge_prefix_r2(spark, sf_dir):
+    return _family_rows(spark, sf_dir, "Ridge Regression")
+
+
+def kernel_search(spark, sf_dir):
+    return _family_rows(spark, sf_dir, "SVR")
+
+
+def tree_search(spark, sf_dir):
+    return _family_rows(spark, sf_dir, "Decision Tree")
+
+
+def forest_search(spark, sf_dir):
+    return _family_rows(spark, sf_dir, "Random Forest")
+
+
+def boost_search(spark, sf_dir):
+    return _family_rows(spark, sf_dir, "XGBoost")
+
+
+def _full(spark, sf_dir):
+    from ..constants import MODEL_FAMILIES
+    return _search(spark, sf_dir, tuple(MODEL_FAMILIES))
+
+
+def model_summary(spark, sf_dir):
+    from . import models as M
+    res, best_fam, best, plan, coefs = _full(spark, sf_dir)
+    return rounded(M.summary_frame(spark, best, plan))
+
+
+def family_comparison(spark, sf_dir):
+    """Best ratio / R^2 per (industry, family)."""
+    res, best_fam, best, plan, coefs = _full(spark, sf_dir)
+    rows = [(i, f, float(v[0]), int(v[1]), float(v[3])) for (i, f), v in sorted(best_fam.items())]
+    return rounded(spark.createDataFrame(rows, "broad_industry string, family string, ratio double, "
+                                               "n_features int, r2 double"))
+
+
+def actual_vs_predicted(spark, sf_dir):
+    """Test rows scored by their industry's winning model."""
+    from . import models as M
+    res, best_fam, best, plan, coefs = _full(spark, sf_dir)
+    test = plan.data.filter(F.col("split") == "test")
+    p = M.predict_best(plan, best, coefs, test)
+    return rounded(p.select("broad_industry", "ticker", "fy", "stock_price", "prediction"))
+
+
+def case_study(spark, sf_dir):
+    """One seeded test-set company per industry, all its years scored."""
+    from . import models as M
+    res, best_fam, best, plan, coefs = _full(spark, sf_dir)
+    picks = None
+    for ind in sorted(best):
+        t = M.case_study_ticker(plan, ind).withColumn("broad_industry", F.lit(ind))
+        picks = t if picks is None else picks.unionByName(t)
+    rows = plan.data.join(picks, ["broad_industry", "ticker"], "left_semi")
+    p = M.predict_best(plan, best, coefs, rows)
+    return rounded(p.select("broad_industry", "ticker", "fy", "stock_price", "prediction"))
+
+
+def top_cap_scores(spark, sf_dir):
+    """Global top-20 companies by mean market cap, scored by their industry's model."""
+    from . import models as M
+    res, best_fam, best, plan, coefs = _full(spark, sf_dir)
+    top = M.top_cap_members(features(spark, sf_dir))
+    rows = plan.data.join(top, "ticker", "left_semi")
+    p = M.predict_best(plan, best, coefs, rows)
+    return rounded(p.select("broad_industry", "ticker", "fy", "stock_price", "prediction"))

@@ -476,3 +476,23 @@ nx AS (SELECT a.anchor_id, a.k, min(p.rk) AS r0 FROM a LEFT JOIN p ON p.k = a.k
 SELECT nx.anchor_id, {r4('avg(p.close)')} AS mean_next, count(p.close) AS n_used
 FROM nx LEFT JOIN p ON p.k = nx.k AND p.rk BETWEEN nx.r0 AND nx.r0 + 4
 GROUP BY nx.anchor_id"""
+
+
+# ---- model search inputs ---------------------------------------------------------------------
+SQL["time_split"] = FEATURE_CTES + """
+SELECT broad_industry, CAST(sum(CASE WHEN fy <= 1999 THEN 1 ELSE 0 END) AS BIGINT) AS n_train,
+  CAST(sum(CASE WHEN fy >= 2000 THEN 1 ELSE 0 END) AS BIGINT) AS n_test, count(DISTINCT ticker) AS n_companies
+FROM feat WHERE broad_industry <> 'Other/Unclassified' GROUP BY broad_industry"""
+
+_f2 = lambda x: f"(CASE WHEN isinf({x}) OR isnan({x}) THEN NULL ELSE {x} END)"
+SQL["scaled_train"] = FEATURE_CTES + f""",
+fo AS (SELECT * FROM feat WHERE broad_industry <> 'Other/Unclassified'),
+med AS (SELECT broad_industry,
+  {", ".join(f"quantile_cont({_f2(q(c))}, 0.5) AS {q('m_' + c)}" for c in _CF)}
+  FROM fo GROUP BY broad_industry),
+imp AS (SELECT fo.broad_industry, fo.fy,
+  {", ".join(f"coalesce({_f2('fo.' + q(c))}, med.{q('m_' + c)}) AS {q(c)}" for c in _CF)}
+  FROM fo LEFT JOIN med USING (broad_industry)),
+lng AS (SELECT broad_industry, feature, v FROM (UNPIVOT (SELECT * FROM imp WHERE fy <= 1999)
+        ON {_UNPIV} INTO NAME feature VALUE v))
+SELECT broad_industry, feature, {r4('avg(v)')} AS mean, {r4('stddev_pop(v)')} AS std FROM lng GROUP BY 1, 2"""

@@ -49,6 +49,19 @@ QUERIES = {
     "required_tags": checks.required_tags,              # K10
     "tag_suggest": checks.tag_suggest,                  # K11
     "event_window_price": checks.event_window_price,    # J7, W3
+    "time_split": checks.time_split,                    # F14
+    "scaled_train": checks.scaled_train,                # M1, M3, A13
+    "ols_prefix_r2": checks.ols_prefix_r2,              # M2, M4, M10, M11, O4 (rows-only)
+    "ridge_prefix_r2": checks.ridge_prefix_r2,          # M5 (rows-only)
+    "kernel_search": checks.kernel_search,              # M8 (rows-only)
+    "tree_search": checks.tree_search,                  # M6 (rows-only)
+    "forest_search": checks.forest_search,              # M7 (rows-only)
+    "boost_search": checks.boost_search,                # M9 (rows-only)
+    "model_summary": checks.model_summary,              # M12, M18, S12 (rows-only)
+    "family_comparison": checks.family_comparison,      # M14 (rows-only)
+    "actual_vs_predicted": checks.actual_vs_predicted,  # M15 (rows-only)
+    "case_study": checks.case_study,                    # M16, O5, O6 (rows-only)
+    "top_cap_scores": checks.top_cap_scores,            # M17, J12 (rows-only)
 }
 
 ORACLE = dict(SQL)
