@@ -81,15 +81,19 @@ def industry_year_means(df: DataFrame, group: str = "broad_industry") -> DataFra
 def corr_with(df: DataFrame, factors, target: str = "stock_price", groups=()) -> DataFrame:
     """Pairwise-complete Pearson correlation of each factor with ``target``.
 
-    One aggregation computes every factor's moments (partial aggregation), then
-    the wide row(s) are unpivoted to (groups..., factor, corr).
+    Long form: every row is unpivoted to (groups..., factor, x, y) inside the
+    scan stage and aggregated by (groups..., factor); partial aggregation
+    combines map-side, so the shuffle carries one small buffer per
+    (partition, group, factor) and each aggregate stays a handful of
+    expressions (compact generated code instead of one 35-way wide row).
     """
-    aggs = [safe_corr(bq(f), bq(target)).alias(f"c{i}") for i, f in enumerate(factors)]
-    aggs.append(F.count(F.lit(1)).alias("_n"))
-    g = df.groupBy(*groups).agg(*aggs)
-    pairs = F.explode(F.array(*[F.struct(F.lit(f).alias("factor"), F.col(f"c{i}").alias("corr"))
-                                for i, f in enumerate(factors)]))
-    return g.select(*groups, "_n", pairs.alias("p")).select(*groups, "_n", "p.factor", "p.corr")
+    groups = list(groups)
+    pairs = _stack(factors, "x", "factor")
+    long = df.select(*groups, bq(target).cast("double").alias("_y"), pairs.alias("s")).select(
+        *groups, "s.factor", "s.x", "_y")
+    n = df.groupBy(*groups).agg(F.count(F.lit(1)).alias("_n"))
+    c = long.groupBy(*groups, "factor").agg(safe_corr(F.col("x"), F.col("_y")).alias("corr"))
+    return c.join(n, groups) if groups else c.withColumn("_n", F.lit(None).cast("long"))
 
 
 def corr_overall(df: DataFrame, factors, target: str = "stock_price") -> DataFrame:
@@ -166,20 +170,15 @@ def bin_pivot(df: DataFrame, row: str = "asset_value", col: str = "career_value"
 # ---- A11 / A12 / M1 / A13: missing-value profile and imputation ----------------------------
 
 def missing_profile(df: DataFrame, cols, group: str = "broad_industry") -> DataFrame:
-    """% of +inf, -inf and missing per column per group (rows with any > 0)."""
-    aggs = []
-    for i, c in enumerate(cols):
-        x = bq(c)
-        aggs += [F.avg(is_pos_inf(x).cast("double")).alias(f"pi{i}"),
-                 F.avg(is_neg_inf(x).cast("double")).alias(f"ni{i}"),
-                 F.avg((x.isNull() | F.isnan(x)).cast("double")).alias(f"na{i}")]
-    g = df.groupBy(group).agg(*aggs)
-    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("column"),
-                                         (F.col(f"pi{i}") * 100).alias("inf_pct"),
-                                         (F.col(f"ni{i}") * 100).alias("neginf_pct"),
-                                         (F.col(f"na{i}") * 100).alias("nan_pct"))
-                                for i, c in enumerate(cols)]))
-    out = g.select(group, pairs.alias("p")).select(group, "p.*")
+    """% of +inf, -inf and missing per column per group (rows with any > 0).
+
+    Long form (explode -> grouped aggregate), partial aggregation map-side."""
+    long = df.select(group, _stack(cols, "x", "column").alias("s")).select(group, "s.column", "s.x")
+    x = F.col("x")
+    out = long.groupBy(group, "column").agg(
+        (F.avg(is_pos_inf(x).cast("double")) * 100).alias("inf_pct"),
+        (F.avg(is_neg_inf(x).cast("double")) * 100).alias("neginf_pct"),
+        (F.avg((x.isNull() | F.isnan(x)).cast("double")) * 100).alias("nan_pct"))
     return out.filter((F.col("inf_pct") + F.col("neginf_pct") + F.col("nan_pct")) > 0)
 
 
@@ -190,12 +189,10 @@ def top_missing(profile: DataFrame, k: int = 10, group: str = "broad_industry")
 
 
 def missing_ratio(df: DataFrame, cols, group: str = "broad_industry") -> DataFrame:
-    """% missing per column per group after inf -> missing."""
-    aggs = [F.avg(finite_or_null(bq(c)).isNull().cast("double")).alias(f"m{i}") for i, c in enumerate(cols)]
-    g = df.groupBy(group).agg(*aggs)
-    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), (F.col(f"m{i}") * 100).alias("missing_pct"))
-                                for i, c in enumerate(cols)]))
-    return g.select(group, pairs.alias("p")).select(group, "p.*")
+    """% missing per column per group after inf -> missing (long form)."""
+    long = df.select(group, _stack(cols, "x", "column").alias("s")).select(group, "s.column", "s.x")
+    return long.groupBy(group, "column").agg(
+        (F.avg(finite_or_null(F.col("x")).isNull().cast("double")) * 100).alias("missing_pct"))
 
 
 def group_medians(df: DataFrame, cols, group: str = "broad_industry") -> DataFrame:

@@ -77,7 +77,9 @@ def industry_totals(spark, sf_dir):
 
 def _cleanup(spark, sf_dir):
     from ..operators.repair import cleanup
-    return cleanup(valued_panel(spark, sf_dir, 1))
+    from ..session import cut
+    # stage boundary: the valued panel feeds every routing branch
+    return cleanup(cut(valued_panel(spark, sf_dir, 1)))
 
 
 def route_damaged(spark, sf_dir):
@@ -128,7 +130,9 @@ def run_stats(spark, sf_dir):
 
 def features(spark, sf_dir):
     from ..operators.features import analysis_features
-    return analysis_features(_cleanup(spark, sf_dir).clean)
+    from ..session import cut
+    # stage boundary: the analysis frame feeds quantile passes and many aggregates
+    return cut(analysis_features(_cleanup(spark, sf_dir).clean))
 
 
 def trimmed(spark, sf_dir):
@@ -242,10 +246,11 @@ def residual(spark, sf_dir):
 def _facts_ctx(spark, sf_dir):
     from ..operators import filters as fl
     from ..operators.resolve import concept_table
+    from ..session import cut
     s = standin
-    facts = s.raw_facts(spark, sf_dir)
+    facts = cut(s.raw_facts(spark, sf_dir))
     annual = fl.annual_facts(facts, start=s.STANDIN_START)
-    latest = fl.keep_latest(annual)
+    latest = cut(fl.keep_latest(annual))
     elig = fl.eligibility(facts, s.STANDIN_ANCHOR, s.STANDIN_START, s.STANDIN_END, 7)
     ok = elig.filter("eligible").select("cik")
     template = latest.filter(F.col("tag") == s.STANDIN_ANCHOR).join(ok, "cik", "left_semi") \

@@ -96,16 +96,17 @@ def prepare(features: DataFrame, train_last: int = TRAIN_LAST_FY, test_first: in
              .when(F.col("fy") >= test_first, F.lit("test")))
     d = imputed.withColumn("split", split).filter(F.col("split").isNotNull())
     tr = d.filter(F.col("split") == "train")
-    aggs = []
-    for i, c in enumerate(cand):
-        aggs += [F.avg(bq(c)).alias(f"m{i}"), F.stddev_pop(bq(c)).alias(f"s{i}")]
-    st = {r[group]: r for r in tr.groupBy(group).agg(*aggs).collect()}
+    from ..operators.stats import _stack
+    long = tr.select(group, _stack(cand, "x", "c").alias("s")).select(group, "s.c", "s.x")
+    st = {}
+    for r in long.groupBy(group, "c").agg(F.avg("x").alias("m"), F.stddev_pop("x").alias("s")).collect():
+        st[(r[group], r["c"])] = (r["m"], r["s"])
     stats = {}
     for ind, pool in pools.items():
-        if ind not in st:
+        if not all((ind, f) in st for f in pool):
             continue
-        mu = np.array([st[ind][f"m{cand.index(f)}"] or 0.0 for f in pool], dtype=float)
-        sd = np.array([st[ind][f"s{cand.index(f)}"] or 0.0 for f in pool], dtype=float)
+        mu = np.array([st[(ind, f)][0] or 0.0 for f in pool], dtype=float)
+        sd = np.array([st[(ind, f)][1] or 0.0 for f in pool], dtype=float)
         sd[sd == 0] = 1.0
         stats[ind] = (mu, sd)
     keep = ["ticker", "fy", group, "split", "stock_price", "market_cap"]
