@@ -463,3 +463,42 @@ def top_cap_scores(spark, sf_dir):
     rows = plan.data.join(top, "ticker", "left_semi")
     p = M.predict_best(plan, best, coefs, rows)
     return rounded(p.select("broad_industry", "ticker", "fy", "stock_price", "prediction"))
+
+
+# ---- sources: directory, JSON field access, retry selection, top-k profile -----------------
+
+def directory_scan(spark, sf_dir):
+    """Company directory -> 10-digit zero-padded id, ticker, title (suppliers as filers)."""
+    from ..sources.filings import pad_cik
+    s = standin.table(spark, sf_dir, "supplier")
+    return s.select(pad_cik(F.col("s_suppkey")).alias("cik"),
+                    F.concat(F.lit("S"), F.col("s_suppkey").cast("string")).alias("ticker"),
+                    F.col("s_name").alias("title"))
+
+
+def json_facts(spark, sf_dir):
+    """A field of a JSON payload column, parsed with a fixed schema."""
+    ev = standin.table(spark, sf_dir, "events")
+    k = F.from_json(F.col("props"), "k long").getField("k")
+    return ev.select("event_id", k.alias("k"))
+
+
+def retry_set_check(spark, sf_dir):
+    """Failed companies whose logged error matches a pattern. The run log
+    here is the cleanup outcome: relocated / deleted companies are 'Fail' with
+    their message; the retry pattern selects the share-count failures."""
+    from .panel import retry_set
+    m = _cleanup(spark, sf_dir).messages
+    fail = F.col("update_after_cleanup").like("Relocated%") | F.col("update_after_cleanup").like("Deleted%")
+    log = m.select(F.col("ticker").alias("cik"),
+                   F.when(fail, F.lit("Fail")).otherwise(F.lit("Success")).alias("status_after_recovery1"),
+                   F.col("update_after_cleanup").alias("error_after_recovery1"))
+    return retry_set(log, "%shares#%")
+
+
+def top_missing(spark, sf_dir):
+    """O3: top-10 columns by missing % per industry (ties by column name)."""
+    from ..operators.features import analysis_numeric_columns
+    from ..operators.stats import missing_profile, top_missing as tm
+    p = missing_profile(features(spark, sf_dir), analysis_numeric_columns())
+    return rounded(tm(p, 10).drop("rank"))

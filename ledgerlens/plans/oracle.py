@@ -496,3 +496,20 @@ imp AS (SELECT fo.broad_industry, fo.fy,
 lng AS (SELECT broad_industry, feature, v FROM (UNPIVOT (SELECT * FROM imp WHERE fy <= 1999)
         ON {_UNPIV} INTO NAME feature VALUE v))
 SELECT broad_industry, feature, {r4('avg(v)')} AS mean, {r4('stddev_pop(v)')} AS std FROM lng GROUP BY 1, 2"""
+
+
+# ---- sources: directory, JSON field access, retry selection, top-k profile -----------------
+SQL["directory_scan"] = """
+SELECT lpad(CAST(s_suppkey AS VARCHAR), 10, '0') AS cik, 'S' || CAST(s_suppkey AS VARCHAR) AS ticker,
+       s_name AS title FROM supplier"""
+SQL["json_facts"] = "SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events"
+SQL["retry_set"] = CLEANUP_CTES + """,
+lg AS (SELECT ticker AS cik, 'Fail' AS status, message AS error FROM dmg
+       UNION ALL SELECT ticker, 'Fail', 'Deleted due to missing shares#.' FROM zero)
+SELECT DISTINCT lpad(cik, 10, '0') AS cik FROM lg WHERE error LIKE '%shares#%' AND status = 'Fail'"""
+SQL["top_missing"] = FEATURE_CTES + f""",
+prof AS ({_PROFILE_UNION}),
+p2 AS (SELECT *, row_number() OVER (PARTITION BY broad_industry ORDER BY nan_pct DESC, "column") AS rk
+       FROM prof WHERE inf_pct + neginf_pct + nan_pct > 0)
+SELECT broad_industry, "column", {r4('inf_pct')} AS inf_pct, {r4('neginf_pct')} AS neginf_pct,
+  {r4('nan_pct')} AS nan_pct FROM p2 WHERE rk <= 10"""

@@ -49,6 +49,10 @@ QUERIES = {
     "required_tags": checks.required_tags,              # K10
     "tag_suggest": checks.tag_suggest,                  # K11
     "event_window_price": checks.event_window_price,    # J7, W3
+    "directory_scan": checks.directory_scan,            # S1, X10
+    "json_facts": checks.json_facts,                    # S3, X13
+    "retry_set": checks.retry_set_check,                # F7, S6
+    "top_missing": checks.top_missing,                  # O3, A11
     "time_split": checks.time_split,                    # F14
     "scaled_train": checks.scaled_train,                # M1, M3, A13
     "ols_prefix_r2": checks.ols_prefix_r2,              # M2, M4, M10, M11, O4 (rows-only)
