@@ -16,7 +16,7 @@ equi-joins and grouped aggregates -- no per-company loop.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 TEMPLATE_KEYS = ["fy", "fp", "filed", "end"]
@@ -39,38 +39,48 @@ def assert_unique(df: DataFrame, keys) -> DataFrame:
 
 
 def resolve_concepts(template: DataFrame, values: DataFrame, concepts: DataFrame,
-                     keys=TEMPLATE_KEYS) -> DataFrame:
+                     keys=TEMPLATE_KEYS, additive=None) -> DataFrame:
     """K1/K2: one value per (cik, concept, template row).
 
-    template: cik + keys; values: cik, tag + keys, val (deduped, non-null vals
-    only matter). Returns cik, concept, keys..., val, src_rank (rank of the
-    winning fill tag; NULL when only the additive tag supplied the value).
+    template: cik + keys; values: cik, tag + keys, val. Returns cik, concept,
+    keys..., val, src_rank (rank of the winning fill tag), _by_add (value
+    supplied by the additive tag only).
+
+    Plan: matched values -> ONE grouped aggregate per (cik, concept, row)
+    carrying both the lowest-rank fill value and the additive sum. Only the
+    additive concepts (a fixed, tiny list) need the full template grid, built
+    by tagging template rows with those concept names (no join), and a window
+    per (cik, concept) -- bounded by the company's fiscal years -- decides
+    whether the fill tags left a row empty.
     """
     keys = list(keys)
+    if additive is None:
+        additive = [r["concept"] for r in concepts.filter(F.col("mode") == "add").select("concept")
+                    .distinct().collect()]
     v = values.filter(F.col("val").isNotNull()).join(F.broadcast(concepts), "tag")
     m = v.join(template.select("cik", *keys), ["cik", *keys])
-    fill = (m.filter(F.col("mode") == "fill").groupBy("cik", "concept", *keys)
-            .agg(F.min_by(F.struct("val", "rank"), F.col("rank")).alias("w"))
-            .select("cik", "concept", *keys, F.col("w.val").alias("fill_val"), F.col("w.rank").alias("src_rank")))
-    add_concepts = concepts.filter(F.col("mode") == "add").select("concept").distinct()
-    if add_concepts.isEmpty():
-        return fill.withColumnRenamed("fill_val", "val").withColumn("_by_add", F.lit(False))
-    # additive: companies where some template row stays empty after the fill tags
-    n_tmpl = template.groupBy("cik").agg(F.count(F.lit(1)).alias("n_t"))
-    n_fill = fill.join(F.broadcast(add_concepts), "concept").groupBy("cik", "concept").agg(
-        F.count(F.lit(1)).alias("n_f"))
-    has_add = (m.filter(F.col("mode") == "add").select("cik", "concept").distinct())
-    reached = (has_add.join(n_tmpl, "cik").join(n_fill, ["cik", "concept"], "left")
-               .filter(F.coalesce(F.col("n_f"), F.lit(0)) < F.col("n_t")).select("cik", "concept"))
-    add_vals = (m.filter(F.col("mode") == "add").groupBy("cik", "concept", *keys)
-                .agg(F.sum("val").alias("add_val")))
-    grid = template.select("cik", *keys).join(reached, "cik")     # rows of reached companies only
-    added = (grid.join(fill, ["cik", "concept", *keys], "left").join(add_vals, ["cik", "concept", *keys], "left")
-             .select("cik", "concept", *keys,
-                     (F.coalesce("fill_val", F.lit(0.0)) + F.coalesce("add_val", F.lit(0.0))).alias("val"),
-                     "src_rank", F.col("fill_val").isNull().alias("_by_add")))
-    plain = fill.join(reached, ["cik", "concept"], "left_anti").withColumnRenamed("fill_val", "val") \
-        .withColumn("_by_add", F.lit(False))
+    is_fill = F.col("mode") == "fill"
+    agg = m.groupBy("cik", "concept", *keys).agg(
+        F.min_by(F.struct("val", "rank"), F.when(is_fill, F.col("rank"))).alias("w"),
+        F.sum(F.when(~is_fill, F.col("val"))).alias("add_val"),
+        F.max((~is_fill).cast("int")).alias("has_add"))
+    agg = agg.select("cik", "concept", *keys, F.col("w.val").alias("fill_val"), F.col("w.rank").alias("src_rank"),
+                     "add_val", "has_add")
+    plain = agg.filter(~F.col("concept").isin(*additive) if additive else F.lit(True)) \
+        .filter(F.col("fill_val").isNotNull()) \
+        .select("cik", "concept", *keys, F.col("fill_val").alias("val"), "src_rank", F.lit(False).alias("_by_add"))
+    if not additive:
+        return plain
+    grid = template.select("cik", *keys, F.explode(F.array(*[F.lit(c) for c in additive])).alias("concept"))
+    g = grid.join(agg.filter(F.col("concept").isin(*additive)), ["cik", "concept", *keys], "left")
+    w = Window.partitionBy("cik", "concept")
+    g = g.withColumns({"_empty": F.max(F.col("fill_val").isNull().cast("int")).over(w),
+                       "_add": F.max(F.coalesce(F.col("has_add"), F.lit(0))).over(w)})
+    reached = (F.col("_empty") == 1) & (F.col("_add") == 1)
+    val = F.when(reached, F.coalesce("fill_val", F.lit(0.0)) + F.coalesce("add_val", F.lit(0.0))) \
+        .otherwise(F.col("fill_val"))
+    added = g.select("cik", "concept", *keys, val.alias("val"), "src_rank",
+                     (reached & F.col("fill_val").isNull()).alias("_by_add")).filter(F.col("val").isNotNull())
     return plain.unionByName(added)
 
 
@@ -82,14 +92,18 @@ def provenance(values: DataFrame, resolved: DataFrame, concepts: DataFrame, keys
     avail = available if available is not None else (
         values.filter(F.col("val").isNotNull()).join(F.broadcast(concepts), "tag")
         .select("cik", "concept", "tag", "rank").distinct())
-    fill_years = (resolved.filter(F.col("src_rank").isNotNull() & ~F.coalesce(F.col("_by_add"), F.lit(False)))
-                  .groupBy("cik", "concept", F.col("src_rank").alias("rank"))
-                  .agg(F.min("fy").alias("y0"), F.max("fy").alias("y1")))
-    add_rank = concepts.filter(F.col("mode") == "add").select("concept", F.col("rank").alias("arank"))
-    add_years = (resolved.filter(F.coalesce(F.col("_by_add"), F.lit(False))).join(F.broadcast(add_rank), "concept")
-                 .groupBy("cik", "concept", F.col("arank").alias("rank"))
-                 .agg(F.min("fy").alias("y0"), F.max("fy").alias("y1")))
-    yrs = fill_years.unionByName(add_years)
+    # one aggregate: a row's contributing rank is the winning fill tag, or the
+    # additive tag's rank when the additive tag alone supplied it
+    add_rank = {r["concept"]: r["rank"] for r in
+                concepts.filter(F.col("mode") == "add").select("concept", "rank").collect()}
+    arank = None
+    for c_, r_ in add_rank.items():
+        arank = (F.when(F.col("concept") == c_, F.lit(r_)) if arank is None
+                 else arank.when(F.col("concept") == c_, F.lit(r_)))
+    eff = F.col("src_rank") if arank is None else F.when(
+        F.coalesce(F.col("_by_add"), F.lit(False)), arank).otherwise(F.col("src_rank"))
+    yrs = (resolved.withColumn("rank", eff).filter(F.col("rank").isNotNull())
+           .groupBy("cik", "concept", "rank").agg(F.min("fy").alias("y0"), F.max("fy").alias("y1")))
     a = avail.join(yrs, ["cik", "concept", "rank"], "left")
     rng = F.when(F.col("y0").isNull(), F.lit(None)).when(
         F.col("y0") == F.col("y1"), F.format_string("[%d]", F.col("y0"))).otherwise(

@@ -251,10 +251,10 @@ def _facts_ctx(spark, sf_dir):
     facts = cut(s.raw_facts(spark, sf_dir))
     annual = fl.annual_facts(facts, start=s.STANDIN_START)
     latest = cut(fl.keep_latest(annual))
-    elig = fl.eligibility(facts, s.STANDIN_ANCHOR, s.STANDIN_START, s.STANDIN_END, 7)
+    elig = cut(fl.eligibility(facts, s.STANDIN_ANCHOR, s.STANDIN_START, s.STANDIN_END, 7))
     ok = elig.filter("eligible").select("cik")
-    template = latest.filter(F.col("tag") == s.STANDIN_ANCHOR).join(ok, "cik", "left_semi") \
-        .select("cik", "fy", "fp", "filed", "end")
+    template = cut(latest.filter(F.col("tag") == s.STANDIN_ANCHOR).join(ok, "cik", "left_semi")
+                   .select("cik", "fy", "fp", "filed", "end"))
     values = latest.join(ok, "cik", "left_semi")
     concepts = concept_table(spark, s.STANDIN_CONCEPTS, s.STANDIN_ADDITIVE)
     return dict(facts=facts, annual=annual, latest=latest, elig=elig, ok=ok, template=template,
