@@ -415,8 +415,20 @@ def boost_search(spark, sf_dir):
 
 
 def _full(spark, sf_dir):
+    """All six families, assembled from the per-family searches (each fitted once)."""
     from ..constants import MODEL_FAMILIES
-    return _search(spark, sf_dir, tuple(MODEL_FAMILIES))
+    from . import models as M
+    key = (sf_dir, "all")
+    if key not in _SEARCH_CACHE:
+        res, coefs, plan = [], {}, None
+        for fam in MODEL_FAMILIES:
+            r, _, _, p, c = _search(spark, sf_dir, (fam,))
+            res += r
+            coefs.update(c)
+            plan = plan or p
+        best_fam, best = M.select_best(res)
+        _SEARCH_CACHE[key] = (res, best_fam, best, plan, coefs)
+    return _SEARCH_CACHE[key]
 
 
 def model_summary(spark, sf_dir):
