@@ -237,7 +237,7 @@ g AS (SELECT regr_count(stock_price, theoretical_price) AS n, regr_slope(stock_p
         regr_sxx(stock_price, theoretical_price) AS sxx, regr_syy(stock_price, theoretical_price) AS syy,
         regr_sxy(stock_price, theoretical_price) AS sxy
       FROM trimmed WHERE stock_price IS NOT NULL AND theoretical_price IS NOT NULL)
-SELECT n, {r4('slope')} AS slope, {r4('intercept')} AS intercept, {r4('r2')} AS r2,
+SELECT CAST(n AS BIGINT) AS n, {r4('slope')} AS slope, {r4('intercept')} AS intercept, {r4('r2')} AS r2,
   {r4('CASE WHEN sxx <> 0 THEN sqrt((syy - slope * sxy) / (n - 2) / sxx) END')} AS se_slope FROM g"""
 
 SQL["bin_pivot"] = FEATURE_CTES + f""",
