@@ -59,6 +59,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on the cluster's "
+                               "distributed file system); a machine-local folder would not survive "
+                               "executor loss")
         d = tempfile.mkdtemp(prefix="ledgerlens-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.sparkContext.setCheckpointDir(d)
     return d
