@@ -306,9 +306,9 @@ def equation_text(b0, beta, feats):
 
 
 def search(features: DataFrame, families=MODEL_FAMILIES, threads: int = 8,
-           train_last: int = TRAIN_LAST_FY, test_first: int = TEST_FIRST_FY):
+           train_last: int = TRAIN_LAST_FY, test_first: int = TEST_FIRST_FY, plan: SearchPlan | None = None):
     """Full M1-M12 search -> (results rows, best per family, best per industry, plan, coefs)."""
-    plan = prepare(features, train_last, test_first)
+    plan = plan or prepare(features, train_last, test_first)
     inds = eligible_industries(plan)
     lin_f = [f for f in families if f in (LINEAR, RIDGE, KERNEL)]
     tree_f = [f for f in families if f in (TREE, FOREST, BOOST)]
