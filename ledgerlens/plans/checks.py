@@ -516,3 +516,23 @@ def top_missing(spark, sf_dir):
     from ..operators.stats import missing_profile, top_missing as tm
     p = missing_profile(features(spark, sf_dir), analysis_numeric_columns())
     return rounded(tm(p, 10).drop("rank"))
+
+
+# ---- complete stage 1 over the driver tables ----------------------------------------------
+
+def _panel_build(spark, sf_dir):
+    from .panel import build_panel
+    return build_panel(standin.taxonomy_facts(spark, sf_dir), standin.taxonomy_companies(spark, sf_dir),
+                       standin.daily_prices(spark, sf_dir), start=standin.STANDIN_START,
+                       end=standin.STANDIN_END, run_ts="2001-12-31 00:00:00")
+
+
+def panel_build(spark, sf_dir):
+    """Stage 1 end to end: facts -> filters -> fallback -> special rules -> prices -> valuation."""
+    p = _panel_build(spark, sf_dir).panel
+    return rounded(p.drop("tag_history"))
+
+
+def panel_build_log(spark, sf_dir):
+    """Q8: one log row per company (status, error, namespace)."""
+    return _panel_build(spark, sf_dir).log.drop("timestamp")

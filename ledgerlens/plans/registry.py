@@ -53,6 +53,8 @@ QUERIES = {
     "json_facts": checks.json_facts,                    # S3, X13
     "retry_set": checks.retry_set_check,                # F7, S6
     "top_missing": checks.top_missing,                  # O3, A11
+    "panel_build": checks.panel_build,                  # stage 1 end to end: S3, F1-F6, K1-K10, J1-J8, D, R (rows-only)
+    "panel_build_log": checks.panel_build_log,          # Q8 run log (rows-only)
     "time_split": checks.time_split,                    # F14
     "scaled_train": checks.scaled_train,                # M1, M3, A13
     "ols_prefix_r2": checks.ols_prefix_r2,              # M2, M4, M10, M11, O4 (rows-only)

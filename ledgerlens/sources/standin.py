@@ -240,3 +240,86 @@ def raw_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("date").alias("start"), "end", col("assets").alias("val"),
         col("fy").cast("int").alias("fy"), F.lit("FY").alias("fp"), "form", "filed")
     return tv.unionByName(anchor)
+
+
+# Supplier-year filings in the real tag taxonomy, so the complete stage-1 job
+# (build_panel) runs over whole driver tables. A line's tag is chosen by
+# (returnflag, linestatus, quantity band); the 18 combinations map, in order, to
+# these (tag, is_duration, sign) entries.
+TAXONOMY_TAGS = [
+    ("Revenues", True, 1.0),
+    ("CostOfGoodsAndServicesSold", True, 1.0),
+    ("SellingGeneralAndAdministrativeExpense", True, 1.0),
+    ("OperatingIncomeLoss", True, 1.0),
+    ("IncomeLossFromContinuingOperationsBeforeIncomeTaxesExtraordinaryItemsNoncontrollingInterest", True, 1.0),
+    ("IncomeTaxExpenseBenefit", True, 1.0),
+    ("NetIncomeLoss", True, 1.0),
+    ("StockholdersEquity", False, 1.0),
+    ("AssetsCurrent", False, 1.0),
+    ("InventoryNet", False, 1.0),
+    ("LiabilitiesCurrent", False, 1.0),
+    ("NetCashProvidedByUsedInOperatingActivities", True, 1.0),
+    ("NetCashProvidedByUsedInInvestingActivities", True, -1.0),
+    ("PaymentsToAcquirePropertyPlantAndEquipment", True, 1.0),
+    ("NetCashProvidedByUsedInFinancingActivities", True, -1.0),
+    ("CashCashEquivalentsRestrictedCashAndRestrictedCashEquivalents", False, 1.0),
+    ("PaymentsOfDividendsCommonStock", True, 1.0),
+    ("OtherAssetsCurrent", False, 1.0),
+]
+
+
+def taxonomy_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Facts (cik, ns, tag, unit, start, end, val, fy, fp, form, filed): one annual
+    filing per supplier-year (end = last order date, filed = last ship date,
+    form from the most urgent order priority), values = line sums per tag,
+    ``Assets`` anchor = order totals, ``dei`` share count = quantities."""
+    col = F.col
+    lines = _lines(spark, sf_dir).withColumn("fy", F.year("o_orderdate"))
+    rf = F.when(col("l_returnflag") == "A", 0).when(col("l_returnflag") == "N", 1).otherwise(2)
+    ls = F.when(col("l_linestatus") == "F", 0).otherwise(1)
+    qb = F.when(col("l_quantity") <= 17, 0).when(col("l_quantity") <= 34, 1).otherwise(2)
+    lines = lines.withColumn("combo", (rf * 2 + ls) * 3 + qb)
+    fkey = ["l_suppkey", "fy"]
+    filing = lines.groupBy(*fkey).agg(
+        F.max("o_orderdate").cast("date").alias("end"), F.max("l_shipdate").cast("date").alias("filed"),
+        F.min("o_orderpriority").alias("prio"), F.sum(col("o_totalprice") / 7.0).alias("assets"),
+        F.sum("l_quantity").alias("shares"))
+    form = (F.when(col("prio") == "1-URGENT", "10-K").when(col("prio") == "2-HIGH", "10-K/A")
+            .when(col("prio") == "3-MEDIUM", "20-F").when(col("prio") == "4-NOT SPECIFIED", "10-Q")
+            .otherwise("10-KT"))
+    filing = filing.withColumn("form", form)
+    names = F.array(*[F.lit(t) for t, _, _ in TAXONOMY_TAGS])
+    dur = F.array(*[F.lit(d) for _, d, _ in TAXONOMY_TAGS])
+    sign = F.array(*[F.lit(s) for _, _, s in TAXONOMY_TAGS])
+    per = lines.groupBy(*fkey, "combo").agg(F.sum(col("l_extendedprice") / 7.0).alias("v"))
+    cik = F.lpad(col("l_suppkey").cast("string"), 10, "0")
+    j = per.join(filing, fkey)
+    tv = j.select(cik.alias("cik"), F.lit("us-gaap").alias("ns"),
+                  F.element_at(names, col("combo") + 1).alias("tag"), F.lit("USD").alias("unit"),
+                  F.when(F.element_at(dur, col("combo") + 1), F.date_sub(col("end"), 364)).alias("start"),
+                  "end", (col("v") * F.element_at(sign, col("combo") + 1)).alias("val"),
+                  col("fy").cast("int").alias("fy"), F.lit("FY").alias("fp"), "form", "filed")
+    base = filing.select(cik.alias("cik"), "end", "filed", col("fy").cast("int").alias("fy"), "form",
+                         "assets", "shares")
+    anchor = base.select("cik", F.lit("us-gaap").alias("ns"), F.lit("Assets").alias("tag"), F.lit("USD").alias("unit"),
+                         F.lit(None).cast("date").alias("start"), "end", col("assets").alias("val"), "fy",
+                         F.lit("FY").alias("fp"), "form", "filed")
+    shares = base.select("cik", F.lit("dei").alias("ns"), F.lit("EntityCommonStockSharesOutstanding").alias("tag"),
+                         F.lit("shares").alias("unit"), F.lit(None).cast("date").alias("start"), "end",
+                         col("shares").cast("double").alias("val"), "fy", F.lit("FY").alias("fp"), "form", "filed")
+    return tv.unionByName(anchor).unionByName(shares)
+
+
+def taxonomy_companies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = suppliers(spark, sf_dir)
+    return s.select(F.lpad(F.col("s_suppkey").cast("string"), 10, "0").alias("cik"), "ticker", "name", "industry")
+
+
+def daily_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trading days per company = its ship dates; close = mean line price (scaled)."""
+    li = table(spark, sf_dir, "lineitem").select("l_suppkey", "l_shipdate", "l_extendedprice", "l_tax")
+    g = li.groupBy("l_suppkey", F.col("l_shipdate").cast("date").alias("d")).agg(
+        F.avg(F.col("l_extendedprice") / 7.0 / 100.0).alias("close_adj"),
+        F.avg(F.col("l_extendedprice") * (1 + F.col("l_tax")) / 7.0 / 100.0).alias("close_unadj"))
+    return g.select(F.concat(F.lit("S"), F.col("l_suppkey").cast("string")).alias("ticker"), "d",
+                    "close_adj", "close_unadj")
