@@ -78,11 +78,14 @@ def write_fixture(root):
         "1": {"cik_str": 2222, "ticker": "BBB", "title": "Beta Inc"},
         "2": {"cik_str": 3333, "ticker": "CCC", "title": "Gamma Ltd"},
         "3": {"cik_str": 4444, "ticker": "DDD", "title": "Delta Co"},
+        "4": {"cik_str": 5555, "ticker": "EEE", "title": "Epsilon plc"},
+        "5": {"cik_str": 6666, "ticker": "FFF", "title": "Phi Corp"},
     }
     with open(f"{root}/directory.json", "w") as f:
         json.dump(companies, f)
     sic = {1111: ("3571", "ELECTRONIC COMPUTERS"), 2222: ("5331", "RETAIL-VARIETY STORES"),
-           3333: ("1311", "CRUDE PETROLEUM"), 4444: ("7372", "SERVICES-PREPACKAGED SOFTWARE")}
+           3333: ("1311", "CRUDE PETROLEUM"), 4444: ("7372", "SERVICES-PREPACKAGED SOFTWARE"),
+           5555: ("2834", "PHARMACEUTICAL PREPARATIONS"), 6666: ("4911", "ELECTRIC SERVICES")}
     for cik, (code, desc) in sic.items():
         with open(f"{root}/meta/CIK{cik:010d}.json", "w") as f:
             json.dump({"cik": str(cik), "sic": code, "sicDescription": desc}, f)
@@ -104,8 +107,19 @@ def write_fixture(root):
     d = base_company(1.0)
     del d["NetIncomeLoss"]
     d["ComprehensiveIncomeNetOfTax"] = ("USD", annual(lambda y: 5.0))
+    # EEE: share count only on the cover page (dei), dated at the filing date, not
+    # the fiscal year end -> the strict 4-key merge misses it, the relaxed one aligns on fy
+    e = base_company(1.0)
+    del e["WeightedAverageNumberOfSharesOutstandingBasic"]
+    e_dei = {"EntityCommonStockSharesOutstanding": (
+        "shares", [rec(y, f"{y + 1}-02-10", f"{y + 1}-02-15", 50.0) for y in YEARS])}
+    # FFF: share counts reported only up to 2017 -> the latest value is carried to every year
+    f_ = base_company(1.0)
+    f_["WeightedAverageNumberOfSharesOutstandingBasic"] = (
+        "shares", [rec(y, f"{y}-12-31", f"{y + 1}-02-15", 10.0 * y - 20000.0, f"{y}-01-01") for y in (2015, 2016, 2017)])
     docs = {1111: facts_doc(1111, "Alpha Corp", a), 2222: facts_doc(2222, "Beta Inc", b),
-            3333: facts_doc(3333, "Gamma Ltd", c), 4444: facts_doc(4444, "Delta Co", d)}
+            3333: facts_doc(3333, "Gamma Ltd", c), 4444: facts_doc(4444, "Delta Co", d),
+            5555: facts_doc(5555, "Epsilon plc", e, dei=e_dei), 6666: facts_doc(6666, "Phi Corp", f_)}
     for cik, doc in docs.items():
         with open(f"{root}/facts/CIK{cik:010d}.json", "w") as f:
             json.dump(doc, f)

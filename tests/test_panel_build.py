@@ -26,7 +26,7 @@ def built(spark, scratch):
 
 def test_directory_pads_cik(built):
     ciks = sorted(r["cik"] for r in built["companies"].collect())
-    assert ciks == ["0000001111", "0000002222", "0000003333", "0000004444"]
+    assert ciks == ["0000001111", "0000002222", "0000003333", "0000004444", "0000005555", "0000006666"]
 
 
 def test_flatten_first_unit(built):
@@ -48,6 +48,7 @@ def test_log_statuses(built):
 def test_panel_rows_and_keep_latest(built):
     p = built["panel"]
     assert sorted(k[1] for k in p if k[0] == "AAA") == list(range(2019, 2026))
+    assert built["log"]["EEE"]["status"] == "Success" and built["log"]["FFF"]["status"] == "Success"
     assert not any(k[0] in ("CCC", "DDD") for k in p)
     # comparatives in later filings never replace the year's own value
     assert p[("AAA", 2021)]["gross_revenue"] == pytest.approx(502.0)
@@ -112,3 +113,21 @@ def test_recovery_merges_log(built, spark):
     assert m["DDD"]["status_after_recovery2"] == "Fail"
     assert m["AAA"]["status_after_recovery2"] is None
     assert panel.count() == 0
+
+
+def test_stale_share_count_is_carried_forward(built):
+    """All share data before the study window -> latest value for every year."""
+    p = built["panel"]
+    assert [p[("FFF", y)]["shares#"] for y in range(2019, 2026)] == [170.0] * 7   # the 2017 value
+    assert "shares# = ;" in p[("FFF", 2020)]["tag_history"]
+
+
+def test_strict_vs_relaxed_share_alignment(built, spark):
+    """Cover-page share counts dated off the fiscal year end."""
+    from ledgerlens.plans.panel import build_panel
+    strict = built["panel"]
+    assert all(strict[("EEE", y)]["shares#"] is None for y in range(2019, 2026))
+    rel = build_panel(built["facts"], built["companies"].filter(F.col("ticker") == "EEE"), None,
+                      mode="relaxed").panel.collect()
+    assert sorted(r["shares#"] for r in rel) == [50.0] * 7
+    assert all(r["bps"] == pytest.approx(600.0 / 50.0) for r in rel)
