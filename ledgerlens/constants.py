@@ -253,3 +253,16 @@ BOOST_RATE = 0.05
 SEED = 42
 TOP_CAP_COMPANIES = 20
 BIN_COUNT = 100
+
+# ---- FIXED VALUES: log and provenance texts ------------------------------------------
+MSG_DAMAGED_BOTH = 'Relocated to table "damaged_data" due to missing recurrent_profit and net_income.'
+MSG_DAMAGED_NI = 'Relocated to table "damaged_data" due to missing net_income.'
+MSG_DAMAGED_RP = 'Relocated to table "damaged_data" due to missing recurrent_profit.'
+MSG_ZERO_SHARES = "Deleted due to missing shares#."
+MSG_SHARES_FILLED = "year %s shares# is filled into %s"
+MSG_EPS_RECOVERED = "year %s eps is recovered from nan into %.2f, "
+MSG_TAG_MISSING = "No %s Tag Found"
+MSG_SKIP = "Skip CIK %s (%s %s): Data incomplete or period not matched."
+MSG_NONE_EMPTY = "'NoneType' object has no attribute 'empty'"
+MSG_NONE_SUBSCRIPT = "'NoneType' object is not subscriptable"
+EPS_CALCULATED = "calculated: net_income / shares#"

@@ -14,6 +14,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..constants import (MSG_DAMAGED_BOTH, MSG_DAMAGED_NI, MSG_DAMAGED_RP, MSG_EPS_RECOVERED,
+                         MSG_SHARES_FILLED, MSG_ZERO_SHARES)
 from ..functions.numeric import ieee_div
 from .valuation import valuation_v1
 
@@ -21,10 +23,7 @@ SHARES = "shares#"
 SGA = "expense_general/admin"
 LESS_DATA_COLUMNS = ["cost", SGA, "currasset", "curr_liabilities"]
 
-MSG_BOTH = 'Relocated to table "damaged_data" due to missing recurrent_profit and net_income.'
-MSG_NI = 'Relocated to table "damaged_data" due to missing net_income.'
-MSG_RP = 'Relocated to table "damaged_data" due to missing recurrent_profit.'
-MSG_ZERO = "Deleted due to missing shares#."
+MSG_BOTH, MSG_NI, MSG_RP, MSG_ZERO = MSG_DAMAGED_BOTH, MSG_DAMAGED_NI, MSG_DAMAGED_RP, MSG_ZERO_SHARES
 
 
 def bq(c: str):
@@ -68,7 +67,7 @@ def _msg_list(df: DataFrame, msg_col: str, sep: str, order=("fy", "filed")) -> D
 
 def shares_fill_messages(filled: DataFrame) -> DataFrame:
     m = filled.filter("shares_filled").withColumn(
-        "shares_msg", F.format_string("year %s shares# is filled into %s",
+        "shares_msg", F.format_string(MSG_SHARES_FILLED,
                                       F.col("fy").cast("string"), bq(SHARES).cast("string")))
     return _msg_list(m, "shares_msg", " , ")
 
@@ -82,7 +81,7 @@ def repair_eps(df: DataFrame) -> DataFrame:
 
 def eps_messages(repaired: DataFrame) -> DataFrame:
     m = repaired.filter("eps_repaired").withColumn(
-        "eps_msg", F.format_string("year %s eps is recovered from nan into %.2f, ",
+        "eps_msg", F.format_string(MSG_EPS_RECOVERED,
                                    F.col("fy").cast("string"), F.col("eps")))
     return _msg_list(m, "eps_msg", ". ")
 

@@ -21,7 +21,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..constants import (ADDITIVE_TAG, ADDITIVE_TRIGGER, ALLOW_MISSING, ANCHOR_NAME, ANCHOR_TAG,
+from ..constants import (EPS_CALCULATED, MSG_NONE_EMPTY, MSG_NONE_SUBSCRIPT, MSG_SKIP, MSG_TAG_MISSING,
+                         ADDITIVE_TAG, ADDITIVE_TRIGGER, ALLOW_MISSING, ANCHOR_NAME, ANCHOR_TAG,
                          CURR_LIABILITY_INDUSTRIES, CURR_LIABILITY_TAGS, CURRASSET_SUBTRACT_TAGS,
                          EXPECTED_RECORDS, FALLBACKS, LINE_ITEMS, NONOPERATING_TAGS, SHARE_FALLBACKS,
                          STUDY_END, STUDY_START)
@@ -38,7 +39,7 @@ EPS_TAG = "EarningsPerShareBasic"
 SGA_TAG = "SellingGeneralAndAdministrativeExpense"
 CURRASSET_TAG = "AssetsCurrent"
 PRETAX_TAG = "IncomeLossFromContinuingOperationsBeforeIncomeTaxesExtraordinaryItemsNoncontrollingInterest"
-EPS_CALC = "calculated: net_income / shares#"
+EPS_CALC = EPS_CALCULATED
 HELPERS = {"ga": FALLBACKS["ga_fallbacks"], "sm": FALLBACKS["sm_fallbacks"],
            "ppe": [CURRASSET_SUBTRACT_TAGS[0]], "gw": [CURRASSET_SUBTRACT_TAGS[1]],
            "emi": [CURRASSET_SUBTRACT_TAGS[2]], "nonop1": [NONOPERATING_TAGS[0]],
@@ -184,39 +185,35 @@ def build_panel(facts: DataFrame, companies: DataFrame, prices: DataFrame | None
     checks = []
     for tag, name in LINE_ITEMS:
         if name == SHARES:
-            checks.append((~F.col("has_shares"), F.lit(f"No {SHARES} Tag Found")))
+            checks.append((~F.col("has_shares"), F.lit(MSG_TAG_MISSING % SHARES)))
             continue
         if name in (EPS, SGA) or tag in ALLOW_MISSING:
             continue
         if name == CURRASSET:
             checks.append((~F.col("currasset_present") & ~F.col("sub_present"),
-                           F.lit(f"No {CURRASSET_TAG} Tag Found")))
+                           F.lit(MSG_TAG_MISSING % CURRASSET_TAG)))
             continue
         if name == RECURRENT:
             no_pretax = ~F.col("pretax_avail")
             if relaxed:
                 fail = no_pretax & ~F.col("n1_avail") & ~F.col("n2_avail")
-                checks.append((fail, F.lit(f"No {PRETAX_TAG} Tag Found")))
+                checks.append((fail, F.lit(MSG_TAG_MISSING % PRETAX_TAG)))
             else:
-                checks.append((no_pretax & ~F.col("n1_present"),
-                               F.lit("'NoneType' object has no attribute 'empty'")))
-                checks.append((no_pretax & ~F.col("n2_present") & F.col("n1_avail"),
-                               F.lit("'NoneType' object is not subscriptable")))
-                checks.append((no_pretax & ~F.col("n2_present"),
-                               F.lit("'NoneType' object has no attribute 'empty'")))
+                checks.append((no_pretax & ~F.col("n1_present"), F.lit(MSG_NONE_EMPTY)))
+                checks.append((no_pretax & ~F.col("n2_present") & F.col("n1_avail"), F.lit(MSG_NONE_SUBSCRIPT)))
+                checks.append((no_pretax & ~F.col("n2_present"), F.lit(MSG_NONE_EMPTY)))
                 checks.append((no_pretax & ~F.col("n1_avail") & ~F.col("n2_avail"),
-                               F.lit(f"No {PRETAX_TAG} Tag Found")))
+                               F.lit(MSG_TAG_MISSING % PRETAX_TAG)))
             continue
         if kind[name] == "fallback":
-            checks.append((~has("avail", main[name]), F.lit(f"No {tag} Tag Found")))
+            checks.append((~has("avail", main[name]), F.lit(MSG_TAG_MISSING % tag)))
         else:
-            checks.append((~has("present", [tag]), F.lit(f"No {tag} Tag Found")))
+            checks.append((~has("present", [tag]), F.lit(MSG_TAG_MISSING % tag)))
     err = None
     for cond, msg in checks:
         err = F.when(cond, msg) if err is None else err.when(cond, msg)
-    skip = F.format_string("Skip CIK %s (%s %s): Data incomplete or period not matched.",
-                           F.col("cik"), F.col("ticker"), F.col("name"))
-    error = (F.when(F.col("ns").isNull(), F.lit(f"No {ANCHOR_NAME} Tag Found"))
+    skip = F.format_string(MSG_SKIP, F.col("cik"), F.col("ticker"), F.col("name"))
+    error = (F.when(F.col("ns").isNull(), F.lit(MSG_TAG_MISSING % ANCHOR_NAME))
              .when(~F.coalesce(F.col("eligible"), F.lit(False)), skip)
              .otherwise(err.otherwise(F.lit(None))))
     comp = comp.withColumn("error", error).withColumn(
