@@ -27,45 +27,46 @@ from pyspark.sql import functions as F
 def forward_window_mean(anchors: DataFrame, prices: DataFrame, values=("close",), n: int = 5,
                         key: str = "key", ts: str = "ts", seq: str = "seq", anchor_id: str = "anchor_id",
                         bucket: str = "day", out_prefix: str = "mean_next") -> DataFrame:
-    """anchors(anchor_id, key, ts, ...) -> anchors + mean_next[_v] + n_used."""
+    """anchors(anchor_id, key, ts, ...) -> anchors + mean_next[_v] + n_used.
+
+    Large shuffles: the price+anchor union once by (key, bucket) -- both
+    windows and the bucket counts reuse that partitioning -- and the prices
+    once more by (key, global rank) for the target join. Everything else
+    moves one row per bucket or per anchor.
+    """
     values = list(values)
     b = lambda c: F.date_trunc(bucket, F.col(c))
-    p = prices.select(F.col(key).alias("_k"), F.col(ts).alias("_ts"), F.col(seq).alias("_seq"),
-                      *[F.col(v).alias(f"_v{i}") for i, v in enumerate(values)]).withColumn("_b", b("_ts"))
-    a = anchors.select(F.col(anchor_id).alias("_aid"), F.col(key).alias("_k"),
-                       F.col(ts).alias("_ts")).withColumn("_b", b("_ts"))
-
-    # 1. local rank inside (key, bucket)
-    wl = Window.partitionBy("_k", "_b").orderBy("_ts", "_seq")
-    p = p.withColumn("_lr", F.row_number().over(wl))
-
-    # 2. bucket offsets: one row per (key, bucket) present on either side
-    cnt = p.groupBy("_k", "_b").agg(F.count(F.lit(1)).alias("_c")).unionByName(
-        a.select("_k", "_b").distinct().withColumn("_c", F.lit(0).cast("long")))
-    cnt = cnt.groupBy("_k", "_b").agg(F.sum("_c").alias("_c"))
-    wb = Window.partitionBy("_k").orderBy("_b")
-    cnt = cnt.withColumn("_thru", F.sum("_c").over(wb.rowsBetween(Window.unboundedPreceding, 0)))
-    cnt = cnt.withColumn("_before", F.col("_thru") - F.col("_c"))
-    pg = (p.join(cnt.select("_k", "_b", "_before"), ["_k", "_b"])
-          .withColumn("_gr", F.col("_before") + F.col("_lr")))
-
-    # 3. first price at/after each anchor: prices sort before anchors at equal ts
-    aid_t = a.schema["_aid"].dataType
-    u = (p.select("_k", "_b", "_ts", F.lit(0).alias("_kind"), F.col("_seq"), "_lr", F.lit(None).cast(aid_t).alias("_aid"))
-         .unionByName(a.select("_k", "_b", "_ts", F.lit(1).alias("_kind"), F.lit(None).cast(p.schema["_seq"].dataType).alias("_seq"),
-                               F.lit(None).cast("int").alias("_lr"), F.col("_aid"))))
-    wd = Window.partitionBy("_k", "_b").orderBy(F.desc("_ts"), F.asc("_kind"), F.desc("_seq")) \
-        .rowsBetween(Window.unboundedPreceding, 0)
-    nxt = (u.withColumn("_nl", F.min("_lr").over(wd)).filter(F.col("_kind") == 1)
-           .join(cnt.select("_k", "_b", "_before", "_thru"), ["_k", "_b"])
-           .select("_aid", "_k", F.when(F.col("_nl").isNotNull(), F.col("_before") + F.col("_nl"))
-                   .otherwise(F.col("_thru") + 1).alias("_r0")))
-
+    vcols = [f"_v{i}" for i in range(len(values))]
+    pv = prices.select(F.col(key).alias("_k"), F.col(ts).alias("_ts"), F.col(seq).alias("_seq"),
+                       *[F.col(v).cast("double").alias(c) for v, c in zip(values, vcols)])
+    av = anchors.select(F.col(anchor_id).alias("_aid"), F.col(key).alias("_k"), F.col(ts).alias("_ts"))
+    aid_t, seq_t = av.schema["_aid"].dataType, pv.schema["_seq"].dataType
+    u = (pv.select("_k", "_ts", "_seq", F.lit(0).alias("_kind"), F.lit(None).cast(aid_t).alias("_aid"), *vcols)
+         .unionByName(av.select("_k", "_ts", F.lit(None).cast(seq_t).alias("_seq"), F.lit(1).alias("_kind"),
+                                "_aid", *[F.lit(None).cast("double").alias(c) for c in vcols]))
+         .withColumn("_b", b("_ts")))
+    # 1 + 3. inside (key, bucket): local rank of prices (ascending) and, for each
+    # anchor, the smallest local rank at/after it (descending running min; at
+    # equal ts prices sort before anchors so they count as "at or after").
+    wb = Window.partitionBy("_k", "_b")
+    is_p = F.col("_kind") == 0
+    u = u.withColumn("_lr", F.when(is_p, F.sum(is_p.cast("int")).over(
+        wb.orderBy("_kind", "_ts", "_seq").rowsBetween(Window.unboundedPreceding, 0))))
+    u = u.withColumn("_nl", F.min("_lr").over(
+        wb.orderBy(F.desc("_ts"), F.asc("_kind"), F.desc("_seq")).rowsBetween(Window.unboundedPreceding, 0)))
+    # 2. bucket offsets: counts per (key, bucket) -> running sum per key (one row per bucket)
+    cnt = u.groupBy("_k", "_b").agg(F.sum(is_p.cast("long")).alias("_c"))
+    cnt = cnt.withColumn("_thru", F.sum("_c").over(
+        Window.partitionBy("_k").orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)))
+    u = u.join(cnt.select("_k", "_b", "_thru", (F.col("_thru") - F.col("_c")).alias("_before")), ["_k", "_b"])
+    pg = u.filter(is_p).select("_k", (F.col("_before") + F.col("_lr")).alias("_gr"), *vcols)
+    nxt = u.filter(~is_p).select("_aid", "_k", F.when(F.col("_nl").isNotNull(), F.col("_before") + F.col("_nl"))
+                                 .otherwise(F.col("_thru") + 1).alias("_r0"))
     # 4. the n target ranks per anchor -> unique-key join to prices -> mean
     tgt = nxt.select("_aid", "_k", F.explode(F.sequence(F.col("_r0"), F.col("_r0") + (n - 1))).alias("_gr"))
-    hit = tgt.join(pg.select("_k", "_gr", *[f"_v{i}" for i in range(len(values))]), ["_k", "_gr"])
+    hit = tgt.join(pg, ["_k", "_gr"])
     names = [out_prefix] if len(values) == 1 else [f"{out_prefix}_{v}" for v in values]
-    agg = hit.groupBy("_aid").agg(*[F.avg(f"_v{i}").alias(nm) for i, nm in enumerate(names)],
+    agg = hit.groupBy("_aid").agg(*[F.avg(c).alias(nm) for c, nm in zip(vcols, names)],
                                   F.count(F.lit(1)).alias("n_used"))
     out = anchors.join(agg.withColumnRenamed("_aid", anchor_id), anchor_id, "left")
     return out.withColumn("n_used", F.coalesce(F.col("n_used"), F.lit(0).cast("long")))
