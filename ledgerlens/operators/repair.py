@@ -96,8 +96,13 @@ class CleanupResult:
     zero: DataFrame              # tickers routed for a zero share count
 
 
-def cleanup(panel: DataFrame) -> CleanupResult:
-    """Q1-Q7 over a valued panel; routes are disjoint and cover every input row."""
+def cleanup(panel: DataFrame, materialize: bool = True) -> CleanupResult:
+    """Q1-Q7 over a valued panel; routes are disjoint and cover every input row.
+
+    ``materialize`` checkpoints the repaired, re-valued rows (a stage boundary):
+    the clean / less-data routes, their flags and the route table then read it
+    instead of replaying the fill and repair windows once per output.
+    """
     dmg = damaged_flags(panel)
     damaged1 = panel.join(dmg.select("ticker"), "ticker", "left_semi")           # J9
     rest = panel.join(dmg.select("ticker"), "ticker", "left_anti")               # J10
@@ -111,6 +116,9 @@ def cleanup(panel: DataFrame) -> CleanupResult:
     repaired = repair_eps(rest2)                                                  # Q4
     e_msgs = eps_messages(repaired)
     repaired = valuation_v1(repaired.drop("eps_repaired"))                        # Q5
+    if materialize:
+        from ..session import cut
+        repaired = cut(repaired)
 
     less = company_flags(repaired, {"less": F.greatest(*[bq(c).isNull() for c in LESS_DATA_COLUMNS])}
                          ).filter("less").select("ticker")                         # Q6

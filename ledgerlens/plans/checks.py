@@ -306,7 +306,8 @@ def provenance_check(spark, sf_dir):
 def tag_inventory_check(spark, sf_dir):
     from ..operators.filters import namespace_choice
     from ..operators.resolve import tag_inventory
-    f = standin.raw_facts(spark, sf_dir)
+    from ..session import cut
+    f = cut(standin.raw_facts(spark, sf_dir))
     inv = tag_inventory(f, namespace_choice(f, standin.STANDIN_ANCHOR))
     return inv.select("cik", F.array_join("tags", ",").alias("tags"))
 
