@@ -240,7 +240,7 @@ def linear_results(plan: SearchPlan, industries, families=(LINEAR, RIDGE, KERNEL
     return out, coefs
 
 
-def tree_results(plan: SearchPlan, industries, families=(TREE, FOREST, BOOST), threads: int = 8,
+def tree_results(plan: SearchPlan, industries, families=(TREE, FOREST, BOOST), threads: int = 16,
                  max_depth: int = 30):
     """Spark ML fits per (industry, family, prefix), run concurrently."""
     from pyspark.ml.evaluation import RegressionEvaluator
@@ -305,7 +305,7 @@ def equation_text(b0, beta, feats):
     return f"Predicted Price = {b0:.3f} + \n    " + " + \n    ".join(terms)
 
 
-def search(features: DataFrame, families=MODEL_FAMILIES, threads: int = 8,
+def search(features: DataFrame, families=MODEL_FAMILIES, threads: int = 16,
            train_last: int = TRAIN_LAST_FY, test_first: int = TEST_FIRST_FY, plan: SearchPlan | None = None):
     """Full M1-M12 search -> (results rows, best per family, best per industry, plan, coefs)."""
     plan = plan or prepare(features, train_last, test_first)
