@@ -266,3 +266,4 @@ MSG_SKIP = "Skip CIK %s (%s %s): Data incomplete or period not matched."
 MSG_NONE_EMPTY = "'NoneType' object has no attribute 'empty'"
 MSG_NONE_SUBSCRIPT = "'NoneType' object is not subscriptable"
 EPS_CALCULATED = "calculated: net_income / shares#"
+MSG_BAD_PAYLOAD = "Request Failure on filingMetadata"

@@ -418,3 +418,27 @@ def predict_best(plan: SearchPlan, best: dict, coefs, rows: DataFrame | None = N
     for p_ in parts[1:]:
         out = out.unionByName(p_)
     return out
+
+
+def save_tree_models(plan: SearchPlan, best: dict, path: str) -> dict:
+    """S11 for tree-family winners: refit the chosen (industry, prefix) model and
+    persist it with Spark ML's writer; returns {industry: model path}."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, RandomForestRegressor
+    out = {}
+    for ind, (ratio, k, fam, r2) in sorted(best.items()):
+        if fam not in (TREE, FOREST, BOOST):
+            continue
+        feats = plan.pools[ind][:k]
+        est = {TREE: DecisionTreeRegressor(labelCol="stock_price", maxDepth=30, seed=SEED),
+               FOREST: RandomForestRegressor(labelCol="stock_price", numTrees=FOREST_TREES, maxDepth=16,
+                                             featureSubsetStrategy="all", seed=SEED),
+               BOOST: GBTRegressor(labelCol="stock_price", maxIter=BOOST_ROUNDS, stepSize=BOOST_RATE,
+                                   maxDepth=6, seed=SEED)}[fam]
+        pipe = Pipeline(stages=[VectorAssembler(inputCols=feats, outputCol="features", handleInvalid="keep"), est])
+        model = pipe.fit(plan.data.filter((F.col(GROUP) == ind) & (F.col("split") == "train")))
+        target = f"{path}/{ind.replace('/', '_').replace(' ', '_')}"
+        model.write().overwrite().save(target)
+        out[ind] = target
+    return out

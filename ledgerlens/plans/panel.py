@@ -21,7 +21,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..constants import (EPS_CALCULATED, MSG_NONE_EMPTY, MSG_NONE_SUBSCRIPT, MSG_SKIP, MSG_TAG_MISSING,
+from ..constants import (EPS_CALCULATED, MSG_BAD_PAYLOAD, MSG_NONE_EMPTY, MSG_NONE_SUBSCRIPT, MSG_SKIP, MSG_TAG_MISSING,
                          ADDITIVE_TAG, ADDITIVE_TRIGGER, ALLOW_MISSING, ANCHOR_NAME, ANCHOR_TAG,
                          CURR_LIABILITY_INDUSTRIES, CURR_LIABILITY_TAGS, CURRASSET_SUBTRACT_TAGS,
                          EXPECTED_RECORDS, FALLBACKS, LINE_ITEMS, NONOPERATING_TAGS, SHARE_FALLBACKS,
@@ -213,7 +213,10 @@ def build_panel(facts: DataFrame, companies: DataFrame, prices: DataFrame | None
     for cond, msg in checks:
         err = F.when(cond, msg) if err is None else err.when(cond, msg)
     skip = F.format_string(MSG_SKIP, F.col("cik"), F.col("ticker"), F.col("name"))
-    error = (F.when(F.col("ns").isNull(), F.lit(MSG_TAG_MISSING % ANCHOR_NAME))
+    # F8: an unreadable metadata payload fails the company before any tag rule
+    bad = F.coalesce(F.col("bad_payload"), F.lit(False)) if "bad_payload" in comp.columns else F.lit(False)
+    error = (F.when(bad, F.lit(MSG_BAD_PAYLOAD))
+             .when(F.col("ns").isNull(), F.lit(MSG_TAG_MISSING % ANCHOR_NAME))
              .when(~F.coalesce(F.col("eligible"), F.lit(False)), skip)
              .otherwise(err.otherwise(F.lit(None))))
     comp = comp.withColumn("error", error).withColumn(

@@ -80,6 +80,7 @@ def write_fixture(root):
         "3": {"cik_str": 4444, "ticker": "DDD", "title": "Delta Co"},
         "4": {"cik_str": 5555, "ticker": "EEE", "title": "Epsilon plc"},
         "5": {"cik_str": 6666, "ticker": "FFF", "title": "Phi Corp"},
+        "6": {"cik_str": 7777, "ticker": "GGG", "title": "Gimel SA"},
     }
     with open(f"{root}/directory.json", "w") as f:
         json.dump(companies, f)
@@ -89,6 +90,8 @@ def write_fixture(root):
     for cik, (code, desc) in sic.items():
         with open(f"{root}/meta/CIK{cik:010d}.json", "w") as f:
             json.dump({"cik": str(cik), "sic": code, "sicDescription": desc}, f)
+    with open(f"{root}/meta/CIK0000007777.json", "w") as f:   # truncated payload
+        f.write('{"cik": "7777", "sic": "3571", "sicDesc')
 
     # AAA: plain filer; 2020 restated by a 10-K/A filed later
     a = base_company(1.0)
@@ -119,7 +122,8 @@ def write_fixture(root):
         "shares", [rec(y, f"{y}-12-31", f"{y + 1}-02-15", 10.0 * y - 20000.0, f"{y}-01-01") for y in (2015, 2016, 2017)])
     docs = {1111: facts_doc(1111, "Alpha Corp", a), 2222: facts_doc(2222, "Beta Inc", b),
             3333: facts_doc(3333, "Gamma Ltd", c), 4444: facts_doc(4444, "Delta Co", d),
-            5555: facts_doc(5555, "Epsilon plc", e, dei=e_dei), 6666: facts_doc(6666, "Phi Corp", f_)}
+            5555: facts_doc(5555, "Epsilon plc", e, dei=e_dei), 6666: facts_doc(6666, "Phi Corp", f_),
+            7777: facts_doc(7777, "Gimel SA", base_company(1.0))}
     for cik, doc in docs.items():
         with open(f"{root}/facts/CIK{cik:010d}.json", "w") as f:
             json.dump(doc, f)

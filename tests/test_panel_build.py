@@ -15,7 +15,7 @@ def built(spark, scratch):
     dirx = filings.read_directory(spark, f"{root}/directory.json")
     meta = filings.read_metadata(spark, f"{root}/meta/*.json")
     companies = dirx.join(meta, "cik").select("cik", "ticker", F.col("title").alias("name"), "industry",
-                                               "source_index")
+                                               "source_index", "bad_payload")
     prices = spark.read.json(f"{root}/prices.json").select(
         "ticker", F.to_date("d").alias("d"), "close_adj", "close_unadj")
     b = build_panel(facts, companies, prices, run_ts="2026-01-01 00:00:00")
@@ -26,7 +26,8 @@ def built(spark, scratch):
 
 def test_directory_pads_cik(built):
     ciks = sorted(r["cik"] for r in built["companies"].collect())
-    assert ciks == ["0000001111", "0000002222", "0000003333", "0000004444", "0000005555", "0000006666"]
+    assert ciks == ["0000001111", "0000002222", "0000003333", "0000004444", "0000005555", "0000006666",
+                    "0000007777"]
 
 
 def test_flatten_first_unit(built):
@@ -43,6 +44,7 @@ def test_log_statuses(built):
     assert log["CCC"]["status"] == "Fail"
     assert log["CCC"]["error"].startswith("Skip CIK 0000003333 (CCC Gamma Ltd)")
     assert log["DDD"]["error"] == "No NetIncomeLoss Tag Found"
+    assert log["GGG"]["status"] == "Fail" and log["GGG"]["error"] == "Request Failure on filingMetadata"
 
 
 def test_panel_rows_and_keep_latest(built):

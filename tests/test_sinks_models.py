@@ -73,3 +73,18 @@ def test_linear_model_persistence_roundtrip(spark, scratch):
     assert {r["industry"] for r in back} == set(best)
     for r in back:
         assert len(r["coef"]) == len(r["features"]) == len(r["mean"])
+
+
+def test_tree_model_persistence_roundtrip(spark, scratch):
+    from pyspark.ml import PipelineModel
+    from ledgerlens.plans.checks import features
+    from ledgerlens.plans import models as M
+    f = features(spark, "/root/testdata/sf0.001")
+    plan = M.prepare(f, 1999, 2000)
+    inds = M.eligible_industries(plan)[:1]
+    res = M.tree_results(plan, inds, ("Decision Tree",), threads=4)
+    _, best = M.select_best(res)
+    paths = M.save_tree_models(plan, best, f"{scratch}/tree_models")
+    m = PipelineModel.load(paths[inds[0]])
+    scored = m.transform(plan.data.filter(F.col("broad_industry") == inds[0]))
+    assert scored.filter(F.col("prediction").isNull()).count() == 0
