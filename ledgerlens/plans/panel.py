@@ -165,7 +165,6 @@ def build_panel(facts: DataFrame, companies: DataFrame, prices: DataFrame | None
         "eps_recent": F.coalesce("eps_recent", F.lit(False))})
     has = lambda arr, tags: F.exists(F.col(arr), lambda x: x.isin(*tags))
     comp = comp.withColumns({
-        "share_broadcast": F.coalesce(F.col("s_mfy") < start, F.lit(False)),
         "sga_present": has("present", [SGA_TAG]),
         "currasset_present": has("present", [CURRASSET_TAG]),
         "sub_present": has("present", CURRASSET_SUBTRACT_TAGS),
@@ -180,6 +179,11 @@ def build_panel(facts: DataFrame, companies: DataFrame, prices: DataFrame | None
     # share presence counts any (ns, tag) pair, even without annual rows
     sp = s_present.groupBy("cik").agg(F.count(F.lit(1)).alias("_np"))
     comp = comp.join(sp, "cik", "left").withColumn("has_shares", F.coalesce(F.col("_np"), F.lit(0)) > 0).drop("_np")
+    # Share tags exist but none reaches the study window (or none passes the
+    # form filter) -> the latest value (0 when there is none) fills every year
+    comp = comp.withColumns({
+        "share_broadcast": F.col("has_shares") & (F.col("s_mfy").isNull() | (F.col("s_mfy") < start)),
+        "s_lv": F.coalesce(F.col("s_lv"), F.lit(0.0))})
 
     # ---- K10 / Q8: first failing concept in processing order -> error text --------------
     checks = []
