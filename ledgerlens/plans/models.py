@@ -150,6 +150,9 @@ def gram_partials(plan: SearchPlan, industries, group: str = GROUP) -> DataFrame
     sizes = {i: sorted({k for _, k in prefix_sizes(len(pools[i]))}) for i in industries}
 
     def part(it):
+        # accumulate across the partition's Arrow batches; emit one partial per
+        # (industry, split) per partition
+        acc = {}
         for pdf in it:
             for (ind, sp), g in pdf.groupby([group, "split"]):
                 if ind not in pools:
@@ -159,25 +162,32 @@ def gram_partials(plan: SearchPlan, industries, group: str = GROUP) -> DataFrame
                 z = (g[pool].to_numpy(dtype=float) - mu) / sd
                 y = g["stock_price"].to_numpy(dtype=float)
                 ones = np.ones((len(y), 1))
-                blocks = []
                 a = np.hstack([ones, z, y[:, None]])
-                blocks.append((a.T @ a).ravel())
+                blocks = [(a.T @ a).ravel()]
                 for k in sizes[ind]:
                     phi = _design(z, k, True)
                     a2 = np.hstack([ones, phi, y[:, None]])
                     blocks.append((a2.T @ a2).ravel())
-                yield pd.DataFrame({group: [ind], "split": [sp], "g": [np.concatenate(blocks).tolist()]})
+                v = np.concatenate(blocks)
+                acc[(ind, sp)] = acc[(ind, sp)] + v if (ind, sp) in acc else v
+        if acc:
+            yield pd.DataFrame({group: [k[0] for k in acc], "split": [k[1] for k in acc],
+                                "g": [v.tolist() for v in acc.values()]})
 
     schema = StructType([StructField(group, StringType()), StructField("split", StringType()),
                          StructField("g", ArrayType(DoubleType()))])
     sel = plan.data.filter(F.col(group).isin(*industries)).select(group, "split", "stock_price",
                                                                   *[bq(c) for c in cand])
-    p = sel.mapInPandas(part, schema)
-    # grouped reduction of equal-length arrays (#rows per group = #partitions, bounded)
-    summed = p.groupBy(group, "split").agg(F.collect_list("g").alias("gs")).select(
-        group, "split", F.aggregate(F.slice("gs", 2, 1 << 30), F.col("gs")[0],
-                                    lambda acc, x: F.zip_with(acc, x, lambda u, v: u + v)).alias("g"))
-    return summed
+    p = sel.mapInPandas(part, schema).withColumn("_pid", F.spark_partition_id())
+
+    def array_sum(col):
+        return F.aggregate(F.slice(col, 2, 1 << 30), col[0], lambda acc, x: F.zip_with(acc, x, lambda u, v: u + v))
+
+    # two-level tree reduction: each task adds at most ~P/64 (then 64) partial
+    # Gram arrays, however many partitions the data has
+    lvl1 = p.groupBy(group, "split", (F.col("_pid") % 64).alias("_b")).agg(
+        array_sum(F.collect_list("g")).alias("g"))
+    return lvl1.groupBy(group, "split").agg(array_sum(F.collect_list("g")).alias("g"))
 
 
 def _solve(G, idx, yi, alpha):

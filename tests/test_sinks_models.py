@@ -88,3 +88,27 @@ def test_tree_model_persistence_roundtrip(spark, scratch):
     m = PipelineModel.load(paths[inds[0]])
     scored = m.transform(plan.data.filter(F.col("broad_industry") == inds[0]))
     assert scored.filter(F.col("prediction").isNull()).count() == 0
+
+
+def test_gram_search_matches_row_level_lstsq(spark):
+    """The distributed Gram pass reproduces a row-level least-squares fit per prefix."""
+    from ledgerlens.plans.checks import features
+    from ledgerlens.plans import models as M
+    plan = M.prepare(features(spark, "/root/testdata/sf0.001"), 1999, 2000)
+    inds = M.eligible_industries(plan)
+    res, _ = M.linear_results(plan, inds, ("Linear Regression",))
+    pdf = plan.data.toPandas()
+    for ind in inds:
+        pool, (mu, sd) = plan.pools[ind], plan.stats[ind]
+        d = pdf[pdf.broad_industry == ind]
+        tr, te = d[d.split == "train"], d[d.split == "test"]
+        for ratio, k in M.prefix_sizes(len(pool))[:3]:
+            xtr = (tr[pool[:k]].to_numpy(float) - mu[:k]) / sd[:k]
+            xte = (te[pool[:k]].to_numpy(float) - mu[:k]) / sd[:k]
+            coef = np.linalg.lstsq(np.hstack([np.ones((len(xtr), 1)), xtr]), tr.stock_price.to_numpy(float),
+                                   rcond=None)[0]
+            y = te.stock_price.to_numpy(float)
+            pred = coef[0] + xte @ coef[1:]
+            r2 = 1 - ((y - pred) ** 2).sum() / ((y - y.mean()) ** 2).sum()
+            got = [r[4] for r in res if r[0] == ind and r[2] == ratio][0]
+            assert got == pytest.approx(r2, abs=1e-4)
