@@ -81,12 +81,14 @@ def write_fixture(root):
         "4": {"cik_str": 5555, "ticker": "EEE", "title": "Epsilon plc"},
         "5": {"cik_str": 6666, "ticker": "FFF", "title": "Phi Corp"},
         "6": {"cik_str": 7777, "ticker": "GGG", "title": "Gimel SA"},
+        "7": {"cik_str": 8888, "ticker": "HHH", "title": "Heth Inc"},
     }
     with open(f"{root}/directory.json", "w") as f:
         json.dump(companies, f)
     sic = {1111: ("3571", "ELECTRONIC COMPUTERS"), 2222: ("5331", "RETAIL-VARIETY STORES"),
            3333: ("1311", "CRUDE PETROLEUM"), 4444: ("7372", "SERVICES-PREPACKAGED SOFTWARE"),
-           5555: ("2834", "PHARMACEUTICAL PREPARATIONS"), 6666: ("4911", "ELECTRIC SERVICES")}
+           5555: ("2834", "PHARMACEUTICAL PREPARATIONS"), 6666: ("4911", "ELECTRIC SERVICES"),
+           8888: ("5411", "RETAIL-GROCERY STORES")}
     for cik, (code, desc) in sic.items():
         with open(f"{root}/meta/CIK{cik:010d}.json", "w") as f:
             json.dump({"cik": str(cik), "sic": code, "sicDescription": desc}, f)
@@ -120,10 +122,15 @@ def write_fixture(root):
     f_ = base_company(1.0)
     f_["WeightedAverageNumberOfSharesOutstandingBasic"] = (
         "shares", [rec(y, f"{y}-12-31", f"{y + 1}-02-15", 10.0 * y - 20000.0, f"{y}-01-01") for y in (2015, 2016, 2017)])
+    # HHH: share counts only in quarterly reports -> none passes the annual-form filter
+    h = base_company(1.0)
+    h["WeightedAverageNumberOfSharesOutstandingBasic"] = (
+        "shares", [rec(y, f"{y}-03-31", f"{y}-05-01", 77.0, f"{y}-01-01", "10-Q", "Q1") for y in YEARS])
     docs = {1111: facts_doc(1111, "Alpha Corp", a), 2222: facts_doc(2222, "Beta Inc", b),
             3333: facts_doc(3333, "Gamma Ltd", c), 4444: facts_doc(4444, "Delta Co", d),
             5555: facts_doc(5555, "Epsilon plc", e, dei=e_dei), 6666: facts_doc(6666, "Phi Corp", f_),
-            7777: facts_doc(7777, "Gimel SA", base_company(1.0))}
+            7777: facts_doc(7777, "Gimel SA", base_company(1.0)),
+            8888: facts_doc(8888, "Heth Inc", h)}
     for cik, doc in docs.items():
         with open(f"{root}/facts/CIK{cik:010d}.json", "w") as f:
             json.dump(doc, f)

@@ -27,7 +27,7 @@ def built(spark, scratch):
 def test_directory_pads_cik(built):
     ciks = sorted(r["cik"] for r in built["companies"].collect())
     assert ciks == ["0000001111", "0000002222", "0000003333", "0000004444", "0000005555", "0000006666",
-                    "0000007777"]
+                    "0000007777", "0000008888"]
 
 
 def test_flatten_first_unit(built):
@@ -124,6 +124,12 @@ def test_stale_share_count_is_carried_forward(built):
     assert "shares# = ;" in p[("FFF", 2020)]["tag_history"]
 
 
+def test_share_tags_without_annual_rows_carry_zero(built):
+    """J8 edge: share tags exist but no record passes the form filter -> 0 in every year."""
+    p = built["panel"]
+    assert [p[("HHH", y)]["shares#"] for y in range(2019, 2026)] == [0.0] * 7
+
+
 def test_strict_vs_relaxed_share_alignment(built, spark):
     """Cover-page share counts dated off the fiscal year end."""
     from ledgerlens.plans.panel import build_panel
