@@ -10,19 +10,34 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import mixing, simhash
+from ledgerlens.llm import langid, mixing, packing, secret_scan, simhash
 from ledgerlens.session import checkpoint_dir
 
 
+def language(spark, docs, sf_dir):
+    """Operator 3: documents without a language (``und``: null text, no letter) go; the
+    others stay, and one without a lang gets the predicted one."""
+    model = langid.fit(docs.filter(~langid.held_out(F.col("doc_id"))), "text", "lang")
+    rows = docs.withColumn("__p", langid.predictor(spark, model)("text")).filter("__p.lang_pred <> 'und'")
+    return rows.withColumn("lang", F.coalesce("lang", "__p.lang_pred")).select(*docs.columns)
+
+
 def near_duplicates(spark, docs, sf_dir):
     """Operator 2: of each group of SimHash near-duplicates the document with the
     smallest doc_id stays, once. A document without an id stays only if no document
-    of its group has one."""
+    of its group has one; of several without an id in a group one stays."""
     groups = simhash.simhash_components(docs)
     keep = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))) \
-        .groupBy(F.col("doc_id").alias("kept_id"), "fingerprint").agg(F.lit(1).alias("one")).drop("one", "fingerprint")
-    kept = docs.join(keep, docs["doc_id"].eqNullSafe(keep["kept_id"]), "left_semi")
-    return kept.dropDuplicates(["doc_id"]).select(*docs.columns)
+        .groupBy(F.col("doc_id").alias("__id")).agg(F.lit(1).alias("__one"))
+    kept = docs.join(keep, docs["doc_id"].eqNullSafe(keep["__id"]), "left_semi")
+    named = kept.filter("doc_id is not null").dropDuplicates(["doc_id"])
+    # rows without an id: once per text (a null id is no name by which to tell groups apart)
+    return named.unionByName(kept.filter("doc_id is null").dropDuplicates(["text"])).select(*docs.columns)
+
+
+def secrets(spark, docs, sf_dir):
+    """Operator 4: every secret in a text becomes [SECRET]; n_chars follows."""
+    return secret_scan.redact(docs).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
 def mix(spark, docs, sf_dir):
@@ -30,9 +45,17 @@ def mix(spark, docs, sf_dir):
     return mixing.mixed_documents(docs)
 
 
+def sequences(spark, docs, sf_dir):
+    """Operator 6: the mix's documents packed into sequences, a row per piece."""
+    return packing.pack_documents(docs)
+
+
 STAGES = [
+    ("language", language),
     ("near_duplicates", near_duplicates),
+    ("secrets", secrets),
     ("mix", mix),
+    ("sequences", sequences),
 ]
 
 #: Language models, near-duplicate groups and rounded Newton solutions have no SQL;

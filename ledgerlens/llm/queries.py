@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import mixing, simhash
+from . import langid, mixing, packing, secret_scan, simhash
 from .common import table
 
 
@@ -12,12 +12,27 @@ def op1_entropy_mix(spark, sf_dir):
 
 
 def op2_simhash(spark, sf_dir):
-    return simhash.simhash_components(table(spark, sf_dir, "documents"))
+    return simhash.simhash_components(table(spark, sf_dir, "documents"), shingle=4, max_bits=4)
+
+
+def op3_language_id(spark, sf_dir):
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
+def op4_secret_scan(spark, sf_dir):
+    return secret_scan.digest_columns(secret_scan.secret_spans(table(spark, sf_dir, "documents")))
+
+
+def op6_packing(spark, sf_dir):
+    return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {
     "op1_entropy_mix": op1_entropy_mix,
     "op2_simhash": op2_simhash,
+    "op3_language_id": op3_language_id,
+    "op4_secret_scan": op4_secret_scan,
+    "op6_packing": op6_packing,
 }
 
 ORACLE: dict[str, str] = {}
