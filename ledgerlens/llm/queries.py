@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import langid, mixing, packing, secret_scan, simhash
+from . import langid, mixing, packing, secret_scan, simhash, token_counts, url_filter
 from .common import table
 
 
@@ -27,12 +27,23 @@ def op6_packing(spark, sf_dir):
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op7_url_filter(spark, sf_dir):
+    return url_filter.judge_urls(table(spark, sf_dir, "pages"))
+
+
+def op8_token_counts(spark, sf_dir):
+    """Counted with a cache of its own: every run encodes every distinct text."""
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), token_counts.fresh_cache(spark))
+
+
 QUERIES = {
     "op1_entropy_mix": op1_entropy_mix,
     "op2_simhash": op2_simhash,
     "op3_language_id": op3_language_id,
     "op4_secret_scan": op4_secret_scan,
     "op6_packing": op6_packing,
+    "op7_url_filter": op7_url_filter,
+    "op8_token_counts": op8_token_counts,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op7_url_filter": url_filter.oracle_sql()}
