@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from . import langid, mixing, packing, secret_scan, simhash, token_counts, url_filter
+from pyspark.sql import functions as F
+
+from . import ann, embed_dedup, html_main, langid, mixing, packing, secret_scan, simhash, token_counts, url_filter
 from .common import table
 
 
@@ -23,6 +25,10 @@ def op4_secret_scan(spark, sf_dir):
     return secret_scan.digest_columns(secret_scan.secret_spans(table(spark, sf_dir, "documents")))
 
 
+def op5_main_text(spark, sf_dir):
+    return html_main.main_text(table(spark, sf_dir, "pages"))
+
+
 def op6_packing(spark, sf_dir):
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
@@ -36,14 +42,25 @@ def op8_token_counts(spark, sf_dir):
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), token_counts.fresh_cache(spark))
 
 
+def op9_nearest(spark, sf_dir):
+    return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+def op10_embedding_dedup(spark, sf_dir):
+    return embed_dedup.near_duplicate_vectors(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_entropy_mix": op1_entropy_mix,
     "op2_simhash": op2_simhash,
     "op3_language_id": op3_language_id,
     "op4_secret_scan": op4_secret_scan,
+    "op5_main_text": op5_main_text,
     "op6_packing": op6_packing,
     "op7_url_filter": op7_url_filter,
     "op8_token_counts": op8_token_counts,
+    "op9_nearest": op9_nearest,
+    "op10_embedding_dedup": op10_embedding_dedup,
 }
 
 ORACLE: dict[str, str] = {"op7_url_filter": url_filter.oracle_sql()}
