@@ -41,7 +41,11 @@ NEGATIVE = frozenset(
     "sharing sidebar signup skip social sponsor sponsored subscribe toolbar widget".split())
 ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search toolbar".split())
 POSITIVE = frozenset("article body content entry main post prose story text".split())
-KEPT = frozenset("html body article main".split())
+KEPT = frozenset("html body main".split())
+#: An article is dropped only for these (a reader's comment, a teaser), not for the others.
+NEGATIVE_ARTICLE = frozenset("ad ads advert advertisement comment comments promo related recommended replies reply sponsored".split())
+#: Class names that tell of something else on the page.
+ABOUT = re.compile(r"(?:has|with|no|is|js)-")
 
 TAG = re.compile(r"<!--|<[!?]|<(/?)([a-zA-Z][^\s/>]*)")
 REST = re.compile(r"""[^>"']*+(?:"[^"]*"[^>"']*+|'[^']*'[^>"']*+)*+>""")
@@ -65,7 +69,9 @@ def _is_boilerplate(tag: str, at: dict[str, str]) -> bool:
     if "hidden" in at or at.get("aria-hidden") == "true" or at.get("role") in ROLES \
             or "display:none" in at.get("style", "").replace(" ", ""):
         return True
-    return any(w in NEGATIVE for k in ("class", "id") for w in WORD.findall(at.get(k, "")))
+    bad = NEGATIVE_ARTICLE if tag == "article" else NEGATIVE
+    return any(w in bad for k in ("class", "id") for name in at.get(k, "").split() if not ABOUT.match(name)
+               for w in WORD.findall(name))
 
 
 def _label(tag: str, at: dict[str, str]) -> str:
