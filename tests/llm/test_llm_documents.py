@@ -1,0 +1,350 @@
+"""Operators 1, 2, 3, 4, 6 and 8 on awkward tables and against brute force."""
+
+import hashlib
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+import xxhash
+from llm_data import DOCS, EN, ROWS, clash, docs, rows_of
+
+from ledgerlens.llm import langid, mixing, packing, queries, secret_scan, simhash, token_counts
+from ledgerlens.llm.common import table
+from ledgerlens.llm.tokens import ByteIds, Counts
+
+SF = "/root/testdata/sf0.001"
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def operators(cache):
+    return {
+        "mix": mixing.entropy_mix, "simhash": simhash.simhash_components, "language": langid.identify,
+        "secrets": lambda d: secret_scan.digest_columns(secret_scan.secret_spans(d)), "packing": packing.pack_documents,
+        "counts": lambda d: token_counts.count_tokens(d, cache),
+    }
+
+
+@pytest.mark.parametrize("name", ["mix", "simhash", "language", "secrets", "packing", "counts"])
+def test_awkward_tables(spark, scratch, name):
+    """Nulls, empty and long texts, repeated rows: a row (or document) each, no matter
+    the other columns, the partitions or the order; an empty table gives no rows."""
+    op = operators(f"{scratch}/cache-{name}")[name]
+    got = op(docs(spark))
+    plain = [c for c in got.columns if c != "sequence_id"] if name == "packing" else got.columns
+    if name == "packing":
+        plain = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
+        per = Counter(r["doc_id"] for r in got.collect() if r["start"] == 0)
+        assert per == Counter(r[0] for r in ROWS)
+    else:
+        assert Counter(r["doc_id"] for r in got.collect()) == Counter(r[0] for r in ROWS)
+    again = op(clash(docs(spark, ROWS[::-1]).repartition(3)))
+    assert rows_of(got, *plain) == rows_of(again, *plain)
+    assert op(spark.createDataFrame([], DOCS)).collect() == []
+
+
+# --- operator 1
+
+def mix_by_hand(rows, weights=(5, 2, 1), cap=3):
+    size = defaultdict(int)
+    for _, text, _, source, _ in rows:
+        size[source] += len(WORD.findall(text or ""))
+    order = sorted((s for s in size if s is not None), key=lambda s: [ord(c) for c in s]) + [None] * (None in size)
+    w = {s: weights[i % len(weights)] for i, s in enumerate(order)}
+    target, left, open_ = {}, float(sum(size.values())), set(order)
+    while open_:
+        part = left / sum(w[s] for s in open_)
+        full = {s for s in open_ if cap * size[s] < w[s] * part}
+        if not full:
+            target |= {s: w[s] * part for s in open_}
+            break
+        for s in full:
+            target[s] = float(cap * size[s])
+            left -= target[s]
+        open_ -= full
+    return size, target
+
+
+def check_mix(rows, got, near):
+    size, target = mix_by_hand(rows)
+    taken = defaultdict(int)
+    for r in got:
+        assert r["source_size"] == size[r["source"]] and abs(r["target"] - target[r["source"]]) < 1e-6 * max(1, r["target"])
+        assert r["taken"] in (0, r["size"], 2 * r["size"], 3 * r["size"])
+        taken[r["source"]] += r["taken"]
+    for s, t in target.items():
+        assert abs(taken[s] - t) <= near(s, t), (s, taken[s], t)
+
+
+def test_mix_targets_and_rates(spark):
+    t = table(spark, SF, "documents")
+    rows = [tuple(r) for r in t.select("doc_id", "text", "lang", "source", "n_chars").collect()]
+    got = mixing.entropy_mix(t).collect()
+    check_mix(rows, got, lambda s, x: 0.1 * x)
+    by = defaultdict(list)
+    for r in got:
+        by[r["source"]].append(r)
+    for s, rs in by.items():    # one multiplier per source, and the rates meet the constraint
+        mean = sum(r["size"] for r in rs) / sum(r["size"] > 0 for r in rs)
+        lam = [np.log(r["rate"]) / (r["size"] / mean) ** 0.5 for r in rs if r["size"] and r["rate"] < 3]
+        assert max(lam) - min(lam) < 1e-9
+        assert abs(sum(r["rate"] * r["size"] for r in rs) / rs[0]["target"] - 1) < 1e-8
+
+
+def test_mix_saturates_and_reshares(spark):
+    """A tiny source with a large weight stops at three times its words."""
+    rows = [(i, "a b c d e f", "en", "a" if i < 2 else "b" if i < 40 else "c", 0) for i in range(80)]
+    got = mixing.entropy_mix(docs(spark, rows)).collect()
+    check_mix(rows, got, lambda s, x: 6)
+    assert {r["copies"] for r in got if r["source"] == "a"} == {3}
+
+
+def test_mix_repeats_are_told_apart(spark):
+    """One document repeated in most rows: its copies are rounded one by one."""
+    rows = [(1, "w " * 10, "en", "a", 0)] * 300 + [(i, "w " * 10, "en", "b", 0) for i in range(2, 102)]
+    got = mixing.entropy_mix(docs(spark, rows)).collect()
+    check_mix(rows, got, lambda s, x: 10)
+
+
+def test_mixed_documents_follow_the_copies(spark):
+    d = docs(spark)
+    want = Counter()
+    for r in mixing.entropy_mix(d).collect():
+        want[r["doc_id"]] += r["copies"]
+    out = mixing.mixed_documents(d)
+    assert out.columns == d.columns
+    assert Counter(r["doc_id"] for r in out.collect()) == +want
+
+
+# --- operator 2
+
+def fingerprint_by_hand(text, k=4):
+    words = WORD.findall("".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or ""))
+    grams = [" ".join(words[i:i + k]) for i in range(len(words) - k + 1)] or ([" ".join(words)] if words else [])
+    h = [xxhash.xxh64_intdigest(g.encode(), 42) for g in grams]
+    return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
+
+
+def components_by_hand(ids, fps, bits):
+    up = list(range(len(ids)))
+
+    def top(i):
+        while up[i] != i:
+            i = up[i]
+        return i
+
+    for i in range(len(ids)):
+        for j in range(i):
+            if (fps[i] ^ fps[j]).bit_count() <= bits:
+                up[top(i)] = top(j)
+    least = defaultdict(list)
+    for i, d in enumerate(ids):
+        least[top(i)].append(d)
+    return [min((x for x in least[top(i)] if x is not None), default=None) for i in range(len(ids))]
+
+
+def test_simhash_against_brute_force(spark):
+    rows = [(r[0], r[1]) for r in ROWS]
+    want = sorted((str(d), f"{fingerprint_by_hand(t):016x}", str(c)) for (d, t), c in
+                  zip(rows, components_by_hand([d for d, _ in rows], [fingerprint_by_hand(t) for _, t in rows], 4)))
+    assert rows_of(simhash.simhash_components(docs(spark))) == want
+
+
+@pytest.mark.parametrize("bits,groups,block", [(4, None, 16), (4, None, 16_384), (3, 4, 8), (2, 6, 16_384)])
+def test_links_lose_no_component(spark, bits, groups, block):
+    """Random, dense and chained fingerprints; blocks and cells leave the result alone."""
+    rng = np.random.default_rng(5)
+    fps = [int(x) for x in rng.integers(0, 1 << 63, 150)]
+    for base in fps[:3]:
+        for _ in range(60):
+            f = base
+            for b in rng.integers(0, 64, rng.integers(1, 9)):
+                f ^= 1 << int(b)
+            fps.append(f)
+    fps = sorted(set(fps))
+    signed = [f - (1 << 64) if f >> 63 else f for f in fps]
+    df = spark.createDataFrame([(f,) for f in signed], "fp long")
+    links = simhash.simhash_links(df, bits, groups or bits + 2, block).collect()
+    at = {f: i for i, f in enumerate(signed)}
+    roots = simhash.local_roots(np.array([at[r["a"]] for r in links]), np.array([at[r["b"]] for r in links]), len(fps))
+    assert roots.tolist() == components_by_hand(list(range(len(fps))), fps, bits)
+
+
+def test_large_dense_cell():
+    rng = np.random.default_rng(6)
+    fp = np.unique(np.bitwise_or.reduce(np.uint64(1) << rng.integers(0, 12, (900, 3)).astype(np.uint64), axis=1))
+    start, end = np.zeros(len(fp), int), np.full(len(fp), len(fp))
+    assert simhash.cell_links(fp, start, end, 4, small=16).tolist() == simhash.cell_links(fp, start, end, 4, small=10**6).tolist()
+
+
+# --- operator 3
+
+def test_language_held_out_accuracy(spark):
+    t = table(spark, "/root/testdata/sf0.01", "documents")
+    got = {r["doc_id"]: r for r in langid.identify(t).collect()}
+    held = right = 0
+    for r in t.select("doc_id", "lang").collect():
+        g = got[r["doc_id"]]
+        assert g["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2) and 0 <= g["score"] <= 1
+        held += g["held_out"]
+        right += g["held_out"] and g["lang_pred"] == r["lang"]
+    assert held > 200 and right / held > 0.98
+
+
+def test_language_undetermined(spark):
+    got = {r["doc_id"]: r["lang_pred"] for r in langid.identify(docs(spark)).collect()}
+    assert all(got[d] == "und" for d in (4, 5, 6, 9)) and all(got[d] != "und" for d in (1, 3, 7, 13))
+    none = langid.identify(docs(spark, [(1, EN, None, None, 1)])).collect()[0]
+    assert (none["lang_pred"], none["score"]) == ("und", 0.0)
+
+
+def test_families_are_told_apart_first():
+    rng = np.random.default_rng(1)
+    x = np.abs(rng.normal(size=(90, 30))).astype(np.float32)
+    labels = ["en", "de", "fr"] * 30
+    for i, v in enumerate(labels):
+        x[i, {"en": 0, "de": 1, "fr": 2}[v]] += 8
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    m = langid.Model(x, labels)
+    assert m.families == ["germanic", "romance"] and set(m.pairs) == {("germanic", 0, 1)}
+    assert m.predict(x)[0] == labels
+
+
+# --- operator 4
+
+BASE = {
+    "assign": re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A),
+    "access": re.compile(r"AKIA[A-Z0-9]+"), "hex": re.compile(r"[0-9a-f]+"),
+}
+
+
+def base_by_hand(text):
+    out = []
+    for n, (kind, p) in enumerate(BASE.items()):
+        for m in p.finditer(text or ""):
+            if len(m[2]) >= 6 if kind == "assign" else len(m[0]) >= (20, 24)[n - 1]:
+                out.append((m.start(), n, f"{kind}:{m.start()}:{m.end()}"))
+    return ",".join(x for *_, x in sorted(out))
+
+
+def test_base_spans(spark):
+    rows = ROWS + [(50, "é😀 API_KEY: 'abc.def-123' token=short; apikey=abcdefg secret   =   \"zzzzzz\"", "en", "a", 1),
+                   (51, "AKIA" + "A1" * 8 + " AKIASHORT ffffffffffffffffffffffff0 tokentoken=aaaaaa=bbb", "en", "a", 1),
+                   (52, "paſſword=abcdefgh toKen=abcdefgh PASSWD:abcdefgh", "en", "a", 1)]
+    spans = {str(r["doc_id"]) + (r["base_sha256"][:0]): r for r in secret_scan.digest_columns(secret_scan.secret_spans(docs(spark, rows))).collect()}
+    for d, text, *_ in rows:
+        if d is not None:
+            assert spans[str(d)]["base_sha256"] == hashlib.sha256(base_by_hand(text).encode()).hexdigest(), d
+    assert spans["50"]["n_assign"] == 3
+
+
+def test_token_efficiency_test():
+    voc = secret_scan.Vocabulary.of("byte_bpe_50k.tiktoken")
+
+    def kinds(text):
+        return [k for k, *_ in secret_scan.find(text, voc, 2.0)]
+
+    assert kinds("key is Zk3vQ9xW7pLr2TmY8bNc here") == ["random"]
+    for clean in ("d41d8cd98f00b204e9800998ecf8427e".upper(), "123e4567-e89b-12d3-a456-426614174000", "internationalization",
+                  "getUserAccountSettingsById2", "4242424242424242", "some-long-page-name-with-words-2024"):
+        assert "random" not in kinds(f"see {clean} there"), clean
+    assert kinds("password=Zk3vQ9xW7pLr2TmY8bNc") == ["assign"]     # an added span lies apart from the base ones
+
+
+def test_redaction(spark):
+    out = {r["doc_id"]: r["text"] for r in secret_scan.redact(docs(spark)).collect() if r["doc_id"]}
+    assert out[11] == 'x [SECRET]" [SECRET] [SECRET]' and out[1] == EN and out[4] is None
+
+
+# --- operator 6
+
+def test_pieces_round_trip(spark):
+    ids = ByteIds.of("byte_bpe_50k.json")
+    got = packing.pack_documents(docs(spark), max_tokens=64).collect()
+    per = defaultdict(list)
+    for r in got:
+        per[r["doc_id"]].append(r)
+    for d, text, *_ in ROWS:
+        if d in (None, 9):
+            continue
+        whole = np.array(ids.tokenizer.encode(text or "", add_special_tokens=False).ids + [0], "<u4")
+        at = 0
+        for r in sorted(per[d], key=lambda r: r["start"]):
+            assert r["start"] == at and r["doc_tokens"] == len(whole)
+            assert zlib.crc32(whole[at:at + r["length"]].tobytes()) == r["ids_crc32"]
+            at += r["length"]
+        assert at == len(whole)
+    seq = defaultdict(list)
+    for r in got:
+        seq[r["sequence_id"]].append((r["offset"], r["length"]))
+    for s in seq.values():
+        at = 0
+        for o, n in sorted(s):
+            assert o == at
+            at += n
+        assert at <= 64
+
+
+def test_packing_wastes_little(spark):
+    got = packing.pack_documents(table(spark, "/root/testdata/sf0.01", "documents")).collect()
+    n = len({r["sequence_id"] for r in got})
+    assert sum(r["length"] for r in got) / (1024 * n) > 0.99
+
+
+def test_three_limits_hold_at_once():
+    rng = np.random.default_rng(2)
+    demand = np.stack([rng.integers(1, 400, 500), np.ones(500, int), rng.integers(0, 200, 500)], axis=1)
+    limits = np.array([1024, 6, 400])
+    where = packing.dot_product_pack(demand, limits)
+    for b in range(where.max() + 1):
+        assert (demand[where == b].sum(axis=0) <= limits).all()
+    floor = np.ceil(demand.sum(axis=0) / limits).max()
+    assert where.max() + 1 <= 1.1 * floor
+    with pytest.raises(ValueError):
+        packing.dot_product_pack(np.array([[2000, 1, 0]]), limits)
+
+
+# --- operator 8 and the word caches
+
+ODD = ["a  b", " a", "a ", "a\n b", "a \n b", "\n", " ", "▁", "a▁b", "<|endoftext|> x", "<s> </s>", "don't  's", "x y z", "\x1c \x1d",
+       "a\t b\t", "   lead", "日本 語", "\U0001f600 \U0001f600", "", "12 345,  6", "\x85 \x85", "x  y", "a\nb c\nd", "a\n\nb"]
+
+
+def test_word_caches_agree_with_the_libraries():
+    import public_tokenizers as P
+    import sentencepiece
+    from tokenizers import Tokenizer
+
+    rng = np.random.default_rng(3)
+    texts = ODD + ["".join(rng.choice(list("ab  \n\t'sé▁日.1 "), rng.integers(0, 16))) for _ in range(3000)]
+    whole = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    ids = ByteIds.of("byte_bpe_50k.json").many(texts)
+    assert ids == [np.array(whole.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    pieces = sentencepiece.SentencePieceProcessor(model_file=P.path("piece_bpe_32k.model"))
+    assert Counts.of("piece_bpe_32k.model").many(texts) == [len(pieces.encode(t)) for t in texts]
+    low = Tokenizer.from_file(P.path("word_bpe_49k.json"))
+    assert Counts("word_bpe_49k.json").many(texts) == [len(low.encode(t, add_special_tokens=False).ids) for t in texts]
+
+
+def test_cache_is_read_and_extended(spark, scratch):
+    at = f"{scratch}/token-cache"
+    first = token_counts.count_tokens(docs(spark, ROWS[:6]), at)
+    want = rows_of(first)
+    stored = spark.read.parquet(at).count()
+    assert stored == 4      # EN, FR, empty (and null), white space
+    token_counts.count_tokens(docs(spark), at)
+    held = spark.read.parquet(at)
+    assert held.count() == held.select("content_digest").distinct().count() == len({r[1] or "" for r in ROWS})
+    # stored counts are used: a changed one comes back
+    which = token_counts.tokenizer_digest("piece_bpe_32k.model")
+    other = f"{scratch}/token-cache-2"
+    spark.createDataFrame([(hashlib.sha256(EN.encode()).hexdigest(), 77, which)], token_counts.CACHE) \
+        .write.partitionBy("tokenizer_digest").parquet(other)
+    got = {r["doc_id"]: r["n_tokens"] for r in token_counts.count_tokens(docs(spark, ROWS[:3]), other).collect()}
+    assert got[1] == got[2] == 77 and got[3] != 77
+    assert rows_of(token_counts.count_tokens(docs(spark, ROWS[:6]), at)) == want
+
+
+def test_every_operator_has_its_query():
+    assert sorted(int(k[2:].split("_")[0]) for k in queries.QUERIES) == list(range(1, 11))
