@@ -8,6 +8,7 @@ allow it) it is encoded whole.
 
 from __future__ import annotations
 
+import base64
 import json
 import os
 
@@ -70,6 +71,7 @@ class ByteIds:
         self.special = [t["content"] for t in d.get("added_tokens", [])]
         self.cache = WordCache(self._words)
         self.feed = self._ids("\n") if self.by_word else []
+        self.ranked = self._ranks(name, d["model"]) if len(self.feed) == 1 else None
 
     @classmethod
     def of(cls, name: str) -> "ByteIds":
@@ -77,6 +79,31 @@ class ByteIds:
             cls._held[name] = cls(name)
         return cls._held[name]
 
+    @staticmethod
+    def _ranks(name: str, model: dict):
+        """The same vocabulary as ranks, read by tiktoken, which encodes words several
+        times faster; or None. Used only if it provably gives the same ids: same bytes
+        for every id, and merges listed in the order of the ids they make, so that
+        merging by list and by rank are one and the same."""
+        import public_tokenizers
+        import tiktoken
+
+        path = public_tokenizers.path(name.removesuffix(".json") + ".tiktoken")
+        if not os.path.exists(path) or model.get("type") != "BPE" or model.get("ignore_merges"):
+            return None
+        with open(path, "rb") as f:
+            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+        plain = [*range(33, 127), *range(161, 173), *range(174, 256)]    # byte-level letters
+        letters = {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in plain)}
+        try:
+            vocab = {bytes(letters[c] for c in t): i for t, i in model["vocab"].items()}
+        except KeyError:
+            return None
+        made = [model["vocab"].get("".join(m if isinstance(m, list) else m.split(" "))) for m in model["merges"]]
+        if vocab != ranks or None in made or made != sorted(set(made)):
+            return None
+        return tiktoken.Encoding(name, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
     def _ids(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
@@ -86,8 +113,11 @@ class ByteIds:
         if len(self.feed) != 1:
             return [np.array(self._ids(w if w[0] == "\n" else " " + w), "<u4").tobytes() for w in words]
         plain = [w[1:] if w[0] == "\n" else " " + w for w in words]
-        texts = ["\n".join(plain[i:i + 200]) + "\n" for i in range(0, len(plain), 200)]
-        ids = np.array([x for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False) for x in e.ids], "<u4")
+        text = "\n".join(plain) + "\n"
+        if self.ranked:
+            ids = self.ranked.encode_to_numpy(text, disallowed_special=()).astype("<u4")
+        else:
+            ids = np.array(self._ids(text), "<u4")
         ends = (4 * np.flatnonzero(ids == self.feed[0])).tolist()
         raw, feed, at, out = ids.tobytes(), np.array(self.feed, "<u4").tobytes(), 0, []
         for w, e in zip(words, ends):
