@@ -58,8 +58,6 @@ FALLBACKS = {
         "SalesRevenueNet", "SalesRevenueGoodsNet"],
     "CostOfGoodsAndServicesSold": [
         "CostOfGoodsAndServicesSold", "CostOfRevenue", "CostOfGoodsSold", "CostsAndExpenses"],
-    "OperatingExpenses": [
-        "OperatingExpenses", "OperatingCosts", "TotalOperatingExpenses", "OperatingCostsAndExpenses"],
     "ga_fallbacks": ["GeneralAndAdministrativeExpense", "AdministrativeExpenses"],
     "sm_fallbacks": [
         "MarketingAndAdvertisingExpense", "SellingAndMarketingExpense",
@@ -167,16 +165,6 @@ VALUATION_V1_COLUMNS = [
 ]
 
 # ---- FIXED VALUES: analysis lists --------------------------------------------------
-RAW_FACTORS = [
-    "gross_revenue", "cost", "gross_profit", "expense_general/admin",
-    "expense_others", "operating_income", "nonoperating_income", "recurrent_profit",
-    "tax", "profit", "noncontrolling_interest", "net_income", "shares#", "eps",
-    "asset", "equity", "liabilities", "currasset", "inventory", "other_currasset",
-    "inven_other", "cash", "lt_asset", "curr_liabilities", "lt_liabilities",
-    "operating_cash", "investing_cash", "payment_cap", "payment_intangible",
-    "cap_ex", "financing_cash", "fcf", "cash_end", "inventory_delta", "dividend",
-]
-
 # ratio -> three breakpoints; a decreasing list means "lower is better".
 SCORE_BREAKPOINTS = {
     "equity_ratio": [0.1, 0.2, 0.5],
@@ -191,14 +179,6 @@ SCORE_BREAKPOINTS = {
 }
 SCORE_POINTS = [-5, 0, 5, 8]
 
-MODEL_FACTORS = [
-    "risk_factor", "career_value", "asset_value",
-    "theoretical_roe", "theoretical_pbr", "theoretical_price",
-    "theoretical_price_upper", "financial_leverage_ratio",
-    "leverage_factor", "roa_discount", "cashflowps_ratio",
-    "asset_pershare", "cash_per_asset_ratio",
-]
-PRICE_FACTORS = ["stock_price", "stock_price_unadjusted", "market_cap", "per", "pbr"]
 
 # Items divided by the share count (in this order).
 PER_SHARE_BASE = [
@@ -242,9 +222,10 @@ PROTECTED_COLUMNS = ["ticker", "fy", "stock_price", "market_cap", "broad_industr
 MIN_TRAIN_ROWS = 5
 MIN_TEST_ROWS = 2
 FEATURE_RATIOS = [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0]
+# The kernel and boosting families are named for what is fitted here.
 MODEL_FAMILIES = [
     "Linear Regression", "Ridge Regression", "Decision Tree",
-    "Random Forest", "SVR", "XGBoost",
+    "Random Forest", "Kernel Ridge (Fourier features)", "Gradient-Boosted Trees",
 ]
 RIDGE_ALPHA = 1.0
 FOREST_TREES = 100
@@ -253,6 +234,7 @@ BOOST_RATE = 0.05
 SEED = 42
 TOP_CAP_COMPANIES = 20
 BIN_COUNT = 100
+BAND_Z = 1.959963984540054   # 97.5 % point of the normal distribution
 
 # ---- FIXED VALUES: log and provenance texts ------------------------------------------
 MSG_DAMAGED_BOTH = 'Relocated to table "damaged_data" due to missing recurrent_profit and net_income.'
@@ -267,3 +249,14 @@ MSG_NONE_EMPTY = "'NoneType' object has no attribute 'empty'"
 MSG_NONE_SUBSCRIPT = "'NoneType' object is not subscriptable"
 EPS_CALCULATED = "calculated: net_income / shares#"
 MSG_BAD_PAYLOAD = "Request Failure on filingMetadata"
+MSG_BAD_FACTS = "Request Failure on companyFacts"
+MSG_NO_USED_TAG = "cannot access local variable 'used_tag' where it is not associated with a value"
+MSG_NO_DATA_COLS = "cannot access local variable 'data_cols' where it is not associated with a value"
+#: Patterns of the logged errors that a recovery run takes up again.
+RECOVERY_PATTERNS = [
+    "%line 1 column 1 (char 0)%",
+    "%cannot access local variable 'used_tag'%",
+    "%'NoneType' object has no attribute 'empty'%",
+    "%division by zero%",
+    "%cannot reindex on an axis with duplicate labels%",
+]

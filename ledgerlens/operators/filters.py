@@ -34,8 +34,11 @@ def study_window(col="fy", start: int = STUDY_START):
 def with_has_start(facts: DataFrame, keys=FACT_KEYS) -> DataFrame:
     """Per (cik, ns, tag, unit): does any record carry a period start?
 
-    Grouped aggregate + equi-join back (skew-safe partial aggregation).
+    The facts reader sets the flag while a tag's records are still one array; only
+    facts from elsewhere need the grouped aggregate and the join back.
     """
+    if "has_start" in facts.columns:
+        return facts
     hs = facts.groupBy(*keys).agg(F.max(F.col("start").isNotNull().cast("int")).cast("boolean").alias("has_start"))
     return facts.join(hs, keys)
 

@@ -1,177 +1,70 @@
 """Exact quantiles (linear interpolation) without funnelling a group into one task.
 
 Spark's exact ``percentile`` keeps every value of a group in one aggregation
-buffer, which does not survive a group holding a third of 100 TB. Here the
-exact order statistics are found by distributed refinement:
+buffer, which does not survive a group holding a third of 100 TB. Here:
 
-1. one grouped pass: count + an approximate quantile grid per (group, rank);
-2. pick a value bracket [a, b] around the wanted rank from the grid;
-3. next pass: exact counts below / inside the bracket (verification) plus a
-   finer grid inside it; repeat until a bracket holds <= ``collect_limit``
-   values, which are then collected (bounded) to read off the exact value.
+1. equal values of a group are merged with their count (partial aggregation, so
+   a value that fills half a group is one row);
+2. the distinct (group, value) rows are range-partitioned by group and value: a
+   large group spreads over as many partitions as its distinct values need;
+3. a running count inside each partition plus the counts of the partitions
+   before it (one small row per partition and group) give every row the ranks
+   it covers; the rows that cover a wanted rank hold the answer.
 
-Each pass is a partial aggregation over a (broadcast-joined) candidate filter,
-so work stays spread across tasks; the driver only sees per-group summaries.
-The number of groups must be bounded (industries x columns, a handful of
-columns) -- the targets table is broadcast.
+No passes to converge, no caps, no values on the driver: the result is one row
+per group and probability.
 """
 
 from __future__ import annotations
 
-import math
+from functools import reduce
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-GRID = 400
-ACCURACY = 100_000
+from ..session import cut
 
 
-def _targets_frame(spark, rows, key_types):
-    schema = StructType([StructField(f"_k{i}", t, True) for i, t in enumerate(key_types)]
-                        + [StructField("_tid", StringType(), False),
-                           StructField("_lo", DoubleType(), True),
-                           StructField("_hi", DoubleType(), True)])
-    return spark.createDataFrame(rows, schema)
+def _same(left: DataFrame, right: DataFrame, pairs):
+    """Null-safe equality of the paired columns."""
+    return reduce(lambda a, p: a & left[p[0]].eqNullSafe(right[p[1]]), pairs, F.lit(True))
 
 
-def exact_quantiles(df: DataFrame, value: str, probs, keys=(), collect_limit: int = 20_000,
-                    max_passes: int = 12) -> DataFrame:
+def exact_quantiles(df: DataFrame, value: str, probs, keys=()) -> DataFrame:
     """Linear-interpolated quantiles of ``value`` per ``keys`` (NULL / NaN ignored).
 
-    Returns a small DataFrame (keys..., p, q).
-    """
-    spark = df.sparkSession
+    Returns (keys..., p, q), one row per group and probability; a null key is a
+    group like any other, a group without values has no row."""
     keys = list(keys)
-    v = F.col(value).cast("double")
-    base = (df.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], v.alias("_v"))
+    ks = [f"_k{i}" for i in range(len(keys))]
+    base = (df.select(*[F.col(f"`{k}`").alias(a) for k, a in zip(keys, ks)], F.col(f"`{value}`").cast("double").alias("_v"))
             .filter(F.col("_v").isNotNull() & ~F.isnan("_v")))
-    key_types = [f.dataType for f in base.schema.fields[:len(keys)]]
-    kcols = [f"_k{i}" for i in range(len(keys))]
-    base = base.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        counts = {tuple(r[c] for c in kcols): r["n"]
-                  for r in base.groupBy(*kcols).agg(F.count(F.lit(1)).alias("n")).collect()}
-        # targets: (key, rank) -> bracket state
-        state = {}
-        for key, n in counts.items():
-            for p in probs:
-                pos = p * (n - 1)
-                k0 = int(math.floor(pos))
-                for r in {k0, min(k0 + 1, n - 1)}:
-                    tid = repr((key, r))
-                    state[tid] = {"key": key, "r": r, "lo": None, "hi": None, "below": 0, "m": n,
-                                  "value": None}
-        grid_p = [i / GRID for i in range(GRID + 1)]
-        margin_base = 2.0 / GRID + 4.0 / ACCURACY
-        widen = {tid: 1.0 for tid in state}
-        for _ in range(max_passes):
-            open_ = {t: s for t, s in state.items() if s["value"] is None}
-            if not open_:
-                break
-            small = {t: s for t, s in open_.items() if s["m"] <= collect_limit}
-            big = {t: s for t, s in open_.items() if s["m"] > collect_limit}
-            if small:
-                tf = [(*s["key"], t, s["lo"], s["hi"]) for t, s in small.items()]
-                cand = _candidates(base, tf, kcols)
-                for row in cand.groupBy("_tid").agg(F.sort_array(F.collect_list("_v")).alias("vals")).collect():
-                    s = state[row["_tid"]]
-                    vals = row["vals"]
-                    s["value"] = vals[s["r"] - s["below"]]
-            if big:
-                # propose brackets from a grid over the current bracket, then verify exactly
-                tf = [(*s["key"], t, s["lo"], s["hi"]) for t, s in big.items()]
-                cand = _candidates(base, tf, kcols)
-                grids = {row["_tid"]: row["g"] for row in cand.groupBy("_tid").agg(
-                    F.percentile_approx("_v", grid_p, ACCURACY).alias("g")).collect()}
-                prop = {}
-                for t, s in big.items():
-                    g = grids[t]
-                    frac = (s["r"] - s["below"]) / max(s["m"] - 1, 1)
-                    mg = margin_base * widen[t]
-                    ia = max(0, int(math.floor((frac - mg) * GRID)))
-                    ib = min(GRID, int(math.ceil((frac + mg) * GRID)))
-                    a = g[ia] if ia > 0 else s["lo"]
-                    b = g[ib] if ib < GRID else s["hi"]
-                    prop[t] = (a, b)
-                old = {t: (big[t]["lo"], big[t]["hi"]) for t in big}
-                # exact counts inside the *old* bracket: below a, inside [a, b]
-                cand = _candidates(base, tf, kcols)
-                if kcols:   # many targets: broadcast a (tid, a, b) table (bounded by #targets)
-                    bf = spark.createDataFrame(
-                        [(t, None if a is None else float(a), None if b is None else float(b))
-                         for t, (a, b) in prop.items()], "_tid string, _a double, _b double")
-                    cand = cand.join(F.broadcast(bf), "_tid")
-                else:       # a few targets: literal bounds
-                    a_col = F.lit(None).cast("double")
-                    b_col = F.lit(None).cast("double")
-                    tid = F.col("_tid")
-                    for t, (a, b) in prop.items():
-                        if a is not None:
-                            a_col = F.when(tid == t, F.lit(float(a))).otherwise(a_col)
-                        if b is not None:
-                            b_col = F.when(tid == t, F.lit(float(b))).otherwise(b_col)
-                    cand = cand.withColumns({"_a": a_col, "_b": b_col})
-                stats = (cand.groupBy("_tid").agg(
-                             F.sum(F.when(F.col("_a").isNotNull() & (F.col("_v") < F.col("_a")), 1).otherwise(0)).alias("lt"),
-                             F.sum(F.when((F.col("_a").isNull() | (F.col("_v") >= F.col("_a")))
-                                          & (F.col("_b").isNull() | (F.col("_v") <= F.col("_b"))), 1).otherwise(0)).alias("inn"))
-                         .collect())
-                for row in stats:
-                    t = row["_tid"]
-                    s = state[t]
-                    a, b = prop[t]
-                    nb = s["below"] + row["lt"]
-                    if nb <= s["r"] < nb + row["inn"]:
-                        s["lo"], s["hi"], s["below"], s["m"] = a, b, nb, row["inn"]
-                        if a is not None and a == b:
-                            s["value"] = a
-                    else:
-                        widen[t] *= 4.0
-                        s["lo"], s["hi"] = old[t]
-        out = []
-        for key, n in counts.items():
-            for p in probs:
-                pos = p * (n - 1)
-                k0 = int(math.floor(pos))
-                k1 = min(k0 + 1, n - 1)
-                x0 = state[repr((key, k0))]["value"]
-                x1 = state[repr((key, k1))]["value"]
-                frac = pos - k0
-                qv = x0 if k1 == k0 or frac == 0 else x0 + (x1 - x0) * frac
-                out.append((*key, float(p), float(qv)))
-    finally:
-        base.unpersist()
-    schema = StructType([StructField(k, t, True) for k, t in zip(keys, key_types)]
-                        + [StructField("p", DoubleType(), False), StructField("q", DoubleType(), True)])
-    return spark.createDataFrame(out, schema)
+    counted = base.groupBy(*ks, "_v").agg(F.count(F.lit(1)).alias("_n"))
+    # checkpointed, so that a row's partition number stays what it is
+    placed = cut(counted.repartitionByRange(*ks, "_v")).withColumn("_pid", F.spark_partition_id())
+    parts = placed.groupBy(*ks, "_pid").agg(F.sum("_n").alias("_m"))
+    w = Window.partitionBy(*ks).orderBy("_pid")     # one row per partition and group
+    parts = parts.withColumn("_before", F.sum("_m").over(w) - F.col("_m"))
+    # wanted ranks: p * (n - 1) and its neighbours
+    pos = F.col("_p") * (F.col("_total") - 1)
+    wanted = (parts.groupBy(*ks).agg(F.sum("_m").alias("_total"))
+              .withColumn("_p", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
+              .withColumns({"_r0": F.floor(pos), "_frac": pos - F.floor(pos)})
+              .withColumn("_r1", F.least(F.col("_r0") + 1, F.col("_total") - 1)))
+    inside = Window.partitionBy(*ks, "_pid").orderBy("_v")
+    upto = placed.withColumn("_upto", F.sum("_n").over(inside))
+    b = parts.select(*[F.col(k).alias(f"_b{k}") for k in ks], F.col("_pid").alias("_bpid"), "_before")
+    ranked = upto.join(b, _same(upto, b, [(k, f"_b{k}") for k in ks]) & (upto["_pid"] == b["_bpid"])) \
+        .select(*ks, "_v", (F.col("_before") + F.col("_upto") - F.col("_n")).alias("_lo"),
+                (F.col("_before") + F.col("_upto")).alias("_hi"))
+    t = wanted.select(*[F.col(k).alias(f"_t{k}") for k in ks], "_p", "_r0", "_r1", "_frac")
 
+    def covers(r):
+        return (F.col(r) >= F.col("_lo")) & (F.col(r) < F.col("_hi"))
 
-def _candidates(base: DataFrame, targets, kcols) -> DataFrame:
-    """Rows of each target's group inside its current [lo, hi] bracket.
-
-    ``targets`` is a list of (key..., tid, lo, hi) bounded by (#groups x #ranks).
-    Grouped: broadcast hash join on the group key. Ungrouped: the few targets
-    become literal bracket tests and each row is tagged with the targets it
-    falls into (explode of a fixed-size array), so no join is needed.
-    """
-    x = F.col("_v")
-    if kcols:
-        spark = base.sparkSession
-        key_types = [f.dataType for f in base.schema.fields[:len(kcols)]]
-        tf = _targets_frame(spark, targets, key_types)
-        lo, hi = F.col("_lo"), F.col("_hi")
-        return (base.join(F.broadcast(tf), kcols)
-                .filter((lo.isNull() | (x >= lo)) & (hi.isNull() | (x <= hi))).select("_tid", "_v"))
-    tags = []
-    for (tid, lo, hi) in targets:
-        cond = F.lit(True)
-        if lo is not None:
-            cond = cond & (x >= F.lit(float(lo)))
-        if hi is not None:
-            cond = cond & (x <= F.lit(float(hi)))
-        tags.append(F.when(cond, F.lit(tid)))
-    return (base.select(F.explode(F.array(*tags)).alias("_tid"), "_v")
-            .filter(F.col("_tid").isNotNull()))
+    hits = ranked.join(t, _same(ranked, t, [(k, f"_t{k}") for k in ks]) & (covers("_r0") | covers("_r1")))
+    got = hits.groupBy(*ks, "_p", "_frac").agg(F.max(F.when(covers("_r0"), F.col("_v"))).alias("_x0"),
+                                               F.max(F.when(covers("_r1"), F.col("_v"))).alias("_x1"))
+    q = F.when((F.col("_x0") == F.col("_x1")) | (F.col("_frac") == 0), F.col("_x0")) \
+        .otherwise(F.col("_x0") + (F.col("_x1") - F.col("_x0")) * F.col("_frac"))
+    return got.select(*[F.col(a).alias(k) for k, a in zip(keys, ks)], F.col("_p").alias("p"), q.alias("q"))

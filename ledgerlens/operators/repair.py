@@ -65,10 +65,18 @@ def _msg_list(df: DataFrame, msg_col: str, sep: str, order=("fy", "filed")) -> D
         F.array_join(F.transform(F.array_sort(F.collect_list(s)), lambda x: x["m"]), sep).alias(msg_col))
 
 
+def plain_number(x):
+    """A double as plain text: ``16000000000.0`` where a cast gives ``1.6E10`` (from 1e7
+    up to 1e16, beyond which the exponent form is the plain one); missing: ``nan``."""
+    digits = F.regexp_replace(x.cast("decimal(38,12)").cast("string"), "0+$", "")
+    text = F.when(F.endswith(digits, F.lit(".")), F.concat(digits, F.lit("0"))).otherwise(digits)
+    return F.when(x.isNull(), F.lit("nan")).when((F.abs(x) >= 1e7) & (F.abs(x) < 1e16), text).otherwise(x.cast("string"))
+
+
 def shares_fill_messages(filled: DataFrame) -> DataFrame:
     m = filled.filter("shares_filled").withColumn(
         "shares_msg", F.format_string(MSG_SHARES_FILLED,
-                                      F.col("fy").cast("string"), bq(SHARES).cast("string")))
+                                      F.col("fy").cast("string"), plain_number(bq(SHARES))))
     return _msg_list(m, "shares_msg", " , ")
 
 
@@ -151,6 +159,14 @@ def merge_log(log: DataFrame, messages: DataFrame, column: str = "update_after_c
     return out.withColumn(column, F.coalesce(F.col("_new"), old)).drop("_new")
 
 
+def success_rate(log: DataFrame, status: str = "status") -> DataFrame:
+    """One row with the companies that succeeded, all companies and the rate in
+    per cent (missing for an empty log)."""
+    ok = F.count(F.when(F.col(status) == "Success", 1))
+    return log.agg(ok.alias("n_success"), F.count(F.lit(1)).alias("n_companies"),
+                   F.try_divide(ok * 100.0, F.count(F.lit(1))).alias("success_pct"))
+
+
 def run_stats(routes: DataFrame) -> DataFrame:
     """Rows and companies per route."""
     return routes.groupBy("route").agg(F.count(F.lit(1)).alias("n_rows"),

@@ -47,7 +47,8 @@ def resolve_concepts(template: DataFrame, values: DataFrame, concepts: DataFrame
     supplied by the additive tag only).
 
     Plan: matched values -> ONE grouped aggregate per (cik, concept, row)
-    carrying both the lowest-rank fill value and the additive sum. Only the
+    carrying both the lowest-rank fill value and the additive sum; the additive
+    rule holds for companies that report a fill tag as well. Only the
     additive concepts (a fixed, tiny list) need the full template grid, built
     by tagging template rows with those concept names (no join), and a window
     per (cik, concept) -- bounded by the company's fiscal years -- decides
@@ -62,10 +63,9 @@ def resolve_concepts(template: DataFrame, values: DataFrame, concepts: DataFrame
     is_fill = F.col("mode") == "fill"
     agg = m.groupBy("cik", "concept", *keys).agg(
         F.min_by(F.struct("val", "rank"), F.when(is_fill, F.col("rank"))).alias("w"),
-        F.sum(F.when(~is_fill, F.col("val"))).alias("add_val"),
-        F.max((~is_fill).cast("int")).alias("has_add"))
+        F.sum(F.when(~is_fill, F.col("val"))).alias("add_val"))
     agg = agg.select("cik", "concept", *keys, F.col("w.val").alias("fill_val"), F.col("w.rank").alias("src_rank"),
-                     "add_val", "has_add")
+                     "add_val")
     plain = agg.filter(~F.col("concept").isin(*additive) if additive else F.lit(True)) \
         .filter(F.col("fill_val").isNotNull()) \
         .select("cik", "concept", *keys, F.col("fill_val").alias("val"), "src_rank", F.lit(False).alias("_by_add"))
@@ -73,14 +73,17 @@ def resolve_concepts(template: DataFrame, values: DataFrame, concepts: DataFrame
         return plain
     grid = template.select("cik", *keys, F.explode(F.array(*[F.lit(c) for c in additive])).alias("concept"))
     g = grid.join(agg.filter(F.col("concept").isin(*additive)), ["cik", "concept", *keys], "left")
+    # which kinds of tag the company reports at all, on a template row or not
+    kinds = v.filter(F.col("concept").isin(*additive)).groupBy("cik", "concept").agg(
+        F.max(is_fill).alias("_fill"), F.max(~is_fill).alias("_add"))
     w = Window.partitionBy("cik", "concept")
-    g = g.withColumns({"_empty": F.max(F.col("fill_val").isNull().cast("int")).over(w),
-                       "_add": F.max(F.coalesce(F.col("has_add"), F.lit(0))).over(w)})
-    reached = (F.col("_empty") == 1) & (F.col("_add") == 1)
+    g = g.withColumn("_empty", F.max(F.col("fill_val").isNull().cast("int")).over(w)).join(kinds, ["cik", "concept"])
+    reached = (F.col("_empty") == 1) & F.col("_add") & F.col("_fill")
+    # the only tag of a company is taken as it is: years without it stay missing
     val = F.when(reached, F.coalesce("fill_val", F.lit(0.0)) + F.coalesce("add_val", F.lit(0.0))) \
-        .otherwise(F.col("fill_val"))
+        .when(F.col("_add") & ~F.col("_fill"), F.col("add_val")).otherwise(F.col("fill_val"))
     added = g.select("cik", "concept", *keys, val.alias("val"), "src_rank",
-                     (reached & F.col("fill_val").isNull()).alias("_by_add")).filter(F.col("val").isNotNull())
+                     (F.col("_add") & F.col("fill_val").isNull()).alias("_by_add")).filter(F.col("val").isNotNull())
     return plain.unionByName(added)
 
 

@@ -2,7 +2,7 @@
 
 Everything is a grouped or global aggregate with partial (map-side)
 aggregation; the only values that reach the driver are bounded summaries
-(per-group quantile brackets, min/max scalars).
+(per-column quantile bounds, min/max scalars).
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..constants import (BIN_COUNT, MIN_GROUP_ROWS_CORR, OTHER_FOLD_LABEL, OTHER_GROUP,
+from ..constants import (BAND_Z, BIN_COUNT, MIN_GROUP_ROWS_CORR, OTHER_FOLD_LABEL, OTHER_GROUP,
                          SCORE_BREAKPOINTS, TOP_CAP_COMPANIES, TRIM_HIGH, TRIM_LOW)
 from ..functions.numeric import finite_or_null, is_neg_inf, is_pos_inf, null_d, num, safe_corr
 from .quantiles import exact_quantiles
@@ -113,11 +113,12 @@ def corr_by_group(df: DataFrame, factors, target: str = "stock_price",
 # ---- A8 / A9: fit quality of the theoretical price -----------------------------------------
 
 def r2_overall(df: DataFrame, y: str = "stock_price", p: str = "theoretical_price") -> DataFrame:
-    """A8 (Fig 5): R^2 = 1 - SSE/SST over rows where both sides are present."""
+    """A8 (Fig 5): R^2 = 1 - SSE/SST over rows where both sides are present; missing
+    for a constant price."""
     d = df.filter(F.col(y).isNotNull() & F.col(p).isNotNull())
     return d.agg(F.count(F.lit(1)).alias("n"),
-                 (F.lit(1.0) - F.sum((F.col(y) - F.col(p)) ** 2)
-                  / (F.count(F.lit(1)) * F.var_pop(F.col(y)))).alias("r2"))
+                 (F.lit(1.0) - F.try_divide(F.sum((F.col(y) - F.col(p)) ** 2),
+                                            F.count(F.lit(1)) * F.var_pop(F.col(y)))).alias("r2"))
 
 
 def r2_by_year(df: DataFrame, y: str = "stock_price", p: str = "theoretical_price") -> DataFrame:
@@ -132,14 +133,31 @@ def r2_by_year(df: DataFrame, y: str = "stock_price", p: str = "theoretical_pric
 
 
 def trend_line(df: DataFrame, y: str = "stock_price", x: str = "theoretical_price") -> DataFrame:
-    """OLS line of price on theoretical price plus the slope's standard error."""
+    """OLS line of price on theoretical price plus the slope's standard error
+    (missing where the line is: a constant side, or two rows)."""
     d = df.filter(F.col(y).isNotNull() & F.col(x).isNotNull())
     g = d.agg(F.regr_count(y, x).alias("n"), F.regr_slope(y, x).alias("slope"),
               F.regr_intercept(y, x).alias("intercept"), F.regr_r2(y, x).alias("r2"),
               F.regr_sxx(y, x).alias("sxx"), F.regr_syy(y, x).alias("syy"), F.regr_sxy(y, x).alias("sxy"))
     sse = F.col("syy") - F.col("slope") * F.col("sxy")
-    se = F.sqrt(F.try_divide(sse / (F.col("n") - 2), F.col("sxx")))
-    return g.select("n", "slope", "intercept", "r2", num(se).alias("se_slope"))
+    v = F.try_divide(F.try_divide(sse, F.col("n") - 2), F.col("sxx"))
+    return g.select("n", "slope", "intercept", "r2", num(F.sqrt(F.when(v < 0, F.lit(0.0)).otherwise(v))).alias("se_slope"))
+
+
+def trend_band(df: DataFrame, y: str = "stock_price", x: str = "theoretical_price", points: int = 100,
+               z: float = BAND_Z) -> DataFrame:
+    """The trend line at ``points`` equally spaced x with its 95 % confidence band,
+    fit +- z * s * sqrt(1/n + (x - mean)^2 / sxx); no rows where the line is undefined."""
+    d = df.filter(F.col(y).isNotNull() & F.col(x).isNotNull())
+    g = d.agg(F.regr_count(y, x).alias("n"), F.regr_slope(y, x).alias("slope"), F.regr_intercept(y, x).alias("intercept"),
+              F.regr_sxx(y, x).alias("sxx"), F.regr_syy(y, x).alias("syy"), F.regr_sxy(y, x).alias("sxy"),
+              F.avg(x).alias("mx"), F.min(x).alias("lo"), F.max(x).alias("hi")).filter("n > 2 and sxx > 0")
+    at = F.col("lo") + (F.col("hi") - F.col("lo")) * F.col("i") / (points - 1)
+    s2 = F.greatest(F.col("syy") - F.col("slope") * F.col("sxy"), F.lit(0.0)) / (F.col("n") - 2)
+    half = z * F.sqrt(s2 * (1 / F.col("n") + (F.col("x") - F.col("mx")) ** 2 / F.col("sxx")))
+    fit = F.col("intercept") + F.col("slope") * F.col("x")
+    return (g.withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(points - 1)))).withColumn("x", at)
+            .select(F.col("i").alias("point"), "x", fit.alias("fit"), (fit - half).alias("lower"), (fit + half).alias("upper")))
 
 
 # ---- A10: equal-width 2-D binning ------------------------------------------------------
@@ -170,15 +188,18 @@ def bin_pivot(df: DataFrame, row: str = "asset_value", col: str = "career_value"
 # ---- A11 / A12 / M1 / A13: missing-value profile and imputation ----------------------------
 
 def missing_profile(df: DataFrame, cols, group: str = "broad_industry") -> DataFrame:
-    """% of +inf, -inf and missing per column per group (rows with any > 0).
+    """% infinite (both signs), -inf and missing per column per group (rows with any > 0).
 
     Long form (explode -> grouped aggregate), partial aggregation map-side."""
     long = df.select(group, _stack(cols, "x", "column").alias("s")).select(group, "s.column", "s.x")
     x = F.col("x")
+
+    def share(cond):    # of all rows, missing ones too
+        return F.avg(F.coalesce(cond, F.lit(False)).cast("double")) * 100
+
     out = long.groupBy(group, "column").agg(
-        (F.avg(is_pos_inf(x).cast("double")) * 100).alias("inf_pct"),
-        (F.avg(is_neg_inf(x).cast("double")) * 100).alias("neginf_pct"),
-        (F.avg((x.isNull() | F.isnan(x)).cast("double")) * 100).alias("nan_pct"))
+        share(is_pos_inf(x) | is_neg_inf(x)).alias("inf_pct"), share(is_neg_inf(x)).alias("neginf_pct"),
+        share(x.isNull() | F.isnan(x)).alias("nan_pct"))
     return out.filter((F.col("inf_pct") + F.col("neginf_pct") + F.col("nan_pct")) > 0)
 
 
@@ -196,7 +217,7 @@ def missing_ratio(df: DataFrame, cols, group: str = "broad_industry") -> DataFra
 
 
 def group_medians(df: DataFrame, cols, group: str = "broad_industry") -> DataFrame:
-    """Exact per-group medians of many columns (distributed refinement)."""
+    """Exact per-group medians of many columns, one row each."""
     long = df.select(group, _stack(cols, "v", "column").alias("s")).select(group, "s.column", "s.v")
     long = long.withColumn("v", finite_or_null(F.col("v")))
     return exact_quantiles(long, "v", [0.5], keys=[group, "column"]).select(

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
-from ..constants import PANEL_BASE_COLUMNS, VALUATION_V1_COLUMNS
+from ..constants import MODEL_FAMILIES, PANEL_BASE_COLUMNS, VALUATION_V1_COLUMNS
 from ..functions.sic import broad_industry
 from ..operators.derive import derive_line_items
 from ..operators.valuation import valuation_v1, valuation_v2
@@ -121,6 +121,16 @@ def audit_merge(spark, sf_dir):
     return _cleanup(spark, sf_dir).messages
 
 
+def success_rate(spark, sf_dir):
+    """Companies that came through the cleanup, of all."""
+    from ..operators.repair import success_rate as rate
+    p = valued_panel(spark, sf_dir, 1)
+    r = _cleanup(spark, sf_dir)
+    bad = r.damaged.select("ticker").distinct().withColumn("status", F.lit("Fail"))
+    log = p.select("ticker").distinct().join(bad, "ticker", "left").withColumn("status", F.coalesce("status", F.lit("Success")))
+    return rounded(rate(log))
+
+
 def run_stats(spark, sf_dir):
     from ..operators.repair import run_stats as stats
     return stats(_cleanup(spark, sf_dir).routes)
@@ -152,7 +162,7 @@ def per_share_log(spark, sf_dir):
 def small_fold_check(spark, sf_dir):
     from ..constants import SMALL_SHARE_CAP, SMALL_SHARE_COUNT
     from ..operators.stats import industry_totals as totals, small_fold
-    t = totals(features(spark, sf_dir)).cache()
+    t = totals(features(spark, sf_dir))
     a = small_fold(t, "n_rows", SMALL_SHARE_COUNT).select("label", F.lit("n_rows").alias("metric"),
                                                          F.col("n_rows").cast("double").alias("value"))
     b = small_fold(t, "market_cap", SMALL_SHARE_CAP).select("label", F.lit("market_cap").alias("metric"),
@@ -196,6 +206,23 @@ def trend_line(spark, sf_dir):
     return rounded(f(trimmed(spark, sf_dir)))
 
 
+def trend_band(spark, sf_dir):
+    from ..operators.stats import trend_band as f
+    return rounded(f(trimmed(spark, sf_dir)))
+
+
+def size_scale_check(spark, sf_dir):
+    """Marker size of every company year."""
+    from ..operators.features import size_scale
+    return rounded(size_scale(features(spark, sf_dir)).select("ticker", "fy", "norm_size"))
+
+
+def sic_groups(spark, sf_dir):
+    """Industry text -> broad industry."""
+    p = derived_panel(spark, sf_dir)
+    return p.groupBy("industry", broad_industry("industry").alias("broad_industry")).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 def bin_pivot(spark, sf_dir):
     from ..operators.stats import bin_pivot as f
     return rounded(f(trimmed(spark, sf_dir)))
@@ -402,7 +429,7 @@ def ridge_prefix_r2(spark, sf_dir):
 
 
 def kernel_search(spark, sf_dir):
-    return _family_rows(spark, sf_dir, "SVR")
+    return _family_rows(spark, sf_dir, MODEL_FAMILIES[4])
 
 
 def tree_search(spark, sf_dir):
@@ -414,12 +441,11 @@ def forest_search(spark, sf_dir):
 
 
 def boost_search(spark, sf_dir):
-    return _family_rows(spark, sf_dir, "XGBoost")
+    return _family_rows(spark, sf_dir, MODEL_FAMILIES[5])
 
 
 def _full(spark, sf_dir):
     """All six families, assembled from the per-family searches (each fitted once)."""
-    from ..constants import MODEL_FAMILIES
     from . import models as M
     key = (spark.sparkContext.applicationId, sf_dir, "all")
     if key not in _SEARCH_CACHE:
@@ -467,7 +493,7 @@ def case_study(spark, sf_dir):
         picks = t if picks is None else picks.unionByName(t)
     rows = plan.data.join(picks, ["broad_industry", "ticker"], "left_semi")
     p = M.predict_best(plan, best, coefs, rows)
-    return rounded(p.select("broad_industry", "ticker", "fy", "stock_price", "prediction"))
+    return rounded(p.select("broad_industry", "ticker", "fy", "stock_price", "prediction")).orderBy("broad_industry", "fy")
 
 
 def top_cap_scores(spark, sf_dir):

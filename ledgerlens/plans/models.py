@@ -13,17 +13,17 @@ Spark-first layout:
   fits, one per (industry, prefix), launched concurrently from a small driver
   thread pool over a cached standardised frame.
 
-The "SVR" family is re-expressed as ridge regression on seeded random Fourier
-features of the RBF kernel (a kernel-machine approximation, not the exact
-epsilon-insensitive solver); "XGBoost" is Spark's GBTRegressor with the same
-rounds / learning rate.
+The kernel family is ridge regression on seeded random Fourier features of the
+RBF kernel (in place of a support vector regression); the boosting family is
+Spark's GBTRegressor. Both are reported under their own names.
 """
 
 from __future__ import annotations
 
 import math
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, field
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -41,7 +41,10 @@ from ..session import cut
 
 LINEAR, RIDGE, TREE, FOREST, KERNEL, BOOST = MODEL_FAMILIES[0], MODEL_FAMILIES[1], MODEL_FAMILIES[2], \
     MODEL_FAMILIES[3], MODEL_FAMILIES[4], MODEL_FAMILIES[5]
-RFF_DIM = 64
+RFF_DIM = 64            # random Fourier features per prefix
+FIT_PARTITIONS = 8      # training partitions of a tree model: bagging is seeded per partition, so their number is part of the model
+MAX_DEPTH = 30          # the library's limit; a tree that is not limited otherwise
+BOOST_DEPTH = 6
 KERNEL_C = 100.0
 GROUP = "broad_industry"
 
@@ -58,6 +61,7 @@ class SearchPlan:
     n_train: dict
     n_test: dict
     stats: dict                      # industry -> (mean vector, std vector) over the pool
+    models: dict = field(default_factory=dict)   # (industry, tree family, prefix size) -> fitted pipeline
 
 
 def prepare(features: DataFrame, train_last: int = TRAIN_LAST_FY, test_first: int = TEST_FIRST_FY,
@@ -140,10 +144,10 @@ def _design(z, k, kernel):
     return math.sqrt(2.0 / RFF_DIM) * np.cos(z[:, :k] @ w + b)
 
 
-def gram_partials(plan: SearchPlan, industries, group: str = GROUP) -> DataFrame:
+def gram_partials(plan: SearchPlan, industries, group: str = GROUP, kernel: bool = True) -> DataFrame:
     """One pass over the rows: per (industry, split) partial Gram sums for the
-    linear design [1, z_1..z_K, y] and the random-feature design of every
-    prefix, emitted per partition and reduced with a grouped array sum."""
+    linear design [1, z_1..z_K, y] and, if ``kernel``, the random-feature design of
+    every prefix, emitted per partition and reduced with a grouped array sum."""
     cand = [c for c in plan.data.columns if c not in ("ticker", "fy", group, "split", "stock_price", "market_cap")]
     pools = {i: plan.pools[i] for i in industries}
     stats = {i: plan.stats[i] for i in industries}
@@ -164,7 +168,7 @@ def gram_partials(plan: SearchPlan, industries, group: str = GROUP) -> DataFrame
                 ones = np.ones((len(y), 1))
                 a = np.hstack([ones, z, y[:, None]])
                 blocks = [(a.T @ a).ravel()]
-                for k in sizes[ind]:
+                for k in sizes[ind] if kernel else ():
                     phi = _design(z, k, True)
                     a2 = np.hstack([ones, phi, y[:, None]])
                     blocks.append((a2.T @ a2).ravel())
@@ -218,7 +222,8 @@ def _r2_from_gram(T, idx, yi, b0, beta):
 
 def linear_results(plan: SearchPlan, industries, families=(LINEAR, RIDGE, KERNEL)):
     """R^2 on test for OLS / ridge / random-feature kernel, every prefix."""
-    grams = {(r[GROUP], r["split"]): np.array(r["g"]) for r in gram_partials(plan, industries).collect()}
+    kernel = KERNEL in families
+    grams = {(r[GROUP], r["split"]): np.array(r["g"]) for r in gram_partials(plan, industries, kernel=kernel).collect()}
     out, coefs = [], {}
     for ind in industries:
         if (ind, "train") not in grams or (ind, "test") not in grams:
@@ -229,7 +234,7 @@ def linear_results(plan: SearchPlan, industries, families=(LINEAR, RIDGE, KERNEL
         d0 = (K + 2) ** 2
         G, T = gtr[:d0].reshape(K + 2, K + 2), gte[:d0].reshape(K + 2, K + 2)
         off, rff = d0, {}
-        for k in sizes:
+        for k in sizes if kernel else ():
             dk = (RFF_DIM + 2) ** 2
             rff[k] = (gtr[off:off + dk].reshape(RFF_DIM + 2, RFF_DIM + 2),
                       gte[off:off + dk].reshape(RFF_DIM + 2, RFF_DIM + 2))
@@ -250,48 +255,47 @@ def linear_results(plan: SearchPlan, industries, families=(LINEAR, RIDGE, KERNEL
     return out, coefs
 
 
-def tree_results(plan: SearchPlan, industries, families=(TREE, FOREST, BOOST), threads: int = 16,
-                 max_depth: int = 30):
-    """Spark ML fits per (industry, family, prefix), run concurrently."""
-    from pyspark.ml.evaluation import RegressionEvaluator
-    from pyspark.ml.feature import VectorAssembler
+def estimator(fam: str):
+    """The Spark ML estimator of a tree family; unlimited trees grow to MAX_DEPTH."""
     from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, RandomForestRegressor
+    if fam == TREE:
+        return DecisionTreeRegressor(labelCol="stock_price", maxDepth=MAX_DEPTH, seed=SEED)
+    if fam == FOREST:
+        return RandomForestRegressor(labelCol="stock_price", numTrees=FOREST_TREES, maxDepth=MAX_DEPTH,
+                                     featureSubsetStrategy="all", seed=SEED)
+    return GBTRegressor(labelCol="stock_price", maxIter=BOOST_ROUNDS, stepSize=BOOST_RATE, maxDepth=BOOST_DEPTH, seed=SEED)
+
+
+def fit_tree(plan: SearchPlan, ind: str, fam: str, k: int, data: DataFrame | None = None):
+    """The one fit of (industry, family, prefix), a pipeline of assembler and model: used
+    for its R^2, for scoring and for saving. Rows lie in FIT_PARTITIONS partitions by
+    ticker, in order, so that a later fit of the same rows is the same model."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import VectorAssembler
+    rows = (plan.data if data is None else data).filter((F.col(GROUP) == ind) & (F.col("split") == "train"))
+    rows = rows.repartition(FIT_PARTITIONS, "ticker").sortWithinPartitions("ticker", "fy")
+    va = VectorAssembler(inputCols=plan.pools[ind][:k], outputCol="features", handleInvalid="keep")
+    return Pipeline(stages=[va, estimator(fam)]).fit(rows)
 
-    data = plan.data.filter(F.col(GROUP).isin(*industries)).cache()
-    ev = RegressionEvaluator(labelCol="stock_price", predictionCol="prediction", metricName="r2")
 
-    def est(fam):
-        if fam == TREE:
-            return DecisionTreeRegressor(labelCol="stock_price", maxDepth=max_depth, seed=SEED)
-        if fam == FOREST:
-            return RandomForestRegressor(labelCol="stock_price", numTrees=FOREST_TREES, maxDepth=min(max_depth, 16),
-                                         featureSubsetStrategy="all", seed=SEED)
-        return GBTRegressor(labelCol="stock_price", maxIter=BOOST_ROUNDS, stepSize=BOOST_RATE, maxDepth=6,
-                            seed=SEED)
+def tree_results(plan: SearchPlan, industries, families=(TREE, FOREST, BOOST), threads: int = 16):
+    """Spark ML fits per (industry, family, prefix), run concurrently: (results, models)."""
+    from pyspark.ml.evaluation import RegressionEvaluator
 
-    jobs = []
-    for ind in industries:
-        for ratio, k in prefix_sizes(len(plan.pools[ind])):
-            for fam in families:
-                jobs.append((ind, fam, ratio, k))
+    data = plan.data.filter(F.col(GROUP).isin(*industries)).cache()
+    ev = RegressionEvaluator(labelCol="stock_price", predictionCol="prediction", metricName="r2")
+    jobs = [(ind, fam, ratio, k) for ind in industries for ratio, k in prefix_sizes(len(plan.pools[ind])) for fam in families]
 
     def run(job):
         ind, fam, ratio, k = job
-        feats = plan.pools[ind][:k]
-        va = VectorAssembler(inputCols=feats, outputCol="features", handleInvalid="keep")
-        sub = va.transform(data.filter(F.col(GROUP) == ind))
-        # iterative learners pay per-task overhead every round: size the
-        # training partitions to the industry's rows (~200k rows per task)
-        parts = max(1, plan.n_train.get(ind, 0) // 200_000)
-        tr = sub.filter(F.col("split") == "train").coalesce(parts)
-        te = sub.filter(F.col("split") == "test")
-        model = est(fam).fit(tr)
-        return (ind, fam, ratio, k, float(ev.evaluate(model.transform(te))))
+        model = fit_tree(plan, ind, fam, k, data)
+        test = data.filter((F.col(GROUP) == ind) & (F.col("split") == "test"))
+        return (ind, fam, ratio, k, float(ev.evaluate(model.transform(test)))), model
 
     with ThreadPoolExecutor(max_workers=threads) as ex:
-        res = list(ex.map(run, jobs))
+        done = list(ex.map(run, jobs))
     data.unpersist()
-    return res
+    return [r for r, _ in done], {(r[0], r[1], r[3]): m for r, m in done}
 
 
 def select_best(results):
@@ -324,7 +328,9 @@ def search(features: DataFrame, families=MODEL_FAMILIES, threads: int = 16,
     tree_f = [f for f in families if f in (TREE, FOREST, BOOST)]
     res, coefs = linear_results(plan, inds, lin_f) if lin_f else ([], {})
     if tree_f:
-        res += tree_results(plan, inds, tree_f, threads)
+        trees, models = tree_results(plan, inds, tree_f, threads)
+        res += trees
+        plan.models.update(models)
     best_fam, best = select_best(res)
     return res, best_fam, best, plan, coefs
 
@@ -344,32 +350,6 @@ def summary_frame(spark, best, plan) -> DataFrame:
                                        "No_of_Features int, No_of_Companies int, R2_Score double")
 
 
-def linear_predictions(plan: SearchPlan, coefs, choice: dict, rows: DataFrame | None = None) -> DataFrame:
-    """M15-M17 for linear-family winners: predictions as Column expressions from
-    the (industry -> intercept, coefficients) table -- no model object shipped."""
-    d = plan.data if rows is None else rows
-    pred = None
-    for ind, (fam, k) in choice.items():
-        b0, beta = coefs[(ind, fam, k)]
-        mu, sd = plan.stats[ind]
-        feats = plan.pools[ind][:k]
-        if fam == KERNEL:
-            w, b = _rff(k)
-            z = [(bq(f) - float(mu[i])) / float(sd[i]) for i, f in enumerate(feats)]
-            e = F.lit(b0)
-            for j in range(RFF_DIM):
-                arg = F.lit(float(b[j]))
-                for i in range(k):
-                    arg = arg + z[i] * float(w[i, j])
-                e = e + F.lit(beta[j] * math.sqrt(2.0 / RFF_DIM)) * F.cos(arg)
-        else:
-            e = F.lit(b0)
-            for i, f in enumerate(feats):
-                e = e + F.lit(beta[i]) * ((bq(f) - float(mu[i])) / float(sd[i]))
-        pred = F.when(F.col(GROUP) == ind, e) if pred is None else pred.when(F.col(GROUP) == ind, e)
-    return d.withColumn("prediction", pred if pred is not None else F.lit(None).cast("double"))
-
-
 def case_study_ticker(plan: SearchPlan, ind: str, seed: int = SEED) -> DataFrame:
     """A seeded pick of one test-set company of the industry."""
     t = plan.data.filter((F.col(GROUP) == ind) & (F.col("split") == "test")).select("ticker").distinct()
@@ -382,73 +362,79 @@ def top_cap_members(features: DataFrame, k: int = TOP_CAP_COMPANIES) -> DataFram
     return top_k_cap(features, k).select("ticker")
 
 
-def save_linear_models(spark, coefs, best, plan, path: str):
-    """Persist the chosen linear models as a small table (industry,
-    family, features, means, stds, intercept, coefficients)."""
+LINEAR_FIELDS = ("industry", "family", "features", "mean", "std", "intercept", "coef", "r2")
+
+
+def linear_rows(plan: SearchPlan, best: dict, coefs) -> list[tuple]:
+    """One row (LINEAR_FIELDS) per industry whose winner is a linear or kernel model."""
     rows = []
-    for ind, (ratio, k, fam, r2) in best.items():
-        if (ind, fam, k) not in coefs:
-            continue
-        b0, beta = coefs[(ind, fam, k)]
-        mu, sd = plan.stats[ind]
-        rows.append((ind, fam, plan.pools[ind][:k], [float(x) for x in mu[:k]], [float(x) for x in sd[:k]],
-                     float(b0), beta, float(r2)))
+    for ind, (ratio, k, fam, r2) in sorted(best.items()):
+        if (ind, fam, k) in coefs:
+            b0, beta = coefs[(ind, fam, k)]
+            mu, sd = plan.stats[ind]
+            rows.append((ind, fam, plan.pools[ind][:k], [float(x) for x in mu[:k]], [float(x) for x in sd[:k]],
+                         float(b0), beta, float(r2)))
+    return rows
+
+
+def save_linear_models(spark, coefs, best, plan, path: str):
+    """The chosen linear models as a small table; ``load_linear_models`` and
+    ``score_linear`` read and apply it."""
     schema = ("industry string, family string, features array<string>, mean array<double>, "
               "std array<double>, intercept double, coef array<double>, r2 double")
-    spark.createDataFrame(rows, schema).write.mode("overwrite").parquet(path)
+    spark.createDataFrame(linear_rows(plan, best, coefs), schema).write.mode("overwrite").parquet(path)
+
+
+def load_linear_models(spark, path: str):
+    """The table of ``save_linear_models`` as {industry: row}."""
+    return {r["industry"]: r for r in spark.read.parquet(path).collect()}
+
+
+def score_linear(models: dict, rows: DataFrame) -> DataFrame:
+    """Rows with ``prediction`` by loaded linear and kernel models (industries without
+    one drop), in one vectorised pass over Arrow batches."""
+    held = {i: (r["family"], list(r["features"]), np.array(r["mean"]), np.array(r["std"]), r["intercept"], np.array(r["coef"]))
+            for i, r in models.items()}
+    names = rows.columns
+    schema = StructType([*rows.schema.fields, StructField("prediction", DoubleType())])
+
+    def run(batches):
+        for b in batches:
+            for ind, g in b.groupby(GROUP):
+                if ind not in held:
+                    continue
+                fam, feats, mu, sd, b0, beta = held[ind]
+                z = (g[feats].to_numpy(dtype=float) - mu) / sd
+                yield g[names].assign(prediction=b0 + _design(z, len(feats), fam == KERNEL) @ beta)
+
+    return rows.mapInPandas(run, schema)
 
 
 def predict_best(plan: SearchPlan, best: dict, coefs, rows: DataFrame | None = None) -> DataFrame:
-    """Score rows with each industry's winning model. Linear winners
-    are Column expressions; a tree winner is refit once (its chosen prefix) and
-    applied with ``transform``."""
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, RandomForestRegressor
+    """Rows scored with each industry's winning model, the one whose R^2 won:
+    linear and kernel winners in one pass over Arrow batches, tree winners by their
+    fitted pipeline (fitted again, alike, only if the search ran elsewhere)."""
     d = plan.data if rows is None else rows
-    lin = {i: (v[2], v[1]) for i, v in best.items() if v[2] in (LINEAR, RIDGE, KERNEL)}
-    parts = []
-    if lin:
-        parts.append(linear_predictions(plan, coefs, lin, d.filter(F.col(GROUP).isin(*lin))))
-    for ind, (ratio, k, fam, r2) in best.items():
-        if fam in lin.get(ind, ("",))[0:1] or fam in (LINEAR, RIDGE, KERNEL):
-            continue
-        feats = plan.pools[ind][:k]
-        va = VectorAssembler(inputCols=feats, outputCol="features", handleInvalid="keep")
-        tr = va.transform(plan.data.filter((F.col(GROUP) == ind) & (F.col("split") == "train")))
-        est = {TREE: DecisionTreeRegressor(labelCol="stock_price", maxDepth=30, seed=SEED),
-               FOREST: RandomForestRegressor(labelCol="stock_price", numTrees=FOREST_TREES, maxDepth=16,
-                                             featureSubsetStrategy="all", seed=SEED),
-               BOOST: GBTRegressor(labelCol="stock_price", maxIter=BOOST_ROUNDS, stepSize=BOOST_RATE,
-                                   maxDepth=6, seed=SEED)}[fam]
-        m = est.fit(tr)
-        parts.append(m.transform(va.transform(d.filter(F.col(GROUP) == ind))).drop("features"))
+    lin = linear_rows(plan, best, coefs)
+    parts = [score_linear({r[0]: dict(zip(LINEAR_FIELDS, r)) for r in lin}, d)] if lin else []
+    for ind, (ratio, k, fam, r2) in sorted(best.items()):
+        if fam in (TREE, FOREST, BOOST):
+            model = plan.models.get((ind, fam, k)) or fit_tree(plan, ind, fam, k)
+            parts.append(model.transform(d.filter(F.col(GROUP) == ind)).drop("features"))
     if not parts:
         return d.withColumn("prediction", F.lit(None).cast("double")).limit(0)
-    out = parts[0]
-    for p_ in parts[1:]:
-        out = out.unionByName(p_)
-    return out
+    return reduce(DataFrame.unionByName, parts)
 
 
 def save_tree_models(plan: SearchPlan, best: dict, path: str) -> dict:
-    """S11 for tree-family winners: refit the chosen (industry, prefix) model and
-    persist it with Spark ML's writer; returns {industry: model path}."""
-    from pyspark.ml import Pipeline
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, RandomForestRegressor
+    """S11 for tree-family winners: the fitted pipeline by Spark ML's writer, which
+    ``PipelineModel.load`` reads back; returns {industry: model path}."""
     out = {}
     for ind, (ratio, k, fam, r2) in sorted(best.items()):
         if fam not in (TREE, FOREST, BOOST):
             continue
-        feats = plan.pools[ind][:k]
-        est = {TREE: DecisionTreeRegressor(labelCol="stock_price", maxDepth=30, seed=SEED),
-               FOREST: RandomForestRegressor(labelCol="stock_price", numTrees=FOREST_TREES, maxDepth=16,
-                                             featureSubsetStrategy="all", seed=SEED),
-               BOOST: GBTRegressor(labelCol="stock_price", maxIter=BOOST_ROUNDS, stepSize=BOOST_RATE,
-                                   maxDepth=6, seed=SEED)}[fam]
-        pipe = Pipeline(stages=[VectorAssembler(inputCols=feats, outputCol="features", handleInvalid="keep"), est])
-        model = pipe.fit(plan.data.filter((F.col(GROUP) == ind) & (F.col("split") == "train")))
         target = f"{path}/{ind.replace('/', '_').replace(' ', '_')}"
+        model = plan.models.get((ind, fam, k)) or fit_tree(plan, ind, fam, k)
         model.write().overwrite().save(target)
         out[ind] = target
     return out

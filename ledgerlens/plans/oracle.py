@@ -67,7 +67,7 @@ filled AS (
   FROM rest
 ),
 fill_msgs AS (
-  SELECT ticker, string_agg(printf('year %s shares# is filled into %s', CAST(fy AS VARCHAR), CAST("shares#" AS VARCHAR)), ' , ' ORDER BY fy, filed) AS shares_msg
+  SELECT ticker, string_agg(printf('year %s shares# is filled into %s', CAST(fy AS VARCHAR), coalesce(CAST("shares#" AS VARCHAR), 'nan')), ' , ' ORDER BY fy, filed) AS shares_msg
   FROM filled WHERE shares_filled GROUP BY ticker
 ),
 zero AS (SELECT ticker FROM filled GROUP BY ticker HAVING bool_or("shares#" = 0)),
@@ -119,6 +119,10 @@ FROM (SELECT ticker, message AS m1 FROM dmg) a
 FULL JOIN (SELECT ticker, 'Deleted due to missing shares#.' AS m3 FROM zero) b USING (ticker)
 FULL JOIN fill_msgs USING (ticker)
 FULL JOIN eps_msgs USING (ticker)"""
+SQL["success_rate"] = CLEANUP_CTES + """,
+lg AS (SELECT DISTINCT ticker, ticker IN (SELECT ticker FROM dmg) OR ticker IN (SELECT ticker FROM zero) AS bad FROM v1)
+SELECT count(*) FILTER (WHERE NOT bad) AS n_success, count(*) AS n_companies,
+  round(count(*) FILTER (WHERE NOT bad) * 100.0 / count(*), 4) + 0.0 AS success_pct FROM lg"""
 SQL["run_stats"] = CLEANUP_CTES + """
 SELECT route, count(*) AS n_rows, count(DISTINCT ticker) AS n_companies FROM routes GROUP BY route"""
 
@@ -262,7 +266,7 @@ def _pct(expr):
 
 
 _PROFILE_UNION = "\nUNION ALL\n".join(
-    f"SELECT broad_industry, '{c}' AS \"column\", {_pct(f'{q(c)} = \'inf\'::DOUBLE')} AS inf_pct, "
+    f"SELECT broad_industry, '{c}' AS \"column\", {_pct(f'isinf({q(c)})')} AS inf_pct, "
     f"{_pct(f'{q(c)} = \'-inf\'::DOUBLE')} AS neginf_pct, {_pct(f'({q(c)} IS NULL OR isnan({q(c)}))')} AS nan_pct "
     f"FROM feat GROUP BY broad_industry" for c in _NUMC)
 SQL["inf_missing_profile"] = FEATURE_CTES + f""",
@@ -498,6 +502,24 @@ lng AS (SELECT broad_industry, feature, v FROM (UNPIVOT (SELECT * FROM imp WHERE
 SELECT broad_industry, feature, {r4('avg(v)')} AS mean, {r4('stddev_pop(v)')} AS std FROM lng GROUP BY 1, 2"""
 
 
+SQL["trend_band"] = FEATURE_CTES + f""",
+g AS (SELECT regr_count(stock_price, theoretical_price) AS n, regr_slope(stock_price, theoretical_price) AS slope,
+        regr_intercept(stock_price, theoretical_price) AS intercept, regr_sxx(stock_price, theoretical_price) AS sxx,
+        regr_syy(stock_price, theoretical_price) AS syy, regr_sxy(stock_price, theoretical_price) AS sxy,
+        avg(theoretical_price) AS mx, min(theoretical_price) AS lo, max(theoretical_price) AS hi
+      FROM trimmed WHERE stock_price IS NOT NULL AND theoretical_price IS NOT NULL),
+pt AS (SELECT CAST(i AS INTEGER) AS point, lo + (hi - lo) * i / 99 AS x, g.* FROM g, range(100) r(i)),
+fit AS (SELECT point, x, intercept + slope * x AS fit,
+  1.959963984540054 * sqrt((syy - slope * sxy) / (n - 2) * (1.0 / n + (x - mx) * (x - mx) / sxx)) AS half FROM pt)
+SELECT point, {r4('x')} AS x, {r4('fit')} AS fit, {r4('fit - half')} AS lower, {r4('fit + half')} AS upper FROM fit"""
+
+SQL["size_scale"] = FEATURE_CTES + f""",
+lc AS (SELECT *, CASE WHEN 1 + coalesce(market_cap, 0.0) > 0 THEN ln(1 + coalesce(market_cap, 0.0)) END AS lcap FROM feat),
+sz AS (SELECT min(lcap) AS lo, max(lcap) AS hi FROM lc)
+SELECT ticker, fy, {r4('40.0 * (lcap - lo) / (hi - lo + 1e-9) + 5.0')} AS norm_size FROM lc, sz"""
+SQL["sic_groups"] = BASE + f"""
+SELECT industry, {broad_industry('industry')} AS broad_industry, count(*) AS n_rows FROM derived GROUP BY 1, 2"""
+
 # ---- sources: directory, JSON field access, retry selection, top-k profile -----------------
 SQL["directory_scan"] = """
 SELECT lpad(CAST(s_suppkey AS VARCHAR), 10, '0') AS cik, 'S' || CAST(s_suppkey AS VARCHAR) AS ticker,

@@ -17,11 +17,13 @@ back-calculation align on fiscal year only and tolerate a missing component.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..constants import (EPS_CALCULATED, MSG_BAD_PAYLOAD, MSG_NONE_EMPTY, MSG_NONE_SUBSCRIPT, MSG_SKIP, MSG_TAG_MISSING,
+from ..constants import (EPS_CALCULATED, MSG_BAD_FACTS, MSG_BAD_PAYLOAD, MSG_NO_DATA_COLS, MSG_NO_USED_TAG, MSG_NONE_EMPTY,
+                         MSG_NONE_SUBSCRIPT, MSG_SKIP, MSG_TAG_MISSING, RECOVERY_PATTERNS, SGA_EXEMPT_TICKERS,
                          ADDITIVE_TAG, ADDITIVE_TRIGGER, ALLOW_MISSING, ANCHOR_NAME, ANCHOR_TAG,
                          CURR_LIABILITY_INDUSTRIES, CURR_LIABILITY_TAGS, CURRASSET_SUBTRACT_TAGS,
                          EXPECTED_RECORDS, FALLBACKS, LINE_ITEMS, NONOPERATING_TAGS, SHARE_FALLBACKS,
@@ -191,7 +193,11 @@ def build_panel(facts: DataFrame, companies: DataFrame, prices: DataFrame | None
         if name == SHARES:
             checks.append((~F.col("has_shares"), F.lit(MSG_TAG_MISSING % SHARES)))
             continue
-        if name in (EPS, SGA) or tag in ALLOW_MISSING:
+        if name == SGA:     # K6: no total, and neither of its parts has a value
+            none = ~F.col("sga_present") & ~has("avail", HELPERS["ga"] + HELPERS["sm"]) & ~F.col("ticker").isin(*SGA_EXEMPT_TICKERS)
+            checks.append((none, F.lit(MSG_TAG_MISSING % SGA_TAG if relaxed else MSG_NO_USED_TAG)))
+            continue
+        if name == EPS or tag in ALLOW_MISSING:
             continue
         if name == CURRASSET:
             checks.append((~F.col("currasset_present") & ~F.col("sub_present"),
@@ -213,13 +219,18 @@ def build_panel(facts: DataFrame, companies: DataFrame, prices: DataFrame | None
             checks.append((~has("avail", main[name]), F.lit(MSG_TAG_MISSING % tag)))
         else:
             checks.append((~has("present", [tag]), F.lit(MSG_TAG_MISSING % tag)))
+    # K9: a bank or insurer none of whose liability components is reported
+    checks.append((F.col("liab_industry") & ~F.col("liab_present"), F.lit(MSG_NO_DATA_COLS)))
     err = None
     for cond, msg in checks:
         err = F.when(cond, msg) if err is None else err.when(cond, msg)
     skip = F.format_string(MSG_SKIP, F.col("cik"), F.col("ticker"), F.col("name"))
-    # F8: an unreadable metadata payload fails the company before any tag rule
-    bad = F.coalesce(F.col("bad_payload"), F.lit(False)) if "bad_payload" in comp.columns else F.lit(False)
-    error = (F.when(bad, F.lit(MSG_BAD_PAYLOAD))
+    # F8: an unreadable metadata or facts payload fails the company before any tag rule
+    def flag(c):
+        return F.coalesce(F.col(c), F.lit(False)) if c in comp.columns else F.lit(False)
+
+    error = (F.when(flag("bad_payload"), F.lit(MSG_BAD_PAYLOAD))
+             .when(flag("bad_facts"), F.lit(MSG_BAD_FACTS))
              .when(F.col("ns").isNull(), F.lit(MSG_TAG_MISSING % ANCHOR_NAME))
              .when(~F.coalesce(F.col("eligible"), F.lit(False)), skip)
              .otherwise(err.otherwise(F.lit(None))))
@@ -320,11 +331,14 @@ def build_panel(facts: DataFrame, companies: DataFrame, prices: DataFrame | None
     return PanelBuild(panel, log, failed_tags, sugg)
 
 
-def retry_set(log: DataFrame, pattern: str = "%division by zero%",
+def retry_set(log: DataFrame, pattern: str | list[str] = tuple(RECOVERY_PATTERNS),
               error_col: str = "error_after_recovery1", status_col: str = "status_after_recovery1") -> DataFrame:
-    """Companies whose last recorded attempt failed with a matching error
-    (projected + predicated scan; the LIKE and equality push down to Parquet)."""
-    return log.filter(F.col(error_col).like(pattern) & (F.col(status_col) == "Fail")).select(
+    """Companies whose last recorded attempt failed with an error like one of the
+    patterns, by default the five classes a recovery run takes up (projected and
+    predicated scan; the LIKEs and the equality push down to Parquet)."""
+    patterns = [pattern] if isinstance(pattern, str) else pattern
+    like = reduce(lambda a, p: a | F.col(error_col).like(p), patterns, F.lit(False))
+    return log.filter(like & (F.col(status_col) == "Fail")).select(
         F.lpad(F.col("cik").cast("string"), 10, "0").alias("cik")).distinct()
 
 

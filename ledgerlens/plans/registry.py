@@ -21,6 +21,10 @@ QUERIES = {
     "route_less": checks.route_less,                    # Q6
     "audit_merge": checks.audit_merge,                  # Q7, J11
     "run_stats": checks.run_stats,                      # A14, U1
+    "success_rate": checks.success_rate,                # A14
+    "trend_band": checks.trend_band,                    # A9
+    "size_scale": checks.size_scale_check,              # X6
+    "sic_groups": checks.sic_groups,                    # X1
     "ratio_score": checks.ratio_score_check,            # X1-X3
     "per_share_log": checks.per_share_log,              # X4, X5, F9
     "small_fold": checks.small_fold_check,              # A1, A2, W5

@@ -77,20 +77,32 @@ def flatten_facts(parsed: DataFrame, cik_col: str = "cik") -> DataFrame:
     tg = ns.select("cik", "ns", F.explode("tags").alias("tag", "t"))
     first_unit = F.element_at(F.map_entries(F.col("t.units")), 1)
     un = tg.select("cik", "ns", "tag", first_unit.alias("u")).filter(F.col("u").isNotNull())
-    rec = un.select("cik", "ns", "tag", F.col("u.key").alias("unit"), F.explode("u.value").alias("r"))
+    rec = un.select("cik", "ns", "tag", F.col("u.key").alias("unit"),
+                    F.exists("u.value", lambda x: x["start"].isNotNull()).alias("has_start"), F.explode("u.value").alias("r"))
     return rec.select(
         "cik", "ns", "tag", "unit",
         F.to_date("r.start").alias("start"), F.to_date("r.end").alias("end"),
         F.nanvl(F.col("r.val"), F.lit(None).cast("double")).alias("val"),
         F.col("r.fy").alias("fy"), F.col("r.fp").alias("fp"), F.col("r.form").alias("form"),
-        F.to_date("r.filed").alias("filed"))
+        F.to_date("r.filed").alias("filed"), "has_start")
+
+
+def _facts_files(spark: SparkSession, path: str) -> DataFrame:
+    schema = StructType(COMPANY_FACTS.fields + [StructField("_corrupt_record", StringType())])
+    return (spark.read.schema(schema).option("multiLine", "true").option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", "_corrupt_record").json(path)
+            .withColumn("cik", cik_from_path(F.col("_metadata.file_path"))))
 
 
 def read_company_facts(spark: SparkSession, path: str) -> DataFrame:
     """S3: company-facts files -> long facts (cik from the file name)."""
-    raw = (spark.read.schema(COMPANY_FACTS).option("multiLine", "true").json(path)
-           .withColumn("cik", cik_from_path(F.col("_metadata.file_path"))))
-    return flatten_facts(raw)
+    return flatten_facts(_facts_files(spark, path).drop("_corrupt_record"))
+
+
+def read_facts_status(spark: SparkSession, path: str) -> DataFrame:
+    """F8: (cik, bad_facts) per facts file; joined to the companies, an unreadable
+    payload becomes a failed row of the run log instead of vanishing."""
+    return _facts_files(spark, path).select("cik", F.col("_corrupt_record").isNotNull().alias("bad_facts"))
 
 
 def read_prices(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:

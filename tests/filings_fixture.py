@@ -82,13 +82,20 @@ def write_fixture(root):
         "5": {"cik_str": 6666, "ticker": "FFF", "title": "Phi Corp"},
         "6": {"cik_str": 7777, "ticker": "GGG", "title": "Gimel SA"},
         "7": {"cik_str": 8888, "ticker": "HHH", "title": "Heth Inc"},
+        "8": {"cik_str": 9991, "ticker": "III", "title": "Iota Inc"},
+        "9": {"cik_str": 9992, "ticker": "JJJ", "title": "Jota Inc"},
+        "10": {"cik_str": 9993, "ticker": "KKK", "title": "Kappa Bank"},
+        "11": {"cik_str": 9994, "ticker": "BRK-A", "title": "Lambda Holding"},
+        "12": {"cik_str": 9995, "ticker": "MMM", "title": "My Corp"},
     }
     with open(f"{root}/directory.json", "w") as f:
         json.dump(companies, f)
     sic = {1111: ("3571", "ELECTRONIC COMPUTERS"), 2222: ("5331", "RETAIL-VARIETY STORES"),
            3333: ("1311", "CRUDE PETROLEUM"), 4444: ("7372", "SERVICES-PREPACKAGED SOFTWARE"),
            5555: ("2834", "PHARMACEUTICAL PREPARATIONS"), 6666: ("4911", "ELECTRIC SERVICES"),
-           8888: ("5411", "RETAIL-GROCERY STORES")}
+           8888: ("5411", "RETAIL-GROCERY STORES"), 9991: ("3571", "ELECTRONIC COMPUTERS"),
+           9992: ("3571", "ELECTRONIC COMPUTERS"), 9993: ("6021", "National Commercial Banks"),
+           9994: ("6331", "OTHER INSURANCE"), 9995: ("3571", "ELECTRONIC COMPUTERS")}
     for cik, (code, desc) in sic.items():
         with open(f"{root}/meta/CIK{cik:010d}.json", "w") as f:
             json.dump({"cik": str(cik), "sic": code, "sicDescription": desc}, f)
@@ -130,7 +137,19 @@ def write_fixture(root):
             3333: facts_doc(3333, "Gamma Ltd", c), 4444: facts_doc(4444, "Delta Co", d),
             5555: facts_doc(5555, "Epsilon plc", e, dei=e_dei), 6666: facts_doc(6666, "Phi Corp", f_),
             7777: facts_doc(7777, "Gimel SA", base_company(1.0)),
-            8888: facts_doc(8888, "Heth Inc", h)}
+            8888: facts_doc(8888, "Heth Inc", h),
+            # no SG&A total and neither of its parts; the same, but exempt
+            9991: facts_doc(9991, "Iota Inc", base_company(1.0, with_sga=False)),
+            9994: facts_doc(9994, "Lambda Holding", base_company(1.0, with_sga=False)),
+            # a bank that reports none of the liability components
+            9993: facts_doc(9993, "Kappa Bank", base_company(1.0))}
+    # MMM: no pre-tax profit, and of its non-operating parts only the second: fails strictly, recovers
+    m = base_company(1.0)
+    del m["IncomeLossFromContinuingOperationsBeforeIncomeTaxesExtraordinaryItemsNoncontrollingInterest"]
+    m["OtherNonoperatingIncomeExpense"] = ("USD", annual(lambda y: -4.0))
+    docs[9995] = facts_doc(9995, "My Corp", m)
+    with open(f"{root}/facts/CIK0000009992.json", "w") as f:   # truncated payload
+        f.write('{"cik": 9992, "facts": {"us-ga')
     for cik, doc in docs.items():
         with open(f"{root}/facts/CIK{cik:010d}.json", "w") as f:
             json.dump(doc, f)

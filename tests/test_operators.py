@@ -14,11 +14,33 @@ def test_exact_quantiles_multi_pass_matches_pandas(spark):
     pdf = pd.DataFrame({"g": g, "x": v})
     df = spark.createDataFrame(pdf)
     # a tiny collect limit forces the bracket-refinement passes
-    got = exact_quantiles(df, "x", [0.01, 0.5, 0.99], keys=["g"], collect_limit=200).toPandas()
+    got = exact_quantiles(df, "x", [0.01, 0.5, 0.99], keys=["g"]).toPandas()
     for _, r in got.iterrows():
         assert r.q == pytest.approx(pdf[pdf.g == r.g].x.quantile(r.p), abs=1e-12)
 
 
+@pytest.mark.parametrize("keyed", [False, True])
+def test_exact_quantiles_on_heavy_ties(spark, keyed):
+    """Ties at the wanted rank, beside it, and filling half the rows; null keys; infinities."""
+    from ledgerlens.operators.quantiles import exact_quantiles
+    rng = np.random.default_rng(3)
+    n = 100_000
+    x = np.concatenate([np.zeros(49_990), rng.lognormal(size=n - 49_990)])
+    x[60_000:60_900] = x[60_000]
+    g = np.where(np.arange(n) % 3 == 0, "a", "b")
+    pdf = pd.DataFrame({"g": g, "x": x})
+    df = spark.createDataFrame(pdf)
+    probs = [0.0, 0.01, 0.4999, 0.5, 0.75, 0.99, 1.0]
+    got = exact_quantiles(df, "x", probs, keys=["g"] if keyed else []).collect()
+    assert len(got) == len(probs) * (2 if keyed else 1)
+    for r in got:
+        want = (pdf[pdf.g == r["g"]] if keyed else pdf).x.quantile(r["p"])
+        assert r["q"] == pytest.approx(want, abs=1e-12)
+    odd = spark.createDataFrame([(None, 1.0), (None, 3.0), ("a", float("inf")), ("a", float("nan")), ("b", None)], "g string, x double")
+    assert {(r["g"], r["q"]) for r in exact_quantiles(odd, "x", [0.5], keys=["g"]).collect()} == {(None, 2.0), ("a", float("inf"))}
+
+
+
 def test_forward_window_matches_brute_force(spark):
     from ledgerlens.operators.asof import forward_window_mean
     rng = np.random.default_rng(2)
@@ -86,3 +108,45 @@ def test_trim_is_subset(spark):
     t = trimmed(spark, "/root/testdata/sf0.001")
     assert t.join(f, ["ticker", "fy"], "left_anti").count() == 0
     assert t.count() <= f.count()
+
+
+def test_infinite_share_counts_both_signs(spark):
+    from ledgerlens.operators.stats import missing_profile
+    df = spark.createDataFrame([("g", float("inf")), ("g", float("-inf")), ("g", 1.0), ("g", None)], "broad_industry string, x double")
+    r = missing_profile(df, ["x"]).collect()[0]
+    assert (r["inf_pct"], r["neginf_pct"], r["nan_pct"]) == (50.0, 25.0, 25.0)
+
+
+def test_large_and_missing_share_counts_in_messages(spark):
+    from ledgerlens.operators.repair import plain_number
+    cases = {16_000_000_000.0: "16000000000.0", 9_999_999.5: "9999999.5", 12_345_678.25: "12345678.25", 100.0: "100.0", None: "nan"}
+    got = spark.createDataFrame([(k,) for k in cases], "x double").select("x", plain_number(F.col("x")).alias("t")).collect()
+    assert {r["x"]: r["t"] for r in got} == cases
+
+
+def test_fit_quality_of_constant_and_short_data(spark):
+    from ledgerlens.operators.stats import r2_overall, trend_band, trend_line
+    schema = "stock_price double, theoretical_price double"
+    flat = spark.createDataFrame([(5.0, 1.0), (5.0, 2.0), (5.0, 4.0)], schema)
+    assert r2_overall(flat).collect()[0]["r2"] is None
+    assert trend_line(flat).collect()[0]["slope"] == 0.0
+    two = trend_line(spark.createDataFrame([(1.0, 1.0), (2.0, 2.0)], schema)).collect()[0]
+    assert (two["slope"], two["se_slope"]) == (1.0, None)
+    same = spark.createDataFrame([(1.0, 3.0), (2.0, 3.0), (4.0, 3.0)], schema)
+    assert trend_line(same).collect()[0]["slope"] is None and trend_band(same).collect() == []
+    line = trend_band(spark.createDataFrame([(2.0 * i, float(i)) for i in range(9)], schema), points=5).collect()
+    assert [r["fit"] for r in line] == pytest.approx([0, 4, 8, 12, 16])
+    assert all(r["lower"] == pytest.approx(r["fit"]) == pytest.approx(r["upper"]) for r in line)
+
+
+def test_additive_tag_alone_is_no_sum(spark):
+    """K2: a company that reports only the additive tag keeps missing years missing; one
+    with a fill tag as well gets the sum, additive values off the template count as reported."""
+    from ledgerlens.operators.resolve import concept_table, resolve_concepts
+    rows = [("a", 2020), ("a", 2021), ("b", 2020), ("b", 2021)]
+    template = spark.createDataFrame(rows, "cik string, fy int")
+    values = spark.createDataFrame([("a", "Add", 2020, 5.0), ("b", "Add", 1999, 1.0), ("b", "Fill", 2020, 7.0)],
+                                   "cik string, tag string, fy int, val double")
+    ct = concept_table(spark, {"c": ["Fill"]}, {"c": "Add"})
+    got = {(r["cik"], r["fy"]): r["val"] for r in resolve_concepts(template, values, ct, keys=["fy"]).collect()}
+    assert got == {("a", 2020): 5.0, ("b", 2020): 7.0, ("b", 2021): 0.0}

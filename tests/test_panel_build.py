@@ -14,8 +14,8 @@ def built(spark, scratch):
     facts = filings.read_company_facts(spark, f"{root}/facts/*.json")
     dirx = filings.read_directory(spark, f"{root}/directory.json")
     meta = filings.read_metadata(spark, f"{root}/meta/*.json")
-    companies = dirx.join(meta, "cik").select("cik", "ticker", F.col("title").alias("name"), "industry",
-                                               "source_index", "bad_payload")
+    companies = dirx.join(meta, "cik").join(filings.read_facts_status(spark, f"{root}/facts/*.json"), "cik", "left").select(
+        "cik", "ticker", F.col("title").alias("name"), "industry", "source_index", "bad_payload", "bad_facts")
     prices = spark.read.json(f"{root}/prices.json").select(
         "ticker", F.to_date("d").alias("d"), "close_adj", "close_unadj")
     b = build_panel(facts, companies, prices, run_ts="2026-01-01 00:00:00")
@@ -27,7 +27,7 @@ def built(spark, scratch):
 def test_directory_pads_cik(built):
     ciks = sorted(r["cik"] for r in built["companies"].collect())
     assert ciks == ["0000001111", "0000002222", "0000003333", "0000004444", "0000005555", "0000006666",
-                    "0000007777", "0000008888"]
+                    "0000007777", "0000008888", "0000009991", "0000009992", "0000009993", "0000009994", "0000009995"]
 
 
 def test_flatten_first_unit(built):
@@ -47,6 +47,27 @@ def test_log_statuses(built):
     assert log["GGG"]["status"] == "Fail" and log["GGG"]["error"] == "Request Failure on filingMetadata"
 
 
+def test_errors_that_name_no_tag(built, spark):
+    """K6 without any source, K9 without any component, an unreadable facts payload."""
+    from ledgerlens.plans.panel import build_panel
+    log, p = built["log"], built["panel"]
+    assert log["III"]["error"] == "cannot access local variable 'used_tag' where it is not associated with a value"
+    assert log["KKK"]["error"] == "cannot access local variable 'data_cols' where it is not associated with a value"
+    assert (log["JJJ"]["status"], log["JJJ"]["error"]) == ("Fail", "Request Failure on companyFacts")
+    assert log["BRK-A"]["status"] == "Success" and p[("BRK-A", 2022)]["expense_general/admin"] is None
+    rel = build_panel(built["facts"], built["companies"].filter(F.col("ticker") == "III"), None, mode="relaxed").log.collect()
+    assert [r["error"] for r in rel] == ["No SellingGeneralAndAdministrativeExpense Tag Found"]
+
+
+def test_period_start_flag_of_the_reader(built):
+    """The reader's flag is what the grouped aggregate finds."""
+    from ledgerlens.operators.filters import FACT_KEYS, with_has_start
+    f = built["facts"]
+    keys = [*FACT_KEYS, "has_start"]
+    assert {tuple(r) for r in f.select(*keys).distinct().collect()} == \
+        {tuple(r) for r in with_has_start(f.drop("has_start")).select(*keys).distinct().collect()}
+
+
 def test_panel_rows_and_keep_latest(built):
     p = built["panel"]
     assert sorted(k[1] for k in p if k[0] == "AAA") == list(range(2019, 2026))
@@ -117,6 +138,25 @@ def test_recovery_merges_log(built, spark):
     assert panel.count() == 0
 
 
+def test_recovery_recovers(built):
+    """Each of the five error classes is taken up; the relaxed rules then succeed for MMM."""
+    from ledgerlens.plans.panel import recover, retry_set
+    classes = ["Expecting value: line 1 column 1 (char 0)", "cannot access local variable 'used_tag' where it is not associated",
+               "'NoneType' object has no attribute 'empty'", "float division by zero", "cannot reindex on an axis with duplicate labels"]
+    spark = built["facts"].sparkSession
+    some = spark.createDataFrame([(str(i), "Fail", e) for i, e in enumerate([*classes, "No X Tag Found"])]
+                                 + [("9", "Success", classes[0])], "cik string, status_after_recovery1 string, error_after_recovery1 string")
+    assert sorted(int(r["cik"]) for r in retry_set(some).collect()) == [0, 1, 2, 3, 4]
+    assert built["log"]["MMM"]["error"] == "'NoneType' object has no attribute 'empty'"
+    log = built["b"].log.withColumn("status_after_recovery1", F.col("status")).withColumn("error_after_recovery1", F.col("error"))
+    rs = retry_set(log)
+    panel, merged = recover(built["facts"], built["companies"], log, rs, built["prices"])
+    m = {r["ticker"]: r["status_after_recovery2"] for r in merged.collect()}
+    assert m["MMM"] == "Success" and m["III"] == "Fail" and m["AAA"] is None
+    got = {r["fy"]: r for r in panel.filter(F.col("ticker") == "MMM").collect()}
+    assert len(got) == 7 and got[2022]["recurrent_profit"] == pytest.approx(150.0 - 4.0)
+
+
 def test_stale_share_count_is_carried_forward(built):
     """All share data before the study window -> latest value for every year."""
     p = built["panel"]

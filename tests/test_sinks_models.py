@@ -53,7 +53,7 @@ def test_prefix_sizes_and_selection():
     from ledgerlens.plans.models import equation_text, prefix_sizes, select_best
     assert prefix_sizes(35)[0] == (0.1, 3) and prefix_sizes(34)[8] == (0.9, 30) and prefix_sizes(5)[0] == (0.1, 1)
     res = [("I", "Ridge Regression", 0.1, 1, 0.5), ("I", "Linear Regression", 0.2, 2, 0.5),
-           ("I", "Linear Regression", 0.1, 1, 0.5), ("I", "SVR", 0.3, 3, 0.4)]
+           ("I", "Linear Regression", 0.1, 1, 0.5), ("I", "Kernel Ridge (Fourier features)", 0.3, 3, 0.4)]
     best_fam, best = select_best(res)
     assert best_fam[("I", "Linear Regression")][0] == 0.1      # first ratio wins ties
     assert best["I"][2] == "Linear Regression"                  # first family wins ties
@@ -73,6 +73,13 @@ def test_linear_model_persistence_roundtrip(spark, scratch):
     assert {r["industry"] for r in back} == set(best)
     for r in back:
         assert len(r["coef"]) == len(r["features"]) == len(r["mean"])
+    # the loaded table scores as the search did: the same R^2 on the test rows
+    test = plan.data.filter(F.col("split") == "test")
+    scored = M.score_linear(M.load_linear_models(spark, out), test).toPandas()
+    for r in back:
+        g = scored[scored.broad_industry == r["industry"]]
+        r2 = 1 - ((g.stock_price - g.prediction) ** 2).sum() / ((g.stock_price - g.stock_price.mean()) ** 2).sum()
+        assert r2 == pytest.approx(r["r2"], abs=1e-6)
 
 
 def test_tree_model_persistence_roundtrip(spark, scratch):
@@ -82,12 +89,21 @@ def test_tree_model_persistence_roundtrip(spark, scratch):
     f = features(spark, "/root/testdata/sf0.001")
     plan = M.prepare(f, 1999, 2000)
     inds = M.eligible_industries(plan)[:1]
-    res = M.tree_results(plan, inds, ("Decision Tree",), threads=4)
-    _, best = M.select_best(res)
+    plan.pools = {inds[0]: plan.pools[inds[0]][:3]}
+    res, plan.models = M.tree_results(plan, inds, ("Decision Tree", "Random Forest"), threads=4)
+    _, best = M.select_best([r for r in res if r[1] == "Random Forest"])
     paths = M.save_tree_models(plan, best, f"{scratch}/tree_models")
-    m = PipelineModel.load(paths[inds[0]])
-    scored = m.transform(plan.data.filter(F.col("broad_industry") == inds[0]))
-    assert scored.filter(F.col("prediction").isNull()).count() == 0
+    rows = plan.data.filter(F.col("broad_industry") == inds[0])
+    keys = ["ticker", "fy"]
+
+    def predictions(df):
+        return {(r["ticker"], r["fy"]): r["prediction"] for r in df.select(*keys, "prediction").collect()}
+
+    # the saved model is the one that was scored, and a second fit is the same forest
+    want = predictions(M.predict_best(plan, best, {}, rows))
+    assert predictions(PipelineModel.load(paths[inds[0]]).transform(rows)) == want
+    again = M.fit_tree(plan, inds[0], "Random Forest", best[inds[0]][1], plan.data.repartition(5, "fy"))
+    assert predictions(again.transform(rows)) == pytest.approx(want)
 
 
 def test_gram_search_matches_row_level_lstsq(spark):
