@@ -301,7 +301,7 @@ def duration_filter(spark, sf_dir):
 
 def namespace_rank(spark, sf_dir):
     from ..operators.filters import namespace_choice
-    return namespace_choice(standin.raw_facts(spark, sf_dir), standin.STANDIN_ANCHOR)
+    return namespace_choice(standin.mixed_namespace_facts(spark, sf_dir), standin.STANDIN_ANCHOR)
 
 
 def dedupe_latest(spark, sf_dir):
@@ -509,16 +509,23 @@ def top_cap_scores(spark, sf_dir):
 # ---- sources: directory, JSON field access, retry selection, top-k profile -----------------
 
 def directory_scan(spark, sf_dir):
-    """Company directory -> 10-digit zero-padded id, ticker, title (suppliers as filers)."""
-    from ..sources.filings import pad_cik
-    s = standin.table(spark, sf_dir, "supplier")
-    return s.select(pad_cik(F.col("s_suppkey")).alias("cik"),
-                    F.concat(F.lit("S"), F.col("s_suppkey").cast("string")).alias("ticker"),
-                    F.col("s_name").alias("title"))
+    """Company directory JSON (suppliers as filers) -> 10-digit zero-padded id,
+    ticker, title, place in the directory."""
+    from ..sources.filings import flatten_directory
+    return flatten_directory(standin.directory_documents(spark, sf_dir), "doc")
 
 
 def json_facts(spark, sf_dir):
-    """A field of a JSON payload column, parsed with a fixed schema."""
+    """Nested company-facts JSON, parsed with the fixed schema and flattened."""
+    from ..sources.filings import COMPANY_FACTS, flatten_facts
+    docs = standin.facts_documents(spark, sf_dir).withColumn("p", F.from_json("doc", COMPANY_FACTS)).select("cik", "p.facts")
+    f = flatten_facts(docs)
+    return rounded(f.select("cik", "ns", "tag", "unit", *[F.col(c).cast("string").alias(c) for c in ("start", "end", "filed")],
+                            "val", "fy", "fp", "form", "has_start"))
+
+
+def json_field(spark, sf_dir):
+    """A field of a JSON payload column, parsed with a fixed schema."""
     ev = standin.table(spark, sf_dir, "events")
     k = F.from_json(F.col("props"), "k long").getField("k")
     return ev.select("event_id", k.alias("k"))

@@ -400,10 +400,11 @@ fill AS (
 ),
 n_t AS (SELECT cik, count(*) AS n_t FROM template GROUP BY cik),
 n_f AS (SELECT cik, concept, count(*) AS n_f FROM fill WHERE concept IN (SELECT concept FROM concepts WHERE mode = 'add') GROUP BY ALL),
-has_add AS (SELECT DISTINCT cik, concept FROM m WHERE mode = 'add'),
+kinds AS (SELECT v.cik, c.concept, bool_or(c.mode = 'fill') AS has_fill, bool_or(c.mode = 'add') AS has_add
+  FROM vals v JOIN concepts c USING (tag) WHERE v.val IS NOT NULL GROUP BY ALL),
 reached AS (
-  SELECT h.cik, h.concept FROM has_add h JOIN n_t USING (cik) LEFT JOIN n_f USING (cik, concept)
-  WHERE coalesce(n_f, 0) < n_t
+  SELECT h.cik, h.concept FROM kinds h JOIN n_t USING (cik) LEFT JOIN n_f USING (cik, concept)
+  WHERE h.has_add AND h.has_fill AND coalesce(n_f, 0) < n_t
 ),
 add_vals AS (SELECT cik, concept, fy, fp, filed, "end", sum(val) AS add_val FROM m WHERE mode = 'add' GROUP BY ALL),
 added AS (
@@ -417,7 +418,11 @@ plain AS (
   SELECT f.cik, f.concept, f.fy, f.fp, f.filed, f."end", f.fill_val AS val, f.src_rank, false AS by_add
   FROM fill f WHERE NOT EXISTS (SELECT 1 FROM reached r WHERE r.cik = f.cik AND r.concept = f.concept)
 ),
-resolved AS (SELECT * FROM plain UNION ALL SELECT * FROM added),
+alone AS (
+  SELECT a.cik, a.concept, a.fy, a.fp, a.filed, a."end", add_val AS val, NULL::INTEGER AS src_rank, true AS by_add
+  FROM add_vals a JOIN kinds k USING (cik, concept) WHERE NOT k.has_fill
+),
+resolved AS (SELECT * FROM plain UNION ALL SELECT * FROM added UNION ALL SELECT * FROM alone),
 avail AS (SELECT DISTINCT v.cik, c.concept, c.tag, c.rank FROM vals v JOIN concepts c USING (tag) WHERE v.val IS NOT NULL),
 yr AS (
   SELECT cik, concept, src_rank AS rank, min(fy) AS y0, max(fy) AS y1 FROM resolved
@@ -446,9 +451,15 @@ SQL["form_filter"] = FACTS_CTES + f"""
 SELECT cik, tag, count(*) AS n FROM facts
 WHERE regexp_full_match(form, '(10-K|20-F)(/A)?') AND fy >= {STANDIN_START} GROUP BY cik, tag"""
 SQL["duration_filter"] = FACTS_CTES + "\nSELECT cik, tag, count(*) AS n FROM annual GROUP BY cik, tag"
-SQL["namespace_rank"] = FACTS_CTES + f"""
+MIXED_CTES = FACTS_CTES + """,
+mixed AS (
+  SELECT f.* REPLACE (CASE WHEN s_acctbal < 0 THEN 'ifrs-full' WHEN s_acctbal < 1000 THEN 'dei'
+                           WHEN form = '20-F' THEN 'ifrs-full' ELSE 'us-gaap' END AS ns)
+  FROM facts f JOIN supplier ON cik = 'S' || CAST(s_suppkey AS VARCHAR)
+)"""
+SQL["namespace_rank"] = MIXED_CTES + f"""
 SELECT cik, CASE min(CASE ns WHEN 'us-gaap' THEN 0 ELSE 1 END) WHEN 0 THEN 'us-gaap' ELSE 'ifrs-full' END AS ns
-FROM facts WHERE tag = '{STANDIN_ANCHOR}' AND ns IN ('us-gaap', 'ifrs-full') GROUP BY cik"""
+FROM mixed WHERE tag = '{STANDIN_ANCHOR}' AND ns IN ('us-gaap', 'ifrs-full') GROUP BY cik"""
 SQL["dedupe_latest"] = FACTS_CTES + f"""
 SELECT cik, tag, fy, fp, CAST("end" AS VARCHAR) AS "end", CAST(filed AS VARCHAR) AS filed, {r4('val')} AS val FROM latest"""
 SQL["eligibility"] = FACTS_CTES + "\nSELECT * FROM elig"
@@ -523,8 +534,11 @@ SELECT industry, {broad_industry('industry')} AS broad_industry, count(*) AS n_r
 # ---- sources: directory, JSON field access, retry selection, top-k profile -----------------
 SQL["directory_scan"] = """
 SELECT lpad(CAST(s_suppkey AS VARCHAR), 10, '0') AS cik, 'S' || CAST(s_suppkey AS VARCHAR) AS ticker,
-       s_name AS title FROM supplier"""
-SQL["json_facts"] = "SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events"
+       s_name AS title, CAST(s_suppkey AS BIGINT) AS source_index FROM supplier"""
+SQL["json_facts"] = MIXED_CTES + f"""
+SELECT cik, ns, tag, unit, CAST(start AS VARCHAR) AS start, CAST("end" AS VARCHAR) AS "end", CAST(filed AS VARCHAR) AS filed,
+  {r4('val')} AS val, fy, fp, form, bool_or(start IS NOT NULL) OVER (PARTITION BY cik, ns, tag, unit) AS has_start FROM mixed"""
+SQL["json_field"] = "SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events"
 SQL["retry_set"] = CLEANUP_CTES + """,
 lg AS (SELECT ticker AS cik, 'Fail' AS status, message AS error FROM dmg
        UNION ALL SELECT ticker, 'Fail', 'Deleted due to missing shares#.' FROM zero)

@@ -55,6 +55,7 @@ QUERIES = {
     "event_window_price": checks.event_window_price,    # J7, W3
     "directory_scan": checks.directory_scan,            # S1, X10
     "json_facts": checks.json_facts,                    # S3, X13
+    "json_field": checks.json_field,                    # X13
     "retry_set": checks.retry_set_check,                # F7, S6
     "top_missing": checks.top_missing,                  # O3, A11
     "panel_build": checks.panel_build,                  # stage 1 end to end: S3, F1-F6, K1-K10, J1-J8, D, R (rows-only)

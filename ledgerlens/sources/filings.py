@@ -46,8 +46,12 @@ def pad_cik(c) -> "F.Column":
 
 def read_directory(spark: SparkSession, path: str) -> DataFrame:
     """Directory JSON (one object) -> (cik, ticker, title)."""
-    raw = spark.read.text(path, wholetext=True)
-    m = F.from_json(F.col("value"), MapType(StringType(), DIRECTORY_ENTRY))
+    return flatten_directory(spark.read.text(path, wholetext=True), "value")
+
+
+def flatten_directory(raw: DataFrame, json_col: str) -> DataFrame:
+    """Directory JSON texts -> one row per entry."""
+    m = F.from_json(F.col(json_col), MapType(StringType(), DIRECTORY_ENTRY))
     e = raw.select(F.explode(m).alias("idx", "e"))
     return e.select(pad_cik(F.col("e.cik_str")).alias("cik"), F.col("e.ticker").alias("ticker"),
                     F.col("e.title").alias("title"), F.col("idx").cast("long").alias("source_index"))

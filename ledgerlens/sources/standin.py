@@ -242,6 +242,37 @@ def raw_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tv.unionByName(anchor)
 
 
+def mixed_namespace_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``raw_facts`` under several namespaces, by the supplier's account balance and the
+    filing's form: overdrawn suppliers file under ifrs-full only, the next under dei
+    (no choice), others under us-gaap but for 20-F filings."""
+    s = table(spark, sf_dir, "supplier").select(F.concat(F.lit("S"), F.col("s_suppkey").cast("string")).alias("cik"), "s_acctbal")
+    ns = (F.when(F.col("s_acctbal") < 0, "ifrs-full").when(F.col("s_acctbal") < 1000, "dei")
+          .when(F.col("form") == "20-F", "ifrs-full").otherwise("us-gaap"))
+    return raw_facts(spark, sf_dir).join(s, "cik").withColumn("ns", ns).drop("s_acctbal")
+
+
+def directory_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Directory JSON texts, one per nation: {"<supplier key>": {cik_str, ticker, title}}."""
+    s = table(spark, sf_dir, "supplier")
+    entry = F.struct(F.col("s_suppkey").cast("long").alias("cik_str"), F.concat(F.lit("S"), F.col("s_suppkey").cast("string")).alias("ticker"),
+                     F.col("s_name").alias("title"))
+    return s.groupBy("s_nationkey").agg(F.to_json(F.map_from_entries(F.collect_list(
+        F.struct(F.col("s_suppkey").cast("string"), entry)))).alias("doc"))
+
+
+def facts_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(cik, doc): every company's facts of ``mixed_namespace_facts`` as one nested JSON
+    text, as the filing service hands them out."""
+    f = mixed_namespace_facts(spark, sf_dir)
+    rec = F.struct(F.col("start").cast("string").alias("start"), F.col("end").cast("string").alias("end"), "val", "fy", "fp", "form",
+                   F.col("filed").cast("string").alias("filed"))
+    unit = f.groupBy("cik", "ns", "tag", "unit").agg(F.collect_list(rec).alias("recs"))
+    tag = unit.groupBy("cik", "ns", "tag").agg(F.map_from_entries(F.collect_list(F.struct("unit", "recs"))).alias("units"))
+    ns = tag.groupBy("cik", "ns").agg(F.map_from_entries(F.collect_list(F.struct("tag", F.struct("units")))).alias("tags"))
+    return ns.groupBy("cik").agg(F.to_json(F.struct(F.map_from_entries(F.collect_list(F.struct("ns", "tags"))).alias("facts"))).alias("doc"))
+
+
 # Supplier-year filings in the real tag taxonomy, so the complete stage-1 job
 # (build_panel) runs over whole driver tables. A line's tag is chosen by
 # (returnflag, linestatus, quantity band); the 18 combinations map, in order, to
