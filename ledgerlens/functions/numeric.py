@@ -111,7 +111,3 @@ def safe_corr(x, y) -> Column:
     const = (F.min(xm) == F.max(xm)) | (F.min(ym) == F.max(ym))
     return F.when((F.count(xm) < 2) | const, null_d()).otherwise(
         num(F.try_divide(cov, sx * sy)))
-
-
-def rnd(x, digits: int = 4) -> Column:
-    return F.round(c(x), digits)

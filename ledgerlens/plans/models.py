@@ -42,7 +42,8 @@ from ..session import cut
 LINEAR, RIDGE, TREE, FOREST, KERNEL, BOOST = MODEL_FAMILIES[0], MODEL_FAMILIES[1], MODEL_FAMILIES[2], \
     MODEL_FAMILIES[3], MODEL_FAMILIES[4], MODEL_FAMILIES[5]
 RFF_DIM = 64            # random Fourier features per prefix
-FIT_PARTITIONS = 8      # training partitions of a tree model: bagging is seeded per partition, so their number is part of the model
+FIT_PARTITIONS = 2      # training partitions of a tree model, for any row count: bagging is seeded per partition, so their
+                        # number is part of the model; raise it with the data
 MAX_DEPTH = 30          # the library's limit; a tree that is not limited otherwise
 BOOST_DEPTH = 6
 KERNEL_C = 100.0

@@ -45,9 +45,3 @@ def export_csv(df: DataFrame, path: str, order=("ticker", "fy", "fp"), null_text
 def write_summary_csv(summary: DataFrame, path: str) -> None:
     """The per-industry model summary (a handful of rows) as one CSV file."""
     summary.orderBy("Industry").coalesce(1).write.mode("overwrite").option("header", "true").csv(path)
-
-
-def latest_log_state(log: DataFrame, key: str = "cik", ts: str = "timestamp") -> DataFrame:
-    """Latest row per company from an append-only run log (grouped ``max_by``)."""
-    cols = [c for c in log.columns if c != key]
-    return log.groupBy(key).agg(F.max_by(F.struct(*cols), F.col(ts)).alias("s")).select(key, "s.*")

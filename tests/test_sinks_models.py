@@ -128,3 +128,49 @@ def test_gram_search_matches_row_level_lstsq(spark):
             r2 = 1 - ((y - pred) ** 2).sum() / ((y - y.mean()) ** 2).sum()
             got = [r[4] for r in res if r[0] == ind and r[2] == ratio][0]
             assert got == pytest.approx(r2, abs=1e-4)
+
+
+def test_summary_csv_is_one_ordered_file(spark, scratch):
+    import glob
+    from ledgerlens.sources.tables import write_summary_csv
+    df = spark.createDataFrame([("Services", 0.5), ("Mining", 0.7)], "Industry string, R2_Score double").repartition(2)
+    out = f"{scratch}/summary_csv"
+    write_summary_csv(df, out)
+    files = glob.glob(f"{out}/part-*.csv")
+    assert len(files) == 1
+    with open(files[0]) as f:
+        assert f.read().split() == ["Industry,R2_Score", "Mining,0.7", "Services,0.5"]
+
+
+def test_prices_from_csv_and_parquet(spark, scratch):
+    from datetime import date
+    from ledgerlens.sources.filings import read_prices
+    df = spark.createDataFrame([("A", "2020-01-02 00:00:00", 1.5, 2.5)], "ticker string, date string, close_adj double, close_unadj double")
+    df.write.parquet(f"{scratch}/prices_parquet")
+    df.write.option("header", "true").csv(f"{scratch}/prices_csv")
+    for fmt in ("parquet", "csv"):
+        r = read_prices(spark, f"{scratch}/prices_{fmt}", fmt).collect()
+        assert [tuple(x) for x in r] == [("A", date(2020, 1, 2), 1.5, 2.5)]
+
+
+def test_log_merge_keeps_old_messages(spark):
+    from ledgerlens.operators.repair import merge_log
+    log = spark.createDataFrame([("A", "old"), ("B", "old"), ("C", None)], "ticker string, update_after_cleanup string")
+    new = spark.createDataFrame([("A", "new")], "ticker string, update_after_cleanup string")
+    got = {r["ticker"]: r["update_after_cleanup"] for r in merge_log(log, new).collect()}
+    assert got == {"A": "new", "B": "old", "C": None}
+
+
+def test_row_helpers_and_key_check(spark):
+    from ledgerlens.functions.numeric import any_null, row_sum
+    from ledgerlens.operators.resolve import assert_unique
+    df = spark.createDataFrame([("a", 1.0, 2.0), ("b", None, 2.0), ("b", None, None)], "k string, x double, y double")
+    got = df.select(row_sum(["x", "y"]).alias("s"), row_sum(["x", "y"], skip_null=False).alias("t"), any_null(["x", "y"]).alias("n")).collect()
+    assert [tuple(r) for r in got] == [(3.0, 3.0, False), (2.0, None, True), (0.0, None, True)]
+    assert [tuple(r) for r in assert_unique(df, ["k"]).collect()] == [("b", 2)]
+
+
+def test_numeric_coercion(spark):
+    from ledgerlens.operators.features import coerce_numeric
+    df = spark.createDataFrame([("1.5", "x"), ("abc", "y"), (None, "z")], "v string, k string")
+    assert [r["v"] for r in coerce_numeric(df, ["v"]).orderBy("k").collect()] == [1.5, None, None]
