@@ -25,6 +25,7 @@ from pyspark.sql.window import Window
 from .common import cut, word_count
 
 BINS = 1024
+SALTS = 64
 TOLERANCE = 1e-10
 MAX_STEPS = 100
 
@@ -109,11 +110,18 @@ def _places(rate: Column, mark: Column, seed: Column, cap: int) -> Column:
                      for k in range(1, cap + 1)])
 
 
+def _with_state(rows: DataFrame, state: DataFrame, on=("sid",)) -> DataFrame:
+    """rows (..., mark) joined to a per-source table. A source may hold a third of all
+    rows: each is dealt to SALTS parts by its mark, and the small table repeated."""
+    salted = state.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+    return rows.withColumn("salt", F.pmod("mark", F.lit(SALTS))).join(salted, [*on, "salt"]).drop("salt")
+
+
 def _rated(rows: DataFrame, state: DataFrame, cap: float, tilt: float) -> DataFrame:
-    """rows (..., sid, size) with their source's state and their rate."""
+    """rows (..., sid, size, mark) with their source's state and their rate."""
     z = F.pow(F.col("size") / F.col("scale"), F.lit(float(tilt)))
     rate = F.when(F.col("size") > 0, _rate(F.col("lam"), z, cap)).otherwise(F.lit(1.0))
-    return rows.join(state, "sid").withColumn("rate", rate)
+    return _with_state(rows, state).withColumn("rate", rate)
 
 
 def choose_shift(rated: DataFrame, state: DataFrame, cap: int, tries: int) -> DataFrame:
@@ -122,7 +130,7 @@ def choose_shift(rated: DataFrame, state: DataFrame, cap: int, tries: int) -> Da
     seeds; the best seed of a source is kept."""
     by = Window.partitionBy("sid", "seed").orderBy("bin")
     steps = (rated.filter("size > 0").select("sid", "size", "rate", "mark", F.explode(F.array(*map(F.lit, range(tries)))).alias("seed"))
-             .select("sid", "seed", "size", F.explode(_places(F.col("rate"), F.col("mark"), F.col("seed"), cap)).alias("at")))
+             .select("sid", "seed", "size", "mark", F.explode(_places(F.col("rate"), F.col("mark"), F.col("seed"), cap)).alias("at")))
     goal = state.select("sid", "target")
 
     def sums(x: DataFrame, name: Column) -> DataFrame:
@@ -135,7 +143,7 @@ def choose_shift(rated: DataFrame, state: DataFrame, cap: int, tries: int) -> Da
     below = coarse.join(pick, ["sid", "seed"]).groupBy("sid", "seed", "b", "target").agg(
         F.coalesce(F.max(F.when(F.col("bin") < F.col("b"), F.col("upto"))), F.lit(0)).alias("below"))
     below = cut(below)
-    inside = steps.join(below.select("sid", "seed", "b"), ["sid", "seed"]).filter(F.floor(F.col("at") / BINS) == F.col("b"))
+    inside = _with_state(steps, below.select("sid", "seed", "b"), ("sid", "seed")).filter(F.floor(F.col("at") / BINS) == F.col("b"))
     fine = sums(inside, F.col("at")).join(below, ["sid", "seed"]) \
         .select("sid", "seed", F.col("bin").alias("edge"), F.abs(F.col("upto") + F.col("below") - F.col("target")).alias("off"))
     none = below.select("sid", "seed", (F.col("b") * BINS - 1).alias("edge"), F.abs(F.col("below") - F.col("target")).alias("off"))
