@@ -11,6 +11,21 @@ from ..session import cut
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+#: Rows of an Arrow batch where the session has Spark's default: whole texts are long,
+#: and a batch exists several times over in a task (JVM buffers, Python objects).
+TEXT_BATCH = 1000
+
+
+def text_batches(df: DataFrame) -> DataFrame:
+    """``df`` as it is; its session hands Python workers smaller Arrow batches, unless it
+    was given a size of its own."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    conf = df.sparkSession.conf
+    if conf.get(key, "10000") == "10000":
+        conf.set(key, str(TEXT_BATCH))
+    return df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -30,4 +45,4 @@ def numbered(df: DataFrame, name: str) -> DataFrame:
     return cut(df).withColumn(name, F.monotonically_increasing_id())
 
 
-__all__ = ["WORD", "table", "word_count", "ascii_lower", "numbered", "cut"]
+__all__ = ["WORD", "table", "text_batches", "word_count", "ascii_lower", "numbered", "cut"]

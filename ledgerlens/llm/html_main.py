@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, text_batches
 from .url_filter import host
 
 # Element and class names.
@@ -266,7 +266,7 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     def extract(html: pd.Series, path: pd.Series) -> pd.Series:
         return pd.Series([Page(h).text(p) if h else "" for h, p in zip(html, path)], dtype=object)
 
-    best = cut(host_paths(pages, url_col, html_col))
+    best = cut(host_paths(text_batches(pages), url_col, html_col))
     rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"),
                         host(F.col(url_col)).alias("host"))
     return rows.join(best, "host", "left").select(F.col("id").alias(id_col), F.col("url").alias(url_col),

@@ -20,6 +20,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import text_batches
+
 BITS = 12
 #: Language codes of each family; a language listed nowhere is a family of its own.
 FAMILIES = {
@@ -64,9 +66,9 @@ def vector(text: str) -> np.ndarray:
 
 
 def linear_svm(x: np.ndarray, y: np.ndarray, c: float = 10.0, epochs: int = 30) -> np.ndarray:
-    """Weights and bias of an L2-regularised squared-hinge SVM (dual coordinate
-    descent). ``y`` is +1 or -1; classes weigh alike whatever their sizes."""
-    x = np.hstack([x.astype(np.float32), np.ones((len(x), 1), np.float32)])
+    """Weights of an L2-regularised squared-hinge SVM (dual coordinate descent); a last
+    column of ones in ``x`` gives the bias. ``y`` is +1 or -1; classes weigh alike
+    whatever their sizes."""
     n, pos = len(y), max(1, int((y > 0).sum()))
     weight = np.where(y > 0, n / (2 * pos), n / (2 * max(1, n - pos)))
     soft = 1 / (2 * c * weight)
@@ -91,13 +93,14 @@ class Model:
     {(i, j): weights}."""
 
     def __init__(self, x: np.ndarray, labels: list[str]):
+        x = np.hstack([x.astype(np.float32, copy=False), np.ones((len(x), 1), np.float32)])
         lang = np.array(labels)
         of = {v: family(v) for v in sorted(set(labels))}
         self.families = sorted(set(of.values()))
         kin = np.array([of[v] for v in labels])
         self.langs = {f: sorted(v for v in of if of[v] == f) for f in self.families}
         self.family_w = np.stack([linear_svm(x, np.where(kin == f, 1, -1)) for f in self.families], axis=1) \
-            if len(self.families) > 1 else np.zeros((x.shape[1] + 1, 1), np.float32)
+            if len(self.families) > 1 else np.zeros((x.shape[1], 1), np.float32)
         self.pairs = {}
         for f in self.families:
             for i, j in combinations(range(len(self.langs[f])), 2):
@@ -139,10 +142,10 @@ def _squash(m: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(3 * m, -30, 30)))
 
 
-def fit(train: DataFrame, text_col: str, lang_col: str, max_docs: int = 4000) -> Model | None:
+def fit(train: DataFrame, text_col: str, lang_col: str, max_docs: int = 2000) -> Model | None:
     """A model from at most ``max_docs`` rows of ``train`` with a letter and a
     language; equal rows count once. None if there are no such rows."""
-    rows = train.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang")) \
+    rows = text_batches(train).select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang")) \
         .filter("lang is not null and text is not null").withColumn("h", F.xxhash64("lang", "text"))
     counts = {r["lang"]: r["count"] for r in rows.select("lang").groupBy("lang").count().collect()}
     if not counts:
@@ -162,8 +165,7 @@ def fit(train: DataFrame, text_col: str, lang_col: str, max_docs: int = 4000) ->
     got = some.mapInPandas(vectors, "lang string, h long, v binary").toPandas().sort_values("h")
     if not len(got):
         return None
-    x = np.stack([np.frombuffer(v, np.float16) for v in got["v"]]).astype(np.float32)
-    return Model(x, got["lang"].tolist())
+    return Model(np.stack([np.frombuffer(v, np.float16) for v in got["v"]]).astype(np.float32), got["lang"].tolist())
 
 
 def predictor(spark, model: Model | None):
@@ -192,7 +194,7 @@ def held_out(id_col: Column) -> Column:
 
 
 def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-             max_docs: int = 4000) -> DataFrame:
+             max_docs: int = 2000) -> DataFrame:
     """One row per row of ``docs``: id, held_out, lang_pred, score.
 
     Learns from the rows that are not held out and have a language; predicts every

@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import numbered
+from .common import numbered, text_batches
 from .tokens import ByteIds
 
 
@@ -96,7 +96,7 @@ def pieces(docs: DataFrame, id_col: str, text_col: str, tokenizer: str, max_toke
                          for a in range(0, n, max_tokens)]
             yield pd.DataFrame(rows, columns=["doc_id", "nil", "start", "length", "ids_crc32", "doc_tokens"])
 
-    src = docs.select(F.coalesce(F.col(id_col), F.lit(0)).cast("long").alias("doc_id"), F.col(id_col).isNull().alias("nil"),
+    src = text_batches(docs).select(F.coalesce(F.col(id_col), F.lit(0)).cast("long").alias("doc_id"), F.col(id_col).isNull().alias("nil"),
                       F.col(text_col).alias("text"))
     return src.mapInPandas(run, PIECE)
 

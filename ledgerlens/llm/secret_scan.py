@@ -16,6 +16,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import text_batches
+
 # The base patterns and their least lengths.
 ASSIGN = re.compile(r"""(?ai:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
@@ -116,14 +118,14 @@ def secret_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     a row each; an empty table gives an empty result; other columns are ignored."""
     of = _scanner("array<struct<kind:string,start:long,end:long>>",
                   lambda t, s: [{"kind": k, "start": a, "end": b} for k, a, b in s], vocabulary, max_ratio)
-    return docs.select(F.col(id_col), of(F.col(text_col)).alias("spans"))
+    return text_batches(docs).select(F.col(id_col), of(F.col(text_col)).alias("spans"))
 
 
 def redact(docs: DataFrame, text_col: str = "text", vocabulary: str = "byte_bpe_50k.tiktoken",
            max_ratio: float = 2.0) -> DataFrame:
     """``docs`` with every secret of the text replaced by [SECRET]; null stays null."""
     of = _scanner("string", lambda t, s: redacted(t, s) if s else t, vocabulary, max_ratio)
-    return docs.withColumn(text_col, of(F.col(text_col)))
+    return text_batches(docs).withColumn(text_col, of(F.col(text_col)))
 
 
 def digest_columns(spans: DataFrame, id_col: str = "doc_id") -> DataFrame:

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, text_batches
 from .graph import connected_components
 
 EVEN = 0x5555555555555555
@@ -58,7 +58,7 @@ def fingerprints(docs: DataFrame, id_col: str, text_col: str, shingle: int = 4)
             fp = np.fromiter((fingerprint(x, shingle) for x in b["raw"]), np.uint64, len(b))
             yield pd.DataFrame({"id": b["id"], "fp": fp.view(np.int64)})
 
-    src = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("raw"))
+    src = text_batches(docs).select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("raw"))
     id_type = src.schema["id"].dataType.simpleString()
     if id_type != "bigint":
         raise TypeError(f"{id_col} must be a long, it is {id_type}")

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir
-from .common import cut
+from .common import cut, text_batches
 from .tokens import Counts
 
 CACHE = "content_digest string, n_tokens long, tokenizer_digest string"
@@ -64,7 +64,7 @@ def count_tokens(docs: DataFrame, cache_dir: str, id_col: str = "doc_id", text_c
     append that is run twice leaves equal rows, which reading merges."""
     spark, which = docs.sparkSession, tokenizer_digest(tokenizer)
     whole = content(F.col(text_col))
-    keyed = docs.select(F.col(id_col), whole.alias("content"), F.sha2(whole.cast("binary"), 256).alias("content_digest"))
+    keyed = text_batches(docs).select(F.col(id_col), whole.alias("content"), F.sha2(whole.cast("binary"), 256).alias("content_digest"))
     rows = cut(keyed.select(F.col(id_col).alias("id"), F.octet_length("content").cast("long").alias("n_bytes"), "content_digest"))
 
     def encode(batches):
