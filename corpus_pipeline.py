@@ -18,21 +18,21 @@ def language(spark, docs, sf_dir):
     """Operator 3: documents without a language (``und``: null text, no letter) go; the
     others stay, and one without a lang gets the predicted one."""
     model = langid.fit(docs.filter(~langid.held_out(F.col("doc_id"))), "text", "lang")
-    rows = docs.withColumn("__p", langid.predictor(spark, model)("text")).filter("__p.lang_pred <> 'und'")
+    predict = langid.predictor(spark, model).asNondeterministic()   # else once for the filter and once for the column
+    rows = docs.withColumn("__p", predict("text")).filter("__p.lang_pred <> 'und'")
     return rows.withColumn("lang", F.coalesce("lang", "__p.lang_pred")).select(*docs.columns)
 
 
 def near_duplicates(spark, docs, sf_dir):
     """Operator 2: of each group of SimHash near-duplicates the document with the
-    smallest doc_id stays, once. A document without an id stays only if no document
-    of its group has one; of several without an id in a group one stays."""
-    groups = simhash.simhash_components(docs)
-    keep = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))) \
-        .groupBy(F.col("doc_id").alias("__id")).agg(F.lit(1).alias("__one"))
-    kept = docs.join(keep, docs["doc_id"].eqNullSafe(keep["__id"]), "left_semi")
-    named = kept.filter("doc_id is not null").dropDuplicates(["doc_id"])
-    # rows without an id: once per text (a null id is no name by which to tell groups apart)
-    return named.unionByName(kept.filter("doc_id is null").dropDuplicates(["text"])).select(*docs.columns)
+    smallest doc_id stays, once. Rows that repeat a doc_id are one document. Documents
+    without an id come after all others: each is known by a hash of its text, above
+    any id, so one stays only if its group has no document with an id."""
+    unnamed = F.lit(1 << 62) + F.pmod(F.xxhash64("text"), F.lit(1 << 61))
+    named = docs.withColumn("__id", F.coalesce("doc_id", unnamed))
+    groups = simhash.simhash_components(named, "__id", "text", shingle=4, max_bits=4)
+    keep = groups.filter(F.col("__id") == F.col("component_id")).select("__id").distinct()
+    return named.join(keep, "__id", "left_semi").dropDuplicates(["__id"]).select(*docs.columns)
 
 
 def secrets(spark, docs, sf_dir):

@@ -28,9 +28,12 @@ def test_language_and_duplicates_decide(spark):
     kept = pipeline.language(spark, docs(spark), SF)
     assert Counter(r["doc_id"] for r in kept.collect()) == Counter(r[0] for r in ROWS if langid.has_letter(r[1]))
     assert all(r["lang"] for r in kept.collect())
-    one = pipeline.near_duplicates(spark, docs(spark), SF).collect()
-    groups = simhash.simhash_components(docs(spark)).collect()
-    assert sorted(r["doc_id"] for r in one) == sorted({r["component_id"] for r in groups if r["component_id"] is not None})
+    rows = ROWS + [(None, "a text that nothing else in the table is near to", "en", "a", 1)] * 2
+    one = pipeline.near_duplicates(spark, docs(spark, rows), SF).collect()
+    groups = simhash.simhash_components(docs(spark, rows)).collect()
+    want = sorted({r["component_id"] for r in groups if r["component_id"] is not None})
+    assert sorted(r["doc_id"] for r in one if r["doc_id"] is not None) == want
+    assert [r["text"] for r in one if r["doc_id"] is None] == [rows[-1][1]]      # the other unnamed ones have named copies
 
 
 def test_run_is_its_stages(spark):
