@@ -1,61 +1,31 @@
-"""Token ids and counts by public tokenizer files, with a per-process word cache.
-
-The libraries encode; a text is only cut beforehand where the tokenizer cuts it
-anyway, so that words seen before need not be encoded again, and new words are
-encoded many at a time. Where a text has no such places (or a tokenizer doesn't
-allow it) it is encoded whole.
-"""
+"""Token ids and counts by public tokenizer files, exactly as the libraries give them
+for whole texts."""
 
 from __future__ import annotations
 
 import base64
 import json
 import os
+import re
 
 import numpy as np
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")    # one task, one core
 
-#: Entries of each of a cache's two generations; bounds a worker's memory, not the result.
-CACHE_WORDS = 400_000
-
-
-class WordCache:
-    """Two generations of word -> value; the older one goes when the newer is full."""
-
-    def __init__(self, encode):
-        self.new: dict = {}
-        self.old: dict = {}
-        self.encode = encode    # list of words -> list of values
-
-    def learn(self, words) -> dict:
-        """A dictionary that has every one of ``words`` (a set)."""
-        if len(self.new) > CACHE_WORDS:
-            self.new, self.old = {}, self.new
-        new, old = self.new, self.old
-        lost = [w for w in words if w not in new]
-        fresh = []
-        for w in lost:
-            if w in old:
-                new[w] = old[w]
-            else:
-                fresh.append(w)
-        for i in range(0, len(fresh), 2000):
-            some = fresh[i:i + 2000]
-            new.update(zip(some, self.encode(some)))
-        return new
-
 
 class ByteIds:
     """Ids by a ``tokenizers`` JSON file, as little-endian unsigned 32-bit bytes, without
     added special tokens.
 
-    With a byte-level pre-tokenizer (no normaliser, no prefix space) a lone space or
-    line feed between two other characters begins a new pre-token, and so does the
-    character after the line feed. Texts whose white space is all of that kind are
-    cut there; others are encoded whole."""
+    Texts of plain Latin characters are encoded by tiktoken over the same vocabulary
+    where that provably gives the same ids (see ``_ranks``), several times faster;
+    all others, and those that hold a special token's string, by ``tokenizers``.
+    """
 
     _held: dict[str, "ByteIds"] = {}
+    #: Anything but line feeds and printable characters up to Latin Extended-B, on whose
+    #: classes (letter, number, space) all regular expression engines agree.
+    _other = re.compile("[^\n\x20-\x7e\xa1-\u024f]")
 
     def __init__(self, name: str):
         import public_tokenizers
@@ -65,13 +35,8 @@ class ByteIds:
         self.tokenizer = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as f:
             d = json.load(f)
-        pre = d.get("pre_tokenizer") or {}
-        self.by_word = pre.get("type") == "ByteLevel" and pre.get("use_regex", True) \
-            and not pre.get("add_prefix_space") and not d.get("normalizer") and not d.get("post_processor")
         self.special = [t["content"] for t in d.get("added_tokens", [])]
-        self.cache = WordCache(self._words)
-        self.feed = self._ids("\n") if self.by_word else []
-        self.ranked = self._ranks(name, d["model"]) if len(self.feed) == 1 else None
+        self.ranked = self._ranks(name, d)
 
     @classmethod
     def of(cls, name: str) -> "ByteIds":
@@ -80,16 +45,19 @@ class ByteIds:
         return cls._held[name]
 
     @staticmethod
-    def _ranks(name: str, model: dict):
-        """The same vocabulary as ranks, read by tiktoken, which encodes words several
-        times faster; or None. Used only if it provably gives the same ids: same bytes
-        for every id, and merges listed in the order of the ids they make, so that
-        merging by list and by rank are one and the same."""
+    def _ranks(name: str, d: dict):
+        """The same vocabulary as ranks, or None. The ids are the same if the file has the
+        byte-level pre-tokenizer with its own pattern and nothing before or after it,
+        every id stands for the same bytes, and merges are listed in the order of the
+        ids they make, so that merging by list and by rank are one and the same."""
         import public_tokenizers
         import tiktoken
 
         path = public_tokenizers.path(name.removesuffix(".json") + ".tiktoken")
-        if not os.path.exists(path) or model.get("type") != "BPE" or model.get("ignore_merges"):
+        pre, model = d.get("pre_tokenizer") or {}, d["model"]
+        if not os.path.exists(path) or model.get("type") != "BPE" or model.get("ignore_merges") or model.get("dropout") \
+                or d.get("normalizer") or d.get("post_processor") or pre.get("type") != "ByteLevel" \
+                or pre.get("add_prefix_space") or not pre.get("use_regex", True):
             return None
         with open(path, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
@@ -104,61 +72,19 @@ class ByteIds:
             return None
         return tiktoken.Encoding(name, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
-    def _ids(self, text: str) -> list[int]:
-        return self.tokenizer.encode(text, add_special_tokens=False).ids
-
-    def _words(self, words: list[str]) -> list[bytes]:
-        """Ids of each word: of "\\n..." as it stands, of any other with a space before
-        it. Many in one text, a line feed after each, which is a token of its own."""
-        if len(self.feed) != 1:
-            return [np.array(self._ids(w if w[0] == "\n" else " " + w), "<u4").tobytes() for w in words]
-        plain = [w[1:] if w[0] == "\n" else " " + w for w in words]
-        text = "\n".join(plain) + "\n"
-        if self.ranked:
-            ids = self.ranked.encode_to_numpy(text, disallowed_special=()).astype("<u4")
-        else:
-            ids = np.array(self._ids(text), "<u4")
-        ends = (4 * np.flatnonzero(ids == self.feed[0])).tolist()
-        raw, feed, at, out = ids.tobytes(), np.array(self.feed, "<u4").tobytes(), 0, []
-        for w, e in zip(words, ends):
-            out.append(feed + raw[at:e] if w[0] == "\n" else raw[at:e])
-            at = e + 4
-        return out
-
-    def _cut(self, text: str):
-        """The words of a text (the first with a line feed that it hasn't), or None."""
-        if not self.by_word or any(s in text for s in self.special):
-            return None
-        words = text.replace("\n", " \n").split(" ")
-        if "" in words or "\n" in words or len(words) != len(text.split()):
-            return None     # other white space than lone spaces and line feeds between words
-        words[0] = "\n" + words[0]
-        return words
+    def __call__(self, text: str | None) -> bytes:
+        if not text:
+            return b""
+        if self.ranked and not self._other.search(text) and not any(s in text for s in self.special):
+            return self.ranked.encode_to_numpy(text, disallowed_special=()).astype("<u4").tobytes()
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def many(self, texts) -> list[bytes]:
-        out = []
-        for i in range(0, len(texts), 64):
-            some = texts[i:i + 64]
-            cut = [self._cut(t) if t else [] for t in some]
-            words = self.cache.learn(set().union(*[c for c in cut if c]))
-            for t, c in zip(some, cut):
-                if c is None:
-                    out.append(np.array(self._ids(t), "<u4").tobytes())
-                else:       # without the first word's line feed
-                    out.append(b"".join([words[w] for w in c])[4:] if c else b"")
-        return out
-
-    def __call__(self, text: str | None) -> bytes:
-        return self.many([text])[0]
+        return [self(t) for t in texts]
 
 
 class Counts:
-    """Token counts of whole texts by one tokenizer file (``.json`` or ``.model``).
-
-    Sentencepiece puts one space mark before a text and writes spaces as marks. If no
-    piece of the vocabulary has a mark after another character, no token crosses from
-    a word into the marks of the next, so a word is encoded alike wherever it stands.
-    """
+    """Token counts of whole texts by one tokenizer file (``.json`` or ``.model``)."""
 
     _held: dict[str, "Counts"] = {}
 
@@ -172,13 +98,6 @@ class Counts:
         import sentencepiece
 
         self.pieces = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path(name))
-        # any rewriting of the text (normaliser, dropped spaces) would move the cuts
-        names = [self.pieces.id_to_piece(i) for i in range(self.pieces.get_piece_size())]
-        probe = " a   Ａﬁ é\t"
-        kept = self.pieces.decode(self.pieces.encode(probe)).replace("▁", " ") == probe
-        self.by_word = kept and not any("▁" in p.lstrip("▁") for p in names)
-        self.starts = np.array([p.startswith("▁") for p in names])
-        self.cache = WordCache(self._words)
 
     @classmethod
     def of(cls, name: str) -> "Counts":
@@ -186,27 +105,7 @@ class Counts:
             cls._held[name] = cls(name)
         return cls._held[name]
 
-    def _words(self, words: list[str]) -> list[int]:
-        """Each word's first token, and no other of it, starts with a space mark."""
-        ids = np.array(self.pieces.encode(" ".join(words), num_threads=1))
-        return np.diff(np.append(np.flatnonzero(self.starts[ids]), len(ids))).tolist()
-
-    def _cut(self, text: str):
-        if not self.by_word or "▁" in text or text[0] == " " or text[-1] == " " or "  " in text:
-            return None
-        return text.split(" ")
-
     def many(self, texts) -> list[int]:
         if self.ids is not None:
             return [len(x) // 4 for x in self.ids.many(texts)]
-        out = []
-        for i in range(0, len(texts), 64):
-            some = texts[i:i + 64]
-            cut = [self._cut(t) if t else [] for t in some]
-            words = self.cache.learn(set().union(*[c for c in cut if c]))
-            out += [len(self.pieces.encode(t, num_threads=1)) if c is None else sum([words[w] for w in c])
-                    for t, c in zip(some, cut)]
-        return out
-
-    def __call__(self, text: str | None) -> int:
-        return self.many([text])[0]
+        return [len(self.pieces.encode(t, num_threads=1)) if t else 0 for t in texts]

@@ -305,19 +305,21 @@ def test_three_limits_hold_at_once():
         packing.dot_product_pack(np.array([[2000, 1, 0]]), limits)
 
 
-# --- operator 8 and the word caches
+# --- operator 8 and the tokenizers
 
 ODD = ["a  b", " a", "a ", "a\n b", "a \n b", "\n", " ", "▁", "a▁b", "<|endoftext|> x", "<s> </s>", "don't  's", "x y z", "\x1c \x1d",
        "a\t b\t", "   lead", "日本 語", "\U0001f600 \U0001f600", "", "12 345,  6", "\x85 \x85", "x  y", "a\nb c\nd", "a\n\nb"]
 
 
-def test_word_caches_agree_with_the_libraries():
+def test_ids_and_counts_are_the_libraries():
     import public_tokenizers as P
     import sentencepiece
     from tokenizers import Tokenizer
 
     rng = np.random.default_rng(3)
-    texts = ODD + ["".join(rng.choice(list("ab  \n\t'sé▁日.1 "), rng.integers(0, 16))) for _ in range(3000)]
+    texts = ODD + ["".join(rng.choice(list(kinds), rng.integers(0, 16))) for kinds in ("ab  \n\t'sé▁日.1 ", "aB  \n'sé.1 ²ªß'll§¼ǅ", "a \n")
+                   for _ in range(2000)]
+    assert ByteIds.of("byte_bpe_50k.json").ranked and not ByteIds.of("word_bpe_49k.json").ranked
     whole = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
     ids = ByteIds.of("byte_bpe_50k.json").many(texts)
     assert ids == [np.array(whole.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
