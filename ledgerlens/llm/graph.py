@@ -11,7 +11,7 @@ from .common import cut
 def _large_star(edges: DataFrame) -> DataFrame:
     """Every neighbour above a node is linked to the node's smallest neighbour."""
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+    least = cut(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
     return (both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
             .filter("u <> v").distinct())
 
@@ -19,7 +19,7 @@ def _large_star(edges: DataFrame) -> DataFrame:
 def _small_star(edges: DataFrame) -> DataFrame:
     """A node and its smaller neighbours are linked to the smallest of them.
     Takes edges with u > v."""
-    least = edges.groupBy("u").agg(F.min("v").alias("m"))
+    least = cut(edges.groupBy("u").agg(F.min("v").alias("m")))
     pairs = edges.join(least, "u").select(
         F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")),
                           F.struct("u", F.col("m").alias("v")))).alias("e"))
@@ -31,8 +31,9 @@ def connected_components(edges: DataFrame, a: str, b: str) -> DataFrame:
     roots: root is the smallest node of its component.
 
     Alternating large-star and small-star rounds. A round is two grouped minima
-    (combined before the shuffle) and two equi-joins on a node, whose hot nodes
-    Spark's skew join splits; edges never grow in number. Every round is
+    (combined before the shuffle) and two equi-joins on a node; the minima are
+    checkpointed first, so that both sides of a join are plain shuffles, whose hot
+    nodes Spark's skew join splits. Edges never grow in number. Every round is
     checkpointed; the loop ends when a round changes nothing (a checksum of the
     edges, one row to the driver). Nulls and loops are ignored; an empty edge
     table gives an empty result. Any orderable node type."""
