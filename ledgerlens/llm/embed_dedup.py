@@ -209,8 +209,8 @@ def near_duplicate_vectors(vectors: DataFrame, id_col: str = "vec_id", vec_col:
     placed = reps.select("row", "h1", "h2", F.col("n").alias("copies"), "least_id").join(number, "row", "left") \
         .join(parts.withColumnRenamed("node", "row"), "row", "left").withColumn("root", F.coalesce("root", "row"))
     smallest = placed.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    of = placed.join(smallest, "root").select("h1", "h2", "component_id",
-                                              (F.coalesce("others", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
+    links = F.coalesce("others", F.lit(0)) + F.col("copies") - 1
+    of = cut(placed.join(smallest, "root").select("h1", "h2", "component_id", links.alias("n_links")))
     out = rows.drop("v", "label").join(of, ["h1", "h2"], "left")
     component = F.when(F.col("on"), F.col("component_id")).otherwise(F.col("id"))
     return out.select(F.col("id").alias(id_col), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),

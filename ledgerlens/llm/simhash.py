@@ -219,6 +219,7 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     placed = reps.join(roots, reps["fp"] == roots["node"], "left") \
         .select("fp", "least", F.coalesce("root", "fp").alias("root"))
     least = placed.groupBy("root").agg(F.min("least").alias("component_id"))
-    of = placed.select("fp", "root").join(least, "root").select("fp", "component_id")
+    # a table of its own, so that the last join's sides are plain shuffles and a hot fingerprint is split
+    of = cut(placed.select("fp", "root").join(least, "root").select("fp", "component_id"))
     return rows.join(of, "fp").select(F.col("id").alias(id_col), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
                                       "component_id")

@@ -76,7 +76,8 @@ def count_tokens(docs: DataFrame, cache_dir: str, id_col: str = "doc_id", text_c
         .join(stored_counts(spark, cache_dir, which), "content_digest", "left_anti") \
         .select("content_digest", "content").mapInPandas(encode, "content_digest string, n_tokens long")
     misses.withColumn("tokenizer_digest", F.lit(which)).write.mode("append").partitionBy("tokenizer_digest").parquet(cache_dir)
-    counted = rows.join(stored_counts(spark, cache_dir, which), "content_digest", "left")
+    # a table of its own, so that the join's sides are plain shuffles and a hot digest is split
+    counted = rows.join(cut(stored_counts(spark, cache_dir, which)), "content_digest", "left")
     return counted.select(F.col("id").alias(id_col), "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
 
 
