@@ -47,6 +47,8 @@ NEGATIVE_ARTICLE = frozenset("ad ads advert advertisement comment comments promo
 #: Class names that tell of something else on the page.
 ABOUT = re.compile(r"(?:has|with|no|is|js)-")
 
+SALTS = 64
+
 TAG = re.compile(r"<!--|<[!?]|<(/?)([a-zA-Z][^\s/>]*)")
 REST = re.compile(r"""[^>"']*+(?:"[^"]*"[^>"']*+|'[^']*'[^>"']*+)*+>""")
 ATTR = re.compile(r"""(?i)\b(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
@@ -255,13 +257,18 @@ def host_paths(pages: DataFrame, url_col: str, html_col: str) -> DataFrame:
         .groupBy("host").agg(F.min_by("path", F.struct(-F.col("n"), "path")).alias("path"))
 
 
-def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
+def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
+              broadcast_mb: float = 8.0) -> DataFrame:
     """One row per row of ``pages``: id, url, text, n_chars (code points).
 
     Whole html; null and empty html give an empty text. Null urls share the empty
     host. Unclosed, misnested and cut-off markup is read as far as it goes. Repeated
     rows and null ids keep a row each; an empty table gives an empty result; other
-    columns are ignored. Only (host, path) votes are shuffled by host, summed before."""
+    columns are ignored.
+
+    Votes are summed before they are shuffled. Winning paths of at most ``broadcast_mb``
+    (measured) go to every task, so that no html moves; beyond that, pages join them by
+    host and salt, which spreads a hot host."""
     @F.pandas_udf("string")
     def extract(html: pd.Series, path: pd.Series) -> pd.Series:
         return pd.Series([Page(h).text(p) if h else "" for h, p in zip(html, path)], dtype=object)
@@ -269,6 +276,12 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     best = cut(host_paths(text_batches(pages), url_col, html_col))
     rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"),
                         host(F.col(url_col)).alias("host"))
-    return rows.join(best, "host", "left").select(F.col("id").alias(id_col), F.col("url").alias(url_col),
+    size = best.agg(F.sum(F.octet_length("host") + F.octet_length("path") + 32)).first()[0] or 0
+    if size <= broadcast_mb * 1e6:
+        rows = rows.join(F.broadcast(best), "host", "left")
+    else:
+        spread = best.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        rows = rows.withColumn("salt", F.pmod(F.xxhash64("id", "html"), F.lit(SALTS)).cast("int")).join(spread, ["host", "salt"], "left")
+    return rows.select(F.col("id").alias(id_col), F.col("url").alias(url_col),
                                                   extract("html", "path").alias("text")) \
         .withColumn("n_chars", F.length("text").cast("long"))

@@ -58,6 +58,10 @@ def test_consensus_beats_a_page_of_its_own(spark):
     assert got[0] == ("Main text of the page. " * 9).strip()
 
 
+def test_paths_join_alike_beyond_the_broadcast_bound(spark):
+    assert rows_of(html_main.main_text(pages(spark), broadcast_mb=0)) == rows_of(html_main.main_text(pages(spark)))
+
+
 def test_articles_of_the_given_pages(spark):
     """The given pages hold their text in <article>: it comes out whole, and nothing else."""
     import html
