@@ -3,8 +3,8 @@
 Base patterns find assignments, access keys and long hex runs. Beyond them, a run
 of key characters that a byte-pair vocabulary needs many tokens for (few
 characters a token) is a random string: words and names cost few tokens, random
-ones many. Known digests (hex of a digest's length, UUIDs) and identifiers (mostly
-letters, in words of some length) are left out of that test.
+ones many. Known digests (hex of a digest's length, UUIDs), numbers and identifiers
+(mostly letters, in runs that the vocabulary has words for) are left out of that test.
 """
 
 from __future__ import annotations
@@ -29,6 +29,8 @@ DIGEST_LENGTHS = (32, 40, 48, 56, 64, 96, 128)
 RUN = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
 UUID = re.compile(r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}")
 LETTERS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
+#: Least characters a token of a letter run that is a word; least share of such runs in an identifier.
+WORD_RATIO, WORD_SHARE = 2.5, 0.6
 #: Bytes of any base or candidate run as they are, all others as a space.
 _RUNS = bytes(c if chr(c) in "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-" else 32 for c in range(256))
 
@@ -55,16 +57,21 @@ class Vocabulary:
     def chars_per_token(self, s: str) -> float:
         return len(s) / len(self.encoding.encode_ordinary(s))
 
+    def is_word(self, w: str) -> bool:
+        """A run of letters of few tokens, as it is or in lower case after a space."""
+        return len(w) >= 3 and (self.chars_per_token(w) >= WORD_RATIO
+                                or len(w) / len(self.encoding.encode_ordinary(" " + w.lower())) >= WORD_RATIO)
 
-def known(s: str) -> bool:
-    """A digest, or an identifier: no digit, or nearly all of it letters in words."""
+
+def known(s: str, vocabulary: Vocabulary) -> bool:
+    """A digest, no letter at all, or an identifier: mostly letters, most of them in words."""
     if UUID.fullmatch(s) or (len(s) in DIGEST_LENGTHS and re.fullmatch(r"[0-9a-f]+|[0-9A-F]+", s)):
         return True
-    words = [len(w) for w in LETTERS.findall(s)]
-    if not words or s.isdigit():
-        return True
-    letters = sum(words)
-    return letters >= 0.7 * len(s) and letters / len(words) >= 3.0
+    runs = LETTERS.findall(s)
+    n = sum(map(str.isalnum, s))
+    if sum(map(len, runs)) < 0.7 * n:
+        return not runs
+    return sum(len(w) for w in runs if vocabulary.is_word(w)) >= WORD_SHARE * n
 
 
 def find(text: str | None, vocabulary: Vocabulary, max_ratio: float) -> list[tuple[str, int, int]]:
@@ -84,10 +91,9 @@ def find(text: str | None, vocabulary: Vocabulary, max_ratio: float) -> list[tup
         out += [("hex", *m.span()) for m in HEX.finditer(text)]
         for m in RUN.finditer(text):
             s, (a, b) = m[0], m.span()
-            if any(c.isdigit() for c in s) or not (s.islower() or s.isupper() or s.istitle()):
-                if not known(s) and vocabulary.chars_per_token(s) <= max_ratio \
-                        and not any(x < b and a < y for _, x, y in out):
-                    out.append(("random", a, b))
+            if vocabulary.chars_per_token(s) <= max_ratio and not known(s, vocabulary) \
+                    and not any(x < b and a < y for _, x, y in out):
+                out.append(("random", a, b))
     return sorted(out, key=lambda x: (x[1], KINDS.index(x[0])))
 
 

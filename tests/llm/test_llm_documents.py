@@ -252,6 +252,20 @@ def test_token_efficiency_test():
     assert kinds("password=Zk3vQ9xW7pLr2TmY8bNc") == ["assign"]     # an added span lies apart from the base ones
 
 
+def test_random_keys_of_one_case():
+    """Keys of one case or of letters only are random strings, not identifiers."""
+    voc, rng = secret_scan.Vocabulary.of("byte_bpe_50k.tiktoken"), np.random.default_rng(4)
+    for letters in ("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", "abcdefghijklmnopqrstuvwxyz0123456789", "abcdefghijklmnopqrstuvwxyz",
+                    "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"):
+        for n in (20, 32, 40):
+            keys = ["".join(rng.choice(list(letters), n)) for _ in range(200)]
+            low = [k for k in keys if voc.chars_per_token(k) <= 2.0]
+            found = [k for k in low if secret_scan.find(f"see {k} there", voc, 2.0)]
+            assert len(low) >= 190 and len(found) >= 0.98 * len(low), (letters, n)
+    for clean in ("_sigint_wait_secs", "old_sys_excepthook", "incomprehensibility"):
+        assert not secret_scan.find(f"see {clean} there", voc, 2.0), clean
+
+
 def test_redaction(spark):
     out = {r["doc_id"]: r["text"] for r in secret_scan.redact(docs(spark)).collect() if r["doc_id"]}
     assert out[11] == 'x [SECRET]" [SECRET] [SECRET]' and out[1] == EN and out[4] is None
