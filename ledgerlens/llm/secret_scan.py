@@ -5,6 +5,8 @@ of key characters that a byte-pair vocabulary needs many tokens for (few
 characters a token) is a random string: words and names cost few tokens, random
 ones many. Known digests (hex of a digest's length, UUIDs), numbers and identifiers
 (mostly letters, in runs that the vocabulary has words for) are left out of that test.
+A run that passes as a whole is tested again without its words and numbers, which
+separators join to a secret.
 """
 
 from __future__ import annotations
@@ -26,8 +28,11 @@ KINDS = ("assign", "access", "hex", "random")
 KEYWORDS = (b"passw", b"secret", b"token", b"apikey", b"api_key")
 DIGEST_LENGTHS = (32, 40, 48, 56, 64, 96, 128)
 
-RUN = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
+LEAST = 16      # characters of a random string
+RUN = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % LEAST)
 UUID = re.compile(r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}")
+#: What separators join: UUIDs as one, else letters and digits.
+PART = re.compile(rf"(?<![A-Za-z0-9]){UUID.pattern}(?![A-Za-z0-9])|[A-Za-z0-9]+")
 LETTERS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 #: Least characters a token of a letter run that is a word; least share of such runs in an identifier.
 WORD_RATIO, WORD_SHARE = 2.5, 0.6
@@ -74,6 +79,29 @@ def known(s: str, vocabulary: Vocabulary) -> bool:
     return sum(len(w) for w in runs if vocabulary.is_word(w)) >= WORD_SHARE * n
 
 
+def random_spans(s: str, vocabulary: Vocabulary, max_ratio: float) -> list[tuple[int, int]]:
+    """Random strings in ``s``, a run without base spans: all of it, else its stretches
+    of parts (between separators) that are no words or numbers, else such a part."""
+    def low(a, b):
+        return b - a >= LEAST and vocabulary.chars_per_token(s[a:b]) <= max_ratio and not known(s[a:b], vocabulary)
+
+    if low(0, len(s)):
+        return [(0, len(s))]
+    stretches, open_ = [], False
+    for m in PART.finditer(s):
+        plain = len(m[0]) >= 3 and (vocabulary.chars_per_token(m[0]) > max_ratio or known(m[0], vocabulary))
+        if not plain:
+            if not open_:
+                stretches.append([])
+            stretches[-1].append(m.span())
+        open_ = not plain
+    out = []
+    for parts in stretches:
+        a, b = parts[0][0], parts[-1][1]
+        out += [(a, b)] if low(a, b) else [p for p in parts if low(*p)]
+    return out
+
+
 def find(text: str | None, vocabulary: Vocabulary, max_ratio: float) -> list[tuple[str, int, int]]:
     """(kind, start, end) by start, then kind as listed; code points, end exclusive.
     The base kinds may overlap; an added one lies apart from all of them."""
@@ -81,7 +109,7 @@ def find(text: str | None, vocabulary: Vocabulary, max_ratio: float) -> list[tup
         return []
     raw = text.encode("utf-8", "replace")
     low = raw.lower()
-    long_run = max(map(len, raw.translate(_RUNS).split()), default=0) >= 16
+    long_run = max(map(len, raw.translate(_RUNS).split()), default=0) >= LEAST
     out = []
     if any(k in low for k in KEYWORDS):
         out += [("assign", *m.span()) for m in ASSIGN.finditer(text) if len(m[2]) >= 6]
@@ -89,11 +117,13 @@ def find(text: str | None, vocabulary: Vocabulary, max_ratio: float) -> list[tup
         if "AKIA" in text:
             out += [("access", *m.span()) for m in ACCESS.finditer(text) if len(m[0]) >= 20]
         out += [("hex", *m.span()) for m in HEX.finditer(text)]
+        base = sorted((a, b) for _, a, b in out)
         for m in RUN.finditer(text):
-            s, (a, b) = m[0], m.span()
-            if vocabulary.chars_per_token(s) <= max_ratio and not known(s, vocabulary) \
-                    and not any(x < b and a < y for _, x, y in out):
-                out.append(("random", a, b))
+            at, end = m.span()
+            for x, y in [*((x, y) for x, y in base if x < end and at < y), (end, end)]:
+                if x - at >= LEAST:
+                    out += [("random", at + a, at + b) for a, b in random_spans(text[at:x], vocabulary, max_ratio)]
+                at = max(at, y)
     return sorted(out, key=lambda x: (x[1], KINDS.index(x[0])))
 
 
