@@ -7,7 +7,7 @@ against the rest, picks the family; then one linear SVM per pair of the family's
 languages ("one versus one") votes for the language.
 
 The machines are fitted on a bounded sample (``max_docs`` labelled documents in all,
-an equal share per language, chosen by hash); every document is predicted from its
+an equal share per language, chosen by hash among distinct texts); every document is predicted from its
 whole text. The model is a few dense vectors per language pair.
 """
 
@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from .common import text_batches
 
 BITS = 12
+RANGE = 1 << 40     # of the hashes that choose the sample
 #: Language codes of each family; a language listed nowhere is a family of its own.
 FAMILIES = {
     "germanic": ["af", "da", "de", "en", "fy", "is", "lb", "nb", "nl", "nn", "no", "sv", "yi"],
@@ -72,7 +73,7 @@ def linear_svm(x: np.ndarray, y: np.ndarray, c: float = 10.0, epochs: int = 30)
     n, pos = len(y), max(1, int((y > 0).sum()))
     weight = np.where(y > 0, n / (2 * pos), n / (2 * max(1, n - pos)))
     soft = 1 / (2 * c * weight)
-    q = (x * x).sum(axis=1) + soft
+    q = np.einsum("ij,ij->i", x, x) + soft
     w, alpha, order = np.zeros(x.shape[1], np.float32), np.zeros(n), np.random.default_rng(7)
     for _ in range(epochs):
         worst = 0.0
@@ -142,20 +143,38 @@ def _squash(m: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(3 * m, -30, 30)))
 
 
-def fit(train: DataFrame, text_col: str, lang_col: str, max_docs: int = 2000) -> Model | None:
-    """A model from at most ``max_docs`` rows of ``train`` with a letter and a
-    language; equal rows count once. None if there are no such rows."""
+def sample(rows: DataFrame, max_docs: int) -> list[int]:
+    """Hashes h of the distinct (lang, text) of ``rows`` (columns lang, h) to learn from:
+    of each language the max_docs / languages smallest ones (one at least), or all it has."""
+    about = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.approx_count_distinct("h").alias("n")).collect()}
+    share = max(1, max_docs // max(1, len(about)))
+    # a draw somewhat larger than the share, whose size follows the estimate; what is short is drawn again from more
+    part = {v: min(1.0, (1.25 * share + 5 * share ** 0.5 + 10) / max(1, n)) for v, n in about.items()}
+    out: list[int] = []
+    while part:
+        limits = F.create_map(*[F.lit(x) for v, p in sorted(part.items()) for x in (v, int(p * RANGE))])
+        drawn = rows.filter(F.pmod("h", F.lit(RANGE)) < F.element_at(limits, F.col("lang"))).distinct()
+        got: dict[str, list[int]] = {v: [] for v in part}
+        for r in drawn.collect():
+            got[r["lang"]].append(r["h"])
+        for v, h in got.items():
+            if len(h) >= share or part[v] >= 1.0:
+                out += sorted(h, key=lambda x: (x % RANGE, x))[:share]
+        part = {v: min(1.0, 4 * p) for v, p in part.items() if len(got[v]) < share and p < 1.0}
+    return out
+
+
+def fit(train: DataFrame, text_col: str, lang_col: str, max_docs: int = 4000) -> Model | None:
+    """A model from at most ``max_docs`` distinct texts of ``train`` with a letter and a
+    language, an equal share per language, one at least; equal rows count once, before
+    the shares are drawn. None if there are no such rows."""
     rows = text_batches(train).select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang")) \
-        .filter("lang is not null and text is not null").withColumn("h", F.xxhash64("lang", "text"))
-    counts = {r["lang"]: r["count"] for r in rows.select("lang").groupBy("lang").count().collect()}
-    if not counts:
+        .filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).withColumn("h", F.xxhash64("lang", "text"))
+    chosen = sample(rows.select("lang", "h"), max_docs)
+    if not chosen:
         return None
-    share = max_docs / len(counts)
-    keep = F.lit(False)
-    u = F.pmod("h", F.lit(1 << 40)) / float(1 << 40)
-    for lang, n in sorted(counts.items()):
-        keep = keep | ((F.col("lang") == lang) & (u < min(1.0, share / n)))
-    some = rows.filter(keep).dropDuplicates(["h"]).orderBy("h").limit(max_docs)
+    few = train.sparkSession.createDataFrame([(h,) for h in chosen], "h long")
+    some = rows.join(F.broadcast(few), "h").dropDuplicates(["h"])
 
     def vectors(batches):
         for b in batches:
@@ -194,7 +213,7 @@ def held_out(id_col: Column) -> Column:
 
 
 def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-             max_docs: int = 2000) -> DataFrame:
+             max_docs: int = 4000) -> DataFrame:
     """One row per row of ``docs``: id, held_out, lang_pred, score.
 
     Learns from the rows that are not held out and have a language; predicts every

@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 import xxhash
 from llm_data import DOCS, EN, ROWS, clash, docs, rows_of
+from pyspark.sql import functions as F
 
 from ledgerlens.llm import langid, mixing, packing, queries, secret_scan, simhash, token_counts
 from ledgerlens.llm.common import table
@@ -199,6 +200,25 @@ def test_language_undetermined(spark):
     assert (none["lang_pred"], none["score"]) == ("und", 0.0)
 
 
+def test_language_of_copies_is_learned(spark):
+    """A language whose rows are nearly all copies of one text has its share of samples."""
+    words = {"en": "the house of river was there and children went with them", "fr": "la maison de rivière était là et les enfants allaient",
+             "de": "das haus am fluss war dort und die kinder gingen mit", "es": "la casa del río estaba allí y los niños iban con"}
+    rng = np.random.default_rng(8)
+    rows = [(f"{' '.join(rng.choice(words[v].split(), 12))} {v}{i}", v) for v in words for i in range(60 if v == "en" else 2000)]
+    few = spark.createDataFrame(rows, "text string, lang string")
+    copies = spark.range(40_000).select(F.lit("the house of the river was there").alias("text"), F.lit("en").alias("lang"))
+    t = few.unionByName(copies).withColumn("doc_id", F.monotonically_increasing_id())
+    got = langid.identify(t, max_docs=200).join(t, "doc_id").filter("lang = 'en'").groupBy("lang_pred").count().collect()
+    assert [r["lang_pred"] for r in got] == ["en"]
+    h = few.unionByName(copies).withColumn("h", F.xxhash64("lang", "text"))
+    for max_docs, want in ((200, {"en": 50, "fr": 50, "de": 50, "es": 50}), (2, dict.fromkeys(words, 1)), (400, {"en": 61, "fr": 100, "de": 100, "es": 100})):
+        chosen = langid.sample(h.select("lang", "h"), max_docs)
+        assert len(chosen) == len(set(chosen))
+        assert {r["lang"]: r["n"] for r in h.filter(F.col("h").isin(chosen)).groupBy("lang").agg(F.count_distinct("h").alias("n")).collect()} == want
+        assert sorted(chosen) == sorted(langid.sample(h.select("lang", "h").repartition(3), max_docs))
+
+
 def test_families_are_told_apart_first():
     rng = np.random.default_rng(1)
     x = np.abs(rng.normal(size=(90, 30))).astype(np.float32)
