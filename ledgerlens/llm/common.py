@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import cut
@@ -45,4 +45,12 @@ def numbered(df: DataFrame, name: str) -> DataFrame:
     return cut(df).withColumn(name, F.monotonically_increasing_id())
 
 
-__all__ = ["WORD", "table", "text_batches", "word_count", "ascii_lower", "numbered", "cut"]
+def best_per_key(df: DataFrame, keys: list[str], order: list[Column], k: int, parts: int = 64) -> DataFrame:
+    """The first ``k`` rows of each key by ``order``, with their ``rank`` (from 1). A key's
+    rows are cut to ``k`` in ``parts`` parts before they meet, so no task sorts them all."""
+    salted = df.withColumn("salt", F.pmod(F.xxhash64(*df.columns), F.lit(parts)))
+    first = salted.withColumn("rank", F.row_number().over(Window.partitionBy(*keys, "salt").orderBy(*order))).filter(F.col("rank") <= k)
+    return first.drop("salt", "rank").withColumn("rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).filter(F.col("rank") <= k)
+
+
+__all__ = ["WORD", "table", "text_batches", "word_count", "ascii_lower", "numbered", "best_per_key", "cut"]

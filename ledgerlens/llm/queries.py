@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import ann, embed_dedup, html_main, langid, mixing, packing, secret_scan, simhash, token_counts, url_filter
+from . import (ann, collocations, embed_dedup, html_main, langid, lexical_search, license_scan, mixing, packing, secret_scan, simhash,
+               token_counts, url_filter)
 from .common import table
 
 
@@ -50,6 +51,18 @@ def op10_embedding_dedup(spark, sf_dir):
     return embed_dedup.near_duplicate_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op11_license_scan(spark, sf_dir):
+    return license_scan.digest_columns(license_scan.license_places(table(spark, sf_dir, "documents")))
+
+
+def op12_lexical_search(spark, sf_dir):
+    return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_collocations(spark, sf_dir):
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_entropy_mix": op1_entropy_mix,
     "op2_simhash": op2_simhash,
@@ -61,6 +74,14 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_nearest": op9_nearest,
     "op10_embedding_dedup": op10_embedding_dedup,
+    "op11_license_scan": op11_license_scan,
+    "op12_lexical_search": op12_lexical_search,
+    "op13_collocations": op13_collocations,
 }
 
-ORACLE: dict[str, str] = {"op7_url_filter": url_filter.oracle_sql()}
+ORACLE: dict[str, str] = {
+    "op7_url_filter": url_filter.oracle_sql(),
+    "op11_license_scan": license_scan.oracle_sql(),
+    "op12_lexical_search": lexical_search.oracle_sql(),
+    "op13_collocations": collocations.oracle_sql(),
+}
