@@ -8,15 +8,16 @@ their frequencies (the dictionary and the parse) are far fewer than the passages
 are counted inside distinct chunks, weighted by frequency; one that starts in a chunk's
 closing window belongs to the next chunk, so that each is counted once.
 
-Lengths are counted one after the other: from three words on, only phrases whose parts of
-one word less may be frequent (a Bloom filter of fixed size, no false negatives).
+Most pairs of words are rare. A first pass counts pairs by a 64-bit hash and keeps the
+hashes that reach ``least`` in a Bloom filter of fixed size: pairs that share a hash or a
+bit may pass for no reason, none is missed. The second pass counts words, and the phrases
+all of whose pairs pass, exactly, as text.
 """
 
 from __future__ import annotations
 
 import re
 import uuid
-import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -27,33 +28,47 @@ from pyspark.sql import functions as F
 from ..session import checkpoint_dir
 from .common import best_per_key, text_batches
 
-BREAK = "\n"                            # between pieces; never inside a word
+BREAK, END = "\n", "\n\n"              # tokens between pieces and between chunks; never inside a word
 _SPLIT = re.compile(rb"[.,;:!?\n-\r]+")
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ\t", b"abcdefghijklmnopqrstuvwxyz ")
 SPREAD = 32                             # mean number of tokens between triggers
 HELD = 300_000                          # distinct entries that a task counts before it hands them on
-MEMO = 300_000
+HASHES = 2_000_000                      # pair hashes that a task holds before it adds them up
+MEMO = 500_000
+K1, K2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
 def tokens_of(text: str) -> list[str]:
     """Words, and BREAK between pieces."""
     low = _SPLIT.sub(b" \n ", text.encode("utf-8", "replace").translate(_LOWER)).decode()
-    return [w for w in low.split(" ") if w]
+    return list(filter(None, low.split(" ")))
+
+
+class Hashes(dict):
+    """Hashes of tokens, remembered while they are few enough."""
+
+    def __missing__(self, token: str) -> int:
+        import xxhash
+
+        h = self[token] = xxhash.xxh64_intdigest(token)
+        return h
+
+    def of(self, tokens: list[str]) -> np.ndarray:
+        if len(self) > MEMO:
+            self.clear()
+        return np.fromiter(map(self.__getitem__, tokens), np.uint64, len(tokens))
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(31))) * K2
+    return x ^ (x >> np.uint64(29))
 
 
 class Parser:
     """Cuts token sequences into chunks at content-given triggers."""
 
     def __init__(self, window: int, spread: int = SPREAD):
-        self.window, self.spread, self.memo = window, spread, {}
-
-    def _hash(self, token: str) -> int:
-        h = self.memo.get(token)
-        if h is None:
-            if len(self.memo) >= MEMO:
-                self.memo.clear()
-            h = self.memo[token] = zlib.crc32(token.encode())
-        return h
+        self.window, self.spread, self.hashes = window, np.uint64(spread), Hashes()
 
     def chunks(self, tokens: list[str]) -> list[tuple[str, bool]]:
         """(chunk, whether it is the sequence's last), neighbours sharing ``window`` tokens."""
@@ -62,12 +77,11 @@ class Parser:
             return []
         cuts = []
         if n > w:
-            h = np.fromiter(map(self._hash, tokens), np.uint64, n)
-            mixed = np.zeros(n - w + 1, np.uint64)
-            for j in range(w):
-                mixed = mixed * np.uint64(0x9E3779B97F4A7C15) + h[j:n - w + 1 + j]
-            mixed ^= mixed >> np.uint64(29)
-            cuts = (np.flatnonzero(mixed[1:] % np.uint64(self.spread) == 0) + 1).tolist()
+            h = self.hashes.of(tokens)
+            mixed = h[:n - w + 1]
+            for j in range(1, w):
+                mixed = mixed * K1 + h[j:n - w + 1 + j]
+            cuts = (np.flatnonzero(_mixed(mixed[1:]) % self.spread == 0) + 1).tolist()
         at, out = 0, []
         for c in cuts:
             out.append((" ".join(tokens[at:c + w]), False))
@@ -85,7 +99,7 @@ class _Counts:
     def full(self) -> bool:
         return sum(map(len, self.by.values())) >= HELD
 
-    def batch(self, **constant):
+    def batch(self) -> pa.RecordBatch:
         keys = [k for k, c in self.by.items() for _ in c]
         names = [x for c in self.by.values() for x in c]
         n = [x for c in self.by.values() for x in c.values()]
@@ -114,76 +128,120 @@ def parse(docs: DataFrame, text_col: str, lang_col: str, window: int, spread: in
         .groupBy("lang", "kind", "chunk").agg(F.sum("n").alias("n"))
 
 
-def _bits(lang: str, phrase: str, size: int) -> tuple[int, int]:
-    import xxhash
+class _Block:
+    """The chunks of one language in an Arrow batch, end to end: tokens, hashes, weights,
+    and ``starts``: where a word stands that is the chunk's own (a closing window's words
+    belong to the next chunk)."""
+
+    def __init__(self, chunks: list[str], last: np.ndarray, n: np.ndarray, window: int, hashes: Hashes):
+        self.tokens = f" {END} ".join(chunks).split(" ")
+        self.h = hashes.of(self.tokens)
+        self.word = (self.h != hashes[BREAK]) & (self.h != hashes[END])
+        ends = np.r_[np.flatnonzero(self.h == hashes[END]), len(self.tokens)]
+        self.n = np.repeat(n, np.diff(np.r_[-1, ends]))[:len(self.tokens)]
+        self.starts = self.word.copy()
+        for j in range(1, window + 1):
+            self.starts[ends[~last] - j] = False
+
+    def pairs(self, lang: str, hashes: Hashes) -> tuple[np.ndarray, np.ndarray]:
+        """(hash, whether it is a pair of words) at every token but the last."""
+        h = _mixed(self.h[:-1] * K1 + self.h[1:] * K2 + np.uint64(hashes[f"{lang}{END}"]))
+        return h, self.word[:-1] & self.word[1:]
+
+
+def _blocks(batch, window: int, hashes: Hashes):
+    """(lang, block) for the languages of a batch of (lang, kind, chunk, n)."""
+    lang = np.array(batch.column(0).to_pylist(), dtype=object)
+    last, n = batch.column(1).to_numpy() == 1, batch.column(3).to_numpy()
+    chunks = np.array([*batch.column(2).to_pylist(), None], dtype=object)[:-1]
+    for x in sorted(set(lang)):
+        at = np.flatnonzero(lang == x)
+        yield x, _Block(list(chunks[at]), last[at], n[at], window, hashes)
+
+
+def pair_hashes(chunks: DataFrame, window: int) -> DataFrame:
+    """(h, n): occurrences of all pairs of words in the dictionary's chunks, by hash."""
+    def added(hs, ns):
+        h, n = np.concatenate(hs), np.concatenate(ns)
+        order = np.argsort(h)
+        h, n = h[order], n[order]
+        first = np.flatnonzero(np.r_[True, h[1:] != h[:-1]]) if len(h) else np.zeros(0, np.int64)
+        return pa.RecordBatch.from_pydict({"h": pa.array(h[first].view(np.int64)), "n": pa.array(np.add.reduceat(n, first) if len(h) else n)})
+
+    def run(batches):
+        hashes, hs, ns = Hashes(), [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+        for b in batches:
+            for lang, block in _blocks(b, window, hashes):
+                h, two = block.pairs(lang, hashes)
+                use = two & block.starts[:-1]
+                hs.append(h[use])
+                ns.append(block.n[:-1][use])
+            if sum(map(len, hs)) >= HASHES:
+                yield added(hs, ns)
+                hs, ns = hs[:1], ns[:1]
+        yield added(hs, ns)
+
+    return chunks.select("lang", "kind", "chunk", "n").mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
 
-    h = xxhash.xxh64_intdigest(f"{lang}\n{phrase}")
-    return (h & 0xFFFFFFFF) % size, (h >> 32) % size
 
+def _bits(h: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    return (h & np.uint64(0xFFFFFFFF)) % np.uint64(size), (h >> np.uint64(32)) % np.uint64(size)
 
-def bloom_filter(phrases: DataFrame, size: int) -> bytes:
-    """A Bloom filter of ``size`` bits (a power of two) over (lang, phrase). At most
-    ``size`` / 64 words of bits reach the driver, however many phrases there are."""
+
+def bloom_filter(hashes: DataFrame, size: int) -> bytes:
+    """A Bloom filter of ``size`` bits (a power of two) over 64-bit hashes. At most
+    ``size`` / 64 words of bits reach the driver, however many hashes there are."""
     def run(batches):
-        words = np.zeros(size // 64, np.uint64)
+        bits = np.zeros(size, bool)
         for b in batches:
-            for lang, phrase in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                for x in _bits(lang, phrase, size):
-                    words[x >> 6] |= np.uint64(1 << (x & 63))
+            for x in _bits(b.column(0).to_numpy().view(np.uint64), size):
+                bits[x] = True
+        words = np.packbits(bits, bitorder="little").view(np.int64)
         at = np.flatnonzero(words)
-        yield pa.RecordBatch.from_pydict({"at": pa.array(at, pa.int64()), "word": pa.array(words[at].view(np.int64))})
+        yield pa.RecordBatch.from_pydict({"at": pa.array(at, pa.int64()), "word": pa.array(words[at])})
 
-    found = phrases.select("lang", "phrase").mapInArrow(run, "at long, word long").groupBy("at").agg(F.bit_or("word").alias("word")).toArrow()
+    found = hashes.select("h").mapInArrow(run, "at long, word long").groupBy("at").agg(F.bit_or("word").alias("word")).toArrow()
     out = np.zeros(size // 64, np.int64)
     out[found["at"].to_numpy()] = found["word"].to_numpy()
     return out.tobytes()
 
 
-def count_grams(chunks: DataFrame, sizes: tuple[int, ...], window: int, frequent=None, bits: int = 0) -> DataFrame:
-    """(lang, kind, phrase, n): occurrences of all phrases of ``sizes`` (kind) words in
-    the dictionary's chunks. With ``frequent`` (a broadcast Bloom filter), ``sizes`` is one
-    size, counted only where both parts of one word less may be frequent."""
-    def run(batches):
-        held, memo = _Counts("phrase"), {}
-        words = None if frequent is None else np.frombuffer(frequent.value, np.uint64)
-
-        def maybe(lang, phrase):
-            x = memo.get((lang, phrase))
-            if x is None:
-                if len(memo) >= MEMO:
-                    memo.clear()
-                x = memo[lang, phrase] = all(int(words[i >> 6]) >> (i & 63) & 1 for i in _bits(lang, phrase, bits))
-            return x
-
-        def grams(t, k, starts):
-            return [" ".join(t[i:i + k]) for i in starts] if k > 3 else \
-                t[:len(starts)] if k == 1 else [f"{a} {b}" for a, b in zip(t[:len(starts)], t[1:])] if k == 2 else \
-                [f"{a} {b} {c}" for a, b, c in zip(t[:len(starts)], t[1:], t[2:])]
+def count_phrases(chunks: DataFrame, max_words: int, window: int, frequent, bits: int) -> DataFrame:
+    """(lang, kind, phrase, n): occurrences in the dictionary's chunks of all words (kind 1)
+    and of all phrases of up to ``max_words`` words (kind) whose pairs pass ``frequent``
+    (a broadcast Bloom filter)."""
+    def add(counter: Counter, found, n: np.ndarray):
+        if (n == 1).all():
+            counter.update(found)
+        else:
+            for g, x in zip(found, n.tolist()):
+                counter[g] += x
 
+    def run(batches):
+        hashes, held = Hashes(), _Counts("phrase")
+        filled = np.frombuffer(frequent.value, np.uint8)
         for b in batches:
-            for lang, kind, chunk, n in zip(*(c.to_pylist() for c in b.columns)):
-                t = chunk.split(" ")
-                own = len(t) if kind else len(t) - window       # grams that start here are this chunk's
-                for k in sizes:
-                    many = max(0, min(own, len(t) - k + 1))
-                    if words is not None:
-                        part = grams(t, k - 1, range(many + 1))
-                        ok = [BREAK not in p and maybe(lang, p) for p in part]
-                        found = [f"{part[i]} {t[i + k - 1]}" for i in range(many) if ok[i] and ok[i + 1]]
-                    else:
-                        found = grams(t, k, range(many))
-                    c = held.by[lang, k]
-                    if n == 1:
-                        c.update(found)
-                    else:
-                        for g in found:
-                            c[g] += n
-                if held.full():
-                    yield held.batch()
+            for lang, block in _blocks(b, window, hashes):
+                t, once = block.tokens, block.n == 1
+                h, two = block.pairs(lang, hashes)
+                for x in _bits(h, bits):
+                    two &= (filled[x >> np.uint64(3)] >> (x & np.uint64(7)).astype(np.uint8)) & 1 == 1
+                run_on = block.starts.copy()
+                for k in range(1, max_words + 1):
+                    if k > 1:       # the phrase of k words at i goes on from that of k - 1 by the pair at i + k - 2
+                        run_on = run_on[:-1] & two[k - 2:]
+                    for part in (once, ~once):
+                        at = np.flatnonzero(run_on & part[:len(run_on)])
+                        if len(at):
+                            where = at.tolist()
+                            found = [t[i] for i in where] if k == 1 else [f"{t[i]} {t[i + 1]}" for i in where] if k == 2 else [" ".join(t[i:i + k]) for i in where]
+                            add(held.by[lang, k], found, block.n[at])
+            if held.full():
+                yield held.batch()
         yield held.batch()
 
-    rows = chunks.select("lang", "kind", "chunk", "n").mapInArrow(run, "lang string, kind int, phrase string, n long")
-    return rows.filter(~F.contains("phrase", F.lit(BREAK))).groupBy("lang", "kind", "phrase").agg(F.sum("n").alias("n"))
+    return chunks.select("lang", "kind", "chunk", "n").mapInArrow(run, "lang string, kind int, phrase string, n long") \
+        .groupBy("lang", "kind", "phrase").agg(F.sum("n").alias("n"))
 
 
 def phrase_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", max_words: int = 3, least: int = 10,
@@ -194,13 +252,9 @@ def phrase_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang
     at = f"{checkpoint_dir(spark).rstrip('/')}/collocations-{uuid.uuid4().hex}"
     parse(docs, text_col, lang_col, window, spread).write.parquet(f"{at}/chunks")
     chunks = spark.read.parquet(f"{at}/chunks")
-    few = (F.col("kind") == 1) | (F.col("n") >= least)
-    count_grams(chunks, (1, 2), window).filter(few).write.parquet(f"{at}/grams-2")
-    for k in range(3, max_words + 1):
-        before = spark.read.parquet(f"{at}/grams-{k - 1}").filter(F.col("kind") == k - 1)
-        sent = spark.sparkContext.broadcast(bloom_filter(before, bits))
-        count_grams(chunks, (k,), window, sent, bits).filter(few).write.parquet(f"{at}/grams-{k}")
-    return spark.read.parquet(*(f"{at}/grams-{k}" for k in range(2, max(max_words, 2) + 1)))
+    sent = spark.sparkContext.broadcast(bloom_filter(pair_hashes(chunks, window).filter(F.col("n") >= least), bits))
+    count_phrases(chunks, max_words, window, sent, bits).filter((F.col("kind") == 1) | (F.col("n") >= least)).write.parquet(f"{at}/phrases")
+    return spark.read.parquet(f"{at}/phrases")
 
 
 def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", max_words: int = 3, least: int = 10,
