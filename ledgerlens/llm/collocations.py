@@ -8,15 +8,14 @@ their frequencies (the dictionary and the parse) are far fewer than the passages
 are counted inside distinct chunks, weighted by frequency; one that starts in a chunk's
 closing window belongs to the next chunk, so that each is counted once.
 
-Most pairs of words are rare. A first pass counts pairs by a 64-bit hash and keeps the
-hashes that reach ``least`` in a Bloom filter of fixed size: pairs that share a hash or a
-bit may pass for no reason, none is missed. The second pass counts words, and the phrases
-all of whose pairs pass, exactly, as text.
+Most words and most pairs of words are rare. A first pass counts both by a 64-bit hash
+and keeps the hashes that reach ``least`` in a Bloom filter of fixed size: what shares a
+hash or a bit may pass for no reason, nothing is missed. The second pass counts exactly,
+as text, the words that pass and the phrases all of whose pairs pass.
 """
 
 from __future__ import annotations
 
-import re
 import uuid
 from collections import Counter, defaultdict
 
@@ -29,10 +28,9 @@ from ..session import checkpoint_dir
 from .common import best_per_key, text_batches
 
 BREAK, END = "\n", "\n\n"              # tokens between pieces and between chunks; never inside a word
-_SPLIT = re.compile(rb"[.,;:!?\n-\r]+")
-_LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ\t", b"abcdefghijklmnopqrstuvwxyz ")
+_LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ\t.,;:!?\x0b\x0c\r", b"abcdefghijklmnopqrstuvwxyz \n\n\n\n\n\n\n\n\n")
 SPREAD = 32                             # mean number of tokens between triggers
-HELD = 300_000                          # distinct entries that a task counts before it hands them on
+HELD = 600_000                          # distinct entries that a task counts before it hands them on
 HASHES = 2_000_000                      # pair hashes that a task holds before it adds them up
 MEMO = 500_000
 K1, K2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -40,7 +38,7 @@ K1, K2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 def tokens_of(text: str) -> list[str]:
     """Words, and BREAK between pieces."""
-    low = _SPLIT.sub(b" \n ", text.encode("utf-8", "replace").translate(_LOWER)).decode()
+    low = text.encode("utf-8", "replace").translate(_LOWER).replace(b"\n", b" \n ").decode()
     return list(filter(None, low.split(" ")))
 
 
@@ -100,13 +98,17 @@ class _Counts:
         return sum(map(len, self.by.values())) >= HELD
 
     def batch(self) -> pa.RecordBatch:
-        keys = [k for k, c in self.by.items() for _ in c]
-        names = [x for c in self.by.values() for x in c]
-        n = [x for c in self.by.values() for x in c.values()]
+        parts = [(*key, c) for key, c in self.by.items() if c]
         self.by.clear()
-        return pa.RecordBatch.from_pydict(
-            {"lang": pa.array([k[0] for k in keys], pa.string()), "kind": pa.array([k[1] for k in keys], pa.int32()),
-             self.field: pa.array(names, pa.string()), "n": pa.array(n, pa.int64())})
+
+        def column(arrays, kind):
+            return pa.concat_arrays([pa.array([], kind), *arrays])
+
+        return pa.RecordBatch.from_pydict({
+            "lang": column([pa.repeat(pa.scalar(lang, pa.string()), len(c)) for lang, _, c in parts], pa.string()),
+            "kind": column([pa.array(np.full(len(c), kind, np.int32)) for _, kind, c in parts], pa.int32()),
+            self.field: column([pa.array(list(c), pa.string()) for _, _, c in parts], pa.string()),
+            "n": column([pa.array(np.fromiter(c.values(), np.int64, len(c))) for _, _, c in parts], pa.int64())})
 
 
 def parse(docs: DataFrame, text_col: str, lang_col: str, window: int, spread: int) -> DataFrame:
@@ -119,7 +121,7 @@ def parse(docs: DataFrame, text_col: str, lang_col: str, window: int, spread: in
                 if text:
                     for chunk, last in parser.chunks(tokens_of(text)):
                         held.by[lang, int(last)][chunk] += 1
-                if sum(map(len, held.by.values())) >= HELD // 10:       # chunks are long
+                if sum(map(len, held.by.values())) >= HELD // 20:       # chunks are long
                     yield held.batch()
         yield held.batch()
 
@@ -143,10 +145,10 @@ class _Block:
         for j in range(1, window + 1):
             self.starts[ends[~last] - j] = False
 
-    def pairs(self, lang: str, hashes: Hashes) -> tuple[np.ndarray, np.ndarray]:
-        """(hash, whether it is a pair of words) at every token but the last."""
-        h = _mixed(self.h[:-1] * K1 + self.h[1:] * K2 + np.uint64(hashes[f"{lang}{END}"]))
-        return h, self.word[:-1] & self.word[1:]
+    def keys(self, lang: str, hashes: Hashes):
+        """Hashes of the words, of the pairs (at every token but the last), and where pairs are."""
+        of = np.uint64(hashes[f"{lang}{END}"])
+        return _mixed(self.h + of), _mixed(self.h[:-1] * K1 + self.h[1:] * K2 + of), self.word[:-1] & self.word[1:]
 
 
 def _blocks(batch, window: int, hashes: Hashes):
@@ -159,8 +161,8 @@ def _blocks(batch, window: int, hashes: Hashes):
         yield x, _Block(list(chunks[at]), last[at], n[at], window, hashes)
 
 
-def pair_hashes(chunks: DataFrame, window: int) -> DataFrame:
-    """(h, n): occurrences of all pairs of words in the dictionary's chunks, by hash."""
+def hash_counts(chunks: DataFrame, window: int) -> DataFrame:
+    """(h, n): occurrences of all words and pairs of words in the dictionary's chunks, by hash."""
     def added(hs, ns):
         h, n = np.concatenate(hs), np.concatenate(ns)
         order = np.argsort(h)
@@ -172,10 +174,10 @@ def pair_hashes(chunks: DataFrame, window: int) -> DataFrame:
         hashes, hs, ns = Hashes(), [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
         for b in batches:
             for lang, block in _blocks(b, window, hashes):
-                h, two = block.pairs(lang, hashes)
+                one, h, two = block.keys(lang, hashes)
                 use = two & block.starts[:-1]
-                hs.append(h[use])
-                ns.append(block.n[:-1][use])
+                hs += [one[block.starts], h[use]]
+                ns += [block.n[block.starts], block.n[:-1][use]]
             if sum(map(len, hs)) >= HASHES:
                 yield added(hs, ns)
                 hs, ns = hs[:1], ns[:1]
@@ -207,9 +209,9 @@ def bloom_filter(hashes: DataFrame, size: int) -> bytes:
 
 
 def count_phrases(chunks: DataFrame, max_words: int, window: int, frequent, bits: int) -> DataFrame:
-    """(lang, kind, phrase, n): occurrences in the dictionary's chunks of all words (kind 1)
-    and of all phrases of up to ``max_words`` words (kind) whose pairs pass ``frequent``
-    (a broadcast Bloom filter)."""
+    """(lang, kind, phrase, n): occurrences in the dictionary's chunks of the words (kind 1)
+    that pass ``frequent`` (a broadcast Bloom filter), of the phrases of up to ``max_words``
+    words (kind) all of whose pairs do, and of all words together (kind 0, no phrase)."""
     def add(counter: Counter, found, n: np.ndarray):
         if (n == 1).all():
             counter.update(found)
@@ -220,21 +222,27 @@ def count_phrases(chunks: DataFrame, max_words: int, window: int, frequent, bits
     def run(batches):
         hashes, held = Hashes(), _Counts("phrase")
         filled = np.frombuffer(frequent.value, np.uint8)
+
+        def passes(h):
+            return np.logical_and.reduce([(filled[x >> np.uint64(3)] >> (x & np.uint64(7)).astype(np.uint8)) & 1 == 1 for x in _bits(h, bits)])
+
         for b in batches:
             for lang, block in _blocks(b, window, hashes):
                 t, once = block.tokens, block.n == 1
-                h, two = block.pairs(lang, hashes)
-                for x in _bits(h, bits):
-                    two &= (filled[x >> np.uint64(3)] >> (x & np.uint64(7)).astype(np.uint8)) & 1 == 1
-                run_on = block.starts.copy()
+                one, h, two = block.keys(lang, hashes)
+                two &= passes(h)
+                held.by[lang, 0][None] += int(block.n[block.starts].sum())
+                run_on = block.starts
                 for k in range(1, max_words + 1):
-                    if k > 1:       # the phrase of k words at i goes on from that of k - 1 by the pair at i + k - 2
-                        run_on = run_on[:-1] & two[k - 2:]
+                    # the phrase of k words at i goes on from that of k - 1 by the pair at i + k - 2
+                    run_on = run_on if k == 1 else run_on[:-1] & two[k - 2:]
+                    wanted = run_on & passes(one) if k == 1 else run_on
                     for part in (once, ~once):
-                        at = np.flatnonzero(run_on & part[:len(run_on)])
+                        at = np.flatnonzero(wanted & part[:len(wanted)])
                         if len(at):
                             where = at.tolist()
-                            found = [t[i] for i in where] if k == 1 else [f"{t[i]} {t[i + 1]}" for i in where] if k == 2 else [" ".join(t[i:i + k]) for i in where]
+                            found = [t[i] for i in where] if k == 1 else [f"{t[i]} {t[i + 1]}" for i in where] if k == 2 \
+                                else [f"{t[i]} {t[i + 1]} {t[i + 2]}" for i in where] if k == 3 else [" ".join(t[i:i + k]) for i in where]
                             add(held.by[lang, k], found, block.n[at])
             if held.full():
                 yield held.batch()
@@ -246,14 +254,15 @@ def count_phrases(chunks: DataFrame, max_words: int, window: int, frequent, bits
 
 def phrase_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", max_words: int = 3, least: int = 10,
                   spread: int = SPREAD, bits: int = 1 << 26) -> DataFrame:
-    """(lang, kind, phrase, n): all words (kind 1), and all phrases of 2 to ``max_words``
-    words that occur ``least`` times or more, with their numbers of occurrences."""
+    """(lang, kind, phrase, n): all phrases of 1 to ``max_words`` words (kind) that occur
+    ``least`` times or more, with their numbers of occurrences, and the number of all words
+    of a language (kind 0, no phrase)."""
     spark, window = docs.sparkSession, max(1, max_words - 1)
     at = f"{checkpoint_dir(spark).rstrip('/')}/collocations-{uuid.uuid4().hex}"
     parse(docs, text_col, lang_col, window, spread).write.parquet(f"{at}/chunks")
     chunks = spark.read.parquet(f"{at}/chunks")
-    sent = spark.sparkContext.broadcast(bloom_filter(pair_hashes(chunks, window).filter(F.col("n") >= least), bits))
-    count_phrases(chunks, max_words, window, sent, bits).filter((F.col("kind") == 1) | (F.col("n") >= least)).write.parquet(f"{at}/phrases")
+    sent = spark.sparkContext.broadcast(bloom_filter(hash_counts(chunks, window).filter(F.col("n") >= least), bits))
+    count_phrases(chunks, max_words, window, sent, bits).filter((F.col("kind") == 0) | (F.col("n") >= least)).write.parquet(f"{at}/phrases")
     return spark.read.parquet(f"{at}/phrases")
 
 
@@ -273,8 +282,8 @@ def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
     like others. Repeated rows count each; an empty table gives an empty result; other
     columns are ignored."""
     counts = phrase_counts(docs, text_col, lang_col, max_words, least, spread, bits)
-    words = counts.filter("kind = 1").groupBy("lang").agg(F.sum("n").alias("total"))
-    held = counts.filter(F.col("n") >= least).select("lang", "kind", "phrase", F.col("n").alias("a"))
+    words = counts.filter("kind = 0").select("lang", F.col("n").alias("total"))
+    held = counts.filter("kind > 0").select("lang", "kind", "phrase", F.col("n").alias("a"))
     cand = held.filter("kind > 1")
     w = F.split("phrase", " ")
 
