@@ -222,12 +222,14 @@ PROTECTED_COLUMNS = ["ticker", "fy", "stock_price", "market_cap", "broad_industr
 MIN_TRAIN_ROWS = 5
 MIN_TEST_ROWS = 2
 FEATURE_RATIOS = [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0]
-# The kernel and boosting families are named for what is fitted here.
+# The boosting family is named for what is fitted here.
 MODEL_FAMILIES = [
     "Linear Regression", "Ridge Regression", "Decision Tree",
-    "Random Forest", "Kernel Ridge (Fourier features)", "Gradient-Boosted Trees",
+    "Random Forest", "Support Vector Regression", "Gradient-Boosted Trees",
 ]
 RIDGE_ALPHA = 1.0
+SVR_C = 100.0
+SVR_EPSILON = 0.1
 FOREST_TREES = 100
 BOOST_ROUNDS = 100
 BOOST_RATE = 0.05
@@ -247,11 +249,17 @@ MSG_TAG_MISSING = "No %s Tag Found"
 MSG_SKIP = "Skip CIK %s (%s %s): Data incomplete or period not matched."
 MSG_NONE_EMPTY = "'NoneType' object has no attribute 'empty'"
 MSG_NONE_SUBSCRIPT = "'NoneType' object is not subscriptable"
+EQUATION = ("Predicted Price = %.3f + \n    ", "(%.3f * %s)", " + \n    ")     # intercept, term, separator
 EPS_CALCULATED = "calculated: net_income / shares#"
 MSG_BAD_PAYLOAD = "Request Failure on filingMetadata"
 MSG_BAD_FACTS = "Request Failure on companyFacts"
 MSG_NO_USED_TAG = "cannot access local variable 'used_tag' where it is not associated with a value"
 MSG_NO_DATA_COLS = "cannot access local variable 'data_cols' where it is not associated with a value"
+MSG_NOT_JSON = "Expecting value: line 1 column 1 (char 0)"
+MSG_ZERO_DIVISION = "float division by zero"
+MSG_DUPLICATE_LABELS = "cannot reindex on an axis with duplicate labels"
+MSG_MERGE_LEFT = "Merge keys are not unique in left dataset; not a one-to-one merge"
+MSG_MERGE_RIGHT = "Merge keys are not unique in right dataset; not a one-to-one merge"
 #: Patterns of the logged errors that a recovery run takes up again.
 RECOVERY_PATTERNS = [
     "%line 1 column 1 (char 0)%",

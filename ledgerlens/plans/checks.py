@@ -372,22 +372,13 @@ def event_window_price(spark, sf_dir):
 # ---- per-industry model search ---------------------------------------------------------------
 # Stand-in split (FIXTURES): the seven order years 1995-2001, train <= 1999, test >= 2000.
 STANDIN_TRAIN_LAST, STANDIN_TEST_FIRST = 1999, 2000
-_SEARCH_CACHE: dict = {}
 
 
-def _search(spark, sf_dir, families):
-    """Fit once per (data dir, family set) in this process; results are small
-    driver-side lists, so reuse across registered keys is cheap."""
+def _search(spark, sf_dir, families=MODEL_FAMILIES):
+    """A whole search of ``families``, from the tables: nothing is kept between calls."""
     from . import models as M
-    app = spark.sparkContext.applicationId      # cached frames belong to this session
-    key = (app, sf_dir, tuple(families))
-    if key not in _SEARCH_CACHE:
-        pkey = (app, sf_dir, "plan")
-        if pkey not in _SEARCH_CACHE:   # shared M1-M3 preparation (its frames are checkpointed)
-            _SEARCH_CACHE[pkey] = M.prepare(features(spark, sf_dir), STANDIN_TRAIN_LAST, STANDIN_TEST_FIRST)
-        res, best_fam, best, plan, coefs = M.search(None, families, plan=_SEARCH_CACHE[pkey])
-        _SEARCH_CACHE[key] = (res, best_fam, best, plan, coefs)
-    return _SEARCH_CACHE[key]
+    plan = M.prepare(features(spark, sf_dir), STANDIN_TRAIN_LAST, STANDIN_TEST_FIRST)
+    return M.search(None, families, plan=plan)
 
 
 def time_split(spark, sf_dir):
@@ -444,31 +435,15 @@ def boost_search(spark, sf_dir):
     return _family_rows(spark, sf_dir, MODEL_FAMILIES[5])
 
 
-def _full(spark, sf_dir):
-    """All six families, assembled from the per-family searches (each fitted once)."""
-    from . import models as M
-    key = (spark.sparkContext.applicationId, sf_dir, "all")
-    if key not in _SEARCH_CACHE:
-        res, coefs, plan = [], {}, None
-        for fam in MODEL_FAMILIES:
-            r, _, _, p, c = _search(spark, sf_dir, (fam,))
-            res += r
-            coefs.update(c)
-            plan = plan or p
-        best_fam, best = M.select_best(res)
-        _SEARCH_CACHE[key] = (res, best_fam, best, plan, coefs)
-    return _SEARCH_CACHE[key]
-
-
 def model_summary(spark, sf_dir):
     from . import models as M
-    res, best_fam, best, plan, coefs = _full(spark, sf_dir)
+    res, best_fam, best, plan, coefs = _search(spark, sf_dir)
     return rounded(M.summary_frame(spark, best, plan))
 
 
 def family_comparison(spark, sf_dir):
     """Best ratio / R^2 per (industry, family)."""
-    res, best_fam, best, plan, coefs = _full(spark, sf_dir)
+    res, best_fam, best, plan, coefs = _search(spark, sf_dir)
     rows = [(i, f, float(v[0]), int(v[1]), float(v[3])) for (i, f), v in sorted(best_fam.items())]
     return rounded(spark.createDataFrame(rows, "broad_industry string, family string, ratio double, "
                                                "n_features int, r2 double"))
@@ -477,7 +452,7 @@ def family_comparison(spark, sf_dir):
 def actual_vs_predicted(spark, sf_dir):
     """Test rows scored by their industry's winning model."""
     from . import models as M
-    res, best_fam, best, plan, coefs = _full(spark, sf_dir)
+    res, best_fam, best, plan, coefs = _search(spark, sf_dir)
     test = plan.data.filter(F.col("split") == "test")
     p = M.predict_best(plan, best, coefs, test)
     return rounded(p.select("broad_industry", "ticker", "fy", "stock_price", "prediction"))
@@ -486,12 +461,8 @@ def actual_vs_predicted(spark, sf_dir):
 def case_study(spark, sf_dir):
     """One seeded test-set company per industry, all its years scored."""
     from . import models as M
-    res, best_fam, best, plan, coefs = _full(spark, sf_dir)
-    picks = None
-    for ind in sorted(best):
-        t = M.case_study_ticker(plan, ind).withColumn("broad_industry", F.lit(ind))
-        picks = t if picks is None else picks.unionByName(t)
-    rows = plan.data.join(picks, ["broad_industry", "ticker"], "left_semi")
+    res, best_fam, best, plan, coefs = _search(spark, sf_dir)
+    rows = plan.data.join(M.case_study_tickers(plan, sorted(best)), ["broad_industry", "ticker"], "left_semi")
     p = M.predict_best(plan, best, coefs, rows)
     return rounded(p.select("broad_industry", "ticker", "fy", "stock_price", "prediction")).orderBy("broad_industry", "fy")
 
@@ -499,7 +470,7 @@ def case_study(spark, sf_dir):
 def top_cap_scores(spark, sf_dir):
     """Global top-20 companies by mean market cap, scored by their industry's model."""
     from . import models as M
-    res, best_fam, best, plan, coefs = _full(spark, sf_dir)
+    res, best_fam, best, plan, coefs = _search(spark, sf_dir)
     top = M.top_cap_members(features(spark, sf_dir))
     rows = plan.data.join(top, "ticker", "left_semi")
     p = M.predict_best(plan, best, coefs, rows)

@@ -4,25 +4,18 @@ Spark-first layout:
 
 * profiling, median imputation, correlation and train statistics are grouped
   aggregates over the analysis frame (one row per company-year);
-* the linear families (OLS, ridge) and the kernel family for *all* industries
-  and *all* feature prefixes come from per-industry Gram matrices: one
-  ``mapInPandas`` pass emits partial sums per partition (Arrow batches,
-  NumPy inside the task), a grouped reduction adds them, and the driver solves
-  the leading k x k blocks (k <= 35) -- no per-prefix refits over the data;
-* tree families (decision tree, random forest, gradient boosting) are Spark ML
-  fits, one per (industry, prefix), launched concurrently from a small driver
-  thread pool over a cached standardised frame.
-
-The kernel family is ridge regression on seeded random Fourier features of the
-RBF kernel (in place of a support vector regression); the boosting family is
-Spark's GBTRegressor. Both are reported under their own names.
+* the linear families (OLS, ridge) for *all* industries and *all* feature prefixes come
+  from per-industry Gram matrices: one ``mapInPandas`` pass emits partial sums per
+  partition (Arrow batches, NumPy inside the task), a grouped reduction adds them, and
+  the driver solves the leading k x k blocks (k <= 35) -- no per-prefix refits;
+* trees, forests, boosted trees and support vector regression (``fits``, ``trees``,
+  ``svr``) give predictions of all fits in one job, which one grouped aggregate turns
+  into R^2; industries too large for a task are fitted by passes over their rows.
 """
 
 from __future__ import annotations
 
-import math
-from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
@@ -31,22 +24,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StringType, StructField, StructType
 
-from ..constants import (BOOST_RATE, BOOST_ROUNDS, FEATURE_RATIOS, FOREST_TREES, MIN_TEST_ROWS,
-                         MIN_TRAIN_ROWS, MISSING_DROP_PCT, MODEL_FAMILIES, OTHER_GROUP, PROTECTED_COLUMNS,
-                         RIDGE_ALPHA, SEED, TEST_FIRST_FY, TOP_CAP_COMPANIES, TRAIN_LAST_FY)
+from ..constants import (EQUATION, FEATURE_RATIOS, MIN_TEST_ROWS, MIN_TRAIN_ROWS, MISSING_DROP_PCT, MODEL_FAMILIES,
+                         OTHER_GROUP, PROTECTED_COLUMNS, RIDGE_ALPHA, SEED, TEST_FIRST_FY, TOP_CAP_COMPANIES, TRAIN_LAST_FY)
 from ..functions.numeric import finite_or_null
 from ..operators.features import analysis_numeric_columns, correlation_factors
 from ..operators.stats import corr_with, impute_medians, missing_ratio
 from ..session import cut
+from . import fits
 
-LINEAR, RIDGE, TREE, FOREST, KERNEL, BOOST = MODEL_FAMILIES[0], MODEL_FAMILIES[1], MODEL_FAMILIES[2], \
-    MODEL_FAMILIES[3], MODEL_FAMILIES[4], MODEL_FAMILIES[5]
-RFF_DIM = 64            # random Fourier features per prefix
-FIT_PARTITIONS = 2      # training partitions of a tree model, for any row count: bagging is seeded per partition, so their
-                        # number is part of the model; raise it with the data
-MAX_DEPTH = 30          # the library's limit; a tree that is not limited otherwise
-BOOST_DEPTH = 6
-KERNEL_C = 100.0
+LINEAR, RIDGE = MODEL_FAMILIES[:2]
 GROUP = "broad_industry"
 
 
@@ -61,8 +47,9 @@ class SearchPlan:
     n_companies: dict
     n_train: dict
     n_test: dict
-    stats: dict                      # industry -> (mean vector, std vector) over the pool
-    models: dict = field(default_factory=dict)   # (industry, tree family, prefix size) -> fitted pipeline
+    stats: dict                      # industry -> (mean vector, std vector) over the pool, training rows
+    live: dict                       # industry -> whether a pool feature varies there
+    y_stats: dict                    # industry -> (mean, std) of the training prices
 
 
 def prepare(features: DataFrame, train_last: int = TRAIN_LAST_FY, test_first: int = TEST_FIRST_FY,
@@ -102,21 +89,27 @@ def prepare(features: DataFrame, train_last: int = TRAIN_LAST_FY, test_first: in
     d = imputed.withColumn("split", split).filter(F.col("split").isNotNull())
     tr = d.filter(F.col("split") == "train")
     from ..operators.stats import _stack
-    long = tr.select(group, _stack(cand, "x", "c").alias("s")).select(group, "s.c", "s.x")
+    long = tr.select(group, _stack([*cand, "stock_price"], "x", "c").alias("s")).select(group, "s.c", "s.x")
     st = {}
     for r in long.groupBy(group, "c").agg(F.avg("x").alias("m"), F.stddev_pop("x").alias("s")).collect():
         st[(r[group], r["c"])] = (r["m"], r["s"])
-    stats = {}
+    stats, live, y_stats = {}, {}, {}
     for ind, pool in pools.items():
         if not all((ind, f) in st for f in pool):
             continue
         mu = np.array([st[(ind, f)][0] or 0.0 for f in pool], dtype=float)
         sd = np.array([st[(ind, f)][1] or 0.0 for f in pool], dtype=float)
+        live[ind] = sd > 0
         sd[sd == 0] = 1.0
         stats[ind] = (mu, sd)
+        y_stats[ind] = tuple(float(v or 0.0) for v in st.get((ind, "stock_price"), (0.0, 0.0)))
     keep = ["ticker", "fy", group, "split", "stock_price", "market_cap"]
     data = d.select(*keep, *[bq(c) for c in cand])
-    return SearchPlan(data, pools, ncomp, ntr, nte, stats)
+    return SearchPlan(data, pools, ncomp, ntr, nte, stats, live, y_stats)
+
+
+def feature_columns(plan: SearchPlan) -> list[str]:
+    return [c for c in plan.data.columns if c not in ("ticker", "fy", GROUP, "split", "stock_price", "market_cap")]
 
 
 def eligible_industries(plan: SearchPlan):
@@ -130,29 +123,15 @@ def prefix_sizes(n_pool: int):
     return [(r, max(1, int(n_pool * r))) for r in FEATURE_RATIOS]
 
 
-def _rff(k: int, seed: int = SEED, dim: int = RFF_DIM):
-    rng = np.random.default_rng(seed + 1000 * k)
-    gamma = 1.0 / k
-    w = rng.normal(0.0, math.sqrt(2.0 * gamma), size=(k, dim))
-    b = rng.uniform(0.0, 2.0 * math.pi, size=dim)
-    return w, b
-
-
-def _design(z, k, kernel):
-    if not kernel:
-        return z[:, :k]
-    w, b = _rff(k)
-    return math.sqrt(2.0 / RFF_DIM) * np.cos(z[:, :k] @ w + b)
-
-
-def gram_partials(plan: SearchPlan, industries, group: str = GROUP, kernel: bool = True) -> DataFrame:
-    """One pass over the rows: per (industry, split) partial Gram sums for the
-    linear design [1, z_1..z_K, y] and, if ``kernel``, the random-feature design of
-    every prefix, emitted per partition and reduced with a grouped array sum."""
-    cand = [c for c in plan.data.columns if c not in ("ticker", "fy", group, "split", "stock_price", "market_cap")]
+def gram_partials(plan: SearchPlan, industries, group: str = GROUP) -> DataFrame:
+    """One pass over the rows: per (industry, split) the sums of squares and products of
+    the design [1, z_1..z_K, y - mean y], emitted per partition and reduced in two levels.
+    Features and price are centred at the training means first, so that nothing cancels
+    however large the values are."""
+    cand = feature_columns(plan)
     pools = {i: plan.pools[i] for i in industries}
     stats = {i: plan.stats[i] for i in industries}
-    sizes = {i: sorted({k for _, k in prefix_sizes(len(pools[i]))}) for i in industries}
+    centre = {i: plan.y_stats[i][0] for i in industries}
 
     def part(it):
         # accumulate across the partition's Arrow batches; emit one partial per
@@ -162,18 +141,11 @@ def gram_partials(plan: SearchPlan, industries, group: str = GROUP, kernel: bool
             for (ind, sp), g in pdf.groupby([group, "split"]):
                 if ind not in pools:
                     continue
-                pool = pools[ind]
                 mu, sd = stats[ind]
-                z = (g[pool].to_numpy(dtype=float) - mu) / sd
-                y = g["stock_price"].to_numpy(dtype=float)
-                ones = np.ones((len(y), 1))
-                a = np.hstack([ones, z, y[:, None]])
-                blocks = [(a.T @ a).ravel()]
-                for k in sizes[ind] if kernel else ():
-                    phi = _design(z, k, True)
-                    a2 = np.hstack([ones, phi, y[:, None]])
-                    blocks.append((a2.T @ a2).ravel())
-                v = np.concatenate(blocks)
+                z = (g[pools[ind]].to_numpy(dtype=float) - mu) / sd
+                y = g["stock_price"].to_numpy(dtype=float) - centre[ind]
+                a = np.hstack([np.ones((len(y), 1)), z, y[:, None]])
+                v = (a.T @ a).ravel()
                 acc[(ind, sp)] = acc[(ind, sp)] + v if (ind, sp) in acc else v
         if acc:
             yield pd.DataFrame({group: [k[0] for k in acc], "split": [k[1] for k in acc],
@@ -221,82 +193,36 @@ def _r2_from_gram(T, idx, yi, b0, beta):
     return float(1.0 - sse / sst)
 
 
-def linear_results(plan: SearchPlan, industries, families=(LINEAR, RIDGE, KERNEL)):
-    """R^2 on test for OLS / ridge / random-feature kernel, every prefix."""
-    kernel = KERNEL in families
-    grams = {(r[GROUP], r["split"]): np.array(r["g"]) for r in gram_partials(plan, industries, kernel=kernel).collect()}
+def linear_results(plan: SearchPlan, industries, families=(LINEAR, RIDGE)):
+    """R^2 on test for OLS / ridge, every prefix: (results, coefficients)."""
+    grams = {(r[GROUP], r["split"]): np.array(r["g"]) for r in gram_partials(plan, industries).collect()}
     out, coefs = [], {}
     for ind in industries:
         if (ind, "train") not in grams or (ind, "test") not in grams:
             continue
         K = len(plan.pools[ind])
-        sizes = sorted({k for _, k in prefix_sizes(K)})
-        gtr, gte = grams[(ind, "train")], grams[(ind, "test")]
-        d0 = (K + 2) ** 2
-        G, T = gtr[:d0].reshape(K + 2, K + 2), gte[:d0].reshape(K + 2, K + 2)
-        off, rff = d0, {}
-        for k in sizes if kernel else ():
-            dk = (RFF_DIM + 2) ** 2
-            rff[k] = (gtr[off:off + dk].reshape(RFF_DIM + 2, RFF_DIM + 2),
-                      gte[off:off + dk].reshape(RFF_DIM + 2, RFF_DIM + 2))
-            off += dk
+        G, T = (grams[(ind, s)].reshape(K + 2, K + 2) for s in ("train", "test"))
         for ratio, k in prefix_sizes(K):
             idx = list(range(1, k + 1))
             for fam in families:
-                if fam in (LINEAR, RIDGE):
-                    b0, beta = _solve(G, idx, K + 1, None if fam == LINEAR else RIDGE_ALPHA)
-                    r2 = _r2_from_gram(T, idx, K + 1, b0, beta)
-                else:
-                    g2, t2 = rff[k]
-                    ridx = list(range(1, RFF_DIM + 1))
-                    b0, beta = _solve(g2, ridx, RFF_DIM + 1, 1.0 / KERNEL_C)
-                    r2 = _r2_from_gram(t2, ridx, RFF_DIM + 1, b0, beta)
-                out.append((ind, fam, ratio, k, r2))
-                coefs[(ind, fam, k)] = (float(b0), [float(x) for x in beta])
+                b0, beta = _solve(G, idx, K + 1, None if fam == LINEAR else RIDGE_ALPHA)
+                out.append((ind, fam, ratio, k, _r2_from_gram(T, idx, K + 1, b0, beta)))
+                coefs[(ind, fam, k)] = (float(b0) + plan.y_stats[ind][0], [float(x) for x in beta])
     return out, coefs
 
 
-def estimator(fam: str):
-    """The Spark ML estimator of a tree family; unlimited trees grow to MAX_DEPTH."""
-    from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, RandomForestRegressor
-    if fam == TREE:
-        return DecisionTreeRegressor(labelCol="stock_price", maxDepth=MAX_DEPTH, seed=SEED)
-    if fam == FOREST:
-        return RandomForestRegressor(labelCol="stock_price", numTrees=FOREST_TREES, maxDepth=MAX_DEPTH,
-                                     featureSubsetStrategy="all", seed=SEED)
-    return GBTRegressor(labelCol="stock_price", maxIter=BOOST_ROUNDS, stepSize=BOOST_RATE, maxDepth=BOOST_DEPTH, seed=SEED)
-
-
-def fit_tree(plan: SearchPlan, ind: str, fam: str, k: int, data: DataFrame | None = None):
-    """The one fit of (industry, family, prefix), a pipeline of assembler and model: used
-    for its R^2, for scoring and for saving. Rows lie in FIT_PARTITIONS partitions by
-    ticker, in order, so that a later fit of the same rows is the same model."""
-    from pyspark.ml import Pipeline
-    from pyspark.ml.feature import VectorAssembler
-    rows = (plan.data if data is None else data).filter((F.col(GROUP) == ind) & (F.col("split") == "train"))
-    rows = rows.repartition(FIT_PARTITIONS, "ticker").sortWithinPartitions("ticker", "fy")
-    va = VectorAssembler(inputCols=plan.pools[ind][:k], outputCol="features", handleInvalid="keep")
-    return Pipeline(stages=[va, estimator(fam)]).fit(rows)
-
-
-def tree_results(plan: SearchPlan, industries, families=(TREE, FOREST, BOOST), threads: int = 16):
-    """Spark ML fits per (industry, family, prefix), run concurrently: (results, models)."""
-    from pyspark.ml.evaluation import RegressionEvaluator
-
-    data = plan.data.filter(F.col(GROUP).isin(*industries)).cache()
-    ev = RegressionEvaluator(labelCol="stock_price", predictionCol="prediction", metricName="r2")
-    jobs = [(ind, fam, ratio, k) for ind in industries for ratio, k in prefix_sizes(len(plan.pools[ind])) for fam in families]
-
-    def run(job):
-        ind, fam, ratio, k = job
-        model = fit_tree(plan, ind, fam, k, data)
-        test = data.filter((F.col(GROUP) == ind) & (F.col("split") == "test"))
-        return (ind, fam, ratio, k, float(ev.evaluate(model.transform(test)))), model
-
-    with ThreadPoolExecutor(max_workers=threads) as ex:
-        done = list(ex.map(run, jobs))
-    data.unpersist()
-    return [r for r, _ in done], {(r[0], r[1], r[3]): m for r, m in done}
+def fitted_results(plan: SearchPlan, industries, families, to: fits.Settings = fits.Settings()):
+    """R^2 on test of the families whose models are fitted to rows (trees, support vector
+    regression), every prefix: one grouped aggregate over the predictions of all fits."""
+    specs = [(i, fam, k) for i in industries for fam in families for k in sorted({k for _, k in prefix_sizes(len(plan.pools[i]))})]
+    test = plan.data.filter((F.col("split") == "test") & F.col(GROUP).isin(*industries))
+    p = fits.predictions(plan, specs, test, to)
+    y, e = F.col("stock_price"), (F.col("stock_price") - F.col("prediction")) ** 2
+    found = p.groupBy(GROUP, "family", "n_features").agg(
+        (F.lit(1.0) - F.try_divide(F.sum(e), F.count(y) * F.var_pop(y))).alias("r2")).collect()
+    r2 = {(r[GROUP], r["family"], r["n_features"]): r["r2"] for r in found}
+    return [(i, fam, ratio, k, float("nan") if r2[i, fam, k] is None else r2[i, fam, k])
+            for i in industries for fam in families for ratio, k in prefix_sizes(len(plan.pools[i])) if (i, fam, k) in r2]
 
 
 def select_best(results):
@@ -315,23 +241,20 @@ def select_best(results):
 
 
 def equation_text(b0, beta, feats):
-    """M13."""
-    terms = [f"({c:.3f} * {f})" for c, f in zip(beta, feats)]
-    return f"Predicted Price = {b0:.3f} + \n    " + " + \n    ".join(terms)
+    """A linear model in the fixed notation."""
+    head, term, between = EQUATION
+    return head % b0 + between.join(term % pair for pair in zip(beta, feats))
 
 
-def search(features: DataFrame, families=MODEL_FAMILIES, threads: int = 16,
-           train_last: int = TRAIN_LAST_FY, test_first: int = TEST_FIRST_FY, plan: SearchPlan | None = None):
+def search(features: DataFrame, families=MODEL_FAMILIES, train_last: int = TRAIN_LAST_FY,
+           test_first: int = TEST_FIRST_FY, plan: SearchPlan | None = None):
     """Full M1-M12 search -> (results rows, best per family, best per industry, plan, coefs)."""
     plan = plan or prepare(features, train_last, test_first)
     inds = eligible_industries(plan)
-    lin_f = [f for f in families if f in (LINEAR, RIDGE, KERNEL)]
-    tree_f = [f for f in families if f in (TREE, FOREST, BOOST)]
-    res, coefs = linear_results(plan, inds, lin_f) if lin_f else ([], {})
-    if tree_f:
-        trees, models = tree_results(plan, inds, tree_f, threads)
-        res += trees
-        plan.models.update(models)
+    linear, fitted = [f for f in families if f in (LINEAR, RIDGE)], [f for f in families if f not in (LINEAR, RIDGE)]
+    res, coefs = linear_results(plan, inds, linear) if linear else ([], {})
+    if fitted:
+        res += fitted_results(plan, inds, fitted)
     best_fam, best = select_best(res)
     return res, best_fam, best, plan, coefs
 
@@ -351,10 +274,10 @@ def summary_frame(spark, best, plan) -> DataFrame:
                                        "No_of_Features int, No_of_Companies int, R2_Score double")
 
 
-def case_study_ticker(plan: SearchPlan, ind: str, seed: int = SEED) -> DataFrame:
-    """A seeded pick of one test-set company of the industry."""
-    t = plan.data.filter((F.col(GROUP) == ind) & (F.col("split") == "test")).select("ticker").distinct()
-    return t.orderBy(F.xxhash64("ticker", F.lit(seed)), "ticker").limit(1)
+def case_study_tickers(plan: SearchPlan, industries, seed: int = SEED) -> DataFrame:
+    """(industry, ticker), a seeded pick of one test-set company of each industry."""
+    t = plan.data.filter((F.col("split") == "test") & F.col(GROUP).isin(*industries))
+    return t.groupBy(GROUP).agg(F.min(F.struct(F.xxhash64("ticker", F.lit(seed)).alias("h"), "ticker")).alias("m")).select(GROUP, "m.ticker")
 
 
 def top_cap_members(features: DataFrame, k: int = TOP_CAP_COMPANIES) -> DataFrame:
@@ -367,7 +290,7 @@ LINEAR_FIELDS = ("industry", "family", "features", "mean", "std", "intercept", "
 
 
 def linear_rows(plan: SearchPlan, best: dict, coefs) -> list[tuple]:
-    """One row (LINEAR_FIELDS) per industry whose winner is a linear or kernel model."""
+    """One row (LINEAR_FIELDS) per industry whose winner is a linear model."""
     rows = []
     for ind, (ratio, k, fam, r2) in sorted(best.items()):
         if (ind, fam, k) in coefs:
@@ -392,9 +315,9 @@ def load_linear_models(spark, path: str):
 
 
 def score_linear(models: dict, rows: DataFrame) -> DataFrame:
-    """Rows with ``prediction`` by loaded linear and kernel models (industries without
-    one drop), in one vectorised pass over Arrow batches."""
-    held = {i: (r["family"], list(r["features"]), np.array(r["mean"]), np.array(r["std"]), r["intercept"], np.array(r["coef"]))
+    """Rows with ``prediction`` by loaded linear models (industries without one drop), in
+    one vectorised pass over Arrow batches."""
+    held = {i: (list(r["features"]), np.array(r["mean"]), np.array(r["std"]), r["intercept"], np.array(r["coef"]))
             for i, r in models.items()}
     names = rows.columns
     schema = StructType([*rows.schema.fields, StructField("prediction", DoubleType())])
@@ -402,40 +325,32 @@ def score_linear(models: dict, rows: DataFrame) -> DataFrame:
     def run(batches):
         for b in batches:
             for ind, g in b.groupby(GROUP):
-                if ind not in held:
-                    continue
-                fam, feats, mu, sd, b0, beta = held[ind]
-                z = (g[feats].to_numpy(dtype=float) - mu) / sd
-                yield g[names].assign(prediction=b0 + _design(z, len(feats), fam == KERNEL) @ beta)
+                if ind in held:
+                    feats, mu, sd, b0, beta = held[ind]
+                    yield g[names].assign(prediction=b0 + (g[feats].to_numpy(dtype=float) - mu) / sd @ beta)
 
     return rows.mapInPandas(run, schema)
 
 
+SCORED = ["ticker", "fy", GROUP, "split", "stock_price", "prediction"]
+
+
 def predict_best(plan: SearchPlan, best: dict, coefs, rows: DataFrame | None = None) -> DataFrame:
-    """Rows scored with each industry's winning model, the one whose R^2 won:
-    linear and kernel winners in one pass over Arrow batches, tree winners by their
-    fitted pipeline (fitted again, alike, only if the search ran elsewhere)."""
+    """Rows (columns SCORED) scored with each industry's winning model, the one
+    whose R^2 won: linear winners in one pass over Arrow batches, all others in one job
+    (a fit depends on the training rows alone, so it is the model of the search)."""
     d = plan.data if rows is None else rows
     lin = linear_rows(plan, best, coefs)
-    parts = [score_linear({r[0]: dict(zip(LINEAR_FIELDS, r)) for r in lin}, d)] if lin else []
-    for ind, (ratio, k, fam, r2) in sorted(best.items()):
-        if fam in (TREE, FOREST, BOOST):
-            model = plan.models.get((ind, fam, k)) or fit_tree(plan, ind, fam, k)
-            parts.append(model.transform(d.filter(F.col(GROUP) == ind)).drop("features"))
+    held = [(ind, v[2], v[1]) for ind, v in sorted(best.items()) if v[2] not in (LINEAR, RIDGE)]
+    parts = [score_linear({r[0]: dict(zip(LINEAR_FIELDS, r)) for r in lin}, d).select(*SCORED)] if lin else []
+    parts += [fits.predictions(plan, held, d).select(*SCORED)] if held else []
     if not parts:
-        return d.withColumn("prediction", F.lit(None).cast("double")).limit(0)
+        return d.withColumn("prediction", F.lit(None).cast("double")).select(*SCORED).limit(0)
     return reduce(DataFrame.unionByName, parts)
 
 
-def save_tree_models(plan: SearchPlan, best: dict, path: str) -> dict:
-    """S11 for tree-family winners: the fitted pipeline by Spark ML's writer, which
-    ``PipelineModel.load`` reads back; returns {industry: model path}."""
-    out = {}
-    for ind, (ratio, k, fam, r2) in sorted(best.items()):
-        if fam not in (TREE, FOREST, BOOST):
-            continue
-        target = f"{path}/{ind.replace('/', '_').replace(' ', '_')}"
-        model = plan.models.get((ind, fam, k)) or fit_tree(plan, ind, fam, k)
-        model.write().overwrite().save(target)
-        out[ind] = target
-    return out
+def save_fitted_models(plan: SearchPlan, best: dict, path: str) -> None:
+    """S11 for the winners that are not linear: ``fits.fit_models`` as a Parquet table,
+    which ``fits.score`` applies to any rows with the feature columns."""
+    fits.fit_models(plan, [(ind, v[2], v[1]) for ind, v in sorted(best.items()) if v[2] not in (LINEAR, RIDGE)]) \
+        .write.mode("overwrite").parquet(path)

@@ -12,6 +12,12 @@ Per-company state (available tags, provenance, flags) is a small grouped
 table joined back by cik; concept lists are fixed constants (broadcast).
 ``mode='relaxed'`` is the recovery variant: share counts and the pre-tax
 back-calculation align on fiscal year only and tolerate a missing component.
+
+Errors are data: every rule that can fail a company is a condition over grouped flags,
+and the first that holds, in processing order, is the company's logged error. That goes
+for missing tags (K10) as for the rules that fail on the shape of the data: keys that are
+not one to one (J1), period ends or years that repeat where values are aligned on them,
+and a zero denominator among items put together from several tags (mixed items).
 """
 
 from __future__ import annotations
@@ -22,8 +28,9 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..constants import (EPS_CALCULATED, MSG_BAD_FACTS, MSG_BAD_PAYLOAD, MSG_NO_DATA_COLS, MSG_NO_USED_TAG, MSG_NONE_EMPTY,
-                         MSG_NONE_SUBSCRIPT, MSG_SKIP, MSG_TAG_MISSING, RECOVERY_PATTERNS, SGA_EXEMPT_TICKERS,
+from ..constants import (EPS_CALCULATED, MSG_BAD_FACTS, MSG_BAD_PAYLOAD, MSG_DUPLICATE_LABELS, MSG_MERGE_LEFT, MSG_MERGE_RIGHT,
+                         MSG_NO_DATA_COLS, MSG_NO_USED_TAG, MSG_NONE_EMPTY, MSG_NONE_SUBSCRIPT, MSG_NOT_JSON, MSG_SKIP,
+                         MSG_TAG_MISSING, MSG_ZERO_DIVISION, RECOVERY_PATTERNS, SGA_EXEMPT_TICKERS,
                          ADDITIVE_TAG, ADDITIVE_TRIGGER, ALLOW_MISSING, ANCHOR_NAME, ANCHOR_TAG,
                          CURR_LIABILITY_INDUSTRIES, CURR_LIABILITY_TAGS, CURRASSET_SUBTRACT_TAGS,
                          EXPECTED_RECORDS, FALLBACKS, LINE_ITEMS, NONOPERATING_TAGS, SHARE_FALLBACKS,
@@ -48,6 +55,18 @@ HELPERS = {"ga": FALLBACKS["ga_fallbacks"], "sm": FALLBACKS["sm_fallbacks"],
            "nonop2": [NONOPERATING_TAGS[1]]}
 
 
+#: Divisions of the valuation that meet raw line items: (numerator, denominator, the resolved
+#: concepts behind them).
+DIVISIONS = [
+    ("net_income", SHARES, ("net_income", SHARES)), ("equity", "asset", ("equity",)), ("equity", SHARES, ("equity", SHARES)),
+    ("operating_cash", CURR_LIAB, ("operating_cash", CURR_LIAB)), ("operating_cash", "asset", ("operating_cash",)),
+    ("operating_cash", SHARES, ("operating_cash", SHARES)), ("operating_cash", "profit", ("operating_cash", RECURRENT, "tax")),
+    ("net_income", "asset", ("net_income",)), ("net_income", "equity", ("net_income", "equity")),
+    ("lt_asset", "equity", (CURRASSET, "equity")), ("cash", CURR_LIAB, (CURRASSET, "inventory", "other_currasset", CURR_LIAB)),
+    ("asset", SHARES, (SHARES,)),
+]
+
+
 def bq(c):
     return F.col(f"`{c}`")
 
@@ -110,6 +129,16 @@ def build_panel(facts: DataFrame, companies: DataFrame, prices: DataFrame | None
     latest = fl.keep_latest(annual)
     avail = latest.filter(F.col("val").isNotNull()).groupBy("cik").agg(F.collect_set("tag").alias("avail"))
 
+    # ---- J1: where keys repeat ---------------------------------------------------------------
+    # rows, years and period ends of each company's template and of its helper tags: partial
+    # aggregates over the distinct rows that the joins below are keyed by
+    t_keys = template.groupBy("cik").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("fy").alias("y"), F.countDistinct("end").alias("e")) \
+        .select("cik", (F.col("n") > F.col("y")).alias("t_years"), (F.col("n") > F.col("e")).alias("t_ends"))
+    h_keys = latest.filter(F.col("tag").isin(*helper_tags)).groupBy("cik", "tag").agg(
+        F.count(F.lit(1)).alias("n"), F.countDistinct("fy").alias("y"), F.countDistinct("end").alias("e")) \
+        .groupBy("cik").agg(F.collect_set(F.when(F.col("n") > F.col("y"), F.col("tag"))).alias("h_years"),
+                            F.collect_set(F.when(F.col("n") > F.col("e"), F.col("tag"))).alias("h_ends"))
+
     # ---- K1-K3 main concepts on the 4-key template ------------------------------------
     ct = concept_table(spark, main, additive)
     resolved = resolve_concepts(template, latest, ct)
@@ -160,12 +189,16 @@ def build_panel(facts: DataFrame, companies: DataFrame, prices: DataFrame | None
     # ---- company-level table -------------------------------------------------------------
     comp = (companies.join(ns, "cik", "left").join(elig, "cik", "left").join(present, "cik", "left")
             .join(avail, "cik", "left").join(eps_recent, "cik", "left").join(s_last, "cik", "left")
-            .join(s_lv, "cik", "left"))
+            .join(s_lv, "cik", "left").join(t_keys, "cik", "left").join(h_keys, "cik", "left"))
     comp = comp.withColumns({
+        "t_years": F.coalesce("t_years", F.lit(False)), "t_ends": F.coalesce("t_ends", F.lit(False)),
+        "h_years": F.coalesce("h_years", F.array().cast("array<string>")),
+        "h_ends": F.coalesce("h_ends", F.array().cast("array<string>")),
         "present": F.coalesce("present", F.array().cast("array<string>")),
         "avail": F.coalesce("avail", F.array().cast("array<string>")),
         "eps_recent": F.coalesce("eps_recent", F.lit(False))})
     has = lambda arr, tags: F.exists(F.col(arr), lambda x: x.isin(*tags))
+    among = lambda arr, tags: F.filter(F.col(arr), lambda x: x.isin(*tags))
     comp = comp.withColumns({
         "sga_present": has("present", [SGA_TAG]),
         "currasset_present": has("present", [CURRASSET_TAG]),
@@ -180,7 +213,8 @@ def build_panel(facts: DataFrame, companies: DataFrame, prices: DataFrame | None
     })
     # share presence counts any (ns, tag) pair, even without annual rows
     sp = s_present.groupBy("cik").agg(F.count(F.lit(1)).alias("_np"))
-    comp = comp.join(sp, "cik", "left").withColumn("has_shares", F.coalesce(F.col("_np"), F.lit(0)) > 0).drop("_np")
+    comp = comp.join(sp, "cik", "left").withColumn("n_shares", F.coalesce(F.col("_np"), F.lit(0))) \
+        .withColumn("has_shares", F.col("n_shares") > 0).drop("_np")
     # Share tags exist but none reaches the study window (or none passes the
     # form filter) -> the latest value (0 when there is none) fills every year
     comp = comp.withColumns({
@@ -192,16 +226,25 @@ def build_panel(facts: DataFrame, companies: DataFrame, prices: DataFrame | None
     for tag, name in LINE_ITEMS:
         if name == SHARES:
             checks.append((~F.col("has_shares"), F.lit(MSG_TAG_MISSING % SHARES)))
+            if relaxed:     # several tags meet the template by year
+                checks.append((~F.col("share_broadcast") & (F.col("n_shares") > 1) & F.col("t_years"), F.lit(MSG_MERGE_LEFT)))
             continue
         if name == SGA:     # K6: no total, and neither of its parts has a value
             none = ~F.col("sga_present") & ~has("avail", HELPERS["ga"] + HELPERS["sm"]) & ~F.col("ticker").isin(*SGA_EXEMPT_TICKERS)
             checks.append((none, F.lit(MSG_TAG_MISSING % SGA_TAG if relaxed else MSG_NO_USED_TAG)))
+            # put together by year: the years of the part that gives the row keys (G&A if any)
+            # may not repeat; a part from several tags lies on the template's rows
+            ga, sm = among("avail", HELPERS["ga"]), among("avail", HELPERS["sm"])
+            base = F.when(F.size(ga) > 0, ga).otherwise(sm)
+            twice = F.when(F.size(base) > 1, F.col("t_years")).otherwise(F.arrays_overlap(base, F.col("h_years")))
+            checks.append((~F.col("sga_present") & (F.size(base) > 0) & twice, F.lit(MSG_MERGE_RIGHT)))
             continue
         if name == EPS or tag in ALLOW_MISSING:
             continue
         if name == CURRASSET:
             checks.append((~F.col("currasset_present") & ~F.col("sub_present"),
                            F.lit(MSG_TAG_MISSING % CURRASSET_TAG)))
+            checks.append((~F.col("currasset_present") & F.col("t_years"), F.lit(MSG_MERGE_RIGHT)))
             continue
         if name == RECURRENT:
             no_pretax = ~F.col("pretax_avail")
@@ -214,6 +257,9 @@ def build_panel(facts: DataFrame, companies: DataFrame, prices: DataFrame | None
                 checks.append((no_pretax & ~F.col("n2_present"), F.lit(MSG_NONE_EMPTY)))
                 checks.append((no_pretax & ~F.col("n1_avail") & ~F.col("n2_avail"),
                                F.lit(MSG_TAG_MISSING % PRETAX_TAG)))
+            # the parts are aligned on period ends (relaxed: on years), which may not repeat
+            again = F.exists(F.col("h_years" if relaxed else "h_ends"), lambda t: t.isin(*NONOPERATING_TAGS))
+            checks.append((no_pretax & again, F.lit(MSG_DUPLICATE_LABELS)))
             continue
         if kind[name] == "fallback":
             checks.append((~has("avail", main[name]), F.lit(MSG_TAG_MISSING % tag)))
@@ -221,6 +267,7 @@ def build_panel(facts: DataFrame, companies: DataFrame, prices: DataFrame | None
             checks.append((~has("present", [tag]), F.lit(MSG_TAG_MISSING % tag)))
     # K9: a bank or insurer none of whose liability components is reported
     checks.append((F.col("liab_industry") & ~F.col("liab_present"), F.lit(MSG_NO_DATA_COLS)))
+    checks.append((F.col("liab_industry") & F.col("t_ends"), F.lit(MSG_DUPLICATE_LABELS)))
     err = None
     for cond, msg in checks:
         err = F.when(cond, msg) if err is None else err.when(cond, msg)
@@ -229,7 +276,10 @@ def build_panel(facts: DataFrame, companies: DataFrame, prices: DataFrame | None
     def flag(c):
         return F.coalesce(F.col(c), F.lit(False)) if c in comp.columns else F.lit(False)
 
-    error = (F.when(flag("bad_payload"), F.lit(MSG_BAD_PAYLOAD))
+    # a payload that is no JSON at all fails in the parser, which the recovery run never reaches
+    first = F.lit(None).cast("string") if relaxed else F.when(flag("payload_not_json") | (flag("facts_not_json") & ~flag("bad_payload")),
+                                                              F.lit(MSG_NOT_JSON))
+    error = (F.when(first.isNotNull(), first).when(flag("bad_payload"), F.lit(MSG_BAD_PAYLOAD))
              .when(flag("bad_facts"), F.lit(MSG_BAD_FACTS))
              .when(F.col("ns").isNull(), F.lit(MSG_TAG_MISSING % ANCHOR_NAME))
              .when(~F.coalesce(F.col("eligible"), F.lit(False)), skip)
@@ -276,7 +326,7 @@ def build_panel(facts: DataFrame, companies: DataFrame, prices: DataFrame | None
     good = comp.filter(F.col("status") == "Success")
     rows = (template.join(good.select("cik", "ticker", "name", "industry", "eps_recent", "share_broadcast", "s_lv",
                                       "sga_present", "currasset_present", "pretax_avail", "liab_present",
-                                      "ga_avail", "sm_avail",
+                                      "ga_avail", "sm_avail", "avail", "n_shares",
                                       "liab_industry", "tag_history"), "cik")
             .join(wide, ["cik", *TEMPLATE_KEYS], "left")
             .join(h_wide, ["cik", "fy"], "left")
@@ -303,8 +353,19 @@ def build_panel(facts: DataFrame, companies: DataFrame, prices: DataFrame | None
                                              sum((F.coalesce(c_, zero) for c_ in liab_cols), zero))
                            .otherwise(bq(CURR_LIAB)))
     rows = rows.withColumn(EPS, F.when(col("eps_recent"), bq(EPS)).otherwise(ieee_div(col("net_income"), bq(SHARES))))
-    panel = derive_line_items(rows)
-    panel = cut(order_panel(panel, extra_last=["tag_history"]))
+    # mixed items: put together from several tags, or from several items
+    mixed = {c: F.size(among("avail", main[c])) > 1 for c in {x for _, _, xs in DIVISIONS for x in xs} if c in main}
+    mixed |= {SHARES: (F.col("n_shares") > 1) & ~F.col("share_broadcast"), CURRASSET: ~F.col("currasset_present"),
+              RECURRENT: mixed[RECURRENT] | ~F.col("pretax_avail")}
+    zero_by = [(bq(n).isNotNull() & (bq(d) == 0) & reduce(lambda a, x: a | mixed[x], xs, F.lit(False))) for n, d, xs in DIVISIONS]
+    whole = derive_line_items(rows)
+    panel = cut(order_panel(whole.withColumn("zero_division", reduce(lambda a, z: a | z, zero_by)), extra_last=["tag_history", "cik", "zero_division"]))
+    # a zero denominator among mixed items fails the company after its rows are put together
+    zeros = panel.groupBy("cik").agg(F.max("zero_division").alias("zero_division")).filter("zero_division")
+    comp = cut(comp.join(zeros, "cik", "left").withColumns({
+        "error": F.when(F.col("zero_division"), F.lit(MSG_ZERO_DIVISION)).otherwise(F.col("error")),
+        "status": F.when(F.col("zero_division"), F.lit("Fail")).otherwise(F.col("status"))}))
+    panel = panel.join(zeros.select("cik"), "cik", "left_anti").drop("cik", "zero_division")
     if prices is not None:
         from ..operators.asof import attach_prices
         panel = attach_prices(panel, prices)

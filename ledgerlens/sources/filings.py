@@ -13,11 +13,15 @@ per task; everything after the explode is ordinary columnar data.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (ArrayType, DoubleType, IntegerType, LongType, MapType, StringType,
                                StructField, StructType)
 
+from ..session import cut
+
 RECORD = StructType([
     StructField("start", StringType()), StructField("end", StringType()),
     StructField("val", DoubleType()), StructField("fy", IntegerType()),
@@ -61,17 +65,33 @@ def cik_from_path(path_col) -> "F.Column":
     return F.regexp_extract(path_col, r"CIK(\d{10})", 1)
 
 
+def parse_files(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """JSON files as they landed, one row per file: cik (from the file name), path, doc (the
+    parsed payload), bad (not an object of this shape, or cut off), not_json (empty, or
+    another kind of document, such as an error page) and n_bytes. The whole text is parsed
+    once; the corrupt field keeps an unreadable payload a row."""
+    read = spark.read.text(path, wholetext=True).select("value", F.col("_metadata.file_path").alias("path"))
+    flagged = StructType([*schema.fields, StructField("_corrupt", StringType())])
+    doc = F.from_json("value", flagged, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
+    not_json = ~F.coalesce(F.col("value").rlike(r"^\s*\{"), F.lit(False))
+    return read.withColumn("doc", doc).select(
+        cik_from_path(F.col("path")).alias("cik"), "path", "doc",
+        (F.col("doc").isNull() | F.col("doc._corrupt").isNotNull() | not_json).alias("bad"), not_json.alias("not_json"),
+        F.octet_length("value").cast("long").alias("n_bytes"))
+
+
 def read_metadata(spark: SparkSession, path: str) -> DataFrame:
     """Filer metadata -> (cik, sic, sicDescription, industry = 'sic description').
 
-    Unreadable payloads (F8) keep the row with NULL fields and a flag."""
-    df = (spark.read.schema(StructType(METADATA.fields + [StructField("_corrupt_record", StringType())]))
-          .option("multiLine", "true").option("mode", "PERMISSIVE")
-          .option("columnNameOfCorruptRecord", "_corrupt_record").json(path)
-          .withColumn("_path", F.col("_metadata.file_path")))
-    return df.select(cik_from_path(F.col("_path")).alias("cik"), "sic", "sicDescription",
-                     F.concat_ws(" ", "sic", "sicDescription").alias("industry"),
-                     F.col("_corrupt_record").isNotNull().alias("bad_payload"))
+    Unreadable payloads (F8) keep the row with NULL fields and flags."""
+    df = parse_files(spark, path, METADATA)
+
+    def known(name):
+        return F.when(~F.col("bad"), F.col(f"doc.{name}")).alias(name)
+
+    return df.select("cik", known("sic"), known("sicDescription"), F.col("bad").alias("bad_payload"),
+                     F.col("not_json").alias("payload_not_json")) \
+        .select("cik", "sic", "sicDescription", F.concat_ws(" ", "sic", "sicDescription").alias("industry"), "bad_payload", "payload_not_json")
 
 
 def flatten_facts(parsed: DataFrame, cik_col: str = "cik") -> DataFrame:
@@ -91,22 +111,26 @@ def flatten_facts(parsed: DataFrame, cik_col: str = "cik") -> DataFrame:
         F.to_date("r.filed").alias("filed"), "has_start")
 
 
-def _facts_files(spark: SparkSession, path: str) -> DataFrame:
-    schema = StructType(COMPANY_FACTS.fields + [StructField("_corrupt_record", StringType())])
-    return (spark.read.schema(schema).option("multiLine", "true").option("mode", "PERMISSIVE")
-            .option("columnNameOfCorruptRecord", "_corrupt_record").json(path)
-            .withColumn("cik", cik_from_path(F.col("_metadata.file_path"))))
+@dataclass
+class Filings:
+    facts: DataFrame        # long facts of the readable files
+    status: DataFrame       # (cik, bad_facts, facts_not_json) of every file
+    quarantine: DataFrame   # (cik, path, n_bytes) of unreadable files
 
 
-def read_company_facts(spark: SparkSession, path: str) -> DataFrame:
-    """S3: company-facts files -> long facts (cik from the file name)."""
-    return flatten_facts(_facts_files(spark, path).drop("_corrupt_record"))
+def read_filings(spark: SparkSession, path: str) -> Filings:
+    """S3/F8: company-facts files, each read and parsed once (the parsed rows are cut) and
+    split into long facts, a status per file and the files that are not readable."""
+    parsed = cut(parse_files(spark, path, COMPANY_FACTS))
+    return Filings(flatten_facts(parsed.filter(~F.col("bad")).select("cik", "doc.facts")),
+                   parsed.select("cik", F.col("bad").alias("bad_facts"), F.col("not_json").alias("facts_not_json")),
+                   parsed.filter("bad").select("cik", "path", "n_bytes"))
 
 
-def read_facts_status(spark: SparkSession, path: str) -> DataFrame:
-    """F8: (cik, bad_facts) per facts file; joined to the companies, an unreadable
-    payload becomes a failed row of the run log instead of vanishing."""
-    return _facts_files(spark, path).select("cik", F.col("_corrupt_record").isNotNull().alias("bad_facts"))
+def read_company_facts(spark: SparkSession, path: str) -> DataFrame:
+    """S3: company-facts files -> long facts (cik from the file name), where the status of
+    the files isn't needed."""
+    return flatten_facts(parse_files(spark, path, COMPANY_FACTS).filter(~F.col("bad")).select("cik", "doc.facts"))
 
 
 def read_prices(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:

@@ -87,6 +87,10 @@ def write_fixture(root):
         "10": {"cik_str": 9993, "ticker": "KKK", "title": "Kappa Bank"},
         "11": {"cik_str": 9994, "ticker": "BRK-A", "title": "Lambda Holding"},
         "12": {"cik_str": 9995, "ticker": "MMM", "title": "My Corp"},
+        "13": {"cik_str": 9996, "ticker": "OOO", "title": "Omicron Inc"},
+        "14": {"cik_str": 9997, "ticker": "PPP", "title": "Pi Corp"},
+        "15": {"cik_str": 9998, "ticker": "QQQ", "title": "Qoppa Co"},
+        "16": {"cik_str": 9999, "ticker": "NNN", "title": "Nu Ltd"},
     }
     with open(f"{root}/directory.json", "w") as f:
         json.dump(companies, f)
@@ -95,7 +99,8 @@ def write_fixture(root):
            5555: ("2834", "PHARMACEUTICAL PREPARATIONS"), 6666: ("4911", "ELECTRIC SERVICES"),
            8888: ("5411", "RETAIL-GROCERY STORES"), 9991: ("3571", "ELECTRONIC COMPUTERS"),
            9992: ("3571", "ELECTRONIC COMPUTERS"), 9993: ("6021", "National Commercial Banks"),
-           9994: ("6331", "OTHER INSURANCE"), 9995: ("3571", "ELECTRONIC COMPUTERS")}
+           9994: ("6331", "OTHER INSURANCE"),
+           **{c: ("3571", "ELECTRONIC COMPUTERS") for c in (9995, 9996, 9997, 9998, 9999)}}
     for cik, (code, desc) in sic.items():
         with open(f"{root}/meta/CIK{cik:010d}.json", "w") as f:
             json.dump({"cik": str(cik), "sic": code, "sicDescription": desc}, f)
@@ -148,6 +153,31 @@ def write_fixture(root):
     del m["IncomeLossFromContinuingOperationsBeforeIncomeTaxesExtraordinaryItemsNoncontrollingInterest"]
     m["OtherNonoperatingIncomeExpense"] = ("USD", annual(lambda y: -4.0))
     docs[9995] = facts_doc(9995, "My Corp", m)
+    # OOO: two share tags; the first only fits the year (an amendment filed later), the second
+    # is zero: items put together from several tags meet a zero denominator, unless by year
+    o = base_company(1.0)
+    del o["WeightedAverageNumberOfSharesOutstandingBasic"]
+    o["CommonStockSharesIssued"] = ("shares", [rec(y, f"{y}-12-31", f"{y + 1}-06-30", 80.0, form="10-K/A") for y in YEARS])
+    o["CommonStockSharesOutstanding"] = ("shares", [rec(y, f"{y}-12-31", f"{y + 1}-02-15", 0.0) for y in YEARS])
+    docs[9996] = facts_doc(9996, "Omicron Inc", o)
+    # PPP: no pre-tax profit; the report of 2022 only repeats 2021's non-operating income, so
+    # that a period end stands for two years: aligned on period ends it fails, on years not
+    pre = "IncomeLossFromContinuingOperationsBeforeIncomeTaxesExtraordinaryItemsNoncontrollingInterest"
+    p = base_company(1.0)
+    del p[pre]
+    p["NonoperatingIncomeExpense"] = ("USD", annual(lambda y: None if y == 2022 else 6.0))
+    p["OtherNonoperatingIncomeExpense"] = ("USD", annual(lambda y: -4.0))
+    docs[9997] = facts_doc(9997, "Pi Corp", p)
+    # QQQ: general and administrative expense twice in one year, under two fiscal periods
+    q = base_company(1.0, with_sga=False)
+    q["GeneralAndAdministrativeExpense"] = ("USD", [*annual(lambda y: 30.0), rec(2021, "2021-12-31", "2022-02-15", 31.0, "2021-01-01", fp="Q4")])
+    docs[9998] = facts_doc(9998, "Qoppa Co", q)
+    # NNN: an error page instead of the facts; the payload lands later
+    os.makedirs(f"{root}/facts_later", exist_ok=True)
+    with open(f"{root}/facts/CIK0000009999.json", "w") as f:
+        f.write("<html><body>Request rate exceeded</body></html>")
+    with open(f"{root}/facts_later/CIK0000009999.json", "w") as f:
+        json.dump(facts_doc(9999, "Nu Ltd", base_company(1.0)), f)
     with open(f"{root}/facts/CIK0000009992.json", "w") as f:   # truncated payload
         f.write('{"cik": 9992, "facts": {"us-ga')
     for cik, doc in docs.items():

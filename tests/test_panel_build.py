@@ -11,23 +11,40 @@ def built(spark, scratch):
     from ledgerlens.plans.panel import build_panel
     from ledgerlens.sources import filings
     root = write_fixture(f"{scratch}/filings")
-    facts = filings.read_company_facts(spark, f"{root}/facts/*.json")
+    read = filings.read_filings(spark, f"{root}/facts/*.json")
+    facts = read.facts
     dirx = filings.read_directory(spark, f"{root}/directory.json")
     meta = filings.read_metadata(spark, f"{root}/meta/*.json")
-    companies = dirx.join(meta, "cik").join(filings.read_facts_status(spark, f"{root}/facts/*.json"), "cik", "left").select(
-        "cik", "ticker", F.col("title").alias("name"), "industry", "source_index", "bad_payload", "bad_facts")
+    companies = dirx.join(meta, "cik").join(read.status, "cik", "left").select(
+        "cik", "ticker", F.col("title").alias("name"), "industry", "source_index", "bad_payload", "payload_not_json", "bad_facts", "facts_not_json")
     prices = spark.read.json(f"{root}/prices.json").select(
         "ticker", F.to_date("d").alias("d"), "close_adj", "close_unadj")
     b = build_panel(facts, companies, prices, run_ts="2026-01-01 00:00:00")
-    return dict(b=b, facts=facts, companies=companies, prices=prices,
+    return dict(b=b, root=root, read=read, facts=facts, companies=companies, prices=prices,
                 panel={(r["ticker"], r["fy"]): r.asDict() for r in b.panel.collect()},
                 log={r["ticker"]: r.asDict() for r in b.log.collect()})
 
 
+def test_reader_splits_facts_status_and_quarantine(built, spark):
+    """One parse gives all three, each usable alone; a reader without status gives the same facts."""
+    from ledgerlens.sources import filings
+    read = built["read"]
+    bad = {r["cik"] for r in read.status.filter("bad_facts").collect()}
+    assert bad == {"0000009992", "0000009999"} and read.status.count() == 17
+    assert [r["cik"] for r in read.status.filter("facts_not_json").select("cik").collect()] == ["0000009999"]
+    assert sorted((r["cik"], r["n_bytes"]) for r in read.quarantine.collect()) == [("0000009992", 30), ("0000009999", 47)]
+    assert all(r["path"].endswith(f"CIK{r['cik']}.json") for r in read.quarantine.collect())
+    alone = filings.read_company_facts(spark, f"{built['root']}/facts/*.json")
+    assert alone.count() == read.facts.count() and alone.exceptAll(read.facts).count() == 0
+    meta = filings.read_metadata(spark, f"{built['root']}/meta/*.json")
+    assert {r["cik"] for r in meta.filter("bad_payload").select("cik").collect()} == {"0000007777"}
+
+
 def test_directory_pads_cik(built):
     ciks = sorted(r["cik"] for r in built["companies"].collect())
     assert ciks == ["0000001111", "0000002222", "0000003333", "0000004444", "0000005555", "0000006666",
-                    "0000007777", "0000008888", "0000009991", "0000009992", "0000009993", "0000009994", "0000009995"]
+                    "0000007777", "0000008888", "0000009991", "0000009992", "0000009993", "0000009994", "0000009995",
+                    "0000009996", "0000009997", "0000009998", "0000009999"]
 
 
 def test_flatten_first_unit(built):
@@ -127,8 +144,7 @@ def test_suggestions_for_missing_tag(built):
 def test_recovery_merges_log(built, spark):
     from ledgerlens.plans.panel import recover, retry_set
     log = built["b"].log.withColumn("status_after_recovery1", F.col("status")).withColumn(
-        "error_after_recovery1", F.when(F.col("ticker") == "DDD", F.lit("float division by zero"))
-        .otherwise(F.col("error")))
+        "error_after_recovery1", F.when(F.col("ticker") == "DDD", F.lit("float division by zero")).otherwise(F.lit("")))
     rs = retry_set(log)
     assert [r["cik"] for r in rs.collect()] == ["0000004444"]
     panel, merged = recover(built["facts"], built["companies"], log, rs, built["prices"])
@@ -157,6 +173,50 @@ def test_recovery_recovers(built):
     assert len(got) == 7 and got[2022]["recurrent_profit"] == pytest.approx(150.0 - 4.0)
 
 
+def test_each_error_class_fails_and_recovers(built, spark):
+    """Q8/Q9: a company of every class that a recovery run takes up fails in the strict run
+    with the class's text; those the relaxed rules (or a new payload) can help recover."""
+    from ledgerlens.plans.panel import recover, retry_set
+    from ledgerlens.sources import filings
+    log = built["log"]
+    want = {"NNN": "Expecting value: line 1 column 1 (char 0)", "III": "cannot access local variable 'used_tag' where it is not associated with a value",
+            "MMM": "'NoneType' object has no attribute 'empty'", "OOO": "float division by zero", "PPP": "cannot reindex on an axis with duplicate labels"}
+    assert {t: log[t]["error"] for t in want} == want and all(log[t]["status"] == "Fail" for t in want)
+    assert not any(k[0] in want for k in built["panel"])
+    logged = built["b"].log.withColumn("status_after_recovery1", F.col("status")).withColumn("error_after_recovery1", F.col("error"))
+    later = filings.read_filings(spark, f"{built['root']}/facts_later/*.json")
+    facts = built["facts"].unionByName(later.facts)
+    known = later.status.withColumnsRenamed({"bad_facts": "b", "facts_not_json": "n"})
+    companies = built["companies"].join(known, "cik", "left").withColumns(
+        {"bad_facts": F.coalesce("b", "bad_facts"), "facts_not_json": F.coalesce("n", "facts_not_json")}).drop("b", "n")
+    rs = retry_set(logged)
+    assert {int(r["cik"]) for r in rs.collect()} == {9999, 9991, 9995, 9996, 9997}
+    panel, merged = recover(facts, companies, logged, rs, built["prices"])
+    after = {r["ticker"]: (r["status_after_recovery2"], r["error_after_recovery2"]) for r in merged.collect()}
+    assert {t for t in want if after[t][0] == "Success"} == {"NNN", "MMM", "OOO", "PPP"}
+    assert after["III"] == ("Fail", "No SellingGeneralAndAdministrativeExpense Tag Found") and after["AAA"][0] is None
+    rows = {(r["ticker"], r["fy"]): r for r in panel.collect()}
+    assert len(rows) == 28 and rows["OOO", 2021]["shares#"] == 80.0 and rows["OOO", 2021]["bps"] == pytest.approx(600.0 / 80.0)
+    assert rows["PPP", 2021]["recurrent_profit"] == pytest.approx(150.0 + 6.0 - 4.0)
+    # a payload that is still no JSON fails with the recovery run's own text
+    still, merged = recover(built["facts"], built["companies"], logged, rs.filter("cik = '0000009999'"), None)
+    assert still.count() == 0 and merged.filter("ticker = 'NNN'").first()["error_after_recovery2"] == "Request Failure on companyFacts"
+
+
+def test_merge_keys_must_be_one_to_one(built, spark):
+    """J1 as a gate: a company whose keys repeat is a failed row of the log, not a wrong panel."""
+    from ledgerlens.plans.panel import build_panel
+    assert built["log"]["QQQ"]["error"] == "Merge keys are not unique in right dataset; not a one-to-one merge"
+    assert not any(k[0] == "QQQ" for k in built["panel"])
+    # relaxed: several share tags meet the template by year, whose years repeat
+    two = built["facts"].filter("cik = '0000009996'")
+    extra = two.filter("tag = 'Assets' AND fy = 2021 AND form = '10-K'").withColumn("fp", F.lit("Q4"))
+    one = built["companies"].filter("ticker = 'OOO'")
+    log = build_panel(two.unionByName(extra), one, None, mode="relaxed").log.collect()
+    assert [r["error"] for r in log] == ["Merge keys are not unique in left dataset; not a one-to-one merge"]
+    assert [r["status"] for r in build_panel(two, one, None, mode="relaxed").log.collect()] == ["Success"]
+
+
 def test_stale_share_count_is_carried_forward(built):
     """All share data before the study window -> latest value for every year."""
     p = built["panel"]

@@ -29,6 +29,32 @@ def test_append_and_replace(spark, scratch):
     assert replace_if_any(df, p) is True and read_table(spark, p).count() == 1
 
 
+def test_upsert_replaces_by_key_and_can_run_again(spark, scratch):
+    from ledgerlens.sources.tables import read_table, upsert
+    schema, p, log = "ticker string, fy int, v double", f"{scratch}/upsert", f"{scratch}/upsert_log"
+
+    def rows(at):
+        return sorted((r["ticker"] or "", r["fy"], r["v"]) for r in read_table(spark, at).collect())
+
+    first = spark.createDataFrame([("A", 2020, 1.0), ("B", 2020, 2.0), ("A", 2021, 3.0), (None, 2021, 4.0)], schema)
+    upsert(first, p, ["ticker", "fy"])
+    upsert(first, p, ["ticker", "fy"])
+    assert rows(p) == [("", 2021, 4.0), ("A", 2020, 1.0), ("A", 2021, 3.0), ("B", 2020, 2.0)]
+    before = {f.name for f in __import__("pathlib").Path(f"{p}/fy=2020").glob("*.parquet")}
+    run = spark.createDataFrame([("A", 2021, 30.0), ("C", 2021, 5.0), (None, 2021, 40.0)], schema)
+    for _ in range(2):      # a recovery run, and the same one again
+        upsert(run, p, ["ticker", "fy"])
+        assert rows(p) == [("", 2021, 40.0), ("A", 2020, 1.0), ("A", 2021, 30.0), ("B", 2020, 2.0), ("C", 2021, 5.0)]
+    assert {f.name for f in __import__("pathlib").Path(f"{p}/fy=2020").glob("*.parquet")} == before     # untouched
+    upsert(run.limit(0), p, ["ticker", "fy"])
+    assert len(rows(p)) == 5
+    with pytest.raises(ValueError):
+        upsert(run.unionByName(run), p, ["ticker", "fy"])
+    upsert(first.select("ticker", "fy", "v"), log, ["ticker", "fy"], partition_by=())
+    upsert(run, log, ["ticker", "fy"], partition_by=())
+    assert rows(log) == rows(p) and "bucket" in read_table(spark, log).columns
+
+
 def test_gram_solvers_match_numpy():
     from ledgerlens.plans.models import _r2_from_gram, _solve
     rng = np.random.default_rng(0)
@@ -53,7 +79,7 @@ def test_prefix_sizes_and_selection():
     from ledgerlens.plans.models import equation_text, prefix_sizes, select_best
     assert prefix_sizes(35)[0] == (0.1, 3) and prefix_sizes(34)[8] == (0.9, 30) and prefix_sizes(5)[0] == (0.1, 1)
     res = [("I", "Ridge Regression", 0.1, 1, 0.5), ("I", "Linear Regression", 0.2, 2, 0.5),
-           ("I", "Linear Regression", 0.1, 1, 0.5), ("I", "Kernel Ridge (Fourier features)", 0.3, 3, 0.4)]
+           ("I", "Linear Regression", 0.1, 1, 0.5), ("I", "Support Vector Regression", 0.3, 3, 0.4)]
     best_fam, best = select_best(res)
     assert best_fam[("I", "Linear Regression")][0] == 0.1      # first ratio wins ties
     assert best["I"][2] == "Linear Regression"                  # first family wins ties
@@ -82,30 +108,6 @@ def test_linear_model_persistence_roundtrip(spark, scratch):
         assert r2 == pytest.approx(r["r2"], abs=1e-6)
 
 
-def test_tree_model_persistence_roundtrip(spark, scratch):
-    from pyspark.ml import PipelineModel
-    from ledgerlens.plans.checks import features
-    from ledgerlens.plans import models as M
-    f = features(spark, "/root/testdata/sf0.001")
-    plan = M.prepare(f, 1999, 2000)
-    inds = M.eligible_industries(plan)[:1]
-    plan.pools = {inds[0]: plan.pools[inds[0]][:3]}
-    res, plan.models = M.tree_results(plan, inds, ("Decision Tree", "Random Forest"), threads=4)
-    _, best = M.select_best([r for r in res if r[1] == "Random Forest"])
-    paths = M.save_tree_models(plan, best, f"{scratch}/tree_models")
-    rows = plan.data.filter(F.col("broad_industry") == inds[0])
-    keys = ["ticker", "fy"]
-
-    def predictions(df):
-        return {(r["ticker"], r["fy"]): r["prediction"] for r in df.select(*keys, "prediction").collect()}
-
-    # the saved model is the one that was scored, and a second fit is the same forest
-    want = predictions(M.predict_best(plan, best, {}, rows))
-    assert predictions(PipelineModel.load(paths[inds[0]]).transform(rows)) == want
-    again = M.fit_tree(plan, inds[0], "Random Forest", best[inds[0]][1], plan.data.repartition(5, "fy"))
-    assert predictions(again.transform(rows)) == pytest.approx(want)
-
-
 def test_gram_search_matches_row_level_lstsq(spark):
     """The distributed Gram pass reproduces a row-level least-squares fit per prefix."""
     from ledgerlens.plans.checks import features
