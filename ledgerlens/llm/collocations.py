@@ -16,6 +16,7 @@ as text, the words that pass and the phrases all of whose pairs pass.
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 from collections import Counter, defaultdict
 
@@ -27,75 +28,91 @@ from pyspark.sql import functions as F
 from ..session import checkpoint_dir
 from .common import best_per_key, text_batches
 
-BREAK, END = "\n", "\n\n"              # tokens between pieces and between chunks; never inside a word
+BREAK, END = 0x0A, 0x0B                 # one-byte tokens between pieces and after chunks; never inside a word
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ\t.,;:!?\x0b\x0c\r", b"abcdefghijklmnopqrstuvwxyz \n\n\n\n\n\n\n\n\n")
 SPREAD = 32                             # mean number of tokens between triggers
 HELD = 600_000                          # distinct entries that a task counts before it hands them on
-HASHES = 2_000_000                      # pair hashes that a task holds before it adds them up
-MEMO = 500_000
+HASHES = 2_000_000                      # hashes that a task holds before it adds them up
+SPAN = 1 << 21                          # bytes of text that are worked on at a time
 K1, K2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
-def tokens_of(text: str) -> list[str]:
-    """Words, and BREAK between pieces."""
-    low = text.encode("utf-8", "replace").translate(_LOWER).replace(b"\n", b" \n ").decode()
-    return list(filter(None, low.split(" ")))
-
-
-class Hashes(dict):
-    """Hashes of tokens, remembered while they are few enough."""
-
-    def __missing__(self, token: str) -> int:
-        import xxhash
-
-        h = self[token] = xxhash.xxh64_intdigest(token)
-        return h
-
-    def of(self, tokens: list[str]) -> np.ndarray:
-        if len(self) > MEMO:
-            self.clear()
-        return np.fromiter(map(self.__getitem__, tokens), np.uint64, len(tokens))
-
-
 def _mixed(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(31))) * K2
     return x ^ (x >> np.uint64(29))
 
 
-class Parser:
-    """Cuts token sequences into chunks at content-given triggers."""
-
-    def __init__(self, window: int, spread: int = SPREAD):
-        self.window, self.spread, self.hashes = window, np.uint64(spread), Hashes()
-
-    def chunks(self, tokens: list[str]) -> list[tuple[str, bool]]:
-        """(chunk, whether it is the sequence's last), neighbours sharing ``window`` tokens."""
-        n, w = len(tokens), self.window
-        if not n:
-            return []
-        cuts = []
-        if n > w:
-            h = self.hashes.of(tokens)
-            mixed = h[:n - w + 1]
-            for j in range(1, w):
-                mixed = mixed * K1 + h[j:n - w + 1 + j]
-            cuts = (np.flatnonzero(_mixed(mixed[1:]) % self.spread == 0) + 1).tolist()
-        at, out = 0, []
-        for c in cuts:
-            out.append((" ".join(tokens[at:c + w]), False))
-            at = c
-        out.append((" ".join(tokens[at:]), True))
+def normalised(text: str) -> bytes:
+    """Words and breaks, lower-cased, with one or more spaces between them."""
+    return text.encode("utf-8", "replace").translate(_LOWER).replace(b"\n", b" \n ")
+
+
+class Tokens:
+    """The tokens of a byte string, found and hashed with NumPy: ``data`` (one space between
+    tokens), where each starts and ends, its hash, and which are words."""
+
+    def __init__(self, raw: bytes):
+        x = np.frombuffer(raw, np.uint8)
+        space = x == 32
+        x = x[~(space & np.r_[True, space[:-1]])] if len(x) else x     # no space at the start or after a space
+        x = x[:-1] if len(x) and x[-1] == 32 else x
+        at = np.flatnonzero(x == 32)
+        self.data = x.tobytes()
+        self.starts = np.r_[0, at + 1] if len(x) else np.zeros(0, np.int64)
+        self.ends = np.r_[at, len(x)] if len(x) else np.zeros(0, np.int64)
+        self.h = self._hashes(x)
+        single = (self.ends - self.starts) == 1
+        first = x[self.starts]
+        self.end = single & (first == END)
+        self.word = ~(self.end | (single & (first == BREAK)))
+
+    def _hashes(self, x: np.ndarray) -> np.ndarray:
+        """A polynomial hash of each token's bytes, SPAN bytes (or one token) at a time."""
+        out, a, n = np.empty(len(self.starts), np.uint64), 0, len(self.starts)
+        while a < n:
+            b = max(a + 1, int(np.searchsorted(self.starts, self.starts[a] + SPAN)))
+            low, high = self.starts[a], self.ends[b - 1]
+            part = x[low:high].astype(np.uint64) + np.uint64(1)
+            part[x[low:high] == 32] = 0
+            at = self.starts[a:b] - low
+            place = np.arange(high - low) - np.repeat(at, np.diff(np.r_[at, high - low]))
+            power = np.cumprod(np.r_[np.uint64(1), np.full(int(place.max()), K1, np.uint64)])
+            out[a:b] = _mixed(np.add.reduceat(part * power[place], at))
+            a = b
         return out
 
 
+def chunks_of(t: Tokens, window: int, spread: int = SPREAD) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(first token, token after the last, whether the last of its text) of every chunk of
+    texts that an END token closes each; neighbours share ``window`` tokens."""
+    n = len(t.h)
+    close = np.flatnonzero(t.end)
+    opens = np.r_[0, close[:-1] + 1] if len(close) else close
+    opens, close = opens[opens < close], close[opens < close]       # texts with a token at all
+    cut = np.zeros(n, bool)
+    if n > window:
+        mixed = t.h[:n - window + 1]
+        for j in range(1, window):
+            mixed = mixed * K1 + t.h[j:n - window + 1 + j]
+        cut[:n - window + 1] = _mixed(mixed) % np.uint64(spread) == 0
+        for j in range(window):         # windows inside one text only
+            cut[np.maximum(np.flatnonzero(t.end) - j, 0)] = False
+    cut[opens] = True
+    first = np.flatnonzero(cut & ~t.end)
+    text = np.searchsorted(close, first, side="left")
+    last = np.r_[text[1:] != text[:-1], True] if len(first) else np.zeros(0, bool)
+    after = np.where(last, close[text], np.r_[first[1:], 0] + window) if len(first) else first
+    return first, after, last
+
+
 class _Counts:
     """Weighted counts per key, handed on as Arrow batches when they grow."""
 
     def __init__(self, field: str):
         self.field, self.by = field, defaultdict(Counter)
 
-    def full(self) -> bool:
-        return sum(map(len, self.by.values())) >= HELD
+    def full(self, most: int = HELD) -> bool:
+        return sum(map(len, self.by.values())) >= most
 
     def batch(self) -> pa.RecordBatch:
         parts = [(*key, c) for key, c in self.by.items() if c]
@@ -107,22 +124,41 @@ class _Counts:
         return pa.RecordBatch.from_pydict({
             "lang": column([pa.repeat(pa.scalar(lang, pa.string()), len(c)) for lang, _, c in parts], pa.string()),
             "kind": column([pa.array(np.full(len(c), kind, np.int32)) for _, kind, c in parts], pa.int32()),
-            self.field: column([pa.array(list(c), pa.string()) for _, _, c in parts], pa.string()),
+            self.field: column([pa.array(list(c), pa.binary()).cast(pa.string()) for _, _, c in parts], pa.string()),
             "n": column([pa.array(np.fromiter(c.values(), np.int64, len(c))) for _, _, c in parts], pa.int64())})
 
 
 def parse(docs: DataFrame, text_col: str, lang_col: str, window: int, spread: int) -> DataFrame:
     """The dictionary of all texts: (lang, kind, chunk, n); kind is 1 for the last chunk
-    of a text, else 0."""
+    of a text, else 0; a chunk's text ends with an END token and a space."""
+    close = bytes((32, END, 32))
+
+    def cut_up(texts: list[bytes], langs: list[str], held: _Counts) -> None:
+        t = Tokens(close.join([*texts, b""]))
+        first, after, last = chunks_of(t, window, spread)
+        of = np.cumsum(t.end)[first]            # a chunk's text, by the texts closed before it
+        counters = {(lang, k): held.by[lang, k] for lang in set(langs) for k in (0, 1)}
+        for a, b, k, i in zip(t.starts[first].tolist(), t.ends[after - 1].tolist(), last.tolist(), of.tolist()):
+            counters[langs[i], k][t.data[a:b] + close[:2] + b" "] += 1
+
     def run(batches):
-        parser, held = Parser(window, spread), _Counts("chunk")
+        held = _Counts("chunk")
         for b in batches:
+            texts, langs, size = [], [], 0
             for text, lang in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 if text:
-                    for chunk, last in parser.chunks(tokens_of(text)):
-                        held.by[lang, int(last)][chunk] += 1
-                if sum(map(len, held.by.values())) >= HELD // 20:       # chunks are long
-                    yield held.batch()
+                    texts.append(normalised(text))
+                    langs.append(lang)
+                    size += len(texts[-1])
+                if size >= SPAN:
+                    cut_up(texts, langs, held)
+                    texts, langs, size = [], [], 0
+                    if held.full(HELD // 20):       # chunks are long
+                        yield held.batch()
+            if texts:
+                cut_up(texts, langs, held)
+            if held.full(HELD // 20):
+                yield held.batch()
         yield held.batch()
 
     rows = text_batches(docs).select(F.col(text_col), F.coalesce(F.col(lang_col).cast("string"), F.lit("und")))
@@ -131,34 +167,26 @@ def parse(docs: DataFrame, text_col: str, lang_col: str, window: int, spread: in
 
 
 class _Block:
-    """The chunks of one language in an Arrow batch, end to end: tokens, hashes, weights,
-    and ``starts``: where a word stands that is the chunk's own (a closing window's words
-    belong to the next chunk)."""
-
-    def __init__(self, chunks: list[str], last: np.ndarray, n: np.ndarray, window: int, hashes: Hashes):
-        self.tokens = f" {END} ".join(chunks).split(" ")
-        self.h = hashes.of(self.tokens)
-        self.word = (self.h != hashes[BREAK]) & (self.h != hashes[END])
-        ends = np.r_[np.flatnonzero(self.h == hashes[END]), len(self.tokens)]
-        self.n = np.repeat(n, np.diff(np.r_[-1, ends]))[:len(self.tokens)]
-        self.starts = self.word.copy()
+    """The chunks of an Arrow batch, end to end: tokens, and for each the weight and the
+    language (a place in ``langs``) of its chunk, and ``starts``: where a word stands that
+    is the chunk's own (a closing window's words belong to the next chunk)."""
+
+    def __init__(self, batch, window: int):
+        self.t = t = Tokens("".join(batch.column(2).to_pylist()).encode())
+        last, n = batch.column(1).to_numpy() == 1, batch.column(3).to_numpy()
+        lang = batch.column(0).dictionary_encode()
+        self.langs = lang.dictionary.to_pylist()
+        ends = np.flatnonzero(t.end)
+        size = np.diff(np.r_[-1, ends])
+        self.n = np.repeat(n, size)
+        self.lang = np.repeat(lang.indices.to_numpy(), size)
+        self.starts = t.word.copy()
         for j in range(1, window + 1):
             self.starts[ends[~last] - j] = False
-
-    def keys(self, lang: str, hashes: Hashes):
-        """Hashes of the words, of the pairs (at every token but the last), and where pairs are."""
-        of = np.uint64(hashes[f"{lang}{END}"])
-        return _mixed(self.h + of), _mixed(self.h[:-1] * K1 + self.h[1:] * K2 + of), self.word[:-1] & self.word[1:]
-
-
-def _blocks(batch, window: int, hashes: Hashes):
-    """(lang, block) for the languages of a batch of (lang, kind, chunk, n)."""
-    lang = np.array(batch.column(0).to_pylist(), dtype=object)
-    last, n = batch.column(1).to_numpy() == 1, batch.column(3).to_numpy()
-    chunks = np.array([*batch.column(2).to_pylist(), None], dtype=object)[:-1]
-    for x in sorted(set(lang)):
-        at = np.flatnonzero(lang == x)
-        yield x, _Block(list(chunks[at]), last[at], n[at], window, hashes)
+        # hashes of words, of pairs (at every token but the last), and where pairs are
+        of = np.array([int.from_bytes(hashlib.blake2b(x.encode(), digest_size=8).digest(), "little") for x in self.langs], np.uint64)[self.lang]
+        self.one, self.two = _mixed(t.h + of), _mixed(t.h[:-1] * K1 + t.h[1:] * K2 + of[:-1])
+        self.pair = t.word[:-1] & t.word[1:]
 
 
 def hash_counts(chunks: DataFrame, window: int) -> DataFrame:
@@ -171,13 +199,12 @@ def hash_counts(chunks: DataFrame, window: int) -> DataFrame:
         return pa.RecordBatch.from_pydict({"h": pa.array(h[first].view(np.int64)), "n": pa.array(np.add.reduceat(n, first) if len(h) else n)})
 
     def run(batches):
-        hashes, hs, ns = Hashes(), [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+        hs, ns = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
         for b in batches:
-            for lang, block in _blocks(b, window, hashes):
-                one, h, two = block.keys(lang, hashes)
-                use = two & block.starts[:-1]
-                hs += [one[block.starts], h[use]]
-                ns += [block.n[block.starts], block.n[:-1][use]]
+            x = _Block(b, window)
+            use = x.pair & x.starts[:-1]
+            hs += [x.one[x.starts], x.two[use]]
+            ns += [x.n[x.starts], x.n[:-1][use]]
             if sum(map(len, hs)) >= HASHES:
                 yield added(hs, ns)
                 hs, ns = hs[:1], ns[:1]
@@ -220,30 +247,28 @@ def count_phrases(chunks: DataFrame, max_words: int, window: int, frequent, bits
                 counter[g] += x
 
     def run(batches):
-        hashes, held = Hashes(), _Counts("phrase")
-        filled = np.frombuffer(frequent.value, np.uint8)
+        held, filled = _Counts("phrase"), np.frombuffer(frequent.value, np.uint8)
 
         def passes(h):
             return np.logical_and.reduce([(filled[x >> np.uint64(3)] >> (x & np.uint64(7)).astype(np.uint8)) & 1 == 1 for x in _bits(h, bits)])
 
         for b in batches:
-            for lang, block in _blocks(b, window, hashes):
-                t, once = block.tokens, block.n == 1
-                one, h, two = block.keys(lang, hashes)
-                two &= passes(h)
-                held.by[lang, 0][None] += int(block.n[block.starts].sum())
-                run_on = block.starts
-                for k in range(1, max_words + 1):
-                    # the phrase of k words at i goes on from that of k - 1 by the pair at i + k - 2
-                    run_on = run_on if k == 1 else run_on[:-1] & two[k - 2:]
-                    wanted = run_on & passes(one) if k == 1 else run_on
-                    for part in (once, ~once):
-                        at = np.flatnonzero(wanted & part[:len(wanted)])
-                        if len(at):
-                            where = at.tolist()
-                            found = [t[i] for i in where] if k == 1 else [f"{t[i]} {t[i + 1]}" for i in where] if k == 2 \
-                                else [f"{t[i]} {t[i + 1]} {t[i + 2]}" for i in where] if k == 3 else [" ".join(t[i:i + k]) for i in where]
-                            add(held.by[lang, k], found, block.n[at])
+            x = _Block(b, window)
+            data, starts, ends = x.t.data, x.t.starts, x.t.ends
+            own = np.bincount(x.lang[x.starts], x.n[x.starts], len(x.langs))
+            for i, lang in enumerate(x.langs):
+                held.by[lang, 0][None] += int(own[i])
+            pair, run_on = x.pair & passes(x.two), x.starts
+            order = (x.lang.astype(np.int64) << 1) + (x.n != 1)     # by language, weights of one apart
+            for k in range(1, max_words + 1):
+                # the phrase of k words at i goes on from that of k - 1 by the pair at i + k - 2
+                run_on = run_on if k == 1 else run_on[:-1] & pair[k - 2:]
+                at = np.flatnonzero(run_on & passes(x.one) if k == 1 else run_on)
+                at = at[np.argsort(order[at], kind="stable")]
+                edges = np.flatnonzero(np.diff(order[at], prepend=-1, append=-1)) if len(at) else []
+                found = [data[i:j] for i, j in zip(starts[at].tolist(), ends[at + k - 1].tolist())]     # words stand a space apart
+                for i, j in zip(edges[:-1], edges[1:]):
+                    add(held.by[x.langs[x.lang[at[i]]], k], found[i:j], x.n[at[i:j]])
             if held.full():
                 yield held.batch()
         yield held.batch()
