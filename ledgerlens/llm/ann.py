@@ -10,8 +10,10 @@ with probability ``confidence`` at least (the threshold is set from that), or wh
 the windows hold everything.
 
 Vectors are dealt to shards and queries to blocks by hash, both of bounded size; each
-(shard, block) pair is one group of a cogrouped job, whatever the number of rows.
-All rows are indexed, none is sampled.
+(shard, block) pair is one group of a cogrouped job, whatever the number of rows. A
+group sorts its shard's lines once and answers its block's queries ``STEP`` at a time.
+All rows are indexed, none is sampled; every query meets every shard, as a stated query
+set against all rows has to.
 """
 
 from __future__ import annotations
@@ -29,6 +31,7 @@ from .vectors import matrix, usable
 
 HALF = 1.0      # a window's half width is HALF * R
 GROWTH = 1.3
+STEP = 512      # queries that a group answers together
 
 
 def threshold(projections: int, confidence: float) -> int:
@@ -100,7 +103,7 @@ class SortedLines:
 
 
 def nearest(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vec_col: str = "embedding", k: int = 10,
-            projections: int = 128, confidence: float = 0.98, shard: int = 16_384, block: int = 512, seed: int = 9) -> DataFrame:
+            projections: int = 128, confidence: float = 0.98, shard: int = 16_384, block: int = 4096, seed: int = 9) -> DataFrame:
     """(query_id, rank, id, score): the k nearest rows found for every row of ``vectors``
     where ``is_query`` holds, by Euclidean distance in double precision, ties to the
     smaller id; all other rows if there are fewer than k.
@@ -118,27 +121,30 @@ def nearest(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vec_co
         "b": F.pmod(F.xxhash64("row", F.lit(1)), F.lit(blocks)).cast("int")})
     every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("b")
     index = rows.select("dim", "s", every, "row", "id", "v")
-    asked = rows.filter("q").select("dim", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("s"), "b", "row", "id", "v")
+    # names of their own: both sides come from one table, and a pruned plan must not mix them up
+    asked = rows.filter("q").select(F.col("dim").alias("qdim"), F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("qs"), F.col("b").alias("qb"),
+                                    F.col("row").alias("qrow"), F.col("id").alias("query_id"), F.col("v").alias("qv"))
     least = threshold(projections, confidence)
 
     def run(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         out = {c: [] for c in ("qrow", "query_id", "id", "score")}
         if len(left) and len(right):
-            left = left.sort_values("row")
-            right = right.sort_values("row")
+            left, right = left.sort_values("row"), right.sort_values("qrow")
             lines = np.random.default_rng(seed).normal(size=(projections, int(key[0])))
             ids, at = left["id"].to_numpy(), {r: i for i, r in enumerate(left["row"])}
             lines_of = SortedLines(matrix(left["v"]), lines)
-            own = np.array([at.get(r, -1) for r in right["row"]])
-            found = lines_of.search(matrix(right["v"]), own, ids, k, least)
-            for r, i, (hit, dist) in zip(right["row"], right["id"], found):
-                out["qrow"] += [r] * len(hit)
-                out["query_id"] += [i] * len(hit)
-                out["id"] += ids[hit].tolist()
-                out["score"] += dist.tolist()
+            for first in range(0, len(right), STEP):
+                part = right.iloc[first:first + STEP]
+                own = np.array([at.get(r, -1) for r in part["qrow"]])
+                found = lines_of.search(matrix(part["qv"]), own, ids, k, least)
+                for r, i, (hit, dist) in zip(part["qrow"], part["query_id"], found):
+                    out["qrow"] += [r] * len(hit)
+                    out["query_id"] += [i] * len(hit)
+                    out["id"] += ids[hit].tolist()
+                    out["score"] += dist.tolist()
         return pd.DataFrame(out)
 
-    hits = index.groupBy("dim", "s", "b").cogroup(asked.groupBy("dim", "s", "b")) \
+    hits = index.groupBy("dim", "s", "b").cogroup(asked.groupBy("qdim", "qs", "qb")) \
         .applyInPandas(run, "qrow long, query_id long, id long, score double")
     by = Window.partitionBy("qrow").orderBy("score", "id")
     return hits.withColumn("rank", F.row_number().over(by)).filter(F.col("rank") <= k) \

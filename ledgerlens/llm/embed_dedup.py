@@ -120,8 +120,14 @@ def group_links(vec, codes, home, mine, weight, first, last, table, bucket, spli
     return links, roots
 
 
+def widths(vectors: int) -> tuple[int, int]:
+    """(tables, hashes a table) that keep random buckets small, each pair of them with a
+    miss rate of a few in a million for a pair at the threshold."""
+    return next((w for w, most in (((6, 2), 5e7), ((9, 3), 5e9)) if vectors <= most), (13, 4))
+
+
 def near_duplicate_vectors(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", label_col: str = "label",
-                           least: float = 0.98, tables: int = 6, hashes: int = 2, probes: int = 2, block: int = 2048,
+                           least: float = 0.98, tables: int | None = None, hashes: int | None = None, probes: int = 2, block: int = 2048,
                            seed: int = 10) -> DataFrame:
     """One row per row of ``vectors``: id, n_links (other rows linked directly),
     component_id (smallest id reachable, its own included), kept (id = component_id).
@@ -130,7 +136,8 @@ def near_duplicate_vectors(vectors: DataFrame, id_col: str = "vec_id", vec_col:
     in double precision, is ``least`` or more. Vectors that are null, zero or hold a
     null or non-finite component, and vectors of different lengths, link with nothing.
     Repeated rows link with each other; a null id is kept only if it stands alone.
-    Empty table: empty result. Other columns are ignored."""
+    Empty table: empty result. Other columns are ignored. ``tables`` and ``hashes`` a table
+    grow with the number of distinct vectors by default (``widths``)."""
     v = F.col("v")
     rows = cut(vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("v"),
                               F.col(label_col).alias("label"))
@@ -140,6 +147,9 @@ def near_duplicate_vectors(vectors: DataFrame, id_col: str = "vec_id", vec_col:
     reps = numbered(rows.filter("on").groupBy("h1", "h2").agg(
         F.count(F.lit(1)).alias("n"), F.min("id").alias("least_id"), F.first("label").alias("label"), F.first("v").alias("v")), "row")
 
+    by_size = widths(reps.count())
+    tables, hashes = tables or by_size[0], hashes or by_size[1]
+
     @F.pandas_udf("binary")
     def codes_of(v: pd.Series) -> pd.Series:
         out = pd.Series([b""] * len(v), dtype=object)
@@ -208,7 +218,9 @@ def near_duplicate_vectors(vectors: DataFrame, id_col: str = "vec_id", vec_col:
     parts = connected_components(found, "row", "root")
     placed = reps.select("row", "h1", "h2", F.col("n").alias("copies"), "least_id").join(number, "row", "left") \
         .join(parts.withColumnRenamed("node", "row"), "row", "left").withColumn("root", F.coalesce("root", "row"))
-    smallest = placed.groupBy("root").agg(F.min("least_id").alias("component_id"))
+    placed = cut(placed)
+    # checkpointed first, so that a giant component's rows aren't dealt by its root already
+    smallest = cut(placed.groupBy("root").agg(F.min("least_id").alias("component_id")))
     links = F.coalesce("others", F.lit(0)) + F.col("copies") - 1
     of = cut(placed.join(smallest, "root").select("h1", "h2", "component_id", links.alias("n_links")))
     out = rows.drop("v", "label").join(of, ["h1", "h2"], "left")

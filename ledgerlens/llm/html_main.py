@@ -2,14 +2,22 @@
 
 Every page's containers (body, div, section, article, ...) are scored by the prose
 and the boilerplate below them. A container's generalised tag-class path has no
-positions, ids or digits, so that the pages of a host share it. In Spark each page
-votes for its good paths; the path with most votes of a host wins, and the page is
-extracted again from all containers on that path. A page without such a container
-(or without text in it) falls back to its own best one.
+positions, ids or digits, so that the pages of a host share it; it is kept as a hash
+of its parent's path and its own label, so deep markup costs no more than flat. In
+Spark each page votes for its good paths; the path with most votes of a host wins, and
+the page is extracted again from all containers on that path. A page without such a
+container (or without text in it) falls back to its own best one.
+
+Elements, roles and hidden parts that are boilerplate are never read. A class or id name
+only makes its part of the page doubtful (a layout may be called "sidebar-right" for what
+stands beside the article): such a part is read, and dropped when the page is known,
+unless it holds the page's article, or most of its prose where articles hold little, or
+nothing would be left. What readers and advertisers write is never spared.
 """
 
 from __future__ import annotations
 
+import hashlib
 import re
 from html import unescape
 
@@ -44,6 +52,9 @@ POSITIVE = frozenset("article body content entry main post prose story text".spl
 KEPT = frozenset("html body main".split())
 #: An article is dropped only for these (a reader's comment, a teaser), not for the others.
 NEGATIVE_ARTICLE = frozenset("ad ads advert advertisement comment comments promo related recommended replies reply sponsored".split())
+#: Names of what readers and advertisers write: never spared for being long.
+NEVER_SPARED = frozenset("ad ads adv advert advertisement adverts advertising comment comments consent cookie cookies disqus gdpr promoted "
+                         "replies reply respond sponsor sponsored".split())
 #: Class names that tell of something else on the page.
 ABOUT = re.compile(r"(?:has|with|no|is|js)-")
 
@@ -63,17 +74,21 @@ def _attributes(raw: str) -> dict[str, str]:
     return out
 
 
-def _is_boilerplate(tag: str, at: dict[str, str]) -> bool:
+READ, DOUBTFUL, NEVER, SKIPPED = range(4)
+
+
+def _kind(tag: str, at: dict[str, str]) -> int:
+    """READ; DOUBTFUL or NEVER (spared) by its class or id names; SKIPPED for certain."""
     if tag in BOILERPLATE:
-        return True
+        return SKIPPED
     if tag in KEPT or not at:
-        return False
+        return READ
     if "hidden" in at or at.get("aria-hidden") == "true" or at.get("role") in ROLES \
             or "display:none" in at.get("style", "").replace(" ", ""):
-        return True
+        return SKIPPED
     bad = NEGATIVE_ARTICLE if tag == "article" else NEGATIVE
-    return any(w in bad for k in ("class", "id") for name in at.get(k, "").split() if not ABOUT.match(name)
-               for w in WORD.findall(name))
+    names = {w for k in ("class", "id") for name in at.get(k, "").split() if not ABOUT.match(name) for w in WORD.findall(name)} & bad
+    return READ if not names else NEVER if names & NEVER_SPARED or tag == "article" else DOUBTFUL
 
 
 def _label(tag: str, at: dict[str, str]) -> str:
@@ -82,31 +97,72 @@ def _label(tag: str, at: dict[str, str]) -> str:
 
 
 class Page:
-    """``blocks``: the texts outside boilerplate in page order. ``containers``:
-    [path, weight, prose, boilerplate, first block, end of blocks, depth], the
-    document itself first; prose and boilerplate count characters below it."""
+    """``blocks``: the texts outside boilerplate in page order; ``kept``: which of them
+    stay. ``containers``: [path, weight, prose, boilerplate, first block, end of blocks,
+    depth, parent], the document itself first; prose and boilerplate count characters
+    below it."""
 
     def __init__(self, html: str):
         self.blocks: list[str] = []
-        self.containers = [["", 0.7, 0, 0, 0, 0, 0]]
+        self.containers = [["", 0.7, 0, 0, 0, 0, 0, -1]]
+        self._paths = [("", "")]                        # of a container: parent's path, label
+        self._facts: list[tuple[int, int, int, bool]] = []      # of a block: container, prose, links, in an article
+        self._regions: list[list] = []                  # doubtful parts: first block, end, kind, region around
         self._text: list[str] = []
         self._linked = 0
-        self._open: list[tuple[str, int, bool]] = []     # tag, container or -1, boilerplate
+        self._open: list[tuple[str, int, bool, int, int]] = []  # tag, container or -1, skipped, region or -1, article depth outside
         self._inside = [0]                              # open containers
-        self._skip = self._link = 0
+        self._around = [-1]                             # open regions
+        self._skip = self._link = self._article = 0
         self._read(html)
         self._flush()
         while self._open:
             self._pop()
         self.containers[0][5] = len(self.blocks)
+        self.kept = self._decide()
+        self._add_up()
+
+    def _decide(self) -> list[bool]:
+        """Which blocks stay: doubtful parts go unless they hold at least half of the prose in
+        the page's articles, or (of those that may be spared) of all prose; a page that
+        would be empty is read without this rule."""
+        kept = [True] * len(self.blocks)
+        if not self._regions:
+            return kept
+        own = [True] * len(self.blocks)         # outside parts that are never spared
+        for first, end, kind, _ in self._regions:
+            if kind == NEVER:
+                own[first:end] = [False] * (end - first)
+        prose, articles = [0], [0]              # running sums
+        for ok, (_, good, _, inside) in zip(own, self._facts):
+            prose.append(prose[-1] + good * ok)
+            articles.append(articles[-1] + good * (ok and inside))
+        gone: list[bool] = []
+        for first, end, kind, around in self._regions:
+            held = articles[end] - articles[first]
+            much = prose[end] - prose[first]
+            spared = kind == DOUBTFUL and (held > 0 and 2 * held >= articles[-1]
+                                           or much > 0 and 2 * much >= prose[-1] and 4 * articles[-1] < prose[-1])
+            gone.append(not spared or (around >= 0 and gone[around]))
+            if gone[-1]:
+                kept[first:end] = [False] * (end - first)
+        return kept if any(kept) else own
+
+    def _add_up(self) -> None:
+        """Prose and boilerplate of every container, the deepest first."""
+        for ok, (c, good, linked, _) in zip(self.kept, self._facts):
+            self.containers[c][2] += good * ok
+            self.containers[c][3] += linked if ok else good + linked
+        for c in self.containers[:0:-1]:
+            up = self.containers[c[7]]
+            up[2] += c[2]
+            up[3] += c[3]
 
     def _flush(self) -> None:
         s = " ".join("".join(self._text).split())
         if s:
-            c = self.containers[self._inside[-1]]
             linked = min(self._linked, len(s))
-            c[2] += len(s) - linked
-            c[3] += linked
+            self._facts.append((self._inside[-1], len(s) - linked, linked, self._article > 0))
             self.blocks.append(s)
         self._text, self._linked = [], 0
 
@@ -122,18 +178,21 @@ class Page:
             self._linked += len(s.strip())
 
     def _pop(self) -> None:
-        tag, c, skip = self._open.pop()
+        tag, c, skip, region, article = self._open.pop()
         if tag in BLOCKS:
             self._flush()
         if tag == "a":
             self._link -= 1
         self._skip -= skip
+        if region >= 0 and tag not in BLOCKS:
+            self._flush()
+        self._article = article
         if c >= 0:
             self._inside.pop()
-            done, up = self.containers[c], self.containers[self._inside[-1]]
-            done[5] = len(self.blocks)
-            up[2] += done[2]
-            up[3] += done[3]
+            self.containers[c][5] = len(self.blocks)
+        if region >= 0:
+            self._around.pop()
+            self._regions[region][1] = len(self.blocks)
 
     def _close(self, tags, stop=frozenset()) -> bool:
         """Closes the innermost open element of ``tags``, unless one of ``stop`` is inside."""
@@ -162,18 +221,34 @@ class Page:
         if tag in VOID or (raw.endswith("/") and tag not in BLOCKS):
             return
         at = _attributes(raw)
-        skip = _is_boilerplate(tag, at)
-        c = -1
+        kind = _kind(tag, at)
+        skip, c, region, article = kind == SKIPPED, -1, -1, self._article
+        if kind in (DOUBTFUL, NEVER) and not self._skip:
+            self._flush()
+            region = len(self._regions)
+            self._regions.append([len(self.blocks), 0, kind, self._around[-1]])
+            self._around.append(region)
+            if kind == NEVER:
+                self._article = 0
+        elif tag in ("article", "main") and not skip and not self._skip:
+            self._article += 1
         if tag in CONTAINERS and not self._skip and not skip:
-            up, label = self.containers[self._inside[-1]], _label(tag, at)
-            path = up[0] if up[0].rsplit(">", 1)[-1] == label + "+" else \
-                up[0] + "+" if up[0].rsplit(">", 1)[-1] == label else f"{up[0]}>{label}"
+            up = self._inside[-1]
+            base, label = self.containers[up][0], _label(tag, at)
+            above, last = self._paths[up]
+            if last == label + "+":             # one of a run of equal labels: the run's path
+                self._paths.append((above, last))
+            elif last == label:
+                self._paths.append((above, label + "+"))
+            else:
+                self._paths.append((base, label))
+            path = hashlib.blake2b(">".join(self._paths[-1]).encode("utf-8", "replace"), digest_size=10).hexdigest()
             words = {w for k in ("class", "id") for w in WORD.findall(at.get(k, ""))}
             weight = 0.8 if tag == "body" else 1.25 if tag in ("article", "main") else 1.15 if words & POSITIVE else 1.0
             c = len(self.containers)
-            self.containers.append([path, weight, 0, 0, len(self.blocks), 0, len(self._inside)])
+            self.containers.append([path, weight, 0, 0, len(self.blocks), 0, len(self._inside), up])
             self._inside.append(c)
-        self._open.append((tag, c, skip))
+        self._open.append((tag, c, skip, region, article))
         self._skip += skip
         self._link += tag == "a"
 
@@ -204,7 +279,7 @@ class Page:
             if m[1]:
                 if tag == "br":
                     self._start("br", "")
-                elif tag == "p" and not any(t == "p" for t, _, _ in self._open):
+                elif tag == "p" and not any(x[0] == "p" for x in self._open):
                     self._flush()
                 else:
                     self._close({tag}, frozenset() if tag in BLOCKS else CONTAINERS)
@@ -223,38 +298,44 @@ class Page:
         s = self.scores()
         return max(range(len(s)), key=lambda i: (s[i], self.containers[i][6], -i))
 
-    def votes(self) -> dict[str, float]:
-        """A share of one page's vote for each path that scores at least half the best."""
+    def votes(self) -> dict[str, tuple[int, float]]:
+        """(depth, share of one page's vote) for each path that scores at least half the best."""
         by: dict[str, float] = {}
-        for (path, *_), s in zip(self.containers, self.scores()):
-            by[path] = by.get(path, 0.0) + max(s, 0.0)
+        depth: dict[str, int] = {}
+        for c, s in zip(self.containers, self.scores()):
+            by[c[0]] = by.get(c[0], 0.0) + max(s, 0.0)
+            depth.setdefault(c[0], c[6])
         top = max(by.values())
-        return {p: s / top for p, s in by.items() if top > 0 and s >= 0.5 * top}
+        return {p: (depth[p], s / top) for p, s in by.items() if top > 0 and s >= 0.5 * top}
 
     def text(self, path: str | None) -> str:
         spans = [(c[4], c[5]) for c in self.containers if c[0] == path]
         out, done = [], 0
         for a, b in spans:
-            out += self.blocks[max(a, done):b]
+            out += self._between(max(a, done), b)
             done = max(done, b)
         if not out:
             c = self.containers[self.best()]
-            out = self.blocks[c[4]:c[5]]
+            out = self._between(c[4], c[5])
         return "\n".join(out)
 
+    def _between(self, a: int, b: int) -> list[str]:
+        return [x for x, ok in zip(self.blocks[a:b], self.kept[a:b]) if ok]
+
 
 def host_paths(pages: DataFrame, url_col: str, html_col: str) -> DataFrame:
-    """(host, path): each host's path with most votes, ties to the first by name."""
+    """(host, path): each host's path with most votes, ties to the one nearest the root,
+    then by hash."""
     def run(batches):
         for b in batches:
-            rows = [(h, p, v) for h, x in zip(b["host"], b["html"]) if x for p, v in Page(x).votes().items()]
-            yield pd.DataFrame(rows, columns=["host", "path", "vote"])
+            rows = [(h, p, d, v) for h, x in zip(b["host"], b["html"]) if x for p, (d, v) in Page(x).votes().items()]
+            yield pd.DataFrame(rows, columns=["host", "path", "depth", "vote"])
 
     votes = pages.select(host(F.col(url_col)).alias("host"), F.col(html_col).alias("html")) \
-        .mapInPandas(run, "host string, path string, vote double")
+        .mapInPandas(run, "host string, path string, depth long, vote double")
     # in whole thousandths, so that the order of summing can't change a winner
-    return votes.groupBy("host", "path").agg(F.sum(F.round(F.col("vote") * 1000).cast("long")).alias("n")) \
-        .groupBy("host").agg(F.min_by("path", F.struct(-F.col("n"), "path")).alias("path"))
+    return votes.groupBy("host", "path").agg(F.sum(F.round(F.col("vote") * 1000).cast("long")).alias("n"), F.min("depth").alias("depth")) \
+        .groupBy("host").agg(F.min_by("path", F.struct(-F.col("n"), "depth", "path")).alias("path"))
 
 
 def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",

@@ -12,8 +12,10 @@ aggregate over the (source, size) histogram of all documents per step, kept in a
 bracket so that a step can't run away. Rates are then rounded into whole copies,
 ``floor(rate + u + shift)`` with u a hash of the row; a source's shift is chosen
 by two exact histograms, for each of ``tries`` hash seeds, so that its copies
-come as near its target as whole documents allow. Everything is per source or per (source, bin); no documents
-reach the driver, and a hot source is summed before every shuffle.
+come as near its target as whole documents allow. Everything is per source or per
+(source, bin); no documents reach the driver, and a hot source is summed before every
+shuffle. Sums that decide anything are exact (integers or decimals), so that no order of
+adding up can change a rate or a rounding.
 """
 
 from __future__ import annotations
@@ -82,7 +84,7 @@ def solve_dual(hist: DataFrame, targets: DataFrame, cap: float, tilt: float) ->
     for _ in range(MAX_STEPS):
         r = _rate(F.col("lam"), z, cap)
         sums = hist.join(state.filter("lam is not null").select("sid", "scale", "lam"), "sid") \
-            .groupBy("sid").agg(F.sum(mass * r).alias("got"), F.sum(F.when(r < cap, mass * z * r)).alias("slope"))
+            .groupBy("sid").agg(exact(mass * r).alias("got"), exact(F.when(r < cap, mass * z * r)).alias("slope"))
         gap = F.col("got") - F.col("target")
         nxt = state.join(sums, "sid", "left") \
             .withColumns({"lo": F.when(gap < 0, F.col("lam")).otherwise(F.col("lo")),
@@ -97,8 +99,13 @@ def solve_dual(hist: DataFrame, targets: DataFrame, cap: float, tilt: float) ->
                 F.coalesce(F.col("step"), F.col("lam"))))
         state = cut(nxt.select(*state.columns))
         if (state.agg(F.max("err")).first()[0] or 0.0) <= TOLERANCE:
-            break
-    return state.drop("lo", "hi", "err")
+            return state.drop("lo", "hi", "err")
+    raise ArithmeticError(f"the mix did not come within {TOLERANCE} of its targets in {MAX_STEPS} steps")
+
+
+def exact(x: Column) -> Column:
+    """A sum of doubles as decimals of twelve places, which any order of adding leaves the same."""
+    return F.sum(x.cast("decimal(38,12)")).cast("double")
 
 
 def _places(rate: Column, mark: Column, seed: Column, cap: int) -> Column:
@@ -168,6 +175,18 @@ def keyed(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataF
 MARK = ("id", "source", "size", "h", "k")
 
 
+def counted_up(rows: DataFrame, n: str, k: str, step: int = 1000) -> DataFrame:
+    """Every row ``n`` times, numbered from 1 in ``k``; no array is longer than ``step``
+    however many equal rows there are (to step ** 4)."""
+    zero, base = F.lit(0).cast("long"), F.lit(0).cast("long")
+    for i, unit in enumerate((step ** 3, step ** 2, step, 1)):
+        left = F.col(n) - 1 - base          # the last number below this branch
+        top = F.least(F.floor(left / unit).cast("long"), F.lit(step - 1).cast("long"))
+        rows = rows.withColumn(f"{k}_{i}", F.explode(F.sequence(zero, top)))
+        base = base + F.col(f"{k}_{i}") * unit
+    return rows.withColumn(k, base + 1).drop(n, *[f"{k}_{i}" for i in range(4)])
+
+
 def mix_state(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
               weights=(5, 2, 1), cap: int = 3, share: float = 1.0, tilt: float = 0.5, tries: int = 4):
     """(state, rows): per source the target, multiplier and rounding edge; and the
@@ -180,8 +199,7 @@ def mix_state(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     rows = cut(rows.join(targets.select(F.col("source").alias("s2"), "sid"), F.col("source").eqNullSafe(F.col("s2"))).drop("s2"))
     hist = cut(rows.filter("size > 0").groupBy("sid", "size").agg(F.sum("n").alias("n")))
     state = solve_dual(hist, targets, cap, tilt).drop("source")
-    rows = rows.withColumn("k", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n")))).drop("n") \
-        .withColumn("mark", F.xxhash64(*MARK))
+    rows = counted_up(rows, "n", "k").withColumn("mark", F.xxhash64(*MARK))
     return choose_shift(_rated(rows, state, cap, tilt), state, cap, tries), rows
 
 
@@ -202,17 +220,29 @@ def entropy_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-                    weights=(5, 2, 1), cap: int = 3, share: float = 1.0, tilt: float = 0.5, tries: int = 4) -> DataFrame:
+                    weights=(5, 2, 1), cap: int = 3, share: float = 1.0, tilt: float = 0.5, tries: int = 4, few: int = 50_000) -> DataFrame:
     """The mix itself: every row of ``docs`` as often as ``entropy_mix`` copies it, with
-    the columns of ``docs``. Only the per-source state is joined to the texts."""
+    the columns of ``docs``. Rows with equal id, source and text together get the copies
+    of all of them. Only the per-source state is joined to the texts, and the table of
+    such repeated rows (broadcast up to ``few``)."""
     names = docs.columns
     state, rows = mix_state(docs, id_col, text_col, source_col, weights, cap, share, tilt, tries)
     of = rows.select("source", "sid").distinct()
     whole = docs.select(F.struct(*names).alias("row")).select(
         "row", F.col("row")[id_col].alias("id"), F.col("row")[source_col].alias("source"),
         word_count(F.col("row")[text_col]).alias("size"), F.xxhash64(F.col("row")[text_col]).alias("h"))
-    same = Window.partitionBy("id", "source", "size", "h").orderBy("size")
-    whole = whole.withColumn("k", F.row_number().over(same).cast("long")).withColumn("mark", F.xxhash64(*MARK)) \
+    # rows that are alike share their copies: each the whole part, one of them the rest
+    alike = cut(_rated(rows, state, cap, tilt).withColumn("copies", copies(cap)).groupBy("id", "source", "size", "h")
+                .agg(F.count(F.lit(1)).alias("n"), F.sum("copies").alias("all")).filter("n > 1"))
+    other = alike.select(F.col("id").alias("id2"), F.col("source").alias("source2"), F.col("size").alias("size2"), F.col("h").alias("h2"), "n", "all")
+    same = F.col("id").eqNullSafe(F.col("id2")) & F.col("source").eqNullSafe(F.col("source2")) & (F.col("size") == F.col("size2")) & (F.col("h") == F.col("h2"))
+    whole = whole.join(F.broadcast(other) if alike.count() <= few else other, same, "left")
+    single = whole.filter("n IS NULL").withColumn("k", F.lit(1).cast("long")).withColumn("mark", F.xxhash64(*MARK)) \
         .join(of.withColumnRenamed("source", "s2"), F.col("source").eqNullSafe(F.col("s2"))).drop("s2")
-    out = _rated(whole, state, cap, tilt).withColumn("copies", copies(cap)).filter("copies > 0")
-    return out.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select("row.*")
+    single = _rated(single.drop("n", "all"), state, cap, tilt).select("row", copies(cap).alias("copies"))
+    shared = whole.filter("n IS NOT NULL")
+    each = shared.select("row", F.expr("all div n").alias("copies"))
+    rest = shared.filter("all % n > 0").groupBy("id", "source", "size", "h").agg(
+        F.min_by("row", F.xxhash64("row")).alias("row"), F.first(F.expr("all % n")).alias("copies")).select("row", "copies")
+    out = single.unionByName(each).unionByName(rest).filter("copies > 0")
+    return counted_up(out, "copies", "copy").select("row.*")

@@ -19,9 +19,11 @@ from itertools import combinations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from .common import cut, text_batches
 from .graph import connected_components
@@ -51,27 +53,16 @@ def fingerprint(raw: bytes | None, shingle: int = 4) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str, text_col: str, shingle: int = 4) -> DataFrame:
-    """(id, fp): the fingerprint of every row's whole text as a signed long. A null
-    text counts as empty; rows with a null or repeated id stay as they are."""
-    def run(batches):
-        for b in batches:
-            fp = np.fromiter((fingerprint(x, shingle) for x in b["raw"]), np.uint64, len(b))
-            yield pd.DataFrame({"id": b["id"], "fp": fp.view(np.int64)})
-
+    """(id, fp): the fingerprint of every row's whole text as a signed long; ids of any type
+    pass as they are. A null text counts as empty; rows with a null or repeated id stay."""
     src = text_batches(docs).select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("raw"))
-    id_type = src.schema["id"].dataType.simpleString()
-    if id_type != "bigint":
-        raise TypeError(f"{id_col} must be a long, it is {id_type}")
-    src = src.withColumns({"nil": F.col("id").isNull(), "id": F.coalesce("id", F.lit(0))})
 
-    def keep_null(batches):
+    def run(batches):
         for b in batches:
-            out = next(run([b]))
-            out["nil"] = b["nil"]
-            yield out
+            fp = np.fromiter((fingerprint(x, shingle) for x in b.column(1).to_pylist()), np.uint64, b.num_rows)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp.view(np.int64))], names=["id", "fp"])
 
-    out = src.mapInPandas(keep_null, "id long, fp long, nil boolean")
-    return out.select(F.when(~F.col("nil"), F.col("id")).alias("id"), "fp")
+    return src.mapInArrow(run, StructType([StructField("id", src.schema["id"].dataType), StructField("fp", LongType())]))
 
 
 def thermometer(x: Column) -> Column:
@@ -202,6 +193,13 @@ def simhash_links(fps: DataFrame, max_bits: int, groups: int, block: int) -> Dat
     return dealt.repartition("cell").sortWithinPartitions("cell").mapInPandas(run, "a long, b long")
 
 
+def spare_groups(fingerprints: int) -> int:
+    """Groups of coordinates beyond ``max_bits``: all of them but max_bits make a cell, so a
+    cell holds about 2^-15, 2^-20, 2^-24 ... of random fingerprints for 2, 3, 4 ... of them;
+    enough that a cell of random fingerprints stays below some hundreds."""
+    return next((g for g, most in ((2, 8e6), (3, 2.5e8), (4, 4e9)) if fingerprints <= most), 5)
+
+
 def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4,
                        max_bits: int = 4, groups: int | None = None, block: int = 16_384) -> DataFrame:
     """One row per row of ``docs``: id, fingerprint (16 hex digits), component_id.
@@ -211,14 +209,18 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     texts have fingerprint zero and are linked like any other. Rows that repeat an
     id keep a row each; a null id never becomes a component's id unless all ids of
     the component are null (then it is null). Other columns are ignored. An empty
-    table gives an empty result. ``groups`` (default max_bits + 2) trades cells per
-    fingerprint against their size; the result does not depend on it."""
+    table gives an empty result. ``groups`` trades cells per fingerprint against their
+    size (by default it grows with the number of fingerprints); the result does not
+    depend on it."""
     rows = cut(fingerprints(docs, id_col, text_col, shingle))
     reps = cut(rows.groupBy("fp").agg(F.min("id").alias("least")))
-    roots = connected_components(simhash_links(reps.select("fp"), max_bits, groups or max_bits + 2, block), "a", "b")
+    groups = groups or max_bits + spare_groups(reps.count())
+    roots = connected_components(simhash_links(reps.select("fp"), max_bits, groups, block), "a", "b")
     placed = reps.join(roots, reps["fp"] == roots["node"], "left") \
         .select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    least = placed.groupBy("root").agg(F.min("least").alias("component_id"))
+    placed = cut(placed)
+    # checkpointed first, so that a giant component's rows aren't dealt by its root already
+    least = cut(placed.groupBy("root").agg(F.min("least").alias("component_id")))
     # a table of its own, so that the last join's sides are plain shuffles and a hot fingerprint is split
     of = cut(placed.select("fp", "root").join(least, "root").select("fp", "component_id"))
     return rows.join(of, "fp").select(F.col("id").alias(id_col), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),

@@ -2,9 +2,11 @@
 
 A cache is a Parquet table (content_digest, n_tokens) partitioned by
 tokenizer_digest. Every text is reduced to the SHA-256 of its normalised content;
-digests join the stored counts of the tokenizer's version; only distinct misses are
-encoded, one text each, and their counts are appended. Texts are shuffled at most
-once, equal ones merged before the shuffle.
+digests, without their texts, join the stored counts of the tokenizer's version first.
+Only the texts of misses are then brought together, equal ones merged before the
+shuffle, encoded once each, and their counts appended: with a warm cache hardly a text
+moves. Misses are looked up by broadcasting their digests if these are few (counted),
+else by a join after equal texts are merged.
 """
 
 from __future__ import annotations
@@ -54,10 +56,10 @@ def stored_counts(spark, cache_dir: str, tokenizer: str) -> DataFrame:
 
 
 def count_tokens(docs: DataFrame, cache_dir: str, id_col: str = "doc_id", text_col: str = "text",
-                 tokenizer: str = "piece_bpe_32k.model", limit: int = 4096) -> DataFrame:
+                 tokenizer: str = "piece_bpe_32k.model", limit: int = 4096, few: int = 50_000) -> DataFrame:
     """One row per row of ``docs``: id, n_bytes (UTF-8), n_tokens (whole text, no added
     tokens), over_limit (n_tokens > ``limit``). The cache at ``cache_dir`` (a shared
-    folder) is read and extended.
+    folder) is read and extended. ``few`` bounds the digests that are broadcast.
 
     Null and empty texts have 0 bytes and 0 tokens. Repeated rows and null ids keep a
     row each; an empty table gives an empty result; other columns are ignored. An
@@ -72,9 +74,13 @@ def count_tokens(docs: DataFrame, cache_dir: str, id_col: str = "doc_id", text_c
         for b in batches:
             yield pd.DataFrame({"content_digest": b["content_digest"], "n_tokens": counts.many(b["content"].tolist())})
 
-    misses = keyed.groupBy("content_digest").agg(F.first("content").alias("content")) \
-        .join(stored_counts(spark, cache_dir, which), "content_digest", "left_anti") \
-        .select("content_digest", "content").mapInPandas(encode, "content_digest string, n_tokens long")
+    missing = cut(rows.select("content_digest").distinct().join(stored_counts(spark, cache_dir, which), "content_digest", "left_anti"))
+    merged = F.first("content").alias("content")
+    if missing.count() <= few:
+        texts = keyed.join(F.broadcast(missing), "content_digest", "left_semi").groupBy("content_digest").agg(merged)
+    else:
+        texts = keyed.groupBy("content_digest").agg(merged).join(missing, "content_digest", "left_semi")
+    misses = texts.select("content_digest", "content").mapInPandas(encode, "content_digest string, n_tokens long")
     misses.withColumn("tokenizer_digest", F.lit(which)).write.mode("append").partitionBy("tokenizer_digest").parquet(cache_dir)
     # a table of its own, so that the join's sides are plain shuffles and a hot digest is split
     counted = rows.join(cut(stored_counts(spark, cache_dir, which)), "content_digest", "left")

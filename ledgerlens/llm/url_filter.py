@@ -27,9 +27,12 @@ RULES = [
 HOST = r"(?s)^.*?://([^/?#]*)"
 PATH = r"(?s)^.*?://[^/?#]*([^?#]*)"
 KEY = r"(?s)^.*?://[^/?#]*([^#]*)"
-LINK = r"(?i)<link\s[^>]*rel\s*=\s*[\"']?canonical[^>]*>"
-HREF = r"(?i)\shref\s*=\s*[\"']?([^\"'\s>]+)"
-REFRESH = r"(?i)<meta\s[^>]*http-equiv\s*=\s*[\"']?refresh[^>]*>"
+# Tags as Java reads them: to the first > outside quotes or, if a quote stays open, to the first >.
+LINK = r"(?i)<link\s(?:[^\"'>]++|\"[^\"]*\"|'[^']*')*+>|<link\s[^>]*>"
+META = r"(?i)<meta\s(?:[^\"'>]++|\"[^\"]*\"|'[^']*')*+>|<meta\s[^>]*>"
+PAIR = r"([a-zA-Z-]+)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\"'\s>]+)"
+#: For the oracle: the inside of a tag up to the first > outside quotes.
+OUTSIDE = r"(?s)^((?:[^\"'>]|\"[^\"]*\"|'[^']*')*)>"
 GOES_TO = r"(?i)url\s*=\s*[\"']?([^\"'\s>]+)"
 
 
@@ -56,13 +59,28 @@ def fitting_rule(h: Column, p: Column, rules) -> Column:
     return out
 
 
+def attribute(tag: Column, name: str) -> Column:
+    """The value of a tag's first attribute of that name, without its quotes and the space
+    around it; null without one."""
+    names = F.transform(F.regexp_extract_all(tag, F.lit(PAIR), F.lit(1)), F.lower)
+    value = F.get(F.regexp_extract_all(tag, F.lit(PAIR), F.lit(2)), (F.array_position(names, name) - 1).cast("int"))
+    return F.trim(F.translate(value, "\"'\t\n\r\f", "      "))
+
+
 def alias_links(pages: DataFrame, url_col: str, html_col: str) -> DataFrame:
-    """(a, b): addresses joined by a refresh redirect or a canonical link in the whole
-    html. A target without ``://`` is taken relative to the page: ``//host/...``,
+    """(a, b): addresses joined by refresh redirects or canonical links in the whole html,
+    all of them; ``canonical`` may be any word of rel, and a tag without a target is
+    none. A target without ``://`` is taken relative to the page: ``//host/...``,
     ``/path``, or beside the page's path."""
     html, url = F.col(html_col), F.col(url_col)
-    targets = F.array(F.regexp_extract(F.regexp_extract(html, LINK, 0), HREF, 1),
-                      F.regexp_extract(F.regexp_extract(html, REFRESH, 0), GOES_TO, 1))
+
+    def tags(pattern):
+        return F.regexp_extract_all(html, F.lit(pattern), F.lit(0))
+
+    canonical = F.filter(tags(LINK), lambda x: F.array_contains(F.split(F.lower(attribute(x, "rel")), r"\s+"), "canonical"))
+    refresh = F.filter(tags(META), lambda x: F.lower(attribute(x, "http-equiv")) == "refresh")
+    targets = F.concat(F.transform(canonical, lambda x: attribute(x, "href")),
+                       F.transform(refresh, lambda x: F.regexp_extract(attribute(x, "content"), GOES_TO, 1)))
     t = F.replace(F.col("t"), F.lit("&amp;"), F.lit("&"))
     base = F.concat(F.lit("http://"), host(url))
     full = (F.when(F.contains(t, F.lit("://")), t).when(F.startswith(t, F.lit("//")), F.concat(F.lit("http:"), t))
@@ -122,11 +140,27 @@ def oracle_sql() -> str:
 
     base = f"'http://' || {host_of('url')}"
     path_of = f"coalesce(regexp_extract(url, {q(PATH)}, 1), '')"
+    # tags by splitting the text at <, attributes by splitting the tag at =: no pattern in common with the query's
     return f"""
-WITH RECURSIVE found AS (
-  SELECT url, unnest([regexp_extract(regexp_extract(html, {q(LINK)}, 0), {q(HREF)}, 1),
-                      regexp_extract(regexp_extract(html, {q(REFRESH)}, 0), {q(GOES_TO)}, 1)]) AS t0
-  FROM pages WHERE contains(url, '://')),
+WITH RECURSIVE piece AS (
+  SELECT url, unnest(string_split(html, '<')[2:]) AS x FROM pages WHERE contains(url, '://')),
+piece2 AS (
+  SELECT url, lower(regexp_extract(x, '^[a-zA-Z]+', 0)) AS name, regexp_replace(x, '^[a-zA-Z]+', '') AS x FROM piece
+  WHERE lower(x[1:4]) IN ('link', 'meta')),
+tag AS (
+  SELECT url, name, CASE WHEN regexp_matches(x, {q(OUTSIDE)}) THEN regexp_extract(x, {q(OUTSIDE)}, 1) ELSE string_split(x, '>')[1] END AS x
+  FROM piece2 WHERE contains(x, '>') AND regexp_matches(x, '^\\s')),
+att AS (
+  SELECT url, name, regexp_extract_all(x, {q(PAIR)}, 1) AS k, regexp_extract_all(x, {q(PAIR)}, 2) AS v FROM tag),
+held AS (
+  SELECT url, name, map_from_entries(list_filter(list_zip(list_transform(k, lambda y: lower(y)), list_transform(v, lambda y: trim(translate(y, chr(34) || chr(39) || chr(9) || chr(10) || chr(13) || chr(12), '      ')))),
+                                                 lambda e, n: list_position(list_transform(k, lambda y: lower(y)), e[1]) = n)) AS m FROM att),
+found AS (
+  SELECT url, coalesce(m['href'], '') AS t0 FROM held
+  WHERE name = 'link' AND list_contains(regexp_split_to_array(lower(coalesce(m['rel'], '')), '\\s+'), 'canonical')
+  UNION ALL
+  SELECT url, regexp_extract(coalesce(m['content'], ''), {q(GOES_TO)}, 1) AS t0 FROM held
+  WHERE name = 'meta' AND lower(coalesce(m['http-equiv'], '')) = 'refresh'),
 target AS (SELECT url, replace(t0, '&amp;', '&') AS t FROM found WHERE t0 <> ''),
 full_target AS (
   SELECT url, CASE WHEN contains(t, '://') THEN t WHEN starts_with(t, '//') THEN 'http:' || t

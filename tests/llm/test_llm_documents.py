@@ -401,4 +401,4 @@ def test_cache_is_read_and_extended(spark, scratch):
 
 
 def test_every_operator_has_its_query():
-    assert sorted(int(k[2:].split("_")[0]) for k in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(k[2:].split("_")[0]) for k in queries.QUERIES) == list(range(1, 14))

@@ -43,7 +43,7 @@ def test_blocks_and_boilerplate():
              '<form>q<input></form><script>if(a<b)"</p>"</script></div><article class="comment">reader says</article></div>'
              '<footer>f</footer><p unclosed="')
     assert p.text(p.containers[p.best()][0]).split("\n") == ["T & U", "Hello world x", "Two", "three", "a", "b", "1", "2", "3"]
-    assert "reader" not in "\n".join(p.blocks)
+    assert "reader" not in "\n".join(x for x, ok in zip(p.blocks, p.kept) if ok)
 
 
 def test_consensus_beats_a_page_of_its_own(spark):
@@ -76,9 +76,45 @@ def test_articles_of_the_given_pages(spark):
         assert got[r["page_id"]]["text"] == want and got[r["page_id"]]["n_chars"] == len(want)
 
 
+ARTICLE = "<article><h1>Title</h1>" + BODY + "</article>"
+WANT = "Title\n" + " ".join(BODY[3:-4].split())
+
+
+@pytest.mark.parametrize("html", [
+    f'<div class="layout-sidebar-right">{ARTICLE}<div class="sidebar"><p>Other things.</p></div></div>',
+    f'<div class="elementor-widget-container">{ARTICLE}</div><div class="widget"><p>More.</p></div>',
+    f'<div class="content-with-sidebar">{ARTICLE}</div><div class="related"><article><p>A teaser.</p></article></div>',
+    f'<div class="page-header-wrap"><div class="widget-outer"><main>{BODY.replace("<p>", "<h1>Title</h1><p>")}</main><div class="share">Share!</div></div></div>',
+    f'<div class="social-layout"><div><h1>Title</h1>{BODY}</div></div><div class="cookie-bar"><p>We use cookies.</p></div>',
+    f'{ARTICLE}<div class="comments">{BODY * 3}<article><p>reader</p></article></div><div id="sidebar">{BODY}{BODY}</div>',
+])
+def test_wrappers_keep_their_article(html):
+    """A negative word in a wrapper's name drops neither the article nor most of the prose;
+    comments, widgets and sidebars still go, however long they are."""
+    p = Page(f"<body>{html}</body>")
+    assert p.text(p.containers[p.best()][0]) == WANT
+
+
+def test_a_page_of_doubtful_parts_only_is_not_empty():
+    assert Page('<div class="widget"><p>a</p></div><div class="banner"><p>b</p></div>').text(None) == "a\nb"
+    assert Page('<div class="comments"><p>a</p></div><div class="ad"><p>b</p></div>').text(None) == ""
+
+
+def test_alternating_containers_cost_no_more_than_flat_ones():
+    import tracemalloc
+
+    html = "<div><section>" * 5000 + "<p>" + "deep text " * 9
+    tracemalloc.start()
+    p = Page(html)
+    votes = p.votes()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 50e6 and sum(map(len, votes)) < 1e6 and p.text(None) == ("deep text " * 9).strip()
+
+
 def test_deep_and_broken_markup():
     assert Page("<div>" * 5000 + "x").text(None) == "x"
-    assert len(Page("<div>" * 5000 + "x").containers[-1][0]) < 20
+    assert len({c[0] for c in Page("<div>" * 5000 + "x").containers}) == 3       # the document, a div, a run of divs
     assert Page("a <!-- b").text(None) == "a" and Page("<p>a</div></b>b<i").text(None) == "ab"
     assert Page("<title>t</title><style>s").text(None) == ""
 
@@ -97,6 +133,25 @@ def test_url_verdicts_match_sql(spark):
     assert verdict[13] == ("org/fr/", "allow") and verdict[12] == (None, "allow")
 
 
+def test_all_links_of_a_page_count(spark):
+    """Every canonical link and refresh of a page is an edge: after one without a target,
+    with canonical among other words of rel, among several, in either quotes; no other
+    link or meta is one."""
+    b = "http://www.example.com/de/1"
+    tags = [f'<link rel=canonical><link rel="canonical" href="{b}">', f'<link rel="shortlink Canonical" href=\'{b}\'>',
+            f'<LINK HREF={b} REL=canonical>', f'<link rel=canonical href="http://q.com/"><link rel=canonical href="{b}">',
+            f'<meta http-equiv=refresh content="9"><meta http-equiv="Refresh" content="0; URL={b}">', f'<link title="a > b" rel="canonical" href="{b}">',
+            f'<link rel="alternate canonical-ish" href="{b}">', f'<link rel="alternate" title="rel=canonical" href="{b}">', f'<meta name="refresh" content="0; url={b}">',
+            f'<link rel="canonical" data-href="{b}">', f'<linked rel="canonical" href="{b}">']
+    rows = [(i, f"http://h{i}.com/", t) for i, t in enumerate(tags)]
+    df = pages(spark, rows)
+    got = {r["page_id"]: r["verdict"] for r in url_filter.judge_urls(df).collect()}
+    assert got == {i: "block" if i < 6 else "allow" for i in range(len(tags))}
+    con = duckdb.connect()
+    con.register("pages", df.toPandas())
+    assert {r[0]: r[4] for r in con.sql(url_filter.oracle_sql()).fetchall()} == got
+
+
 def test_explicit_allow_precedence(spark):
     rows = [(1, "http://x.com/1", '<link rel=canonical href="http://m.org/fr/a">'), (2, "http://m.org/fr/a", None),
             (3, "http://y.com/1", None), (4, "http://k.net/", None)]
@@ -165,6 +220,16 @@ def test_nearest_recall_and_scores(spark, shard, block):
     assert hit / all_ >= 0.9
 
 
+def test_every_query_survives_pruning(spark):
+    """Each registered query under count() and a selection of one column: plans that need
+    fewer columns give as many rows."""
+    from ledgerlens.llm import queries
+    for name, query in queries.QUERIES.items():
+        df = query(spark, "/root/testdata/sf0.001")
+        n = len(df.collect())
+        assert df.count() == n and len(df.select(df.columns[-1]).collect()) == n, name
+
+
 def test_nearest_few_rows(spark):
     df = spark.createDataFrame([(0, [1.0, 0.0], 1), (1, [0.0, 1.0], 1), (2, [0.0, 1.0], 1)], VECTORS)
     got = [(r["query_id"], r["rank"], r["vec_id"]) for r in ann.nearest(df, F.col("vec_id") == 0).orderBy("rank").collect()]
