@@ -19,20 +19,21 @@ def language(spark, docs, sf_dir):
     others stay, and one without a lang gets the predicted one."""
     model = langid.fit(docs.filter(~langid.held_out(F.col("doc_id"))), "text", "lang")
     predict = langid.predictor(spark, model).asNondeterministic()   # else once for the filter and once for the column
-    rows = docs.withColumn("__p", predict("text")).filter("__p.lang_pred <> 'und'")
-    return rows.withColumn("lang", F.coalesce("lang", "__p.lang_pred")).select(*docs.columns)
+    rows = docs.select(F.struct(*docs.columns).alias("row"), predict("text").alias("p")).filter("p.lang_pred <> 'und'")
+    return rows.select(F.col("row").withField("lang", F.coalesce("row.lang", "p.lang_pred")).alias("row")).select("row.*")
 
 
 def near_duplicates(spark, docs, sf_dir):
-    """Operator 2: of each group of SimHash near-duplicates the document with the
-    smallest doc_id stays, once. Rows that repeat a doc_id are one document. Documents
-    without an id come after all others: each is known by a hash of its text, above
-    any id, so one stays only if its group has no document with an id."""
-    unnamed = F.lit(1 << 62) + F.pmod(F.xxhash64("text"), F.lit(1 << 61))
-    named = docs.withColumn("__id", F.coalesce("doc_id", unnamed))
-    groups = simhash.simhash_components(named, "__id", "text", shingle=4, max_bits=4)
-    keep = groups.filter(F.col("__id") == F.col("component_id")).select("__id").distinct()
-    return named.join(keep, "__id", "left_semi").dropDuplicates(["__id"]).select(*docs.columns)
+    """Operator 2: of each group of SimHash near-duplicates one document stays, once: the
+    one with the smallest doc_id (documents without an id come last, those that share one
+    in the order of a hash of their text). Rows with equal doc_id and text are one
+    document; distinct texts under one doc_id are documents of their own."""
+    key = F.struct(F.col("doc_id").isNull().alias("unnamed"), F.coalesce("doc_id", F.lit(0)).alias("doc_id"), F.xxhash64("text").alias("h"))
+    named = docs.select(F.struct(*docs.columns).alias("row"), key.alias("key"), "text")
+    groups = simhash.simhash_components(named, "key", "text", shingle=4, max_bits=4)
+    keep = groups.filter(F.col("key") == F.col("component_id")).select("key").distinct()
+    kept = named.select("row", "key").join(keep, "key", "left_semi")
+    return kept.groupBy("key").agg(F.min_by("row", F.xxhash64("row")).alias("row")).select("row.*")
 
 
 def secrets(spark, docs, sf_dir):
