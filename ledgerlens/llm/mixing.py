@@ -234,12 +234,18 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # rows that are alike share their copies: each the whole part, one of them the rest
     alike = cut(_rated(rows, state, cap, tilt).withColumn("copies", copies(cap)).groupBy("id", "source", "size", "h")
                 .agg(F.count(F.lit(1)).alias("n"), F.sum("copies").alias("all")).filter("n > 1"))
+    repeated = alike.count()
     other = alike.select(F.col("id").alias("id2"), F.col("source").alias("source2"), F.col("size").alias("size2"), F.col("h").alias("h2"), "n", "all")
     same = F.col("id").eqNullSafe(F.col("id2")) & F.col("source").eqNullSafe(F.col("source2")) & (F.col("size") == F.col("size2")) & (F.col("h") == F.col("h2"))
-    whole = whole.join(F.broadcast(other) if alike.count() <= few else other, same, "left")
+    if repeated:
+        whole = whole.join(F.broadcast(other) if repeated <= few else other, same, "left")
+    else:
+        whole = whole.withColumns({"n": F.lit(None).cast("long"), "all": F.lit(None).cast("long")})
     single = whole.filter("n IS NULL").withColumn("k", F.lit(1).cast("long")).withColumn("mark", F.xxhash64(*MARK)) \
         .join(of.withColumnRenamed("source", "s2"), F.col("source").eqNullSafe(F.col("s2"))).drop("s2")
     single = _rated(single.drop("n", "all"), state, cap, tilt).select("row", copies(cap).alias("copies"))
+    if not repeated:
+        return counted_up(single.filter("copies > 0"), "copies", "copy").select("row.*")
     shared = whole.filter("n IS NOT NULL")
     each = shared.select("row", F.expr("all div n").alias("copies"))
     rest = shared.filter("all % n > 0").groupBy("id", "source", "size", "h").agg(
