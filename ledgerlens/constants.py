@@ -236,6 +236,7 @@ BOOST_RATE = 0.05
 SEED = 42
 TOP_CAP_COMPANIES = 20
 BIN_COUNT = 100
+BAND_DRAWS = 1000
 BAND_Z = 1.959963984540054   # 97.5 % point of the normal distribution
 
 # ---- FIXED VALUES: log and provenance texts ------------------------------------------

@@ -3,16 +3,19 @@
 Spark's exact ``percentile`` keeps every value of a group in one aggregation
 buffer, which does not survive a group holding a third of 100 TB. Here:
 
-1. equal values of a group are merged with their count (partial aggregation, so
-   a value that fills half a group is one row);
-2. the distinct (group, value) rows are range-partitioned by group and value: a
-   large group spreads over as many partitions as its distinct values need;
-3. a running count inside each partition plus the counts of the partitions
+1. a mergeable sketch per group (bounded size, partial aggregation) brackets each wanted
+   rank between two values; small groups are taken whole;
+2. rows above a bracket drop, rows below become one count, and equal values inside are
+   merged (partial aggregation): what is shuffled is the bracket's share of the rows;
+3. the distinct (group, bracket, value) rows are range-partitioned: a large group
+   spreads over as many partitions as its distinct values need;
+4. a running count inside each partition plus the counts of the partitions
    before it (one small row per partition and group) give every row the ranks
    it covers; the rows that cover a wanted rank hold the answer.
 
-No passes to converge, no caps, no values on the driver: the result is one row
-per group and probability.
+The answer is exact whatever the sketch says: a rank that falls outside its bracket is
+noticed, and its groups are then taken whole. No passes to converge, no caps, no values
+on the driver: the result is one row per group and probability.
 """
 
 from __future__ import annotations
@@ -30,29 +33,72 @@ def _same(left: DataFrame, right: DataFrame, pairs):
     return reduce(lambda a, p: a & left[p[0]].eqNullSafe(right[p[1]]), pairs, F.lit(True))
 
 
-def exact_quantiles(df: DataFrame, value: str, probs, keys=()) -> DataFrame:
+ACCURACY = 10_000       # a sketch's rank error is 1 / ACCURACY of a group's rows; groups up to twice that size are taken whole
+FEW_GROUPS = 100_000    # brackets of so many groups are broadcast
+
+
+def _brackets(base: DataFrame, ks, probs, accuracy: int) -> DataFrame:
+    """(keys, _total, _spans): per group the spans (number, low, high, probabilities) that
+    hold the wanted ranks, three times the sketch's error wide on each side; an open span
+    for all of them in a small group."""
+    edge = 3.0 / accuracy
+    asked = [x for p in probs for x in (max(0.0, p - edge), min(1.0, p + edge))]
+    g = base.groupBy(*ks).agg(F.count(F.lit(1)).alias("_total"), F.percentile_approx("_v", asked, accuracy).alias("_q")).filter("_total > 0")
+    span = "struct<i:int,low:double,high:double,ps:array<double>>"
+    whole = F.array(F.struct(F.lit(0).alias("i"), F.lit(None).cast("double").alias("low"), F.lit(None).cast("double").alias("high"),
+                             F.array(*[F.lit(float(p)) for p in probs]).alias("ps")).cast(span))
+    each = F.array(*[F.struct(F.lit(i).alias("i"), F.col("_q")[2 * i].alias("low"), F.col("_q")[2 * i + 1].alias("high"),
+                              F.array(F.lit(float(p))).alias("ps")).cast(span) for i, p in enumerate(probs)])
+    return g.select(*ks, "_total", F.when(F.col("_total") <= 2 * accuracy, whole).otherwise(each).alias("_spans"))
+
+
+def exact_quantiles(df: DataFrame, value: str, probs, keys=(), accuracy: int = ACCURACY) -> DataFrame:
     """Linear-interpolated quantiles of ``value`` per ``keys`` (NULL / NaN ignored).
 
     Returns (keys..., p, q), one row per group and probability; a null key is a
     group like any other, a group without values has no row."""
-    keys = list(keys)
+    keys, probs = list(keys), list(probs)
     ks = [f"_k{i}" for i in range(len(keys))]
     base = (df.select(*[F.col(f"`{k}`").alias(a) for k, a in zip(keys, ks)], F.col(f"`{value}`").cast("double").alias("_v"))
             .filter(F.col("_v").isNotNull() & ~F.isnan("_v")))
-    counted = base.groupBy(*ks, "_v").agg(F.count(F.lit(1)).alias("_n"))
+    spans = cut(_brackets(base, ks, probs, accuracy))
+    got = cut(_at_ranks(base, spans, ks))
+    out = got.filter("_x0 IS NOT NULL AND _x1 IS NOT NULL")
+    missed = got.filter("_x0 IS NULL OR _x1 IS NULL").select(*ks).distinct()
+    if not missed.isEmpty():        # a sketch was off by more than it promises: these groups whole
+        t = cut(missed.select(*[F.col(k).alias(f"_m{k}") for k in ks], F.lit(1).alias("_one")))
+        again = [(k, f"_m{k}") for k in ks]
+        full = spans.join(t, _same(spans, t, again), "left_semi").withColumn("_spans", F.expr(
+            "array(named_struct('i', 0, 'low', cast(null as double), 'high', cast(null as double), 'ps', flatten(transform(_spans, s -> s.ps))))"))
+        out = out.join(t, _same(out, t, again), "left_anti").unionByName(_at_ranks(base, cut(full), ks))
+    q = F.when((F.col("_x0") == F.col("_x1")) | (F.col("_frac") == 0), F.col("_x0")) \
+        .otherwise(F.col("_x0") + (F.col("_x1") - F.col("_x0")) * F.col("_frac"))
+    return out.select(*[F.col(a).alias(k) for k, a in zip(keys, ks)], F.col("_p").alias("p"), q.alias("q"))
+
+
+def _at_ranks(base: DataFrame, spans: DataFrame, ks) -> DataFrame:
+    """(keys, _p, _frac, _x0, _x1): the values at the wanted ranks' lower and upper
+    neighbour, null where they lie outside the group's spans."""
+    s = spans.select(*[F.col(k).alias(f"_s{k}") for k in ks], "_spans")
+    s = F.broadcast(s) if spans.count() <= FEW_GROUPS else s
+    inside = base.join(s, _same(base, s, [(k, f"_s{k}") for k in ks])).select(*ks, "_v", F.explode("_spans").alias("_s")) \
+        .filter(F.col("_s.high").isNull() | (F.col("_v") <= F.col("_s.high")))
+    below = F.col("_s.low").isNotNull() & (F.col("_v") < F.col("_s.low"))
+    counted = inside.select(*ks, F.col("_s.i").alias("_i"), F.when(~below, F.col("_v")).alias("_v")) \
+        .groupBy(*ks, "_i", "_v").agg(F.count(F.lit(1)).alias("_n"))       # the null value: all rows below the span
+    ks = [*ks, "_i"]
     # checkpointed, so that a row's partition number stays what it is
-    placed = cut(counted.repartitionByRange(*ks, "_v")).withColumn("_pid", F.spark_partition_id())
+    placed = cut(counted.repartitionByRange(*ks, F.col("_v").asc_nulls_first())).withColumn("_pid", F.spark_partition_id())
     parts = placed.groupBy(*ks, "_pid").agg(F.sum("_n").alias("_m"))
     w = Window.partitionBy(*ks).orderBy("_pid")     # one row per partition and group
     parts = parts.withColumn("_before", F.sum("_m").over(w) - F.col("_m"))
     # wanted ranks: p * (n - 1) and its neighbours
     pos = F.col("_p") * (F.col("_total") - 1)
-    wanted = (parts.groupBy(*ks).agg(F.sum("_m").alias("_total"))
-              .withColumn("_p", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
+    wanted = (spans.select(*ks[:-1], "_total", F.explode("_spans").alias("_s")).select(*ks[:-1], F.col("_s.i").alias("_i"), "_total", F.explode("_s.ps").alias("_p"))
               .withColumns({"_r0": F.floor(pos), "_frac": pos - F.floor(pos)})
               .withColumn("_r1", F.least(F.col("_r0") + 1, F.col("_total") - 1)))
-    inside = Window.partitionBy(*ks, "_pid").orderBy("_v")
-    upto = placed.withColumn("_upto", F.sum("_n").over(inside))
+    running = Window.partitionBy(*ks, "_pid").orderBy(F.col("_v").asc_nulls_first())
+    upto = placed.withColumn("_upto", F.sum("_n").over(running))
     b = parts.select(*[F.col(k).alias(f"_b{k}") for k in ks], F.col("_pid").alias("_bpid"), "_before")
     ranked = upto.join(b, _same(upto, b, [(k, f"_b{k}") for k in ks]) & (upto["_pid"] == b["_bpid"])) \
         .select(*ks, "_v", (F.col("_before") + F.col("_upto") - F.col("_n")).alias("_lo"),
@@ -62,9 +108,8 @@ def exact_quantiles(df: DataFrame, value: str, probs, keys=()) -> DataFrame:
     def covers(r):
         return (F.col(r) >= F.col("_lo")) & (F.col(r) < F.col("_hi"))
 
-    hits = ranked.join(t, _same(ranked, t, [(k, f"_t{k}") for k in ks]) & (covers("_r0") | covers("_r1")))
-    got = hits.groupBy(*ks, "_p", "_frac").agg(F.max(F.when(covers("_r0"), F.col("_v"))).alias("_x0"),
-                                               F.max(F.when(covers("_r1"), F.col("_v"))).alias("_x1"))
-    q = F.when((F.col("_x0") == F.col("_x1")) | (F.col("_frac") == 0), F.col("_x0")) \
-        .otherwise(F.col("_x0") + (F.col("_x1") - F.col("_x0")) * F.col("_frac"))
-    return got.select(*[F.col(a).alias(k) for k, a in zip(keys, ks)], F.col("_p").alias("p"), q.alias("q"))
+    hits = t.join(ranked, _same(ranked, t, [(k, f"_t{k}") for k in ks]) & (covers("_r0") | covers("_r1")), "left")
+    names = [f"_t{k}" for k in ks]
+    return hits.groupBy(*names, "_p", "_frac").agg(F.max(F.when(covers("_r0"), F.col("_v"))).alias("_x0"),
+                                                   F.max(F.when(covers("_r1"), F.col("_v"))).alias("_x1")) \
+        .select(*[F.col(f"_t{k}").alias(k) for k in ks[:-1]], "_p", "_frac", "_x0", "_x1")

@@ -58,11 +58,11 @@ def fill_shares(df: DataFrame, order=("fy", "filed")) -> DataFrame:
             .withColumn(SHARES, F.coalesce(ffill, first_any)))
 
 
-def _msg_list(df: DataFrame, msg_col: str, sep: str, order=("fy", "filed")) -> DataFrame:
-    """Per ticker: messages joined in (fy, filed) order; bounded by years per company."""
-    s = F.struct(*[F.col(o) for o in order], F.col(msg_col).alias("m"))
-    return df.groupBy("ticker").agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(s)), lambda x: x["m"]), sep).alias(msg_col))
+def _joined(flag, text, sep: str, order=("fy", "filed")):
+    """Aggregate: the texts of flagged rows in (fy, filed) order, null without one; bounded
+    by the years of a company."""
+    s = F.when(flag, F.struct(*[F.col(o) for o in order], text.alias("m")))
+    return F.nullif(F.array_join(F.transform(F.array_sort(F.collect_list(s)), lambda x: x["m"]), sep), F.lit(""))
 
 
 def plain_number(x):
@@ -73,13 +73,6 @@ def plain_number(x):
     return F.when(x.isNull(), F.lit("nan")).when((F.abs(x) >= 1e7) & (F.abs(x) < 1e16), text).otherwise(x.cast("string"))
 
 
-def shares_fill_messages(filled: DataFrame) -> DataFrame:
-    m = filled.filter("shares_filled").withColumn(
-        "shares_msg", F.format_string(MSG_SHARES_FILLED,
-                                      F.col("fy").cast("string"), plain_number(bq(SHARES))))
-    return _msg_list(m, "shares_msg", " , ")
-
-
 def repair_eps(df: DataFrame) -> DataFrame:
     """Q4: eps = net_income / shares# where shares are known and eps is missing."""
     target = bq(SHARES).isNotNull() & F.col("eps").isNull()
@@ -87,11 +80,13 @@ def repair_eps(df: DataFrame) -> DataFrame:
             .withColumn("eps", F.when(target, ieee_div("net_income", bq(SHARES))).otherwise(F.col("eps"))))
 
 
-def eps_messages(repaired: DataFrame) -> DataFrame:
-    m = repaired.filter("eps_repaired").withColumn(
-        "eps_msg", F.format_string(MSG_EPS_RECOVERED,
-                                   F.col("fy").cast("string"), F.col("eps")))
-    return _msg_list(m, "eps_msg", ". ")
+def repair_messages(repaired: DataFrame) -> DataFrame:
+    """Q2/Q4: (ticker, message) of companies with filled share counts or repaired EPS, the
+    share counts first, from rows with both flags: one grouped aggregate."""
+    shares = F.format_string(MSG_SHARES_FILLED, F.col("fy").cast("string"), plain_number(bq(SHARES)))
+    eps = F.format_string(MSG_EPS_RECOVERED, F.col("fy").cast("string"), F.col("eps"))
+    m = repaired.groupBy("ticker").agg(_joined(F.col("shares_filled"), shares, " , ").alias("s"), _joined(F.col("eps_repaired"), eps, ". ").alias("e"))
+    return m.filter("s IS NOT NULL OR e IS NOT NULL").select("ticker", F.concat_ws(". ", "s", "e").alias("message"))
 
 
 @dataclass
@@ -107,48 +102,42 @@ class CleanupResult:
 def cleanup(panel: DataFrame, materialize: bool = True) -> CleanupResult:
     """Q1-Q7 over a valued panel; routes are disjoint and cover every input row.
 
-    ``materialize`` checkpoints the repaired, re-valued rows (a stage boundary):
-    the clean / less-data routes, their flags and the route table then read it
-    instead of replaying the fill and repair windows once per output.
+    A company's route follows from its rows as they are: filling share counts adds no
+    zero where there was none, and neither filling nor repairing touches the columns that
+    decide on less_data. So one grouped aggregate gives every flag (Q1, Q3, Q6) and one
+    join brings them to the rows (J9, J10); what follows are filters.
+    ``materialize`` checkpoints the flagged rows and the repaired, re-valued ones (stage
+    boundaries): routes and messages then read those instead of replaying the windows.
     """
-    dmg = damaged_flags(panel)
-    damaged1 = panel.join(dmg.select("ticker"), "ticker", "left_semi")           # J9
-    rest = panel.join(dmg.select("ticker"), "ticker", "left_anti")               # J10
-
-    filled = fill_shares(rest)                                                    # Q2
-    fill_msgs = shares_fill_messages(filled)
-    zero = company_flags(filled, {"zero": bq(SHARES) == 0}).filter("zero").select("ticker")  # Q3
-    damaged2 = filled.join(zero, "ticker", "left_semi").drop("shares_filled")
-    rest2 = filled.join(zero, "ticker", "left_anti").drop("shares_filled")
-
-    repaired = repair_eps(rest2)                                                  # Q4
-    e_msgs = eps_messages(repaired)
-    repaired = valuation_v1(repaired.drop("eps_repaired"))                        # Q5
-    if materialize:
+    def kept(df):
+        if not materialize:
+            return df
         from ..session import cut
-        repaired = cut(repaired)
-
-    less = company_flags(repaired, {"less": F.greatest(*[bq(c).isNull() for c in LESS_DATA_COLUMNS])}
-                         ).filter("less").select("ticker")                         # Q6
-    less_data = repaired.join(less, "ticker", "left_semi")
-    clean = repaired.join(less, "ticker", "left_anti")
-
-    damaged = damaged1.unionByName(damaged2.select(*damaged1.columns))            # U1
-
-    # Q7 audit merge: Q1 / Q3 overwrite, Q2 sets, Q4 appends with '. '
-    msgs = (dmg.select("ticker", F.col("message").alias("m1"))
-            .join(zero.withColumn("m3", F.lit(MSG_ZERO)), "ticker", "full")
-            .join(fill_msgs, "ticker", "full")
-            .join(e_msgs, "ticker", "full"))
-    messages = msgs.select("ticker", F.coalesce(
-        F.col("m1"), F.col("m3"),
-        F.when(F.col("shares_msg").isNotNull() | F.col("eps_msg").isNotNull(),
-               F.concat_ws(". ", F.col("shares_msg"), F.col("eps_msg")))).alias("update_after_cleanup"))
-
-    routes = (clean.select("ticker", "fy", "fp", F.lit("clean").alias("route"))
-              .unionByName(damaged.select("ticker", "fy", "fp", F.lit("damaged").alias("route")))
-              .unionByName(less_data.select("ticker", "fy", "fp", F.lit("less_data").alias("route"))))
-    return CleanupResult(clean, damaged, less_data, messages, routes, zero)
+        return cut(df)
+
+    flags = company_flags(panel, {
+        "miss_ni": F.col("net_income").isNull(), "miss_rp": F.col("recurrent_profit").isNull(), "zero": bq(SHARES) == 0,
+        "less": F.greatest(*[bq(c).isNull() for c in LESS_DATA_COLUMNS])})
+    flags = kept(flags.withColumns({"damaged": F.col("miss_ni") | F.col("miss_rp"), "zero": F.coalesce("zero", F.lit(False))}))
+    rows = kept(panel.join(flags.select("ticker", "damaged", "zero", "less"), "ticker"))
+    held = [bq(c) for c in panel.columns]
+
+    filled = fill_shares(rows.filter(~F.col("damaged")))                          # Q2
+    repaired = repair_eps(filled.filter(~F.col("zero")))                          # Q4
+    repaired = kept(valuation_v1(repaired))                                       # Q5
+    clean = repaired.filter(~F.col("less")).select(*held)                         # Q6
+    less_data = repaired.filter("less").select(*held)
+    damaged = rows.filter("damaged").select(*held).unionByName(filled.filter("zero").select(*held))     # Q3, U1
+
+    # Q7 audit merge: the reasons of a route overwrite, fills set, EPS repairs append
+    reason = (F.when(F.col("miss_ni") & F.col("miss_rp"), F.lit(MSG_BOTH)).when(F.col("miss_ni"), F.lit(MSG_NI))
+              .when(F.col("miss_rp"), F.lit(MSG_RP)).otherwise(F.lit(MSG_ZERO)))
+    messages = flags.filter("damaged OR zero").select("ticker", reason.alias("update_after_cleanup")) \
+        .unionByName(repair_messages(repaired).withColumnRenamed("message", "update_after_cleanup"))
+
+    route = F.when(F.col("damaged") | F.col("zero"), F.lit("damaged")).when(F.col("less"), F.lit("less_data")).otherwise(F.lit("clean"))
+    routes = rows.select("ticker", "fy", "fp", route.alias("route"))
+    return CleanupResult(clean, damaged, less_data, messages, routes, flags.filter("zero AND NOT damaged").select("ticker"))
 
 
 def merge_log(log: DataFrame, messages: DataFrame, column: str = "update_after_cleanup") -> DataFrame:

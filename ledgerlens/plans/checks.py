@@ -124,10 +124,9 @@ def audit_merge(spark, sf_dir):
 def success_rate(spark, sf_dir):
     """Companies that came through the cleanup, of all."""
     from ..operators.repair import success_rate as rate
-    p = valued_panel(spark, sf_dir, 1)
-    r = _cleanup(spark, sf_dir)
-    bad = r.damaged.select("ticker").distinct().withColumn("status", F.lit("Fail"))
-    log = p.select("ticker").distinct().join(bad, "ticker", "left").withColumn("status", F.coalesce("status", F.lit("Success")))
+    routes = _cleanup(spark, sf_dir).routes     # every company of the panel is on one route
+    log = routes.groupBy("ticker").agg(F.max(F.when(F.col("route") == "damaged", 1)).alias("bad")) \
+        .select("ticker", F.when(F.col("bad") == 1, "Fail").otherwise("Success").alias("status"))
     return rounded(rate(log))
 
 
@@ -211,6 +210,12 @@ def trend_band(spark, sf_dir):
     return rounded(f(trimmed(spark, sf_dir)))
 
 
+def trend_band_resampled(spark, sf_dir):
+    """The band from resamples; rows drawn by hash, so reruns agree."""
+    from ..operators.stats import trend_band_resampled as f
+    return rounded(f(trimmed(spark, sf_dir), key=("ticker", "fy", "fp")))
+
+
 def size_scale_check(spark, sf_dir):
     """Marker size of every company year."""
     from ..operators.features import size_scale
@@ -535,7 +540,7 @@ def _panel_build(spark, sf_dir):
 def panel_build(spark, sf_dir):
     """Stage 1 end to end: facts -> filters -> fallback -> special rules -> prices -> valuation."""
     p = _panel_build(spark, sf_dir).panel
-    return rounded(p.drop("tag_history"))
+    return rounded(p.drop("tag_history").withColumn("filed", F.col("filed").cast("string")))
 
 
 def panel_build_log(spark, sf_dir):

@@ -2,12 +2,12 @@
 
 Spark-first layout:
 
-* profiling, median imputation, correlation and train statistics are grouped
-  aggregates over the analysis frame (one row per company-year);
+* profiling and median imputation are grouped aggregates over the analysis frame (one
+  row per company-year); correlations and training statistics follow from co-moments;
 * the linear families (OLS, ridge) for *all* industries and *all* feature prefixes come
-  from per-industry Gram matrices: one ``mapInPandas`` pass emits partial sums per
-  partition (Arrow batches, NumPy inside the task), a grouped reduction adds them, and
-  the driver solves the leading k x k blocks (k <= 35) -- no per-prefix refits;
+  from one scan that leaves centred co-moments per industry and split
+  (``operators.moments``); the driver solves the leading k x k blocks (k <= 35) -- no
+  per-prefix refits;
 * trees, forests, boosted trees and support vector regression (``fits``, ``trees``,
   ``svr``) give predictions of all fits in one job, which one grouped aggregate turns
   into R^2; industries too large for a task are fitted by passes over their rows.
@@ -19,16 +19,17 @@ from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DoubleType, StringType, StructField, StructType
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from ..constants import (EQUATION, FEATURE_RATIOS, MIN_TEST_ROWS, MIN_TRAIN_ROWS, MISSING_DROP_PCT, MODEL_FAMILIES,
                          OTHER_GROUP, PROTECTED_COLUMNS, RIDGE_ALPHA, SEED, TEST_FIRST_FY, TOP_CAP_COMPANIES, TRAIN_LAST_FY)
 from ..functions.numeric import finite_or_null
 from ..operators.features import analysis_numeric_columns, correlation_factors
-from ..operators.stats import corr_with, impute_medians, missing_ratio
+from ..operators import moments
+from ..operators.moments import Moments, co_moments, collected
+from ..operators.stats import impute_medians, missing_ratio
 from ..session import cut
 from . import fits
 
@@ -50,6 +51,7 @@ class SearchPlan:
     stats: dict                      # industry -> (mean vector, std vector) over the pool, training rows
     live: dict                       # industry -> whether a pool feature varies there
     y_stats: dict                    # industry -> (mean, std) of the training prices
+    moments: dict                    # industry -> split -> co-moments of the pool and the price
 
 
 def prepare(features: DataFrame, train_last: int = TRAIN_LAST_FY, test_first: int = TEST_FIRST_FY,
@@ -69,43 +71,33 @@ def prepare(features: DataFrame, train_last: int = TRAIN_LAST_FY, test_first: in
     # the per-industry drop list is applied when pooling features.
     imputed = cut(impute_medians(df, num, group))
 
-    # M2: pool = declared-order correlation factors with a defined correlation
+    # one scan of the imputed rows gives all that M2-M5 need: co-moments per industry and split
     cand = [c for c in correlation_factors() if c not in ("stock_price", "stock_price_unadjusted")]
-    corr = corr_with(imputed, cand, "stock_price", [group]).filter(F.col("corr").isNotNull()).collect()
-    has_corr = {(r[group], r["factor"]) for r in corr}
-    info = imputed.groupBy(group).agg(
-        F.countDistinct("ticker").alias("n_companies"),
-        F.sum((F.col("fy") <= train_last).cast("int")).alias("n_train"),
-        F.sum((F.col("fy") >= test_first).cast("int")).alias("n_test")).collect()
-    pools, ncomp, ntr, nte = {}, {}, {}, {}
-    for r in info:
-        ind = r[group]
-        ncomp[ind], ntr[ind], nte[ind] = r["n_companies"], r["n_train"], r["n_test"]
-        pools[ind] = [f for f in cand if f not in drops.get(ind, set()) and (ind, f) in has_corr]
-
-    # F14 split + M3 train statistics (population std; zero -> 1 like the studied scaler)
     split = (F.when(F.col("fy") <= train_last, F.lit("train"))
              .when(F.col("fy") >= test_first, F.lit("test")))
-    d = imputed.withColumn("split", split).filter(F.col("split").isNotNull())
-    tr = d.filter(F.col("split") == "train")
-    from ..operators.stats import _stack
-    long = tr.select(group, _stack([*cand, "stock_price"], "x", "c").alias("s")).select(group, "s.c", "s.x")
-    st = {}
-    for r in long.groupBy(group, "c").agg(F.avg("x").alias("m"), F.stddev_pop("x").alias("s")).collect():
-        st[(r[group], r["c"])] = (r["m"], r["s"])
-    stats, live, y_stats = {}, {}, {}
-    for ind, pool in pools.items():
-        if not all((ind, f) in st for f in pool):
+    imputed = imputed.withColumn("split", split)
+    held = collected(co_moments(imputed, [*cand, "stock_price"], [group, "split"]), [group, "split"])
+    companies = {r[group]: r["n"] for r in imputed.groupBy(group).agg(F.countDistinct("ticker").alias("n")).collect()}
+    pools, ntr, nte, stats, live, y_stats, held_by = {}, {}, {}, {}, {}, {}, {}
+    for ind in companies:
+        mine = {sp: m for (i, sp), m in held.items() if i == ind}
+        # M2: pool = declared-order correlation factors with a defined correlation
+        corr = reduce(Moments.__add__, mine.values()).corr(len(cand))
+        pool = [i for i, f in enumerate(cand) if f not in drops.get(ind, set()) and np.isfinite(corr[i])]
+        pools[ind] = [cand[i] for i in pool]
+        ntr[ind], nte[ind] = (mine[sp].n if sp in mine else 0 for sp in ("train", "test"))
+        if "train" not in mine:
             continue
-        mu = np.array([st[(ind, f)][0] or 0.0 for f in pool], dtype=float)
-        sd = np.array([st[(ind, f)][1] or 0.0 for f in pool], dtype=float)
-        live[ind] = sd > 0
-        sd[sd == 0] = 1.0
-        stats[ind] = (mu, sd)
-        y_stats[ind] = tuple(float(v or 0.0) for v in st.get((ind, "stock_price"), (0.0, 0.0)))
+        # F14 split + M3 train statistics (population std; zero -> 1 like the studied scaler)
+        at = [*pool, len(cand)]
+        held_by[ind] = {sp: Moments(m.n, m.mean[at], m.c[np.ix_(at, at)], m.low[at], m.high[at]) for sp, m in mine.items() if sp}
+        train = held_by[ind]["train"]
+        sd = train.std[:-1]
+        live[ind], stats[ind] = sd > 0, (train.mean[:-1], np.where(sd > 0, sd, 1.0))
+        y_stats[ind] = float(train.mean[-1]), float(train.std[-1])
     keep = ["ticker", "fy", group, "split", "stock_price", "market_cap"]
-    data = d.select(*keep, *[bq(c) for c in cand])
-    return SearchPlan(data, pools, ncomp, ntr, nte, stats, live, y_stats)
+    data = imputed.filter(F.col("split").isNotNull()).select(*keep, *[bq(c) for c in cand])
+    return SearchPlan(data, pools, companies, ntr, nte, stats, live, y_stats, held_by)
 
 
 def feature_columns(plan: SearchPlan) -> list[str]:
@@ -123,91 +115,18 @@ def prefix_sizes(n_pool: int):
     return [(r, max(1, int(n_pool * r))) for r in FEATURE_RATIOS]
 
 
-def gram_partials(plan: SearchPlan, industries, group: str = GROUP) -> DataFrame:
-    """One pass over the rows: per (industry, split) the sums of squares and products of
-    the design [1, z_1..z_K, y - mean y], emitted per partition and reduced in two levels.
-    Features and price are centred at the training means first, so that nothing cancels
-    however large the values are."""
-    cand = feature_columns(plan)
-    pools = {i: plan.pools[i] for i in industries}
-    stats = {i: plan.stats[i] for i in industries}
-    centre = {i: plan.y_stats[i][0] for i in industries}
-
-    def part(it):
-        # accumulate across the partition's Arrow batches; emit one partial per
-        # (industry, split) per partition
-        acc = {}
-        for pdf in it:
-            for (ind, sp), g in pdf.groupby([group, "split"]):
-                if ind not in pools:
-                    continue
-                mu, sd = stats[ind]
-                z = (g[pools[ind]].to_numpy(dtype=float) - mu) / sd
-                y = g["stock_price"].to_numpy(dtype=float) - centre[ind]
-                a = np.hstack([np.ones((len(y), 1)), z, y[:, None]])
-                v = (a.T @ a).ravel()
-                acc[(ind, sp)] = acc[(ind, sp)] + v if (ind, sp) in acc else v
-        if acc:
-            yield pd.DataFrame({group: [k[0] for k in acc], "split": [k[1] for k in acc],
-                                "g": [v.tolist() for v in acc.values()]})
-
-    schema = StructType([StructField(group, StringType()), StructField("split", StringType()),
-                         StructField("g", ArrayType(DoubleType()))])
-    sel = plan.data.filter(F.col(group).isin(*industries)).select(group, "split", "stock_price",
-                                                                  *[bq(c) for c in cand])
-    p = sel.mapInPandas(part, schema).withColumn("_pid", F.spark_partition_id())
-
-    def array_sum(col):
-        return F.aggregate(F.slice(col, 2, 1 << 30), col[0], lambda acc, x: F.zip_with(acc, x, lambda u, v: u + v))
-
-    # two-level tree reduction: each task adds at most ~P/64 (then 64) partial
-    # Gram arrays, however many partitions the data has
-    lvl1 = p.groupBy(group, "split", (F.col("_pid") % 64).alias("_b")).agg(
-        array_sum(F.collect_list("g")).alias("g"))
-    return lvl1.groupBy(group, "split").agg(array_sum(F.collect_list("g")).alias("g"))
-
-
-def _solve(G, idx, yi, alpha):
-    n = G[0, 0]
-    sx = G[0, idx]
-    sy = G[0, yi]
-    xx = G[np.ix_(idx, idx)]
-    xy = G[idx, yi]
-    cxx = xx - np.outer(sx, sx) / n
-    cxy = xy - sx * sy / n
-    if alpha is None:
-        beta = np.linalg.pinv(cxx) @ cxy
-    else:
-        beta = np.linalg.solve(cxx + alpha * np.eye(len(idx)), cxy)
-    b0 = sy / n - (sx / n) @ beta
-    return b0, beta
-
-
-def _r2_from_gram(T, idx, yi, b0, beta):
-    n, sy, yy = T[0, 0], T[0, yi], T[yi, yi]
-    sx, xx, xy = T[0, idx], T[np.ix_(idx, idx)], T[idx, yi]
-    sse = yy - 2 * b0 * sy - 2 * beta @ xy + n * b0 * b0 + 2 * b0 * (beta @ sx) + beta @ xx @ beta
-    sst = yy - sy * sy / n
-    if sst <= 0:
-        return float("nan")
-    return float(1.0 - sse / sst)
-
-
 def linear_results(plan: SearchPlan, industries, families=(LINEAR, RIDGE)):
-    """R^2 on test for OLS / ridge, every prefix: (results, coefficients)."""
-    grams = {(r[GROUP], r["split"]): np.array(r["g"]) for r in gram_partials(plan, industries).collect()}
+    """R^2 on test for OLS / ridge, every prefix: (results, coefficients). Solved on the
+    driver from the co-moments of the pool, k x k numbers (k <= 35) an industry."""
     out, coefs = [], {}
     for ind in industries:
-        if (ind, "train") not in grams or (ind, "test") not in grams:
-            continue
-        K = len(plan.pools[ind])
-        G, T = (grams[(ind, s)].reshape(K + 2, K + 2) for s in ("train", "test"))
-        for ratio, k in prefix_sizes(K):
-            idx = list(range(1, k + 1))
+        held, (mu, sd) = plan.moments[ind], plan.stats[ind]
+        y = len(plan.pools[ind])
+        for ratio, k in prefix_sizes(y):
             for fam in families:
-                b0, beta = _solve(G, idx, K + 1, None if fam == LINEAR else RIDGE_ALPHA)
-                out.append((ind, fam, ratio, k, _r2_from_gram(T, idx, K + 1, b0, beta)))
-                coefs[(ind, fam, k)] = (float(b0) + plan.y_stats[ind][0], [float(x) for x in beta])
+                b0, beta = moments.ridge(held["train"], mu[:k], sd[:k], k, y, None if fam == LINEAR else RIDGE_ALPHA)
+                out.append((ind, fam, ratio, k, moments.r2(held["test"], mu[:k], sd[:k], k, y, b0, beta)))
+                coefs[(ind, fam, k)] = (b0, [float(x) for x in beta])
     return out, coefs
 
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from ..constants import PANEL_BASE_COLUMNS, VALUATION_V1_COLUMNS
-from .sqlparts import (DERIVED_CTE, PANEL_CTES, broad_industry, q, r4, valuation_cte)
+from .sqlparts import (DERIVED_CTE, LINES_CTE, PANEL_CTES, SUPPLIERS_CTE, broad_industry, q, r4, valuation_cte)
 
 NUMERIC_PANEL = [c for c in PANEL_BASE_COLUMNS if c not in ("ticker", "name", "industry", "fy", "fp", "filed")]
 V2_COLUMNS = [c for c in VALUATION_V1_COLUMNS if c != "career_value"] + [
@@ -549,3 +549,89 @@ p2 AS (SELECT *, row_number() OVER (PARTITION BY broad_industry ORDER BY nan_pct
        FROM prof WHERE inf_pct + neginf_pct + nan_pct > 0)
 SELECT broad_industry, "column", {r4('inf_pct')} AS inf_pct, {r4('neginf_pct')} AS neginf_pct,
   {r4('nan_pct')} AS nan_pct FROM p2 WHERE rk <= 10"""
+
+
+# ---- complete stage 1 ---------------------------------------------------------------------
+# Every concept of the stand-in taxonomy has one tag, so that each line item is a conditional
+# sum over a supplier-year's lines; the company errors follow from which tags a company has.
+from ..constants import (ALLOW_MISSING, FALLBACKS, LINE_ITEMS, MSG_NONE_EMPTY, MSG_NO_USED_TAG, MSG_SKIP, MSG_TAG_MISSING,  # noqa: E402
+                         PRICE_COLUMNS)
+from ..sources.standin import TAXONOMY_TAGS  # noqa: E402
+
+_COMBO = "((CASE l_returnflag WHEN 'A' THEN 0 WHEN 'N' THEN 1 ELSE 2 END) * 2 + (CASE l_linestatus WHEN 'F' THEN 0 ELSE 1 END)) * 3 " \
+         "+ (CASE WHEN l_quantity <= 17 THEN 0 WHEN l_quantity <= 34 THEN 1 ELSE 2 END)"
+_PLACE = {t: i for i, (t, _, _) in enumerate(TAXONOMY_TAGS)}
+
+
+def _own_tag(tag: str):
+    """The taxonomy's tag of a concept, or None."""
+    return next((t for t in FALLBACKS.get(tag, [tag]) if t in _PLACE), None)
+
+
+def _text(x: str) -> str:
+    return "'" + x.replace("'", "''") + "'"
+
+
+def _missing_checks() -> str:
+    """The strict run's errors in processing order, for a company that is eligible."""
+    out = []
+    for tag, name in LINE_ITEMS:
+        own, fallback = _own_tag(tag), tag in FALLBACKS
+        has = f"{'avail' if fallback else 'present'}_{_PLACE[own]}" if own else None
+        if name == "expense_general/admin":
+            out.append((f"NOT {has}", MSG_NO_USED_TAG))
+        elif name == "recurrent_profit":
+            out.append((f"NOT {has}", MSG_NONE_EMPTY))
+        elif name in ("shares#", "eps") or tag in ALLOW_MISSING:
+            continue
+        else:
+            out.append((f"NOT {has}" if has else "TRUE", MSG_TAG_MISSING % tag))
+    return " ".join(f"WHEN {c} THEN {_text(m)}" for c, m in out)
+
+
+_STAGE1 = LINES_CTE + "," + SUPPLIERS_CTE + f""",
+tagged AS (SELECT l_suppkey, fy, {_COMBO} AS combo, sum(l_extendedprice) AS v FROM lines GROUP BY ALL),
+filed_year AS (
+  SELECT l_suppkey, CAST(year(o_orderdate) AS INTEGER) AS fy, CAST(max(l_shipdate) AS DATE) AS filed,
+         min(o_orderpriority) IN ('1-URGENT', '2-HIGH', '3-MEDIUM') AS annual, sum(o_totalprice / 7.0) AS asset, sum(l_quantity) AS shares
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY ALL),
+has AS (
+  SELECT l_suppkey,
+    {", ".join(f"coalesce(bool_or(combo = {i}), false) AS present_{i}, coalesce(bool_or(combo = {i} AND annual AND fy >= {STANDIN_START}), false) AS avail_{i}" for i in _PLACE.values())}
+  FROM tagged JOIN filed_year USING (l_suppkey, fy) GROUP BY l_suppkey),
+reach AS (
+  SELECT l_suppkey, min(fy) <= {STANDIN_START} AND max(fy) >= {STANDIN_END}
+         AND count(*) FILTER (WHERE annual AND fy >= {STANDIN_START}) >= 7 AS eligible
+  FROM filed_year GROUP BY l_suppkey),
+company AS (
+  SELECT s_suppkey, lpad(CAST(s_suppkey AS VARCHAR), 10, '0') AS cik, ticker, name, industry,
+    CASE WHEN eligible IS NULL THEN {_text(MSG_TAG_MISSING % "asset")}
+         WHEN NOT eligible THEN printf({_text(MSG_SKIP)}, lpad(CAST(s_suppkey AS VARCHAR), 10, '0'), ticker, name)
+         {_missing_checks()} ELSE '' END AS error, eligible IS NOT NULL AS has_ns
+  FROM sup LEFT JOIN reach ON s_suppkey = reach.l_suppkey LEFT JOIN has ON s_suppkey = has.l_suppkey),
+item AS (
+  SELECT l_suppkey, fy,
+    {", ".join((f"sum(CASE WHEN combo = {_PLACE[_own_tag(t)]} THEN v * {TAXONOMY_TAGS[_PLACE[_own_tag(t)]][2]} END)" if _own_tag(t) else "NULL::DOUBLE") + f" AS {q(n)}"
+               for t, n in LINE_ITEMS if n not in ("shares#", "eps"))}
+  FROM tagged GROUP BY l_suppkey, fy),
+day AS (
+  SELECT l_suppkey, CAST(l_shipdate AS DATE) AS d, avg(l_extendedprice / 103.27) AS adj, avg(l_extendedprice * (1 + l_tax) / 103.27) AS unadj,
+         row_number() OVER (PARTITION BY l_suppkey ORDER BY CAST(l_shipdate AS DATE)) AS rk
+  FROM lines GROUP BY 1, 2),
+first_day AS (SELECT f.l_suppkey, f.fy, min(rk) AS r0 FROM filed_year f JOIN day USING (l_suppkey) WHERE day.d >= f.filed GROUP BY 1, 2),
+price AS (
+  SELECT x.l_suppkey, x.fy, avg(adj) AS stock_price, avg(unadj) AS stock_price_unadjusted
+  FROM first_day x JOIN day ON day.l_suppkey = x.l_suppkey AND rk BETWEEN r0 AND r0 + 4 GROUP BY 1, 2),
+panel AS (
+  SELECT ticker, name, industry, f.fy, 'FY' AS fp, f.filed, f.asset, f.shares::DOUBLE AS "shares#", {_div('i.net_income', 'f.shares')} AS eps,
+    i.* EXCLUDE (l_suppkey, fy), stock_price, stock_price_unadjusted
+  FROM company c JOIN filed_year f ON c.s_suppkey = f.l_suppkey AND c.error = '' AND f.annual AND f.fy >= {STANDIN_START}
+  JOIN item i ON i.l_suppkey = f.l_suppkey AND i.fy = f.fy
+  LEFT JOIN price p ON p.l_suppkey = f.l_suppkey AND p.fy = f.fy)"""
+SQL["panel_build"] = "WITH " + _STAGE1 + "," + DERIVED_CTE + "," + valuation_cte("derived", 1, "v1") + f"""
+SELECT ticker, name, industry, fy, fp, CAST(filed AS VARCHAR) AS filed,
+  {_round_list([*NUMERIC_PANEL, *PRICE_COLUMNS, *VALUATION_V1_COLUMNS])}
+FROM v1"""
+SQL["panel_build_log"] = "WITH " + _STAGE1 + """
+SELECT cik, ticker, name AS company_name, CASE WHEN has_ns THEN 'us-gaap' END AS namespace,
+  CASE WHEN error = '' THEN 'Success' ELSE 'Fail' END AS status, error FROM company"""

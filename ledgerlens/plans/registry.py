@@ -23,6 +23,7 @@ QUERIES = {
     "run_stats": checks.run_stats,                      # A14, U1
     "success_rate": checks.success_rate,                # A14
     "trend_band": checks.trend_band,                    # A9
+    "trend_band_resampled": checks.trend_band_resampled,    # A9 (rows-only: draws by hash)
     "size_scale": checks.size_scale_check,              # X6
     "sic_groups": checks.sic_groups,                    # X1
     "ratio_score": checks.ratio_score_check,            # X1-X3
@@ -58,8 +59,8 @@ QUERIES = {
     "json_field": checks.json_field,                    # X13
     "retry_set": checks.retry_set_check,                # F7, S6
     "top_missing": checks.top_missing,                  # O3, A11
-    "panel_build": checks.panel_build,                  # stage 1 end to end: S3, F1-F6, K1-K10, J1-J8, D, R (rows-only)
-    "panel_build_log": checks.panel_build_log,          # Q8 run log (rows-only)
+    "panel_build": checks.panel_build,                  # stage 1 end to end: S3, F1-F6, K1-K10, J1-J8, D, R
+    "panel_build_log": checks.panel_build_log,          # Q8 run log
     "time_split": checks.time_split,                    # F14
     "scaled_train": checks.scaled_train,                # M1, M3, A13
     "ols_prefix_r2": checks.ols_prefix_r2,              # M2, M4, M10, M11, O4 (rows-only)

@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..constants import BOOST_RATE, BOOST_ROUNDS, FOREST_TREES, SEED
+from ..functions.draws import poisson_weights
 from ..session import cut
 
 BINS = 256
@@ -187,19 +188,9 @@ def best_split(cells: np.ndarray, s: np.ndarray, n: np.ndarray, k: int, l2: floa
 
 # ---- bootstrap and boosting ----------------------------------------------------------------
 
-def _mixed(x: np.ndarray) -> np.ndarray:
-    x = x + np.uint64(0x9E3779B97F4A7C15)
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
 def bootstrap_weights(rid: np.ndarray, tree: int) -> np.ndarray:
-    """Poisson(1) draws from a hash of (row, tree): the same wherever the row lies."""
-    with np.errstate(over="ignore"):
-        u = _mixed(rid.astype(np.int64).view(np.uint64) ^ _mixed(np.full(1, tree + (SEED << 20), np.uint64))) / 2.0 ** 64
-    steps = np.cumsum([np.exp(-1.0) / f for f in np.cumprod([1.0, *range(1, 12)])])
-    return np.searchsorted(steps, u, side="right").astype(np.int64)
+    """How often a forest's tree takes each row: Poisson(1), drawn from (row, tree)."""
+    return poisson_weights(rid, tree, SEED)[:, 0]
 
 
 def to_grid(y: np.ndarray, largest: float) -> np.ndarray:

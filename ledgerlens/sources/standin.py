@@ -253,11 +253,12 @@ def mixed_namespace_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def directory_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Directory JSON texts, one per nation: {"<supplier key>": {cik_str, ticker, title}}."""
+    """Directory JSON texts of at most 1000 entries, by nation and range of supplier keys:
+    {"<supplier key>": {cik_str, ticker, title}}."""
     s = table(spark, sf_dir, "supplier")
     entry = F.struct(F.col("s_suppkey").cast("long").alias("cik_str"), F.concat(F.lit("S"), F.col("s_suppkey").cast("string")).alias("ticker"),
                      F.col("s_name").alias("title"))
-    return s.groupBy("s_nationkey").agg(F.to_json(F.map_from_entries(F.collect_list(
+    return s.groupBy("s_nationkey", F.floor(F.col("s_suppkey") / 1000)).agg(F.to_json(F.map_from_entries(F.collect_list(
         F.struct(F.col("s_suppkey").cast("string"), entry)))).alias("doc"))
 
 
@@ -347,10 +348,11 @@ def taxonomy_companies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def daily_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Trading days per company = its ship dates; close = mean line price (scaled)."""
+    """Trading days per company = its ship dates; close = mean line price
+    (scaled so that means of a few days do not lie on a rounding boundary)."""
     li = table(spark, sf_dir, "lineitem").select("l_suppkey", "l_shipdate", "l_extendedprice", "l_tax")
     g = li.groupBy("l_suppkey", F.col("l_shipdate").cast("date").alias("d")).agg(
-        F.avg(F.col("l_extendedprice") / 7.0 / 100.0).alias("close_adj"),
-        F.avg(F.col("l_extendedprice") * (1 + F.col("l_tax")) / 7.0 / 100.0).alias("close_unadj"))
+        F.avg(F.col("l_extendedprice") / 7.0 / 103.27).alias("close_adj"),
+        F.avg(F.col("l_extendedprice") / 7.0 * (1 + F.col("l_tax")) / 103.27).alias("close_unadj"))
     return g.select(F.concat(F.lit("S"), F.col("l_suppkey").cast("string")).alias("ticker"), "d",
                     "close_adj", "close_unadj")

@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from ledgerlens.operators.moments import co_moments, collected
 from ledgerlens.plans import fits, models as M, svr, trees
 from ledgerlens.plans.trees import Settings
 
@@ -12,14 +13,14 @@ FEW = Settings(forest_trees=4, boost_rounds=4, boost_depth=3)
 BY_PASSES = Settings(forest_trees=4, boost_rounds=4, boost_depth=3, local_rows=25)
 
 
-def toy(spark, n=260, parts=3, seed=5, big=1.0):
+def toy(spark, n=260, parts=3, seed=5, offset=0.0):
     """A search plan over two industries with three features, one of them constant in B."""
     rng = np.random.default_rng(seed)
     rows = []
     for ind, m in (("A", n), ("B", n // 4)):
         x = np.round(rng.normal(size=(m, 3)), 2)
         x[:, 2] = x[:, 2] if ind == "A" else 1.0
-        y = 50 + big * (10 * x[:, 0] - 5 * np.abs(x[:, 1]) + (x[:, 0] > 0.5) * 8 + rng.normal(scale=0.5, size=m))
+        y = 50 + offset + (10 * x[:, 0] - 5 * np.abs(x[:, 1]) + (x[:, 0] > 0.5) * 8 + rng.normal(scale=0.5, size=m))
         rows += [(f"{ind}{i // 7}", 2000 + i % 7, ind, "train" if i % 7 < 5 else "test", float(v), 1.0, *map(float, x[i])) for i, v in enumerate(y)]
     df = spark.createDataFrame(rows, "ticker string, fy int, broad_industry string, split string, stock_price double, market_cap double, f0 double, f1 double, f2 double")
     pdf = df.toPandas()
@@ -29,7 +30,10 @@ def toy(spark, n=260, parts=3, seed=5, big=1.0):
         sd = x.std(axis=0)
         stats[ind], live[ind], ys[ind] = (x.mean(axis=0), np.where(sd > 0, sd, 1.0)), sd > 0, (g.stock_price.mean(), g.stock_price.std(ddof=0))
     pools = {i: ["f0", "f1", "f2"] for i in stats}
-    return M.SearchPlan(df.repartition(parts, "fy", "ticker"), pools, {}, {}, {}, stats, live, ys)
+    held = {}
+    for (ind, split), m in collected(co_moments(df, ["f0", "f1", "f2", "stock_price"], ["broad_industry", "split"]), ["broad_industry", "split"]).items():
+        held.setdefault(ind, {})[split] = m
+    return M.SearchPlan(df.repartition(parts, "fy", "ticker"), pools, {}, {}, {}, stats, live, ys, held)
 
 
 def specs(families, ks=(2, 3)):
@@ -162,9 +166,7 @@ def test_r2_is_near_that_of_sparks_regressors(spark):
 
 def test_a_large_offset_does_not_hurt(spark):
     """Prices around 1e9 with a spread of 1: linear, tree and kernel fits as without the offset."""
-    plan, far = toy(spark, n=140), toy(spark, n=140)
-    far.data = far.data.withColumn("stock_price", F.col("stock_price") + 1e9)
-    far.y_stats = {i: (m + 1e9, s) for i, (m, s) in far.y_stats.items()}
+    plan, far = toy(spark, n=140), toy(spark, n=140, offset=1e9)
     near, off = M.linear_results(plan, ["A"])[0], M.linear_results(far, ["A"])[0]
     assert [r[4] for r in off] == pytest.approx([r[4] for r in near], abs=1e-5)
     a, b = (M.fitted_results(p, ["A"], [fits.SVR])[0][4] for p in (plan, far))

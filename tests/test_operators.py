@@ -150,3 +150,65 @@ def test_additive_tag_alone_is_no_sum(spark):
     ct = concept_table(spark, {"c": ["Fill"]}, {"c": "Add"})
     got = {(r["cik"], r["fy"]): r["val"] for r in resolve_concepts(template, values, ct, keys=["fy"]).collect()}
     assert got == {("a", 2020): 5.0, ("b", 2020): 7.0, ("b", 2021): 0.0}
+
+
+def test_resampled_band_is_near_the_normal_one_and_covers(spark):
+    """On normal data the resampled band is the parametric one within a tenth of its
+    width; over many samples it holds the true line about as often as it says; any
+    partitions give the same band; no line, no rows."""
+    import numpy as np
+    from ledgerlens.operators.stats import trend_band, trend_band_resampled
+    schema = "ticker string, fy int, theoretical_price double, stock_price double"
+
+    def sample(seed, n):
+        rng = np.random.default_rng(seed)
+        x = rng.normal(size=n) * 10 + 1000
+        return spark.createDataFrame([(f"T{i}", 2020, float(a), float(2 * a + 5 + e)) for i, (a, e) in enumerate(zip(x, rng.normal(size=n) * 8))], schema)
+
+    df = sample(1, 800)
+    a = {r["point"]: r for r in trend_band(df).collect()}
+    b = {r["point"]: r for r in trend_band_resampled(df).collect()}
+    assert len(b) == 100
+    for i in a:
+        width = a[i]["upper"] - a[i]["lower"]
+        assert abs(a[i]["x"] - b[i]["x"]) < 1e-9 and abs(a[i]["fit"] - b[i]["fit"]) < 1e-6
+        assert max(abs(a[i]["lower"] - b[i]["lower"]), abs(a[i]["upper"] - b[i]["upper"])) < 0.2 * width
+    again = {r["point"]: r for r in trend_band_resampled(df.repartition(5, "ticker")).collect()}
+    assert all(abs(again[i][c] - b[i][c]) < 1e-6 for i in b for c in ("lower", "upper"))
+    held = 0
+    for seed in range(20):
+        r = trend_band_resampled(sample(100 + seed, 120), draws=300, points=3).collect()[1]
+        held += r["lower"] <= 2 * r["x"] + 5 <= r["upper"]
+    assert held >= 16
+    flat = spark.createDataFrame([("A", 1, 1.0, 2.0), ("B", 1, 1.0, 3.0), ("C", 1, 1.0, 4.0), ("D", 1, None, 4.0)], schema)
+    assert trend_band_resampled(flat).collect() == [] and trend_band_resampled(flat.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize("accuracy", [10_000, 25, 5])
+def test_quantiles_inside_brackets_are_exact(spark, monkeypatch, accuracy):
+    """Groups taken whole and groups inside brackets of a coarse sketch: numpy's values, with
+    ties, missing values, a null key and a group of one; also when the sketch is off."""
+    import numpy as np
+    from ledgerlens.operators import quantiles
+    rng = np.random.default_rng(6)
+    rows = [("a", float(v)) for v in rng.normal(size=3000)] + [("b", float(v)) for v in rng.integers(0, 4, 700)] + [(None, float(v)) for v in rng.exponential(size=400)]
+    rows += [("one", 3.0), ("none", None), ("none", float("nan")), ("a", None)]
+    df = spark.createDataFrame(rows, "g string, v double").repartition(6)
+    probs = [0.0, 0.01, 0.5, 0.99, 1.0]
+    groups = {}
+    for g, v in rows:
+        if v is not None and v == v:
+            groups.setdefault(g, []).append(v)
+
+    def check():
+        got = {(r["g"], r["p"]): r["q"] for r in quantiles.exact_quantiles(df, "v", probs, ["g"], accuracy).collect()}
+        assert got.keys() == {(g, p) for g in groups for p in probs}
+        assert all(got[g, p] == pytest.approx(np.quantile(v, p), abs=1e-12) for g, v in groups.items() for p in probs)
+
+    check()
+    if accuracy == 5:
+        real = quantiles._brackets
+        monkeypatch.setattr(quantiles, "_brackets", lambda *a: real(*a).withColumn("_spans", F.transform("_spans", lambda s: s.withField("low", F.lit(0.4)).withField("high", F.lit(0.6)))))
+        check()
+    whole = quantiles.exact_quantiles(df, "v", [0.5], accuracy=accuracy).collect()
+    assert [r["q"] for r in whole] == [pytest.approx(np.median([v for x in groups.values() for v in x]))]

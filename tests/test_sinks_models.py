@@ -55,24 +55,33 @@ def test_upsert_replaces_by_key_and_can_run_again(spark, scratch):
     assert rows(log) == rows(p) and "bucket" in read_table(spark, log).columns
 
 
-def test_gram_solvers_match_numpy():
-    from ledgerlens.plans.models import _r2_from_gram, _solve
+@pytest.mark.parametrize("offset", [0.0, 1e8])
+def test_co_moments_give_means_correlations_and_fits(spark, offset):
+    """One scan in many partitions against numpy on the rows: means, deviations, correlations,
+    least squares, ridge and R^2 on other rows; a large offset cancels nothing; constant
+    and missing columns stay apart; a null key is a group."""
+    from ledgerlens.operators.moments import co_moments, collected, r2, ridge
     rng = np.random.default_rng(0)
-    X = rng.normal(size=(80, 4))
-    y = X @ np.array([1.0, -2.0, 0.5, 0.0]) + 3 + rng.normal(scale=0.1, size=80)
-    A = np.hstack([np.ones((80, 1)), X, y[:, None]])
-    G = A.T @ A
-    b0, beta = _solve(G, [1, 2, 3, 4], 5, None)
-    coef, *_ = np.linalg.lstsq(np.hstack([np.ones((80, 1)), X]), y, rcond=None)
-    assert b0 == pytest.approx(coef[0]) and np.allclose(beta, coef[1:])
-    # ridge (alpha=1) with unpenalised intercept on centred data
-    Xc, yc = X - X.mean(0), y - y.mean()
-    rb = np.linalg.solve(Xc.T @ Xc + np.eye(4), Xc.T @ yc)
-    b0r, betar = _solve(G, [1, 2, 3, 4], 5, 1.0)
-    assert np.allclose(betar, rb) and b0r == pytest.approx(y.mean() - X.mean(0) @ rb)
-    pred = b0 + X @ beta
-    r2 = 1 - ((y - pred) ** 2).sum() / ((y - y.mean()) ** 2).sum()
-    assert _r2_from_gram(G, [1, 2, 3, 4], 5, b0, beta) == pytest.approx(r2, abs=1e-9)
+    x = rng.normal(size=(240, 4)) * [1, 3, 0.5, 2] + offset
+    y = (x - offset) @ np.array([1.0, -2.0, 0.5, 0.0]) + 3 + offset + rng.normal(scale=0.1, size=240)
+    part = np.array(["train", "test", None], dtype=object)[np.arange(240) % 3]
+    rows = [(p, *map(float, v), float(t), 7.0, None if i == 5 else 1.0) for i, (p, v, t) in enumerate(zip(part, x, y))]
+    df = spark.createDataFrame(rows, "g string, a double, b double, c double, d double, y double, k double, m double").repartition(7)
+    held = collected(co_moments(df, ["a", "b", "c", "d", "y", "k", "m"], ["g"]), ["g"])
+    assert set(held) == {("train",), ("test",), (None,)} and sum(m.n for m in held.values()) == 240
+    tr, te = held[("train",)], held[("test",)]
+    X, T, u, v = x[part == "train"], x[part == "test"], y[part == "train"], y[part == "test"]
+    assert np.allclose(tr.mean[:5], [*X.mean(0), u.mean()], rtol=1e-12) and np.allclose(tr.std[:4], X.std(0), rtol=1e-6) and tr.std[5] == 0
+    assert np.allclose(tr.corr(4)[:4], [np.corrcoef(X[:, j], u)[0, 1] for j in range(4)], atol=1e-7) and np.isnan(tr.corr(4)[5])
+    assert np.isnan(held[(None,)].mean[6]) and np.isfinite(held[(None,)].c[:5, :5]).all()
+    mu, sd = tr.mean[:4], tr.std[:4]
+    Z, V = (X - mu) / sd, (T - mu) / sd
+    for alpha in (None, 1.0):
+        b0, beta = ridge(tr, mu, sd, 4, 4, alpha)
+        want = np.linalg.lstsq(Z, u - u.mean(), rcond=None)[0] if alpha is None else np.linalg.solve(Z.T @ Z + np.eye(4), Z.T @ (u - u.mean()))
+        assert np.allclose(beta, want, atol=1e-6) and b0 == pytest.approx(u.mean(), rel=1e-12)
+        e = v - b0 - V @ beta
+        assert r2(te, mu, sd, 4, 4, b0, beta) == pytest.approx(1 - (e ** 2).sum() / ((v - v.mean()) ** 2).sum(), abs=1e-6)
 
 
 def test_prefix_sizes_and_selection():
@@ -108,28 +117,34 @@ def test_linear_model_persistence_roundtrip(spark, scratch):
         assert r2 == pytest.approx(r["r2"], abs=1e-6)
 
 
-def test_gram_search_matches_row_level_lstsq(spark):
-    """The distributed Gram pass reproduces a row-level least-squares fit per prefix."""
+def test_linear_search_matches_row_level_fits(spark):
+    """On the driver tables, every industry and prefix: the search's R^2 of OLS (where the
+    rows determine it) and of ridge are those of fits to the rows."""
     from ledgerlens.plans.checks import features
     from ledgerlens.plans import models as M
-    plan = M.prepare(features(spark, "/root/testdata/sf0.001"), 1999, 2000)
+    plan = M.prepare(features(spark, "/root/testdata/sf0.01"), 1999, 2000)
     inds = M.eligible_industries(plan)
-    res, _ = M.linear_results(plan, inds, ("Linear Regression",))
-    pdf = plan.data.toPandas()
+    res = {(r[0], r[1], r[2]): r[4] for r in M.linear_results(plan, inds)[0]}
+    pdf, checked = plan.data.toPandas(), 0
     for ind in inds:
         pool, (mu, sd) = plan.pools[ind], plan.stats[ind]
         d = pdf[pdf.broad_industry == ind]
         tr, te = d[d.split == "train"], d[d.split == "test"]
-        for ratio, k in M.prefix_sizes(len(pool))[:3]:
-            xtr = (tr[pool[:k]].to_numpy(float) - mu[:k]) / sd[:k]
-            xte = (te[pool[:k]].to_numpy(float) - mu[:k]) / sd[:k]
-            coef = np.linalg.lstsq(np.hstack([np.ones((len(xtr), 1)), xtr]), tr.stock_price.to_numpy(float),
-                                   rcond=None)[0]
-            y = te.stock_price.to_numpy(float)
-            pred = coef[0] + xte @ coef[1:]
-            r2 = 1 - ((y - pred) ** 2).sum() / ((y - y.mean()) ** 2).sum()
-            got = [r[4] for r in res if r[0] == ind and r[2] == ratio][0]
-            assert got == pytest.approx(r2, abs=1e-4)
+        x, t = (tr[pool].to_numpy(float) - mu) / sd, (te[pool].to_numpy(float) - mu) / sd
+        assert np.allclose(x.mean(0), 0, atol=1e-9) and np.allclose(x.std(0)[plan.live[ind]], 1)
+        u, v = tr.stock_price.to_numpy(float), te.stock_price.to_numpy(float)
+
+        def r2(pred):
+            return 1 - ((v - pred) ** 2).sum() / ((v - v.mean()) ** 2).sum()
+
+        for ratio, k in M.prefix_sizes(len(pool)):
+            ridge = np.linalg.solve(x[:, :k].T @ x[:, :k] + np.eye(k), x[:, :k].T @ (u - u.mean()))
+            assert res[ind, M.RIDGE, ratio] == pytest.approx(r2(u.mean() + t[:, :k] @ ridge), abs=1e-5, rel=1e-5)
+            if len(x) > k + 2 and np.linalg.cond(x[:, :k]) < 1e3:
+                coef = np.linalg.lstsq(x[:, :k], u - u.mean(), rcond=None)[0]
+                assert res[ind, M.LINEAR, ratio] == pytest.approx(r2(u.mean() + t[:, :k] @ coef), abs=1e-4, rel=1e-4)
+                checked += 1
+    assert checked > 20
 
 
 def test_summary_csv_is_one_ordered_file(spark, scratch):
