@@ -31,7 +31,7 @@ from .vectors import matrix, usable
 
 HALF = 1.0      # a window's half width is HALF * R
 GROWTH = 1.3
-STEP = 512      # queries that a group answers together
+STEP = 128      # queries that a group answers together: what they have seen stays in a core's cache
 
 
 def threshold(projections: int, confidence: float) -> int:

@@ -58,7 +58,8 @@ NEVER_SPARED = frozenset("ad ads adv advert advertisement adverts advertising co
 #: Class names that tell of something else on the page.
 ABOUT = re.compile(r"(?:has|with|no|is|js)-")
 
-SALTS = 64
+PART_ROWS = 100_000     # pages of a part that a hot host is dealt to, and at least LEAST_PARTS parts
+LEAST_PARTS = 64
 
 TAG = re.compile(r"<!--|<[!?]|<(/?)([a-zA-Z][^\s/>]*)")
 REST = re.compile(r"""[^>"']*+(?:"[^"]*"[^>"']*+|'[^']*'[^>"']*+)*+>""")
@@ -361,8 +362,10 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     if size <= broadcast_mb * 1e6:
         rows = rows.join(F.broadcast(best), "host", "left")
     else:
-        spread = best.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        rows = rows.withColumn("salt", F.pmod(F.xxhash64("id", "html"), F.lit(SALTS)).cast("int")).join(spread, ["host", "salt"], "left")
+        hottest = rows.groupBy("host").count().agg(F.max("count")).first()[0] or 0
+        parts = max(LEAST_PARTS, -(-hottest // PART_ROWS))
+        spread = best.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+        rows = rows.withColumn("salt", F.pmod(F.xxhash64("id", "html"), F.lit(parts)).cast("int")).join(spread, ["host", "salt"], "left")
     return rows.select(F.col("id").alias(id_col), F.col("url").alias(url_col),
                                                   extract("html", "path").alias("text")) \
         .withColumn("n_chars", F.length("text").cast("long"))

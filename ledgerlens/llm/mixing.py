@@ -27,7 +27,8 @@ from pyspark.sql.window import Window
 from .common import cut, word_count
 
 BINS = 1024
-SALTS = 64
+PART_ROWS = 1_000_000   # rows of a part that a hot source is dealt to, and at least LEAST_PARTS parts
+LEAST_PARTS = 64
 TOLERANCE = 1e-10
 MAX_STEPS = 100
 
@@ -56,14 +57,24 @@ def source_targets(sources: DataFrame, weights, cap: float, share: float = 1.0)
     s = cut(_ranked(sources).withColumn("weight", F.element_at(ws, (F.col("sid") % len(weights) + 1).cast("int")))
             .withColumn("most", F.lit(float(cap)) * F.col("source_size")))
     total = share * float(s.agg(F.sum("source_size")).first()[0] or 0)
-    level = 0.0     # words for a weight of one; a source gets min(most, weight * level)
-    while True:
-        full = F.col("most") <= F.col("weight") * F.lit(level)
-        row = s.agg(F.sum(F.when(full, F.col("most"))), F.sum(F.when(~full, F.col("weight")))).first()
-        up = (total - (row[0] or 0.0)) / row[1] if row[1] else level
-        if not row[1] or up <= level * (1 + 1e-15):
-            break
-        level = up
+    # sources fill up in the order of most / weight; sums in that order say how many do: per
+    # partition of a range sort, whose totals (whole numbers, so exact) go to the driver
+    placed = cut(s.select("sid", "weight", "most", (F.col("most") / F.col("weight")).alias("full_at")).orderBy("full_at", "sid")) \
+        .withColumn("pid", F.spark_partition_id())
+    before, most, weight = {}, 0.0, 0.0
+    for r in sorted(placed.groupBy("pid").agg(F.sum("most").alias("most"), F.sum("weight").alias("weight")).collect()):
+        before[r["pid"]] = (most, weight)
+        most, weight = most + r["most"], weight + r["weight"]
+    if not before:
+        return s.withColumn("target", F.lit(0.0)).drop("most")
+    by = Window.partitionBy("pid").orderBy("full_at", "sid")
+    of = F.create_map(*[x for pid, (m, w) in before.items() for x in (F.lit(pid), F.struct(F.lit(m).alias("m"), F.lit(w).alias("w")))])[F.col("pid")]
+    upto = placed.select("full_at", "sid", (of["m"] + F.sum("most").over(by)).alias("m"), (of["w"] + F.sum("weight").over(by)).alias("w"))
+    last = upto.filter(F.col("m") + F.col("full_at") * (F.lit(weight) - F.col("w")) <= F.lit(total)) \
+        .agg(F.max_by(F.struct("m", "w", "full_at"), F.struct("full_at", "sid")).alias("l")).first()["l"]
+    m, w, level = (last["m"], last["w"], last["full_at"]) if last else (0.0, 0.0, 0.0)
+    if w < weight:      # words for a weight of one; a source gets min(most, weight * level)
+        level = (total - m) / (weight - w)
     return s.withColumn("target", F.least("most", F.col("weight") * F.lit(level))).drop("most")
 
 
@@ -117,21 +128,21 @@ def _places(rate: Column, mark: Column, seed: Column, cap: int) -> Column:
                      for k in range(1, cap + 1)])
 
 
-def _with_state(rows: DataFrame, state: DataFrame, on=("sid",)) -> DataFrame:
+def _with_state(rows: DataFrame, state: DataFrame, parts: int, on=("sid",)) -> DataFrame:
     """rows (..., mark) joined to a per-source table. A source may hold a third of all
-    rows: each is dealt to SALTS parts by its mark, and the small table repeated."""
-    salted = state.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
-    return rows.withColumn("salt", F.pmod("mark", F.lit(SALTS))).join(salted, [*on, "salt"]).drop("salt")
+    rows: each is dealt to ``parts`` parts by its mark, and the small table repeated."""
+    salted = state.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))))
+    return rows.withColumn("salt", F.pmod("mark", F.lit(parts))).join(salted, [*on, "salt"]).drop("salt")
 
 
-def _rated(rows: DataFrame, state: DataFrame, cap: float, tilt: float) -> DataFrame:
+def _rated(rows: DataFrame, state: DataFrame, cap: float, tilt: float, parts: int) -> DataFrame:
     """rows (..., sid, size, mark) with their source's state and their rate."""
     z = F.pow(F.col("size") / F.col("scale"), F.lit(float(tilt)))
     rate = F.when(F.col("size") > 0, _rate(F.col("lam"), z, cap)).otherwise(F.lit(1.0))
-    return _with_state(rows, state).withColumn("rate", rate)
+    return _with_state(rows, state, parts).withColumn("rate", rate)
 
 
-def choose_shift(rated: DataFrame, state: DataFrame, cap: int, tries: int) -> DataFrame:
+def choose_shift(rated: DataFrame, state: DataFrame, cap: int, tries: int, parts: int) -> DataFrame:
     """Adds ``seed`` and ``edge`` to ``state``: a row has as many copies as it has places
     <= edge. The shift that comes nearest the target is found for each of ``tries``
     seeds; the best seed of a source is kept."""
@@ -150,7 +161,7 @@ def choose_shift(rated: DataFrame, state: DataFrame, cap: int, tries: int) -> Da
     below = coarse.join(pick, ["sid", "seed"]).groupBy("sid", "seed", "b", "target").agg(
         F.coalesce(F.max(F.when(F.col("bin") < F.col("b"), F.col("upto"))), F.lit(0)).alias("below"))
     below = cut(below)
-    inside = _with_state(steps, below.select("sid", "seed", "b"), ("sid", "seed")).filter(F.floor(F.col("at") / BINS) == F.col("b"))
+    inside = _with_state(steps, below.select("sid", "seed", "b"), parts, ("sid", "seed")).filter(F.floor(F.col("at") / BINS) == F.col("b"))
     fine = sums(inside, F.col("at")).join(below, ["sid", "seed"]) \
         .select("sid", "seed", F.col("bin").alias("edge"), F.abs(F.col("upto") + F.col("below") - F.col("target")).alias("off"))
     none = below.select("sid", "seed", (F.col("b") * BINS - 1).alias("edge"), F.abs(F.col("below") - F.col("target")).alias("off"))
@@ -189,18 +200,20 @@ def counted_up(rows: DataFrame, n: str, k: str, step: int = 1000) -> DataFrame:
 
 def mix_state(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
               weights=(5, 2, 1), cap: int = 3, share: float = 1.0, tilt: float = 0.5, tries: int = 4):
-    """(state, rows): per source the target, multiplier and rounding edge; and the
-    rows (id, source, size, h, k, sid, mark), k counting equal rows from 1."""
+    """(state, rows, parts): per source the target, multiplier and rounding edge; the rows
+    (id, source, size, h, k, sid, mark), k counting equal rows from 1; and to how many parts
+    a source's rows are dealt."""
     rows = cut(keyed(docs, id_col, text_col, source_col).groupBy("id", "source", "size", "h").agg(F.count(F.lit(1)).alias("n")))
     sources = rows.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size"),
                                          F.sum(F.when(F.col("size") > 0, F.col("n"))).alias("n_docs")) \
         .withColumn("n_docs", F.coalesce("n_docs", F.lit(0)))
     targets = cut(source_targets(sources, weights, cap, share))
+    parts = max(LEAST_PARTS, -(-(targets.agg(F.max("n_docs")).first()[0] or 0) // PART_ROWS))
     rows = cut(rows.join(targets.select(F.col("source").alias("s2"), "sid"), F.col("source").eqNullSafe(F.col("s2"))).drop("s2"))
     hist = cut(rows.filter("size > 0").groupBy("sid", "size").agg(F.sum("n").alias("n")))
     state = solve_dual(hist, targets, cap, tilt).drop("source")
     rows = counted_up(rows, "n", "k").withColumn("mark", F.xxhash64(*MARK))
-    return choose_shift(_rated(rows, state, cap, tilt), state, cap, tries), rows
+    return choose_shift(_rated(rows, state, cap, tilt, parts), state, cap, tries, parts), rows, parts
 
 
 def entropy_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
@@ -213,8 +226,8 @@ def entropy_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     told apart by a running number, so each keeps its own row and its own rounding;
     null ids are ids like any other. An empty table gives an empty result. Reruns
     agree: nothing depends on partitions or row order. Other columns are ignored."""
-    state, rows = mix_state(docs, id_col, text_col, source_col, weights, cap, share, tilt, tries)
-    out = _rated(rows, state, cap, tilt).withColumn("copies", copies(cap))
+    state, rows, parts = mix_state(docs, id_col, text_col, source_col, weights, cap, share, tilt, tries)
+    out = _rated(rows, state, cap, tilt, parts).withColumn("copies", copies(cap))
     return out.select(F.col("id").alias(id_col), F.col("source").alias(source_col), "size", "source_size", "target", "rate",
                       "copies", (F.col("copies") * F.col("size")).alias("taken"))
 
@@ -226,13 +239,13 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     of all of them. Only the per-source state is joined to the texts, and the table of
     such repeated rows (broadcast up to ``few``)."""
     names = docs.columns
-    state, rows = mix_state(docs, id_col, text_col, source_col, weights, cap, share, tilt, tries)
+    state, rows, parts = mix_state(docs, id_col, text_col, source_col, weights, cap, share, tilt, tries)
     of = rows.select("source", "sid").distinct()
     whole = docs.select(F.struct(*names).alias("row")).select(
         "row", F.col("row")[id_col].alias("id"), F.col("row")[source_col].alias("source"),
         word_count(F.col("row")[text_col]).alias("size"), F.xxhash64(F.col("row")[text_col]).alias("h"))
     # rows that are alike share their copies: each the whole part, one of them the rest
-    alike = cut(_rated(rows, state, cap, tilt).withColumn("copies", copies(cap)).groupBy("id", "source", "size", "h")
+    alike = cut(_rated(rows, state, cap, tilt, parts).withColumn("copies", copies(cap)).groupBy("id", "source", "size", "h")
                 .agg(F.count(F.lit(1)).alias("n"), F.sum("copies").alias("all")).filter("n > 1"))
     repeated = alike.count()
     other = alike.select(F.col("id").alias("id2"), F.col("source").alias("source2"), F.col("size").alias("size2"), F.col("h").alias("h2"), "n", "all")
@@ -243,7 +256,7 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         whole = whole.withColumns({"n": F.lit(None).cast("long"), "all": F.lit(None).cast("long")})
     single = whole.filter("n IS NULL").withColumn("k", F.lit(1).cast("long")).withColumn("mark", F.xxhash64(*MARK)) \
         .join(of.withColumnRenamed("source", "s2"), F.col("source").eqNullSafe(F.col("s2"))).drop("s2")
-    single = _rated(single.drop("n", "all"), state, cap, tilt).select("row", copies(cap).alias("copies"))
+    single = _rated(single.drop("n", "all"), state, cap, tilt, parts).select("row", copies(cap).alias("copies"))
     if not repeated:
         return counted_up(single.filter("copies > 0"), "copies", "copy").select("row.*")
     shared = whole.filter("n IS NOT NULL")

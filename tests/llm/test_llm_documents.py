@@ -108,6 +108,41 @@ def test_mix_repeats_are_told_apart(spark):
     check_mix(rows, got, lambda s, x: 10)
 
 
+def test_many_targets_at_once(spark):
+    """Water is filled to one level whatever the number of sources, in any order."""
+    rng = np.random.default_rng(3)
+    for n, share in ((40, 1.0), (1, 1.0), (7, 2.5), (5, 9.0)):
+        size = {f"s{i:02}": int(x) for i, x in enumerate(rng.integers(0, 10_000, n) ** 2 % 9973)}
+        w = {s: (5, 2, 1)[i % 3] for i, s in enumerate(sorted(size))}
+        target, left, open_ = {}, share * sum(size.values()), set(size)
+        while open_:
+            part = left / sum(w[s] for s in open_)
+            full = {s for s in open_ if 3 * size[s] <= w[s] * part}
+            target |= {s: float(3 * size[s]) for s in full} if full else {s: w[s] * part for s in open_}
+            left -= sum(3 * size[s] for s in full)
+            open_ = open_ - full if full else set()
+        df = spark.createDataFrame([(s, x, 1) for s, x in size.items()], "source string, source_size long, n_docs long").repartition(4)
+        got = {r["source"]: r["target"] for r in mixing.source_targets(df, (5, 2, 1), 3, share).collect()}
+        assert got == pytest.approx(target)
+
+
+def test_alike_rows_share_their_copies(spark):
+    """Rows with equal id, source and text get the copies of all of them together, whichever
+    other columns they have; beyond the bound on what is broadcast as well."""
+    rows = [(1, "w " * 10, "en", "a", 0)] * 300 + [(1, "w " * 10, "fr", "a", 1)] * 5 + [(i, "w " * 10, "en", "b", 0) for i in range(2, 102)]
+    want = Counter()
+    for r in mixing.entropy_mix(docs(spark, rows)).collect():
+        want[r["doc_id"]] += r["copies"]
+    for few in (50_000, 0):
+        assert Counter(r["doc_id"] for r in mixing.mixed_documents(docs(spark, rows).repartition(3), few=few).collect()) == +want
+
+
+def test_numbering_has_no_long_arrays(spark):
+    df = spark.createDataFrame([("a", 1), ("b", 3), ("c", 1000), ("d", 1001), ("e", 9999)], "s string, n long")
+    got = Counter((r["s"], r["k"]) for r in mixing.counted_up(df, "n", "k", 10).collect())
+    assert got == Counter((s, k) for s, n in (("a", 1), ("b", 3), ("c", 1000), ("d", 1001), ("e", 9999)) for k in range(1, n + 1))
+
+
 def test_mixed_documents_follow_the_copies(spark):
     d = docs(spark)
     want = Counter()
@@ -152,7 +187,7 @@ def test_simhash_against_brute_force(spark):
     assert rows_of(simhash.simhash_components(docs(spark))) == want
 
 
-@pytest.mark.parametrize("bits,groups,block", [(4, None, 16), (4, None, 16_384), (3, 4, 8), (2, 6, 16_384)])
+@pytest.mark.parametrize("bits,groups,block", [(4, None, 16), (4, None, 16_384), (3, 4, 8), (2, 6, 16_384), (4, 7, 16), (4, 9, 16_384)])
 def test_links_lose_no_component(spark, bits, groups, block):
     """Random, dense and chained fingerprints; blocks and cells leave the result alone."""
     rng = np.random.default_rng(5)
@@ -398,6 +433,11 @@ def test_cache_is_read_and_extended(spark, scratch):
     got = {r["doc_id"]: r["n_tokens"] for r in token_counts.count_tokens(docs(spark, ROWS[:3]), other).collect()}
     assert got[1] == got[2] == 77 and got[3] != 77
     assert rows_of(token_counts.count_tokens(docs(spark, ROWS[:6]), at)) == want
+    # beyond the bound on what is broadcast, and with a cache that lacks one text of many
+    assert rows_of(token_counts.count_tokens(docs(spark, ROWS[:6]), f"{scratch}/token-cache-3", few=0)) == want
+    more = docs(spark, [*ROWS, (50, "a text that no cache has", "en", "a", 1)])
+    assert rows_of(token_counts.count_tokens(more, at, few=0)) == rows_of(token_counts.count_tokens(more, f"{scratch}/token-cache-4"))
+    assert spark.read.parquet(at).count() == held.count() + 1
 
 
 def test_every_operator_has_its_query():

@@ -260,15 +260,17 @@ def test_embedding_links_against_brute_force(spark, block):
     assert embed_dedup.near_duplicate_vectors(spark.createDataFrame([], VECTORS)).collect() == []
 
 
-def test_multiprobe_keeps_close_pairs():
-    """Pairs at the threshold meet in some table but for a very few in a million."""
+@pytest.mark.parametrize("tables,hashes", [embed_dedup.widths(n) for n in (10**6, 10**9, 10**11)])
+def test_multiprobe_keeps_close_pairs(tables, hashes):
+    """Pairs at the threshold meet in some table but for a very few in a million, with the
+    widths of any number of vectors."""
     rng = np.random.default_rng(0)
     x = rng.normal(size=(3000, 64))
     x /= np.linalg.norm(x, axis=1, keepdims=True)
     z = rng.normal(size=x.shape)
     z -= (z * x).sum(axis=1, keepdims=True) * x
     y = 0.98 * x + (1 - 0.98 ** 2) ** 0.5 * z / np.linalg.norm(z, axis=1, keepdims=True)
-    codes = np.concatenate([embed_dedup.hash_codes(x, 6, 2, 2, 10), embed_dedup.hash_codes(y, 6, 2, 2, 10)])
+    codes = np.concatenate([embed_dedup.hash_codes(x, tables, hashes, 2, 10), embed_dedup.hash_codes(y, tables, hashes, 2, 10)])
     a, b = np.arange(3000), np.arange(3000, 6000)
-    met = np.stack([embed_dedup.meets(codes, a, b, t) for t in range(6)])
-    assert met.any(axis=0).all() and met.mean() > 0.85
+    met = np.stack([embed_dedup.meets(codes, a, b, t) for t in range(tables)])
+    assert met.any(axis=0).all() and (1 - met.mean()) ** tables < 5e-6
