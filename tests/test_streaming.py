@@ -19,5 +19,5 @@ def test_stream_ingest_matches_batch(spark, scratch):
     log = {r["ticker"]: r["status"] for r in spark.read.parquet(f"{scratch}/stream_out/log").collect()}
     assert {k: log[k] for k in ("AAA", "BBB", "CCC", "DDD")} == {
         "AAA": "Success", "BBB": "Success", "CCC": "Fail", "DDD": "Fail"}
-    assert len(log) == 13
+    assert len(log) == 17
     assert panel.filter(F.col("ticker") == "AAA").count() == 7
