@@ -69,21 +69,28 @@ def loss_sums(phi: np.ndarray, y: np.ndarray, thetas, delta: float, slopes: bool
     return np.array(values), phi.T @ slope, bent.T @ bent / delta
 
 
-def newton(dim: int, rows: int, centre: float, spread: float, c: float = SVR_C, limit: int = 60):
-    """Generator: yields (thetas, delta, whether slopes are needed), is sent
-    ``loss_sums`` over all rows, returns theta (the intercept last)."""
+def direction(theta: np.ndarray, g: np.ndarray, h: np.ndarray, rows: int, spread: float, c: float = SVR_C) -> tuple[float, np.ndarray]:
+    """(slope along the step, Newton step) from the sums of gradient and curvature."""
+    flat = np.r_[np.ones(len(theta) - 1), 0.0]          # the intercept is free
+    grad = flat * theta + c * g
+    curve = np.diag(flat + np.r_[np.zeros(len(theta) - 1), 1e-6 * c * rows / max(spread, 1e-12) + 1e-9]) + c * h
+    step = -np.linalg.solve(curve, grad)
+    return float(grad @ step), step
+
+
+def newton(dim: int, centre: float, spread: float, c: float = SVR_C, limit: int = 60):
+    """Generator: yields (thetas, delta, whether a step is needed), is sent the sums of the
+    loss over all rows at each theta and, if asked, ``direction`` at the first; returns theta
+    (the intercept last). So no matrix of sums has to leave where it was added up."""
     theta = np.zeros(dim)
     theta[-1] = centre
-    flat = np.r_[np.ones(dim - 1), 0.0]                 # the intercept is free
+    flat = np.r_[np.ones(dim - 1), 0.0]
     delta, last = max(spread, SVR_EPSILON), 0.01 * SVR_EPSILON
     while True:
         for _ in range(limit):
-            v, g, h = yield [theta], delta, True
+            v, slope, step = yield [theta], delta, True
             now = (flat * theta) @ theta / 2 + c * v[0]
-            grad = flat * theta + c * g
-            curve = np.diag(flat + np.r_[np.zeros(dim - 1), 1e-6 * c * rows / max(spread, 1e-12) + 1e-9]) + c * h
-            step = -np.linalg.solve(curve, grad)
-            if -(grad @ step) < 1e-9 * max(1.0, abs(now)):
+            if -slope < 1e-9 * max(1.0, abs(now)):
                 break
             tries = [theta + s * step for s in STEPS]
             v, _, _ = yield tries, delta, False
@@ -111,8 +118,13 @@ def fit(z: np.ndarray, y: np.ndarray, landmarks: np.ndarray, gamma: float):
     """(features, theta) for rows in memory."""
     phi = KernelFeatures(landmarks, gamma)
     rows = phi(z)
-    theta = solve(newton(phi.dim, len(y), float(np.mean(y)), float(np.std(y))), lambda *asked: loss_sums(rows, y, *asked))
-    return phi, theta
+    centre, spread = float(np.mean(y)), float(np.std(y))
+
+    def answer(thetas, delta, slopes):
+        v, g, h = loss_sums(rows, y, thetas, delta, slopes)
+        return (v, *direction(thetas[0], g, h, len(y), spread)) if slopes else (v, None, None)
+
+    return phi, solve(newton(phi.dim, centre, spread), answer)
 
 
 def fit_by_passes(rows: DataFrame, models: dict, moments: dict) -> dict:
@@ -120,9 +132,10 @@ def fit_by_passes(rows: DataFrame, models: dict, moments: dict) -> dict:
     key (a number) to (industry, k, mean, std, landmarks, gamma); ``rows`` has industry, x
     (array of the pool's features) and y, training rows only; ``moments`` maps an industry
     to (rows, mean, std of y). Every pass answers the pending question of all models;
-    sums are reduced in two levels, so no task adds up all partitions."""
+    sums are reduced in two levels, so no task adds up all partitions, and the task that adds
+    the last ones solves for the step: the driver gets a vector a model, not a matrix."""
     features = {i: KernelFeatures(m[4], m[5]) for i, m in models.items()}
-    solvers = {i: newton(features[i].dim, *moments[m[0]]) for i, m in models.items()}
+    solvers = {i: newton(features[i].dim, *moments[m[0]][1:]) for i, m in models.items()}
     asked = {i: next(s) for i, s in solvers.items()}
     out: dict = {}
     schema = StructType([StructField("model", IntegerType()), StructField("part", IntegerType()), StructField("v", ArrayType(DoubleType()))])
@@ -145,12 +158,22 @@ def fit_by_passes(rows: DataFrame, models: dict, moments: dict) -> dict:
         def add(pdf):
             return pd.DataFrame({"model": [pdf["model"].iloc[0]], "part": [0], "v": [np.sum(np.vstack(pdf["v"].to_numpy()), axis=0).tolist()]})
 
+        def step(pdf):
+            i, v = int(pdf["model"].iloc[0]), np.sum(np.vstack(pdf["v"].to_numpy()), axis=0)
+            thetas, _, slopes = now[i]
+            if slopes:
+                v, g, h = _unflat(v, 1, features[i].dim)
+                n, _, spread = moments[models[i][0]]
+                v = np.concatenate([v, *map(np.atleast_1d, direction(thetas[0], g, h, n, spread))])
+            return pd.DataFrame({"model": [i], "part": [0], "v": [v.tolist()]})
+
         first = rows.mapInPandas(part, schema).withColumn("part", F.pmod(F.spark_partition_id(), F.lit(64)))
-        sums = first.groupBy("model", "part").applyInPandas(add, schema).groupBy("model").applyInPandas(add, schema).collect()
+        sums = first.groupBy("model", "part").applyInPandas(add, schema).groupBy("model").applyInPandas(step, schema).collect()
         for r in sorted(sums, key=lambda r: r["model"]):
             i = r["model"]
             try:
-                asked[i] = solvers[i].send(_unflat(np.array(r["v"]), len(now[i][0]), features[i].dim, now[i][2]))
+                v = np.array(r["v"])
+                asked[i] = solvers[i].send((v[:1], v[1], v[2:]) if now[i][2] else (v, None, None))
             except StopIteration as done:
                 out[i] = done.value
                 del asked[i]
@@ -162,5 +185,5 @@ def _flat(answer) -> np.ndarray:
     return v if g is None else np.concatenate([v, g, h.ravel()])
 
 
-def _unflat(x: np.ndarray, n: int, dim: int, slopes: bool):
-    return (x[:n], x[n:n + dim], x[n + dim:].reshape(dim, dim)) if slopes else (x, None, None)
+def _unflat(x: np.ndarray, n: int, dim: int):
+    return x[:n], x[n:n + dim], x[n + dim:].reshape(dim, dim)

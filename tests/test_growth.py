@@ -54,3 +54,24 @@ def test_boosting_of_a_large_industry_is_one_job_not_one_a_level(spark, monkeypa
     close(scored(fits.predictions(plan, specs([fits.BOOST]), plan.data, by_passes)), want)
     monkeypatch.setattr(trees, "boosted", None)             # no passes from here on
     close(scored(fits.predictions(plan, specs([fits.BOOST]), plan.data, BY_PASSES)), want)
+
+
+def test_support_vector_passes_send_vectors_to_the_driver(spark, monkeypatch):
+    sent, plain = [], svr.newton
+
+    def watched(dim, *rest):
+        solver = plain(dim, *rest)
+        try:
+            asked = next(solver)
+            while True:
+                answer = yield asked
+                sent.append((dim, sum(np.size(x) for x in answer if x is not None)))
+                asked = solver.send(answer)
+        except StopIteration as done:
+            return done.value
+
+    plan = toy(spark)
+    want = scored(fits.predictions(plan, specs([fits.SVR]), plan.data, FEW))
+    monkeypatch.setattr(svr, "newton", watched)
+    close(scored(fits.predictions(plan, specs([fits.SVR]), plan.data, BY_PASSES)), want, 1e-4)
+    assert sent and all(n <= max(dim + 2, len(svr.STEPS)) for dim, n in sent)
