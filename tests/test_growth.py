@@ -75,3 +75,15 @@ def test_support_vector_passes_send_vectors_to_the_driver(spark, monkeypatch):
     monkeypatch.setattr(svr, "newton", watched)
     close(scored(fits.predictions(plan, specs([fits.SVR]), plan.data, BY_PASSES)), want, 1e-4)
     assert sent and all(n <= max(dim + 2, len(svr.STEPS)) for dim, n in sent)
+
+
+def test_lines_of_a_company_year_travel_before_they_are_summed(spark, tables):
+    at, lines, orders = tables
+    panel = standin.supplier_year_panel(spark, at)
+    assert any("l_suppkey" in e and "part" in e for e in exchanges(panel))
+    got = {r["ticker"]: r for r in panel.collect()}
+    mine = [x for x in lines if x[1] == 1]
+    assert got["S1"]["gross_revenue"] == pytest.approx(sum(x[3] for x in mine) / 7)
+    assert got["S1"]["asset"] == pytest.approx(sum(orders[x[0]][2] for x in mine) / 7)
+    assert got["S1"]["shares#"] == sum(x[2] for x in mine) and got["S1"]["filed"] == dt.date(1996, 12, 3)
+    assert got["S2"]["gross_revenue"] == pytest.approx(100.0)
