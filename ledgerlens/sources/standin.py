@@ -248,14 +248,16 @@ def raw_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tv.unionByName(anchor)
 
 
-def mixed_namespace_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+def mixed_namespace_facts(spark: SparkSession, sf_dir: str, by_company: bool = False) -> DataFrame:
     """``raw_facts`` under several namespaces, by the supplier's account balance and the
     filing's form: overdrawn suppliers file under ifrs-full only, the next under dei
-    (no choice), others under us-gaap but for 20-F filings."""
+    (no choice), others under us-gaap but for 20-F filings. ``by_company`` deals the facts
+    by company first, for what puts together whole companies."""
     s = table(spark, sf_dir, "supplier").select(F.concat(F.lit("S"), F.col("s_suppkey").cast("string")).alias("cik"), "s_acctbal")
     ns = (F.when(F.col("s_acctbal") < 0, "ifrs-full").when(F.col("s_acctbal") < 1000, "dei")
           .when(F.col("form") == "20-F", "ifrs-full").otherwise("us-gaap"))
-    return raw_facts(spark, sf_dir).join(s, "cik").withColumn("ns", ns).drop("s_acctbal")
+    facts = raw_facts(spark, sf_dir)
+    return (facts.repartition("cik") if by_company else facts).join(s, "cik").withColumn("ns", ns).drop("s_acctbal")
 
 
 def directory_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -271,7 +273,7 @@ def directory_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def facts_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(cik, doc): every company's facts of ``mixed_namespace_facts`` as one nested JSON
     text, as the filing service hands them out."""
-    f = mixed_namespace_facts(spark, sf_dir)
+    f = mixed_namespace_facts(spark, sf_dir, by_company=True)
     rec = F.struct(F.col("start").cast("string").alias("start"), F.col("end").cast("string").alias("end"), "val", "fy", "fp", "form",
                    F.col("filed").cast("string").alias("filed"))
     unit = f.groupBy("cik", "ns", "tag", "unit").agg(F.collect_list(rec).alias("recs"))

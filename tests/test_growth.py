@@ -87,3 +87,9 @@ def test_lines_of_a_company_year_travel_before_they_are_summed(spark, tables):
     assert got["S1"]["asset"] == pytest.approx(sum(orders[x[0]][2] for x in mine) / 7)
     assert got["S1"]["shares#"] == sum(x[2] for x in mine) and got["S1"]["filed"] == dt.date(1996, 12, 3)
     assert got["S2"]["gross_revenue"] == pytest.approx(100.0)
+
+
+def test_documents_of_companies_take_one_shuffle_of_their_facts(spark, tables):
+    docs = standin.facts_documents(spark, tables[0])
+    assert not any(e.startswith("cik") and "ns" in e.split("),")[0] for e in exchanges(docs))
+    assert docs.count() == 2
