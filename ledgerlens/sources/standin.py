@@ -85,8 +85,8 @@ def supplier_year_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     e, d, t, q = col("l_extendedprice") / 7.0, col("l_discount"), col("l_tax"), col("l_quantity")
     tp = col("o_totalprice") / 7.0
     rf, ls, os_ = col("l_returnflag"), col("l_linestatus"), col("o_orderstatus")
-    # the lines themselves travel, a third of what the many sums of nearly as many groups
-    # take; the sums travel once the lines of a company year have met in SPREAD tasks at most
+    # the lines themselves travel, narrower than the many sums of nearly as many groups;
+    # the sums travel once the lines of a company year have met in SPREAD tasks at most
     lines = _lines(spark, sf_dir).select(
         "l_suppkey", F.year("o_orderdate").alias("fy"), F.pmod("l_orderkey", F.lit(SPREAD)).cast("byte").alias("part"),
         "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus",
