@@ -314,40 +314,38 @@ def taxonomy_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     form from the most urgent order priority), values = line sums per tag,
     ``Assets`` anchor = order totals, ``dei`` share count = quantities."""
     col = F.col
-    lines = _lines(spark, sf_dir).withColumn("fy", F.year("o_orderdate"))
     rf = F.when(col("l_returnflag") == "A", 0).when(col("l_returnflag") == "N", 1).otherwise(2)
     ls = F.when(col("l_linestatus") == "F", 0).otherwise(1)
     qb = F.when(col("l_quantity") <= 17, 0).when(col("l_quantity") <= 34, 1).otherwise(2)
-    lines = lines.withColumn("combo", (rf * 2 + ls) * 3 + qb)
-    fkey = ["l_suppkey", "fy"]
-    filing = lines.groupBy(*fkey).agg(
+    # tables are read and joined once: the lines meet as in supplier_year_panel, and all sums
+    # of a company year, one per tag among them, lie in one row
+    lines = _lines(spark, sf_dir).select(
+        "l_suppkey", F.year("o_orderdate").alias("fy"), F.pmod("l_orderkey", F.lit(SPREAD)).cast("byte").alias("part"),
+        ((rf * 2 + ls) * 3 + qb).alias("combo"), "l_quantity", "l_extendedprice", "l_shipdate",
+        "o_totalprice", "o_orderdate", "o_orderpriority").repartition("l_suppkey", "fy", "part")
+    v, combos = col("l_extendedprice") / 7.0, range(len(TAXONOMY_TAGS))
+    filing = lines.groupBy("l_suppkey", "fy").agg(
         F.max("o_orderdate").cast("date").alias("end"), F.max("l_shipdate").cast("date").alias("filed"),
         F.min("o_orderpriority").alias("prio"), F.sum(col("o_totalprice") / 7.0).alias("assets"),
-        F.sum("l_quantity").alias("shares"))
+        F.sum("l_quantity").alias("shares"), F.bit_or(F.expr("shiftleft(1, combo)")).alias("seen"),
+        *[_sum_if(v, col("combo") == i).alias(f"v{i}") for i in combos])
     form = (F.when(col("prio") == "1-URGENT", "10-K").when(col("prio") == "2-HIGH", "10-K/A")
             .when(col("prio") == "3-MEDIUM", "20-F").when(col("prio") == "4-NOT SPECIFIED", "10-Q")
             .otherwise("10-KT"))
-    filing = filing.withColumn("form", form)
-    names = F.array(*[F.lit(t) for t, _, _ in TAXONOMY_TAGS])
-    dur = F.array(*[F.lit(d) for _, d, _ in TAXONOMY_TAGS])
-    sign = F.array(*[F.lit(s) for _, _, s in TAXONOMY_TAGS])
-    per = lines.groupBy(*fkey, "combo").agg(F.sum(col("l_extendedprice") / 7.0).alias("v"))
-    cik = F.lpad(col("l_suppkey").cast("string"), 10, "0")
-    j = per.join(filing, fkey)
-    tv = j.select(cik.alias("cik"), F.lit("us-gaap").alias("ns"),
-                  F.element_at(names, col("combo") + 1).alias("tag"), F.lit("USD").alias("unit"),
-                  F.when(F.element_at(dur, col("combo") + 1), F.date_sub(col("end"), 364)).alias("start"),
-                  "end", (col("v") * F.element_at(sign, col("combo") + 1)).alias("val"),
-                  col("fy").cast("int").alias("fy"), F.lit("FY").alias("fp"), "form", "filed")
-    base = filing.select(cik.alias("cik"), "end", "filed", col("fy").cast("int").alias("fy"), "form",
-                         "assets", "shares")
-    anchor = base.select("cik", F.lit("us-gaap").alias("ns"), F.lit("Assets").alias("tag"), F.lit("USD").alias("unit"),
-                         F.lit(None).cast("date").alias("start"), "end", col("assets").alias("val"), "fy",
-                         F.lit("FY").alias("fp"), "form", "filed")
-    shares = base.select("cik", F.lit("dei").alias("ns"), F.lit("EntityCommonStockSharesOutstanding").alias("tag"),
-                         F.lit("shares").alias("unit"), F.lit(None).cast("date").alias("start"), "end",
-                         col("shares").cast("double").alias("val"), "fy", F.lit("FY").alias("fp"), "form", "filed")
-    return tv.unionByName(anchor).unionByName(shares)
+    named = col("l_suppkey").isNotNull() & col("fy").isNotNull()     # else no values but the filing's own
+
+    def fact(there, ns, tag, unit, val, duration=False):
+        start = F.date_sub(col("end"), 364) if duration else F.lit(None).cast("date")
+        return F.struct(there.alias("there"), F.lit(ns).alias("ns"), F.lit(tag).alias("tag"), F.lit(unit).alias("unit"),
+                        start.alias("start"), val.alias("val"))
+
+    facts = [fact(named & (col("seen").bitwiseAND(1 << i) != 0), "us-gaap", tag, "USD", col(f"v{i}") * sign, duration)
+             for i, (tag, duration, sign) in enumerate(TAXONOMY_TAGS)]
+    facts += [fact(F.lit(True), "us-gaap", "Assets", "USD", col("assets")),
+              fact(F.lit(True), "dei", "EntityCommonStockSharesOutstanding", "shares", col("shares").cast("double"))]
+    return filing.select("*", F.explode(F.array(*facts)).alias("f")).filter("f.there").select(
+        F.lpad(col("l_suppkey").cast("string"), 10, "0").alias("cik"), "f.ns", "f.tag", "f.unit", "f.start", "end", "f.val",
+        col("fy").cast("int").alias("fy"), F.lit("FY").alias("fp"), form.alias("form"), "filed")
 
 
 def taxonomy_companies(spark: SparkSession, sf_dir: str) -> DataFrame:

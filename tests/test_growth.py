@@ -93,3 +93,24 @@ def test_documents_of_companies_take_one_shuffle_of_their_facts(spark, tables):
     docs = standin.facts_documents(spark, tables[0])
     assert not any(e.startswith("cik") and "ns" in e.split("),")[0] for e in exchanges(docs))
     assert docs.count() == 2
+
+
+def test_facts_of_company_years_take_one_pass_over_the_lines(spark, tables):
+    at, lines, orders = tables
+    facts = standin.taxonomy_facts(spark, at)
+    plan = facts._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 2       # lines and orders
+    got = {(r["cik"], r["fy"], r["tag"]): r for r in facts.collect()}
+    want, assets, shares = {}, {}, {}
+    for k, supp, q, price, _, _, rf, ls, _ in lines:
+        year = (f"{supp:010d}", orders[k][3].year)
+        tag, _, sign = standin.TAXONOMY_TAGS[("ANR".index(rf) * 2 + "FO".index(ls)) * 3 + (q > 17) + (q > 34)]
+        want[*year, tag] = want.get((*year, tag), 0.0) + sign * price / 7
+        assets[year] = assets.get(year, 0.0) + orders[k][2] / 7
+        shares[year] = shares.get(year, 0.0) + q
+    want |= {(*y, "Assets"): v for y, v in assets.items()} | {(*y, "EntityCommonStockSharesOutstanding"): v for y, v in shares.items()}
+    assert {k: r["val"] for k, r in got.items()} == {k: pytest.approx(v) for k, v in want.items()}
+    for r in got.values():
+        duration = dict((t, d) for t, d, _ in standin.TAXONOMY_TAGS).get(r["tag"], False)
+        assert r["start"] == (r["end"] - dt.timedelta(days=364) if duration else None)
+        assert (r["ns"], r["unit"]) == (("dei", "shares") if r["tag"].startswith("Entity") else ("us-gaap", "USD"))
