@@ -4,7 +4,7 @@ A fit is named by (industry, family, number of leading features). Industries of
 ``Settings.local_rows`` training and scored rows are dealt out as jobs: the rows of an industry
 meet once per job in a task, which fits the job's models and scores the wanted rows.
 Larger industries are fitted by passes over their rows (``trees.Passes``,
-``svr.fit_by_passes``). Either way gives the same models.
+``svr.fit_by_passes``; support vectors from ``SVR_SPAN`` times that size). Either way gives the same models.
 """
 
 from __future__ import annotations
