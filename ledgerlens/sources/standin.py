@@ -19,12 +19,20 @@ prunes columns and pushes filters.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import add
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SHARES = "shares#"
 SGA = "expense_general/admin"
-SPREAD = 8                  # tasks over which the lines of one company year are dealt
+SPREAD = 8                  # tasks over which the lines of a company year are dealt, if its company has
+HOT_LINES = 1_000_000       # more lines than this
+
+# what the panel asks of the codes of a line and of its order: a bit each, so that they travel as one number
+CODES = [("l_returnflag", "R"), ("l_returnflag", "A"), ("l_returnflag", "N"), ("l_linestatus", "O"), ("l_linestatus", "F"),
+         ("o_orderstatus", "O"), ("o_orderstatus", "F"), ("o_orderstatus", "P")]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -40,6 +48,37 @@ def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return li.join(od, li.l_orderkey == od.o_orderkey)
 
 
+def _codes(columns):
+    """The bits of ``CODES`` that these columns decide; a missing code sets none."""
+    return reduce(add, [F.when(F.col(c) == v, F.lit(1 << i)).otherwise(F.lit(0)) for i, (c, v) in enumerate(CODES) if c in columns])
+
+
+def _coded(column: str, value: str):
+    return F.col("codes").bitwiseAND(F.lit(1 << CODES.index((column, value)))) != 0
+
+
+def _company_year_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines with what the panel needs of their orders, those of a company year in one task;
+    a company with more than ``HOT_LINES`` lines has each of its years in ``SPREAD`` tasks.
+
+    Lines travel twice, to their orders and to their company year, so they are made narrow
+    before the first trip: codes as bits, dates as days. Companies that large are one in
+    ``HOT_LINES`` lines at most, so broadcasting their keys is bounded.
+    """
+    li = table(spark, sf_dir, "lineitem")
+    od = table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_totalprice", F.year("o_orderdate").alias("fy"), _codes(["o_orderstatus"]).alias("o_codes"))
+    hot = li.groupBy("l_suppkey").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > HOT_LINES).select(F.col("l_suppkey").alias("hot"))
+    lines = li.select("l_orderkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+                      _codes(["l_returnflag", "l_linestatus"]).alias("l_codes"), F.to_date("l_shipdate").alias("l_shipdate"))
+    part = F.when(F.col("hot").isNotNull(), F.pmod("l_orderkey", F.lit(SPREAD))).otherwise(F.lit(0))
+    return (lines.join(od, lines.l_orderkey == od.o_orderkey)
+            .join(F.broadcast(hot), F.col("l_suppkey") == F.col("hot"), "left")
+            .select("l_suppkey", "fy", part.cast("byte").alias("part"), "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+                    (F.col("l_codes") + F.col("o_codes")).alias("codes"), "l_shipdate", "o_totalprice")
+            .repartition("l_suppkey", "fy", "part"))
+
+
 def suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Company directory stand-in: ticker, name, industry text 'NNNN REGION'.
 
@@ -84,34 +123,30 @@ def supplier_year_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     # insensitive to engine-dependent summation order.
     e, d, t, q = col("l_extendedprice") / 7.0, col("l_discount"), col("l_tax"), col("l_quantity")
     tp = col("o_totalprice") / 7.0
-    rf, ls, os_ = col("l_returnflag"), col("l_linestatus"), col("o_orderstatus")
-    # the lines themselves travel, narrower than the many sums of nearly as many groups;
-    # the sums travel once the lines of a company year have met in SPREAD tasks at most
-    lines = _lines(spark, sf_dir).select(
-        "l_suppkey", F.year("o_orderdate").alias("fy"), F.pmod("l_orderkey", F.lit(SPREAD)).cast("byte").alias("part"),
-        "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus",
-        F.to_date("l_shipdate").alias("l_shipdate"), "o_totalprice", "o_orderstatus").repartition("l_suppkey", "fy", "part")
+    # the lines themselves travel, narrower than the many sums of nearly as many groups; a sum
+    # travels once the lines of its company year have met
+    lines = _company_year_lines(spark, sf_dir)
 
     agg = lines.groupBy(col("l_suppkey"), col("fy")).agg(
         F.max("l_shipdate").alias("filed"),
         F.sum(e).alias("gross_revenue"),
-        _sum_if(e * (1 - d), rf == "R").alias("cost"),
-        _sum_if(e * t, ls == "O").alias(SGA),
+        _sum_if(e * (1 - d), _coded("l_returnflag", "R")).alias("cost"),
+        _sum_if(e * t, _coded("l_linestatus", "O")).alias(SGA),
         F.sum(e * (F.lit(0.06) - d)).alias("operating_income"),
         F.sum(e * (F.lit(0.07) - d)).alias("recurrent_profit"),
         F.sum(e * t).alias("tax"),
         F.sum(e * (F.lit(0.1) - d - t)).alias("net_income"),
         F.sum(q).alias(SHARES),
         F.sum(tp).alias("asset"),
-        _sum_if(tp, rf == "A").alias("equity"),
-        _sum_if(tp, rf == "N").alias("currasset"),
-        _sum_if(e, (ls == "F") & (q <= 10)).alias("inventory"),
+        _sum_if(tp, _coded("l_returnflag", "A")).alias("equity"),
+        _sum_if(tp, _coded("l_returnflag", "N")).alias("currasset"),
+        _sum_if(e, _coded("l_linestatus", "F") & (q <= 10)).alias("inventory"),
         _sum_if(e * d, q > 40).alias("other_currasset"),
-        _sum_if(tp, rf == "R").alias("curr_liabilities"),
+        _sum_if(tp, _coded("l_returnflag", "R")).alias("curr_liabilities"),
         F.sum(e * (F.lit(0.09) - d)).alias("operating_cash"),
-        (-_sum_if(e * t, os_ == "O")).alias("investing_cash"),
-        _sum_if(e * d, os_ == "F").alias("payment_cap"),
-        _sum_if(e * t, os_ == "P").alias("payment_intangible"),
+        (-_sum_if(e * t, _coded("o_orderstatus", "O"))).alias("investing_cash"),
+        _sum_if(e * d, _coded("o_orderstatus", "F")).alias("payment_cap"),
+        _sum_if(e * t, _coded("o_orderstatus", "P")).alias("payment_intangible"),
         F.sum(e * (d - t)).alias("financing_cash"),
         F.sum(tp * d).alias("cash_end"),
         F.sum(e * (t - F.lit(0.04))).alias("inventory_delta"),

@@ -90,6 +90,63 @@ def test_lines_of_a_company_year_travel_before_they_are_summed(spark, tables):
     assert got["S2"]["gross_revenue"] == pytest.approx(100.0)
 
 
+def exchanged(df, keys):
+    """Rows that the executed plan wrote to its exchange by exactly these keys, and the columns they had."""
+    def nodes(p):
+        yield p
+        kind = p.getClass().getSimpleName()
+        below = p.children()
+        for c in ([p.executedPlan()] if kind == "AdaptiveSparkPlanExec" else [p.plan()] if kind.endswith("QueryStageExec") else [below.apply(i) for i in range(below.size())]):
+            yield from nodes(c)
+
+    for p in nodes(df._jdf.queryExecution().executedPlan()):
+        if p.getClass().getSimpleName() == "ShuffleExchangeExec":
+            by = p.outputPartitioning().toString().split("(", 1)[1].split(", ")
+            if [b.split("#")[0] for b in by[:-1]] == keys:
+                out = p.output()
+                return p.metrics().apply("shuffleRecordsWritten").value(), [out.apply(i).name() for i in range(out.size())]
+
+
+def test_sums_of_a_company_year_travel_once_unless_it_is_hot(spark, tables, monkeypatch):
+    at = tables[0]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        panel = standin.supplier_year_panel(spark, at)
+        want = panel.collect()
+        monkeypatch.setattr(standin, "HOT_LINES", 39)
+        hot = standin.supplier_year_panel(spark, at)
+        got = {r["ticker"]: r for r in hot.collect()}
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert exchanged(panel, ["l_suppkey", "fy"])[0] == 2                # a row a company year
+    assert 2 < exchanged(hot, ["l_suppkey", "fy"])[0] <= standin.SPREAD + 1
+    for r in want:
+        assert got[r["ticker"]].asDict() == {k: pytest.approx(v) if isinstance(v, float) else v for k, v in r.asDict().items()}
+
+
+def test_codes_travel_as_bits_and_missing_ones_count_nowhere(spark, tables, tmp_path):
+    at, lines, orders = tables
+    for name in ("supplier", "nation", "region"):
+        (tmp_path / f"{name}.parquet").symlink_to(f"{at}/{name}.parquet")
+    blank = lambda df, c, k: df.withColumn(c, F.when(k % 4 != 0, F.col(c)))
+    li, od = (spark.read.parquet(f"{at}/{x}.parquet") for x in ("lineitem", "orders"))
+    li = blank(blank(li, "l_returnflag", F.col("l_quantity")), "l_linestatus", F.col("l_quantity") + 1)
+    li.write.parquet(f"{tmp_path}/lineitem.parquet")
+    blank(od, "o_orderstatus", F.col("o_orderkey")).write.parquet(f"{tmp_path}/orders.parquet")
+    panel = standin.supplier_year_panel(spark, str(tmp_path))
+    got = {r["ticker"]: r for r in panel.collect()}["S1"]
+    moved = exchanged(panel, ["l_suppkey", "fy", "part"])[1]
+    assert not {"l_returnflag", "l_linestatus", "o_orderstatus"} & set(moved)
+    mine = [(x[2], x[3] / 7, x[4], x[5], x[6] if x[2] % 4 else None, x[7] if (x[2] + 1) % 4 else None, orders[x[0]][2] / 7, orders[x[0]][1] if x[0] % 4 else None)
+            for x in lines if x[1] == 1]
+    want = {"equity": sum(x[6] for x in mine if x[4] == "A"), "currasset": sum(x[6] for x in mine if x[4] == "N"),
+            "curr_liabilities": sum(x[6] for x in mine if x[4] == "R"), "cost": sum(x[1] * (1 - x[2]) for x in mine if x[4] == "R"),
+            "expense_general/admin": sum(x[1] * x[3] for x in mine if x[5] == "O"), "inventory": sum(x[1] for x in mine if x[5] == "F" and x[0] <= 10),
+            "investing_cash": -sum(x[1] * x[3] for x in mine if x[7] == "O"), "payment_cap": sum(x[1] * x[2] for x in mine if x[7] == "F"),
+            "payment_intangible": sum(x[1] * x[3] for x in mine if x[7] == "P")}
+    assert {k: got[k] for k in want} == {k: pytest.approx(v) for k, v in want.items()}
+
+
 def test_documents_of_companies_take_one_shuffle_of_their_facts(spark, tables):
     docs = standin.facts_documents(spark, tables[0])
     assert not any(e.startswith("cik") and "ns" in e.split("),")[0] for e in exchanges(docs))
