@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,6 +24,7 @@ TREE, FOREST, SVR, BOOST = MODEL_FAMILIES[2:6]
 GROUP = "broad_industry"
 KEYS = ["ticker", "fy", GROUP, "split", "stock_price"]
 SVR_SPAN = 2                # support vectors are fitted in a task up to so many times ``local_rows`` (2 KB a row): passes take many jobs
+LOT_WORK = 150_000_000      # training rows x features x trees that a task grows
 PREDICTED = f"row long, {GROUP} string, family string, n_features int, prediction double"
 
 
@@ -85,11 +87,9 @@ def predictions(plan, specs: list[tuple], rows: DataFrame, to: Settings = Settin
     sizes = {r["industry"]: r["n"] for r in frame.groupBy("industry").agg(F.count(F.lit(1)).alias("n")).collect()}
     near = [s for s in specs if sizes.get(s[0], 0) <= to.local_rows * (SVR_SPAN if s[1] == SVR else 1)]
     far = [s for s in specs if s not in near]
-    out = None
+    out = _by_passes(plan, far, frame, to) if far else None     # its tasks are the longer ones
     if near:
-        out = _in_tasks(plan, near, frame, to)
-    if far:
-        more = _by_passes(plan, far, frame, to)
+        more = _in_tasks(plan, near, frame, sizes, to)
         out = more if out is None else out.unionByName(more)
     return numbered.select("row", *KEYS).join(out.drop(GROUP), "row").select(*KEYS, "family", "n_features", "prediction")
 
@@ -113,19 +113,27 @@ def _dealt(frame: DataFrame, jobs: dict) -> DataFrame:
     return frame.filter(F.col("industry").isin(*jobs)).withColumn("job", F.explode(F.sequence(F.lit(0), n[F.col("industry")] - 1)))
 
 
-def _in_tasks(plan, specs, frame: DataFrame, to: Settings) -> DataFrame:
-    jobs, local = _jobs(specs), Local(plan, {s[0] for s in specs}, to)
+def _in_tasks(plan, specs, frame: DataFrame, sizes: dict, to: Settings) -> DataFrame:
+    """Every job of ``_jobs`` in a task of its own, costly jobs first."""
+    local = Local(plan, {s[0] for s in specs}, to)
+    rounds = {TREE: 1, FOREST: to.forest_trees, SVR: 50, BOOST: max(1, to.boost_rounds // 4)}
+    lots = sorted(((ind, family, ks) for ind, jobs in _jobs(specs).items() for family, ks in jobs), key=lambda x: -sizes.get(x[0], 0) * sum(x[2]) * rounds[x[1]])
+    each = F.create_map(*[F.lit(v) for ind in local.pool for v in (ind, F.array(*[F.lit(i) for i, x in enumerate(lots) if x[0] == ind]))])
+    dealt = frame.filter(F.col("industry").isin(*local.pool)).withColumn("lot", F.explode(each[F.col("industry")]))
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        ind = pdf["industry"].iloc[0]
-        family, ks = jobs[ind][int(pdf["job"].iloc[0])]
-        pdf, x, y, rid, tr = local.arrays(ind, pdf)
-        wanted = pdf["row"].to_numpy()[~tr]
-        return pd.concat([pd.DataFrame({"row": wanted, GROUP: ind, "family": family, "n_features": k, "prediction": p})
-                          for k, _, p in local.fit(ind, family, ks, x, y, rid, tr)])
+    def run(batches):
+        got = list(batches)
+        if got:
+            rows = pd.concat(got, ignore_index=True)
+            got.clear()
+            for lot, pdf in rows.groupby("lot"):
+                ind, family, ks = lots[lot]
+                pdf, x, y, rid, tr = local.arrays(ind, pdf)
+                wanted = pdf["row"].to_numpy()[~tr]
+                for k, _, p in local.fit(ind, family, ks, x, y, rid, tr):
+                    yield pd.DataFrame({"row": wanted, GROUP: ind, "family": family, "n_features": k, "prediction": p})
 
-    many = sum(map(len, jobs.values()))
-    return _dealt(frame, jobs).repartition(many, "industry", "job").groupBy("industry", "job").applyInPandas(run, PREDICTED)
+    return dealt.repartitionById(len(lots), F.col("lot")).mapInPandas(run, PREDICTED)
 
 
 # ---- large industries ------------------------------------------------------------------------
@@ -168,8 +176,12 @@ def _by_passes(plan, specs, frame: DataFrame, to: Settings) -> DataFrame:
     edges = _edges(plan, frame, local, {i: info[i]["n"] for i in industries})
     binned = _binned(frame, edges, local)
     out = []
+    grown = {f: _prefixes(specs, f) for f in (TREE, FOREST)}
+    near = {f: {i: k for i, k in ks.items() if info[i]["n"] <= to.bag_rows} for f, ks in grown.items()}
+    if any(near.values()):
+        out.append(_bagged_in_tasks(binned, near, {i: info[i]["n"] for i in industries}, largest, to))
     for family, n_trees in ((TREE, 1), (FOREST, to.forest_trees)):
-        ks = _prefixes(specs, family)
+        ks = {i: k for i, k in grown[family].items() if i not in near[family]}
         if ks:
             models, value = trees.grown(binned, ks, n_trees, largest, to.local_rows)
             of = frame.sparkSession.createDataFrame([(i, m.industry, m.k, GRID / largest[m.industry] if largest[m.industry] else 1.0) for i, m in enumerate(models)],
@@ -179,7 +191,7 @@ def _by_passes(plan, specs, frame: DataFrame, to: Settings) -> DataFrame:
     boost = _prefixes(specs, BOOST)
     near = {i: k for i, k in boost.items() if info[i]["n"] <= to.boost_rows}
     if near:
-        out.append(_boosted_in_tasks(binned, near, largest, to))
+        out.append(_boosted_in_tasks(binned, near, {i: info[i]["n"] for i in near}, largest, to))
     ks = {i: k for i, k in boost.items() if i not in near}
     if ks:
         _, scored = trees.boosted(binned, ks, largest, start_of(train, largest), to)
@@ -197,22 +209,80 @@ def _by_passes(plan, specs, frame: DataFrame, to: Settings) -> DataFrame:
     return whole
 
 
-def _boosted_in_tasks(binned: DataFrame, ks: dict[str, list[int]], largest: dict[str, float], to: Settings) -> DataFrame:
+def _in_lots(rows: DataFrame, lots: list[tuple], packed: str, run, schema: str) -> DataFrame:
+    """What ``run`` makes of the rows of each lot. Lots are (industry, bytes of ``packed`` that
+    it takes, cost, what to do); the rows of an industry meet once per lot in a task, costly
+    lots first. ``run`` gets the lot and its rows' columns."""
+    lots = sorted(lots, key=lambda x: -x[2])
+    of: dict = {}
+    for i, (ind, width, _, _) in enumerate(lots):
+        of.setdefault(ind, []).append((i, width))
+    each = F.create_map(*[F.lit(v) for ind, mine in of.items() for v in (ind, F.array(*[F.struct(F.lit(i).alias("lot"), F.lit(n).alias("width")) for i, n in mine]))])
+    dealt = rows.filter(F.col("industry").isin(*of)).withColumn("l", F.explode(each[F.col("industry")])) \
+        .select("l.lot", "train", "row", "rid", "y", F.substring(packed, F.lit(1), F.col("l.width")).alias("packed"))
+
+    def task(batches):
+        got = [trees.batch_columns(b) for b in batches]
+        if got:
+            cols = {c: np.concatenate([g[c] for g in got]) for c in got[0]}
+            got.clear()
+            for lot in np.unique(cols["lot"]):
+                at = np.flatnonzero(cols["lot"] == lot)
+                yield from run(lots[lot], {c: v[at] for c, v in cols.items()} if len(at) < len(cols["lot"]) else cols)
+
+    return dealt.repartitionById(len(lots), F.col("lot")).mapInArrow(task, schema)
+
+
+def _numbered(row: np.ndarray, ind: str, family: str, k: int, p: np.ndarray) -> pa.RecordBatch:
+    """Predictions as PREDICTED."""
+    n = len(row)
+    return pa.RecordBatch.from_pydict({"row": pa.array(row.astype(np.int64)), GROUP: pa.array([ind] * n, pa.string()), "family": pa.array([family] * n, pa.string()),
+                                       "n_features": pa.array(np.full(n, k, np.int32)), "prediction": pa.array(np.asarray(p, dtype=np.float64))})
+
+
+def _bagged_in_tasks(binned: DataFrame, ks: dict[str, dict[str, list[int]]], n: dict[str, int], largest: dict[str, float], to: Settings) -> DataFrame:
+    """Predictions of single trees and forests: a task grows some trees of an industry for all
+    prefixes and adds up their values, which another sum completes."""
+    lots = []
+    for family, numbers in ((TREE, [-1]), (FOREST, list(range(to.forest_trees)) if to.forest_trees > 1 else [-1])):
+        for ind, mine in ks[family].items():
+            work = n[ind] * sum(mine)
+            many = max(1, min(len(numbers), -(-work * len(numbers) // LOT_WORK)))
+            lots += [(ind, max(mine), work * len(part), (family, mine, part)) for i in range(many) if (part := numbers[i::many])]
+
+    def run(lot, cols):
+        ind, _, _, (family, mine, numbers) = lot
+        bins, tr = trees.unpacked(cols["packed"]), cols["train"].astype(bool)
+        wanted, made, out = np.ascontiguousarray(bins[~tr]), 0, np.zeros((len(mine), int((~tr).sum())))
+        for j, tree in trees.bagged(bins[tr], trees.to_grid(cols["y"][tr].astype(float), largest[ind]), cols["rid"][tr].astype(np.int64), mine, numbers):
+            out[j] += tree.predict(wanted)
+            made += j == 0
+        row = cols["row"][~tr].astype(np.int64)
+        for at in range(0, len(row), 10_000):
+            part = out[:, at:at + 10_000].T
+            yield pa.RecordBatch.from_pydict({
+                "row": pa.array(row[at:at + 10_000]), GROUP: pa.array([ind] * len(part), pa.string()), "family": pa.array([family] * len(part), pa.string()),
+                "trees": pa.array(np.full(len(part), made, np.int64)), "v": pa.FixedSizeListArray.from_arrays(pa.array(part.ravel()), len(mine)).cast(pa.list_(pa.float64()))})
+
+    sums = _in_lots(binned, lots, "bins", run, f"row long, {GROUP} string, family string, trees long, v array<double>")
+    size, scale = ({(i, f): v(i, mine) for f in (TREE, FOREST) for i, mine in ks[f].items()} for v in (
+        lambda i, mine: F.array(*[F.lit(k) for k in mine]), lambda i, mine: F.lit(largest[i] / GRID)))
+    name = lambda x: F.create_map(*[y for (i, f), v in x.items() for y in (F.lit(f"{f} {i}"), v)])[F.concat_ws(" ", "family", GROUP)]
+    most = max(len(mine) for by in ks.values() for mine in by.values())
+    added = sums.groupBy("row", GROUP, "family").agg(F.sum("trees").alias("trees"), *[F.sum(F.get("v", F.lit(j))).alias(f"v{j}") for j in range(most)])
+    pairs = F.arrays_zip(name(size).alias("n_features"), F.array(*[F.col(f"v{j}") / F.greatest("trees", F.lit(1)) * name(scale) for j in range(most)]).alias("prediction"))
+    return added.select("row", GROUP, "family", F.explode(pairs).alias("p")).select("row", GROUP, "family", "p.n_features", "p.prediction").filter("n_features IS NOT NULL")
+
+
+def _boosted_in_tasks(binned: DataFrame, ks: dict[str, list[int]], n: dict[str, int], largest: dict[str, float], to: Settings) -> DataFrame:
     """Predictions of boosted trees, a task per industry and prefix; a task gets the bytes of
     its prefix alone."""
-    size = F.create_map(*[F.lit(v) for i in ks for v in (i, F.array(*[F.lit(k) for k in ks[i]]))])[F.col("industry")]
-    dealt = binned.filter(F.col("industry").isin(*ks)).withColumn("k", F.explode(size)) \
-        .select("industry", "k", "train", "row", "y", F.substring("bins", F.lit(1), F.col("k")).alias("bins"))
+    def run(lot, cols):
+        ind, k = lot[:2]
+        bins, tr, y = trees.unpacked(cols["packed"]), cols["train"].astype(bool), cols["y"].astype(float)
+        yield _numbered(cols["row"][~tr], ind, BOOST, k, trees.boost(bins[tr], y[tr], largest[ind], bins[~tr], to)[2])
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        ind, k = pdf["industry"].iloc[0], int(pdf["k"].iloc[0])
-        bins, tr = trees.unpacked(pdf["bins"].to_numpy()), pdf["train"].to_numpy(dtype=bool)
-        y, row = pdf["y"].to_numpy(dtype=float), pdf["row"].to_numpy()
-        p = trees.boost(bins[tr], y[tr], largest[ind], bins[~tr], to)[2]
-        return pd.DataFrame({"row": row[~tr], GROUP: ind, "family": BOOST, "n_features": k, "prediction": p})
-
-    many = sum(map(len, ks.values()))
-    return dealt.repartition(many, "industry", "k").groupBy("industry", "k").applyInPandas(run, PREDICTED)
+    return _in_lots(binned, [(i, k, n[i] * k, None) for i, mine in ks.items() for k in mine], "bins", run, PREDICTED)
 
 
 def _prefixes(specs, family: str) -> dict[str, list[int]]:

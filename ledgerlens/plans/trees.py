@@ -12,10 +12,10 @@ or the way it was fitted -- and there are two ways, with equal results:
   are: each pass sums (model, node, feature, bin) cells per partition with NumPy, adds
   them by a grouped aggregate and returns one best split per node.
 
-Industries of more than ``local_rows`` rows use passes: unlimited trees until a node is
-small enough; the rows of each such node then meet in a task that grows the rest. Boosted
-trees need every row after each round, a job a level: up to ``boost_rows`` training rows,
-a byte per feature, are boosted in a task (one per prefix); only larger industries by passes.
+Industries of more than ``local_rows`` rows come to tasks as a byte per feature, up to
+``boost_rows`` or ``bag_rows`` training rows: a boosted prefix to each task, or some trees of a
+forest. Larger ones use passes: unlimited trees until a node is small enough, whose rows then
+meet in a task that grows the rest; boosted trees need every row after each round, a job a level.
 """
 
 from __future__ import annotations
@@ -35,7 +35,9 @@ from ..session import cut
 BINS = 256
 GRID = 1 << 30
 EDGE_ROWS = 50_000          # expected rows of an industry that give its bin edges (all rows up to there)
-SORTED_ROWS = 2_048         # rows of a node that are ordered rather than summed up per bin
+SORTED_ROWS = 256           # rows of a node that are ordered rather than summed up per bin
+SORTED_BATCH = 4_096        # rows of such nodes that are ordered at a time
+SPLIT_CELLS = 200_000       # sums per bin that are looked through at a time
 CELLS = 4_000_000           # cells that a pass holds at a time in a task
 STATE_ROUNDS = 10           # boosting rounds between rewrites of the margins
 
@@ -51,6 +53,7 @@ class Settings:
     boost_l2: float = 1.0
     local_rows: int = 50_000
     boost_rows: int = 1_000_000     # training rows that boosting takes in a task, as a byte per feature
+    bag_rows: int = 1_000_000       # the same for single trees and forests
 
 
 # ---- one tree ------------------------------------------------------------------------------
@@ -84,12 +87,16 @@ class Tree:
     def leaves(self, bins: np.ndarray) -> np.ndarray:
         """The leaf of every row of binned features."""
         feature, at, left, right = (np.asarray(x) for x in (self.feature, self.cut, self.left, self.right))
-        node, rows = np.zeros(len(bins), np.int64), np.arange(len(bins))
+        flat, k = np.ascontiguousarray(bins).ravel(), bins.shape[1]
+        node, rows, now = np.zeros(len(bins), np.int64), np.arange(len(bins)), np.zeros(len(bins), np.int64)
         while len(rows):
-            f = feature[node[rows]]
-            rows, f = rows[f >= 0], f[f >= 0]
-            now = node[rows]
-            node[rows] = np.where(bins[rows, f] <= at[now], left[now], right[now])
+            f = feature.take(now)
+            on = f >= 0
+            if not on.all():
+                off = ~on
+                node[rows[off]] = now[off]
+                rows, now, f = rows[on], now[on], f[on]
+            now = np.where(flat.take(rows * k + f) <= at.take(now), left.take(now), right.take(now))
         return node
 
     def predict(self, bins: np.ndarray) -> np.ndarray:
@@ -118,6 +125,17 @@ def _score(s, n, l2):
     return s * s / (np.asarray(n, dtype=np.float64) + l2)
 
 
+def _gains(sl, cl, sr, cr, l2):
+    """The scores of left and right parts, added; uses up ``sr`` and ``cr``."""
+    with np.errstate(divide="ignore", invalid="ignore"):
+        gain = sl * sl
+        gain /= cl + l2 if l2 else cl
+        np.multiply(sr, sr, out=sr)
+        sr /= np.add(cr, l2, out=cr) if l2 else cr
+        gain += sr
+    return gain
+
+
 def _better(gain: float, parent: float) -> bool:
     return bool(gain - parent > 1e-12 * abs(parent))
 
@@ -128,21 +146,37 @@ def leaf_value(s, n, l2: float) -> float:
 
 def grow(bins: np.ndarray, target: np.ndarray, weight: np.ndarray, l2: float = 0.0, max_depth: int | None = None) -> Tree:
     """The tree of rows in memory: large nodes (all of a tree of bounded depth) are split from
-    sums per bin, the rows of each smaller one are then ordered."""
+    sums per bin, the rows of smaller ones are then ordered, many nodes at a time."""
     used = np.flatnonzero(weight > 0)
-    if max_depth is None and len(used) <= SORTED_ROWS:
-        return _grow_sorted(bins[used], target[used], weight[used], l2)
     w = weight[used].astype(np.int64)
-    by_feature = np.ascontiguousarray(bins[used].T)
-    tree, node = _grow_binned(by_feature, target[used].astype(np.int64) * w, w, l2, max_depth, 0 if max_depth is not None else SORTED_ROWS)
+    by_feature, q = np.ascontiguousarray(bins[used].T), target[used].astype(np.int64)
     if max_depth is not None:
-        return tree
+        return _grow_binned(by_feature, q * w, w, l2, max_depth, 0)[0]
+    return grow_whole(by_feature, q, w, l2)
+
+
+def grow_whole(by_feature: np.ndarray, q: np.ndarray, w: np.ndarray, l2: float = 0.0) -> Tree:
+    """The unlimited tree of rows that all have a weight (a line per feature), as arrays."""
+    if len(q) <= SORTED_ROWS and len(q) and len(by_feature):
+        return Tree(*_grow_ordered(by_feature, q, w, np.zeros(len(q), np.int64), 1, l2))
+    tree, node = _grow_binned(by_feature, q * w, w, l2, None, SORTED_ROWS)
     order = np.argsort(node, kind="stable")
-    for rows in np.split(order, np.flatnonzero(np.diff(node[order])) + 1):
-        if len(rows) and node[rows[0]] >= 0:
-            at = used[rows]
-            tree.hang(int(node[rows[0]]), _grow_sorted(bins[at], target[at], weight[at], l2))
-    return tree
+    order = order[np.searchsorted(node[order], 0):]                     # rows of nodes that are left to order
+    first = np.flatnonzero(np.r_[True, np.diff(node[order]) != 0]) if len(order) else np.zeros(0, np.int64)
+    parts, last, made, i = [], np.r_[first[1:], len(order)], len(tree.feature), 0
+    while i < len(first):
+        j = max(i + 1, int(np.searchsorted(last, first[i] + SORTED_BATCH, side="right")))
+        rows = order[first[i]:last[j - 1]]
+        grown = _grow_ordered(by_feature[:, rows], q[rows], w[rows], np.repeat(np.arange(j - i), last[i:j] - first[i:j]), j - i, l2)
+        place = np.r_[node[order[first[i:j]]], np.arange(made, made + len(grown[0]) - (j - i))]
+        parts.append((place, *grown))
+        made, i = made + len(grown[0]) - (j - i), j
+    out = [np.r_[np.asarray(x, dtype=t), np.zeros(made - len(tree.feature), t)]
+           for x, t in ((tree.feature, np.int64), (tree.cut, np.int64), (tree.left, np.int64), (tree.right, np.int64), (tree.value, np.float64))]
+    for place, feature, cut_, left, right, value in parts:
+        for xs, new in zip(out, (feature, cut_, np.where(left > 0, place[left], 0), np.where(right > 0, place[right], 0), value)):
+            xs[place] = new
+    return Tree(*out)
 
 
 def _grow_binned(by_feature: np.ndarray, g: np.ndarray, w: np.ndarray, l2: float, max_depth: int | None, sorted_rows: int) -> tuple[Tree, np.ndarray]:
@@ -165,15 +199,21 @@ def _grow_binned(by_feature: np.ndarray, g: np.ndarray, w: np.ndarray, l2: float
             S[f], N[f] = np.bincount(key, value, many * BINS), np.bincount(key, weight, many * BINS)
         return (x.reshape(k, many, BINS).transpose(1, 0, 2) for x in (S, N))
 
-    rows, slot, ids, depth = np.arange(n), np.zeros(n, np.int64), [0], 0
-    S, N = sums(rows, slot, 1)
-    while ids and (max_depth is None or depth < max_depth):
+    rows, slot, ids = np.arange(n), np.zeros(n, np.int64), [0]
+    waiting = [(rows, slot, ids, 0, *sums(rows, slot, 1))]
+    while waiting:
+        rows, slot, ids, depth, S, N = waiting.pop()
+        if len(ids) > 1 and S.size > SPLIT_CELLS:           # so many nodes at a time as stay near the processor
+            half = len(ids) // 2
+            low = slot < half
+            waiting += [(rows[~low], slot[~low] - half, ids[half:], depth, S[half:].copy(), N[half:].copy()), (rows[low], slot[low], ids[:half], depth, S[:half], N[:half])]
+            continue
         depth += 1
         sl, cl = np.cumsum(S, axis=2), np.cumsum(N, axis=2)
         total, many = sl[:, 0, -1], cl[:, 0, -1]
-        with np.errstate(divide="ignore", invalid="ignore"):
-            gain = np.where((N > 0) & (cl < many[:, None, None]),
-                            _score(sl, cl, l2) + _score(total[:, None, None] - sl, many[:, None, None] - cl, l2), -np.inf).reshape(len(ids), -1)
+        gain = _gains(sl, cl, total[:, None, None] - sl, many[:, None, None] - cl, l2)
+        np.copyto(gain, -np.inf, where=(N == 0) | (cl >= many[:, None, None]))
+        gain = gain.reshape(len(ids), -1)
         best, parent = np.argmax(gain, axis=1), _score(total, many, l2)
         top = gain[np.arange(len(ids)), best]
         feature, bound = best // BINS, best % BINS
@@ -186,12 +226,82 @@ def _grow_binned(by_feature: np.ndarray, g: np.ndarray, w: np.ndarray, l2: float
                 tree.value[a], tree.value[b] = leaf_value(ls, lc, l2), leaf_value(int(total[i]) - ls, int(many[i]) - lc, l2)
                 kids += [a, b]
         if not kids or depth == max_depth:
-            break
+            continue
+        held = split[slot]
+        rows, slot = rows[held], slot[held]
+        child = 2 * (np.cumsum(split) - 1)[slot] + (by_feature[feature[slot], rows] > bound[slot])
+        size = np.bincount(child, minlength=len(kids))
+        on = size > sorted_rows                             # the others are ordered later, if at all
+        node_of = np.asarray(kids)
+        off = ~on[child]
+        left_at[rows[off]] = node_of[child[off]]
+        if not on.any():
+            continue
+        pair = np.flatnonzero(on[::2] | on[1::2])
+        fewer = 2 * pair + (size[1::2] < size[::2])[pair]
+        place, to = np.full(len(kids), -1), np.cumsum(on) - 1
+        place[fewer] = np.arange(len(fewer))
+        mine = np.flatnonzero(place[child] >= 0)
+        s1, n1 = sums(rows[mine], place[child[mine]], len(fewer))
+        more, above = fewer ^ 1, np.flatnonzero(split)[pair]
+        a, b = on[fewer], on[more]
+        both_s, both_n = np.empty((int(on.sum()), k, BINS)), np.empty((int(on.sum()), k, BINS))
+        for both, one, whole in ((both_s, s1, S), (both_n, n1, N)):
+            both[to[fewer[a]]] = one[a]
+            both[to[more[b]]] = whole[above[b]] - one[b]
+        rows, slot = rows[~off], to[child[~off]]
+        waiting.append((rows, slot, [int(x) for x in node_of[on]], depth, both_s, both_n))
+    return tree, left_at
+    plain = bool((w == 1).all())
+
+    def sums(rows, slot, many):
+        """Sums and weights (many, k, BINS) of ``rows``, whose nodes are ``slot``."""
+        base, value, weight = slot * BINS, g[rows].astype(np.float64), None if plain else w[rows].astype(np.float64)
+        S, N = np.empty((k, many * BINS)), np.empty((k, many * BINS))
+        for f in range(k):
+            key = base + by_feature[f][rows]
+            S[f], N[f] = np.bincount(key, value, many * BINS), np.bincount(key, weight, many * BINS)
+        return (x.reshape(k, many, BINS).transpose(1, 0, 2) for x in (S, N))
+
+    rows, slot, ids = np.arange(n), np.zeros(n, np.int64), [0]
+    waiting = [(rows, slot, ids, 0, *sums(rows, slot, 1))]
+    while waiting:
+        rows, slot, ids, depth, S, N = waiting.pop()
+        if len(ids) > 1 and S.size > SPLIT_CELLS:           # so many nodes at a time as stay near the processor
+            half = len(ids) // 2
+            low = slot < half
+            waiting += [(rows[~low], slot[~low] - half, ids[half:], depth, S[half:].copy(), N[half:].copy()), (rows[low], slot[low], ids[:half], depth, S[:half], N[:half])]
+            continue
+        depth += 1
+        sl, cl = np.cumsum(S, axis=2), np.cumsum(N, axis=2)
+        total, many = sl[:, 0, -1], cl[:, 0, -1]
+        gain = _gains(sl, cl, total[:, None, None] - sl, many[:, None, None] - cl, l2)
+        np.copyto(gain, -np.inf, where=(N == 0) | (cl >= many[:, None, None]))
+        gain = gain.reshape(len(ids), -1)
+        best, parent = np.argmax(gain, axis=1), _score(total, many, l2)
+        top = gain[np.arange(len(ids)), best]
+        feature, bound = best // BINS, best % BINS
+        kids, split = [], np.zeros(len(ids), bool)
+        for i, node in enumerate(ids):
+            if np.isfinite(top[i]) and _better(top[i], parent[i]):
+                split[i] = True
+                a, b = tree.split(node, feature[i], bound[i])
+                ls, lc = int(sl[i, feature[i], bound[i]]), int(cl[i, feature[i], bound[i]])
+                tree.value[a], tree.value[b] = leaf_value(ls, lc, l2), leaf_value(int(total[i]) - ls, int(many[i]) - lc, l2)
+                kids += [a, b]
+        if not kids or depth == max_depth:
+            continue
         held = split[slot]
         rows, slot = rows[held], slot[held]
         child = 2 * (np.cumsum(split) - 1)[slot] + (by_feature[feature[slot], rows] > bound[slot])
         size = np.bincount(child, minlength=len(kids))
         fewer = np.arange(0, len(kids), 2) + (size[1::2] < size[::2])
+        on = size > sorted_rows                             # the others are ordered later, if at all
+        node_of = np.asarray(kids)
+        off = ~on[child]
+        left_at[rows[off]] = node_of[child[off]]
+        if not on.any():
+            continue
         place = np.full(len(kids), -1)
         place[fewer] = np.arange(len(fewer))
         mine = np.flatnonzero(place[child] >= 0)
@@ -199,72 +309,92 @@ def _grow_binned(by_feature: np.ndarray, g: np.ndarray, w: np.ndarray, l2: float
         both_s, both_n = np.empty((len(kids), k, BINS)), np.empty((len(kids), k, BINS))
         both_s[fewer], both_n[fewer] = s1, n1
         both_s[fewer ^ 1], both_n[fewer ^ 1] = S[split] - s1, N[split] - n1
-        on = size > sorted_rows                             # the others are ordered later, if at all
-        node_of = np.asarray(kids)
-        off = ~on[child]
-        left_at[rows[off]] = node_of[child[off]]
         rows, slot = rows[~off], (np.cumsum(on) - 1)[child[~off]]
-        ids, S, N = [int(x) for x in node_of[on]], both_s[on], both_n[on]
+        waiting.append((rows, slot, [int(x) for x in node_of[on]], depth, both_s[on], both_n[on]))
     return tree, left_at
 
 
 def _grow_sorted(bins: np.ndarray, target: np.ndarray, weight: np.ndarray, l2: float = 0.0, max_depth: int | None = None) -> Tree:
-    """The tree of few rows: per level, every feature's rows are kept ordered by (node, bin),
-    so that running sums give all splits of all nodes at once."""
+    """The tree of few rows."""
     used = np.flatnonzero(weight > 0)
-    bins, w = bins[used], weight[used].astype(np.int64)
-    g = target[used].astype(np.int64) * w
-    n, k = bins.shape
-    tree = Tree(value=[leaf_value(g.sum(), w.sum(), l2)])
-    if not n or not k:
-        return tree
-    levels = []                                             # per level: feature, cut, left, right; values come with the parents
-    order = np.argsort(bins, axis=0, kind="stable").T       # by feature: rows by bin
-    slot, many_open, made, depth = np.zeros(n, np.int64), 1, 1, 0       # a row's node (a place in its level), else -1
-    while many_open and (max_depth is None or depth < max_depth):
+    w, q = weight[used].astype(np.int64), target[used].astype(np.int64)
+    if not len(used) or not bins.shape[1]:
+        return Tree(value=[leaf_value((q * w).sum(), w.sum(), l2)])
+    return Tree(*(x.tolist() for x in _grow_ordered(np.ascontiguousarray(bins[used].T), q, w, np.zeros(len(used), np.int64), 1, l2, max_depth)))
+
+
+def _grow_ordered(by_feature: np.ndarray, q: np.ndarray, w: np.ndarray, slot: np.ndarray, roots: int, l2: float, max_depth: int | None = None) -> tuple:
+    """(feature, cut, left, right, value) of the trees of few rows, whose roots are the first
+    ``roots`` nodes; ``slot`` names each row's root. Per level, every feature's rows are kept
+    ordered by (node, bin), so that running sums give all splits of all nodes at once. Sums are
+    integers below 2^53, exact in doubles. A node of equal targets has no split."""
+    k, n = by_feature.shape
+    flat, lines, g = by_feature.ravel(), np.arange(k)[:, None], q * w
+    s_, n_ = np.bincount(slot, g.astype(np.float64), roots), np.bincount(slot, w, roots)
+    value, splits = [s_ / (n_ + l2)], []                    # per level: nodes split, feature, cut, first child
+    order = np.argsort(by_feature, axis=1, kind="stable").astype(np.int32)      # by feature: rows by node and bin
+    bins, ids, made, depth = None, np.arange(roots), roots, 0
+    while len(ids) and (max_depth is None or depth < max_depth):
         depth += 1
-        at = slot[order]
-        order = order[at >= 0].reshape(k, -1)
-        at = slot[order]
-        kind = np.uint16 if many_open < 65_536 else np.int64
-        order = np.take_along_axis(order, np.argsort(at.astype(kind), axis=1, kind="stable"), axis=1)
-        of = slot[order[0]]                                 # the same for every feature
+        # nodes of equal targets drop out
+        rows = np.argsort(slot.astype(np.uint16), kind="stable")
+        rows = rows[:np.searchsorted(slot[rows], len(ids))]
+        of = slot[rows]
+        first = np.searchsorted(of, np.arange(len(ids)))
+        on = np.minimum.reduceat(q[rows], first) < np.maximum.reduceat(q[rows], first)
+        if not on.any():
+            break
+        if not on.all():
+            now = np.where(on, np.cumsum(on) - 1, len(ids))
+            slot, ids = np.where(slot < len(ids), now[np.minimum(slot, len(ids) - 1)], n), ids[on]
+        slot, many_open = np.minimum(slot, len(ids)), len(ids)
+        width = int((slot < many_open).sum())
+        at = slot.astype(np.uint8 if many_open < 256 else np.uint16).take(order)
+        move = np.argsort(at, axis=1, kind="stable")[:, :width] + lines * order.shape[1]
+        order = order.ravel().take(move)
+        bins = flat.take(order + lines * n) if bins is None else bins.ravel().take(move)
+        rows = order[0]
+        of = slot[rows]                                     # the same for every feature
         first = np.searchsorted(of, np.arange(many_open))
-        last = np.r_[first[1:], len(of)] - 1
-        s, c = np.cumsum(g[order], axis=1), np.cumsum(w[order], axis=1)
-        s0, c0 = np.where(first > 0, s[0][first - 1], 0), np.where(first > 0, c[0][first - 1], 0)
-        total, many = s[0][last] - s0, c[0][last] - c0
-        sl, cl = s - s0[of], c - c0[of]
-        value = bins[order, np.arange(k)[:, None]]
-        edge = np.zeros(value.shape, bool)
-        edge[:, :-1] = (value[:, :-1] != value[:, 1:]) & (of[:-1] == of[1:])
-        with np.errstate(divide="ignore", invalid="ignore"):
-            gain = np.where(edge, _score(sl, cl, l2) + _score(total[of] - sl, many[of] - cl, l2), -np.inf)
+        last = np.r_[first[1:], width] - 1
+        sl, cl = ((x - x0[of]).astype(np.float64) for x, x0 in (_running(v.take(order), first) for v in (g, w)))
+        total, many = sl[0][last], cl[0][last]
+        sr, cr = total[of] - sl, many[of] - cl
+        same = np.empty(bins.shape, bool)
+        np.equal(bins[:, :-1], bins[:, 1:], out=same[:, :-1])
+        same[:, last] = True
+        gain = _gains(sl, cl, sr, cr, l2)
+        np.copyto(gain, -np.inf, where=same)
         best = np.maximum.reduceat(gain, first, axis=1)
         feature = np.argmax(best, axis=0)
         top, parent = best[feature, np.arange(many_open)], _score(total, many, l2)
-        hit = np.flatnonzero(gain[feature[of], np.arange(len(of))] == top[of])
+        hit = np.flatnonzero(gain[feature[of], np.arange(width)] == top[of])
         place = hit[np.searchsorted(of[hit], np.arange(many_open))]
         split = np.flatnonzero(np.isfinite(top) & (top - parent > 1e-12 * np.abs(parent)))
+        if not len(split):
+            break
         f, p = feature[split], place[split]
-        bound, left_of, right_of = np.zeros(many_open, np.int64), np.full(many_open, -1), np.full(many_open, -1)
-        bound[split] = value[f, p]
-        left_of[split], right_of[split] = np.arange(0, 2 * len(split), 2), np.arange(1, 2 * len(split), 2)
-        held = left_of >= 0
-        levels.append((np.where(held, feature, -1), bound, np.where(held, made + left_of, 0), np.where(held, made + right_of, 0)))
+        child, bound = np.full(many_open, -1), np.zeros(many_open, np.int64)
+        bound[split], child[split] = bins[f, p], np.arange(0, 2 * len(split), 2)
+        splits.append((ids[split], f, bound[split], made + child[split]))
         ls, lc = sl[f, p], cl[f, p]
-        s_, n_ = (np.column_stack(x).ravel().astype(np.float64) for x in ((ls, total[split] - ls), (lc, many[split] - lc)))
-        tree.value += (s_ / (n_ + l2)).tolist()
-        open_ = np.flatnonzero(slot >= 0)
-        was = slot[open_]
-        go = bins[open_, feature[was]] <= bound[was]
-        slot[open_] = np.where(go, left_of[was], right_of[was])
-        many_open = 2 * len(split)
-        made += many_open
-    if many_open:
-        levels.append((np.full(many_open, -1), *[np.zeros(many_open, np.int64)] * 3))
-    tree.feature, tree.cut, tree.left, tree.right = (np.concatenate(x).tolist() for x in zip(*levels))
-    return tree
+        s_, n_ = (np.column_stack(x).ravel() for x in ((ls, total[split] - ls), (lc, many[split] - lc)))
+        value.append(s_ / (n_ + l2))
+        go = child[of] + (flat.take(feature[of] * n + rows) > bound[of])
+        slot = np.full(n, n)
+        slot[rows] = np.where(child[of] >= 0, go, n)
+        ids = made + np.arange(2 * len(split))
+        made += len(ids)
+    feature, at, left, right = np.full(made, -1), np.zeros(made, np.int64), np.zeros(made, np.int64), np.zeros(made, np.int64)
+    for node, f, bound, child in splits:
+        feature[node], at[node], left[node], right[node] = f, bound, child, child + 1
+    return feature, at, left, right, np.concatenate(value)
+
+
+def _running(x: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(running sums of every line, those before the places ``first``, the same for all lines)."""
+    np.cumsum(x, axis=1, out=x)
+    return x, np.where(first > 0, x[0][first - 1], 0)
 
 
 def best_split(cells: np.ndarray, s: np.ndarray, n: np.ndarray, k: int, l2: float):
@@ -308,14 +438,25 @@ def boost(bins: np.ndarray, y: np.ndarray, largest: float, wanted: np.ndarray, t
     return start, trees, out
 
 
+def bagged(bins: np.ndarray, q: np.ndarray, rid: np.ndarray, ks: list[int], numbers):
+    """Yields (place in ``ks``, tree) of the forest trees of these numbers that took a row;
+    number -1 is the tree that takes every row once."""
+    by_feature = np.ascontiguousarray(bins.T)
+    for t in numbers:
+        w = bootstrap_weights(rid, t) if t >= 0 else np.ones(len(q), np.int64)
+        used = np.flatnonzero(w)
+        if len(used):
+            mine, taken, w = by_feature[:, used], q[used], w[used]
+            for j, k in enumerate(ks):
+                yield j, grow_whole(mine[:k], taken, w)
+
+
 def bag(bins: np.ndarray, y: np.ndarray, rid: np.ndarray, largest: float, wanted: np.ndarray, n_trees: int):
     """(trees, predictions for ``wanted``) of a forest; a single tree takes every row once."""
-    q, out, trees = to_grid(y, largest), np.zeros(len(wanted)), []
-    for t in range(n_trees):
-        w = bootstrap_weights(rid, t) if n_trees > 1 else np.ones(len(y), np.int64)
-        if w.any():
-            trees.append(grow(bins, q, w))
-            out = out + trees[-1].predict(wanted)
+    out, trees = np.zeros(len(wanted)), []
+    for _, tree in bagged(bins, to_grid(y, largest), rid, [bins.shape[1]], range(n_trees) if n_trees > 1 else [-1]):
+        trees.append(tree)
+        out = out + tree.predict(wanted)
     return trees, out / max(len(trees), 1) * (largest / GRID)
 
 

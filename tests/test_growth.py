@@ -212,3 +212,28 @@ def test_a_full_step_asks_once():
     svr.solve(svr.newton(phi.dim, float(np.mean(y)), float(np.std(y))), answer)
     single, tried = ([q for q in asked if (len(q[0]) > 1) == many] for many in (False, True))
     assert len(single) < len(tried)
+
+
+@pytest.mark.parametrize("family", [fits.TREE, fits.FOREST])
+def test_trees_of_a_large_industry_are_grown_in_tasks_not_by_passes(spark, monkeypatch, family):
+    plan = toy(spark)
+    want = scored(fits.predictions(plan, specs([family]), plan.data, FEW))
+    by_passes = trees.Settings(**{**vars(BY_PASSES), "bag_rows": 10})
+    close(scored(fits.predictions(plan, specs([family]), plan.data, by_passes)), want)
+    monkeypatch.setattr(trees, "grown", None)               # no passes from here on
+    monkeypatch.setattr(fits, "LOT_WORK", 1)                # a task for every tree
+    close(scored(fits.predictions(plan, specs([family]), plan.data, BY_PASSES)), want)
+
+
+def test_many_small_nodes_are_ordered_at_a_time(monkeypatch):
+    rng = np.random.default_rng(4)
+    bins = rng.integers(0, 60, (1500, 3)).astype(np.uint8)
+    bins, q, w = np.r_[bins, bins[:300]], rng.integers(-9, 9, 1800) * (1 << 26), rng.poisson(1, 1800)
+    whole, calls, plain = trees._grow_sorted(bins, q, w), [], trees._grow_ordered
+    monkeypatch.setattr(trees, "_grow_ordered", lambda *a: calls.append(a[4]) or plain(*a))
+    for rows, batch, cells in ((30, 400, 3_000), (7, 50, 10 ** 6), (200, 1, 1)):
+        monkeypatch.setattr(trees, "SORTED_ROWS", rows), monkeypatch.setattr(trees, "SORTED_BATCH", batch), monkeypatch.setattr(trees, "SPLIT_CELLS", cells)
+        calls.clear()
+        got = trees.grow(bins, q, w)
+        assert len(got.feature) == len(whole.feature) and np.array_equal(got.predict(bins), whole.predict(bins))
+        assert (max(calls) > 1) == (batch > 1)
