@@ -3,8 +3,9 @@
 A fit is named by (industry, family, number of leading features). Industries of at most
 ``Settings.local_rows`` training and scored rows are dealt out as jobs: the rows of an industry
 meet once per job in a task, which fits the job's models and scores the wanted rows.
-Larger industries are fitted by passes over their rows (``trees.Passes``,
-``svr.fit_by_passes``; support vectors from ``SVR_SPAN`` times that size). Either way gives the same models.
+The rows of larger industries come to tasks packed (a byte per feature for trees, 8 for
+support vectors), and from about a million rows on are fitted by passes over rows that stay
+where they are (``trees.Passes``, ``svr.fit_by_passes``). Either way gives the same models.
 """
 
 from __future__ import annotations
@@ -23,7 +24,8 @@ from .trees import GRID, Settings
 TREE, FOREST, SVR, BOOST = MODEL_FAMILIES[2:6]
 GROUP = "broad_industry"
 KEYS = ["ticker", "fy", GROUP, "split", "stock_price"]
-SVR_SPAN = 2                # support vectors are fitted in a task up to so many times ``local_rows`` (2 KB a row): passes take many jobs
+SVR_SPAN = 2                # support vectors are fitted in a task up to so many times ``local_rows``: passes take many jobs
+SVR_PACKED = 16             # and up to so many with their rows packed, 8 bytes a feature
 LOT_WORK = 150_000_000      # training rows x features x trees that a task grows
 PREDICTED = f"row long, {GROUP} string, family string, n_features int, prediction double"
 
@@ -64,7 +66,7 @@ class Local:
             z = (x - mu) / sd
             for k in ks:
                 phi, theta = svr.fit(z[tr][:, :k], y[tr], z[tr][:svr.LANDMARKS, :k], svr.kernel_width(self.live[ind][:k]))
-                yield k, (phi, theta), phi(z[~tr][:, :k]) @ theta
+                yield k, (phi, theta), phi.predict(z[~tr][:, :k], theta)
             return
         edges = [trees.bin_edges(x[tr, j]) for j in range(max(ks))]
         bins = trees.to_bins(x[:, :max(ks)], edges)
@@ -87,7 +89,7 @@ def predictions(plan, specs: list[tuple], rows: DataFrame, to: Settings = Settin
     sizes = {r["industry"]: r["n"] for r in frame.groupBy("industry").agg(F.count(F.lit(1)).alias("n")).collect()}
     near = [s for s in specs if sizes.get(s[0], 0) <= to.local_rows * (SVR_SPAN if s[1] == SVR else 1)]
     far = [s for s in specs if s not in near]
-    out = _by_passes(plan, far, frame, to) if far else None     # its tasks are the longer ones
+    out = _by_passes(plan, far, frame, sizes, to) if far else None     # its tasks are the longer ones
     if near:
         more = _in_tasks(plan, near, frame, sizes, to)
         out = more if out is None else out.unionByName(more)
@@ -165,7 +167,7 @@ def _binned(frame: DataFrame, edges: dict, local: Local) -> DataFrame:
     return cut(frame.mapInPandas(run, "industry string, train boolean, row long, rid long, y double, bins binary"))
 
 
-def _by_passes(plan, specs, frame: DataFrame, to: Settings) -> DataFrame:
+def _by_passes(plan, specs, frame: DataFrame, sizes: dict, to: Settings) -> DataFrame:
     industries = sorted({s[0] for s in specs})
     local = Local(plan, industries, to)
     frame = frame.filter(F.col("industry").isin(*industries))
@@ -174,7 +176,7 @@ def _by_passes(plan, specs, frame: DataFrame, to: Settings) -> DataFrame:
         F.count(F.lit(1)).alias("n"), F.max(F.abs("y")).alias("largest"), F.avg("y").alias("mean"), F.stddev_pop("y").alias("std")).collect()}
     largest = {i: float(info[i]["largest"]) for i in industries}
     edges = _edges(plan, frame, local, {i: info[i]["n"] for i in industries})
-    binned = _binned(frame, edges, local)
+    binned = _binned(frame, edges, local) if any(s[1] != SVR for s in specs) else None
     out = []
     grown = {f: _prefixes(specs, f) for f in (TREE, FOREST)}
     near = {f: {i: k for i, k in ks.items() if info[i]["n"] <= to.bag_rows} for f, ks in grown.items()}
@@ -199,7 +201,11 @@ def _by_passes(plan, specs, frame: DataFrame, to: Settings) -> DataFrame:
         pairs = F.explode(F.arrays_zip(size[F.col("industry")].alias("n_features"), F.col("margins").alias("prediction"))).alias("p")
         out.append(scored.filter(~F.col("train")).select("row", F.col("industry").alias(GROUP), pairs)
                    .select("row", GROUP, F.lit(BOOST).alias("family"), "p.n_features", "p.prediction"))
-    ks = _prefixes(specs, SVR)
+    vectors = _prefixes(specs, SVR)
+    near = {i: k for i, k in vectors.items() if sizes[i] <= to.local_rows * SVR_PACKED}
+    if near:
+        out.append(_svr_in_tasks(near, frame, local, edges, {i: info[i]["n"] for i in near}))
+    ks = {i: k for i, k in vectors.items() if i not in near}
     if ks:
         out.append(_svr_by_passes(plan, ks, frame, local, edges, info))
     names = ["row", GROUP, "family", "n_features", "prediction"]
@@ -285,6 +291,26 @@ def _boosted_in_tasks(binned: DataFrame, ks: dict[str, list[int]], n: dict[str,
     return _in_lots(binned, [(i, k, n[i] * k, None) for i, mine in ks.items() for k in mine], "bins", run, PREDICTED)
 
 
+def _svr_in_tasks(ks: dict[str, list[int]], frame: DataFrame, local: Local, edges: dict, n: dict[str, int]) -> DataFrame:
+    """Predictions of support vector regression, a task per industry and prefix; a task gets
+    the features of its prefix alone."""
+    def pack(batches):
+        for b in batches:
+            for ind, g in b.groupby("industry"):
+                x = np.vstack(g["x"].to_numpy())[:, local.pool[ind]].astype(float)
+                yield g[["industry", "train", "row", "rid", "y"]].assign(x=[r.tobytes() for r in x])
+
+    def run(lot, cols):
+        ind, width = lot[:2]
+        k, (mu, sd), tr = width // 8, local.stats[ind], cols["train"].astype(bool)
+        z = (np.frombuffer(b"".join(cols.pop("packed")), np.float64).reshape(len(tr), k) - mu[:k]) / sd[:k]
+        phi, theta = svr.fit(z[tr], cols["y"][tr].astype(float), (edges[ind][1][:, :k] - mu[:k]) / sd[:k], svr.kernel_width(local.live[ind][:k]))
+        yield _numbered(cols["row"][~tr], ind, SVR, k, phi.predict(z[~tr], theta))
+
+    packed = cut(frame.filter(F.col("industry").isin(*ks)).mapInPandas(pack, "industry string, train boolean, row long, rid long, y double, x binary"))
+    return _in_lots(packed, [(i, 8 * k, n[i] * (k + 50), None) for i, mine in ks.items() for k in mine], "x", run, PREDICTED)
+
+
 def _prefixes(specs, family: str) -> dict[str, list[int]]:
     out: dict = {}
     for ind, f, k in specs:
@@ -323,7 +349,7 @@ def _svr_by_passes(plan, ks: dict, frame: DataFrame, local: Local, edges: dict,
                 for i, (phi, theta) in fitted.items():
                     if models[i][0] == ind:
                         k, mu, sd = models[i][1:4]
-                        yield pd.DataFrame({"row": g["row"].to_numpy(), GROUP: ind, "family": SVR, "n_features": k, "prediction": phi((x[:, :k] - mu) / sd) @ theta})
+                        yield pd.DataFrame({"row": g["row"].to_numpy(), GROUP: ind, "family": SVR, "n_features": k, "prediction": phi.predict((x[:, :k] - mu) / sd, theta)})
 
     return frame.filter(~F.col("train") & F.col("industry").isin(*ks)).select("industry", "row", "x").mapInPandas(score, PREDICTED)
 

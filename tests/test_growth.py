@@ -237,3 +237,49 @@ def test_many_small_nodes_are_ordered_at_a_time(monkeypatch):
         got = trees.grow(bins, q, w)
         assert len(got.feature) == len(whole.feature) and np.array_equal(got.predict(bins), whole.predict(bins))
         assert (max(calls) > 1) == (batch > 1)
+
+
+def test_support_vectors_of_a_large_industry_come_packed_to_tasks(spark, monkeypatch):
+    plan = toy(spark)
+    want = scored(fits.predictions(plan, specs([fits.SVR]), plan.data, FEW))
+    monkeypatch.setattr(fits, "SVR_PACKED", 100)
+    monkeypatch.setattr(svr, "fit_by_passes", None)         # no passes from here on
+    monkeypatch.setattr(fits, "_binned", None)              # nor bins that nobody asks for
+    close(scored(fits.predictions(plan, specs([fits.SVR]), plan.data, BY_PASSES)), want, 1e-6)
+
+
+@pytest.mark.parametrize("held", [0, 300, 10 ** 6])
+def test_support_vectors_take_few_sums_over_rows(monkeypatch, held):
+    rng = np.random.default_rng(8)
+    z = rng.normal(size=(900, 2))
+    y, asked, plain = 9 * np.sin(z[:, 0]) + z[:, 1] + rng.normal(size=900), [], svr._Held.products
+    z[3], y[3], z[7], y[7] = z[4], y[4], 0.0, 500.0             # a copy and an odd one
+    monkeypatch.setattr(svr, "CHUNK", 128), monkeypatch.setattr(svr, "HELD", held)
+    monkeypatch.setattr(svr._Held, "products", lambda self, *a: asked.append(1) or plain(self, *a))
+    phi, theta = svr.fit(z, y, z[:200], 0.5)
+    assert 0 < len(asked) < 60
+    rows, spread = phi(z), float(np.std(y))
+    other = svr.solve(svr.newton(phi.dim, float(np.mean(y)), spread), lambda thetas, delta: svr.answered(thetas, *svr.loss_sums(rows, y, thetas, delta), len(y), spread))
+    cost = lambda t: t[:-1] @ t[:-1] / 2 + svr.SVR_C * np.maximum(np.abs(y - rows @ t) - svr.SVR_EPSILON, 0).sum()
+    assert cost(theta) <= cost(other) * (1 + 1e-8)
+    assert np.allclose(phi.predict(z, theta), rows @ theta) and np.allclose(rows @ theta, rows @ other, atol=1e-2)
+
+
+def test_support_vectors_of_odd_targets():
+    z = np.arange(12.0).reshape(6, 2)
+    for y in (np.full(6, 7.0), np.zeros(6), np.r_[1e9, np.zeros(5)]):
+        phi, theta = svr.fit(z, y, z, 0.5)
+        assert np.isfinite(theta).all() and np.median(np.abs(phi.predict(z, theta) - y)) < 1e9
+    phi, theta = svr.fit(z[:1], np.array([3.0]), z[:1], 0.5)
+    assert phi.predict(z[:1], theta)[0] == pytest.approx(3.0, abs=0.11) and len(phi.predict(z[:0], theta)) == 0
+
+
+def test_scores_of_the_largest_companies_build_the_analysis_frame_once(spark, monkeypatch):
+    from ledgerlens.plans import checks, models as M
+    plan, made, search = toy(spark, n=70), [], M.search
+    plan.n_train, plan.n_test = ({i: m[sp].n for i, m in plan.moments.items()} for sp in ("train", "test"))
+    monkeypatch.setattr(checks, "features", lambda *a: made.append(1) or plan.data)
+    monkeypatch.setattr(M, "prepare", lambda *a: plan)
+    monkeypatch.setattr(M, "search", lambda f, families, plan: search(f, (M.LINEAR,), plan=plan))
+    got = checks.top_cap_scores(spark, "nowhere").collect()
+    assert len(made) == 1 and len(got) == plan.data.count()
