@@ -379,10 +379,11 @@ def event_window_price(spark, sf_dir):
 STANDIN_TRAIN_LAST, STANDIN_TEST_FIRST = 1999, 2000
 
 
-def _search(spark, sf_dir, families=MODEL_FAMILIES):
-    """A whole search of ``families``, from the tables: nothing is kept between calls."""
+def _search(spark, sf_dir, families=MODEL_FAMILIES, frame=None):
+    """A whole search of ``families``, from the tables (or their analysis frame): nothing is
+    kept between calls."""
     from . import models as M
-    plan = M.prepare(features(spark, sf_dir), STANDIN_TRAIN_LAST, STANDIN_TEST_FIRST)
+    plan = M.prepare(features(spark, sf_dir) if frame is None else frame, STANDIN_TRAIN_LAST, STANDIN_TEST_FIRST)
     return M.search(None, families, plan=plan)
 
 
@@ -475,8 +476,9 @@ def case_study(spark, sf_dir):
 def top_cap_scores(spark, sf_dir):
     """Global top-20 companies by mean market cap, scored by their industry's model."""
     from . import models as M
-    res, best_fam, best, plan, coefs = _search(spark, sf_dir)
-    top = M.top_cap_members(features(spark, sf_dir))
+    frame = features(spark, sf_dir)         # for the search and the choice of companies
+    res, best_fam, best, plan, coefs = _search(spark, sf_dir, frame=frame)
+    top = M.top_cap_members(frame)
     rows = plan.data.join(top, "ticker", "left_semi")
     p = M.predict_best(plan, best, coefs, rows)
     return rounded(p.select("broad_industry", "ticker", "fy", "stock_price", "prediction"))
